@@ -1,0 +1,38 @@
+"""Event stream to silver and gold in one plan, for batch use."""
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+
+from wattlake.operators.latest import latest_per_key
+from wattlake.operators.layers import (
+    has_key, silver_carbon, silver_mix, to_gold_carbon, to_gold_mix,
+)
+from wattlake.operators.parse import parse_carbon, parse_mix
+
+
+@dataclass(frozen=True)
+class Layers:
+    """Lazy views over one pair of event sets."""
+
+    mix_events: DataFrame
+    carbon_events: DataFrame
+    arrival: Column | None = None
+
+    def parsed_mix(self, breakdown: str = "production", strict: bool = False) -> DataFrame:
+        return parse_mix(self.mix_events, breakdown, self.arrival, strict)
+
+    def parsed_carbon(self, strict: bool = False) -> DataFrame:
+        return parse_carbon(self.carbon_events, self.arrival, strict)
+
+    def silver_mix(self, extras: bool = False) -> DataFrame:
+        return silver_mix(self.parsed_mix(), extras)
+
+    def silver_carbon(self, extras: bool = False) -> DataFrame:
+        return silver_carbon(self.parsed_carbon(), extras)
+
+    def gold_mix(self) -> DataFrame:
+        return latest_per_key(has_key(to_gold_mix(self.silver_mix())))
+
+    def gold_carbon(self) -> DataFrame:
+        return latest_per_key(has_key(to_gold_carbon(self.silver_carbon())))
