@@ -26,5 +26,11 @@ def fossil_share(mix: DataFrame) -> DataFrame:
 
 def source_corr(mix: DataFrame, against: str, columns: list[str]) -> DataFrame:
     """Correlation of each column with ``against`` per region, e.g. of installed
-    capacity with output where a table has both."""
-    return mix.groupBy("region").agg(*[F.corr(c, against).alias(f"corr_{c}") for c in columns])
+    capacity with output where a table has both; null for a constant column."""
+    def spread(c):
+        return F.stddev_pop(c)
+
+    return mix.groupBy("region").agg(*[
+        F.try_divide(F.covar_pop(c, against), spread(c) * spread(against)).alias(f"corr_{c}")
+        for c in columns
+    ])

@@ -108,7 +108,8 @@ def replace_days(days: DataFrame, path: str) -> None:
 def finish_swap(spark: SparkSession, path: str) -> None:
     """Moves complete staged days into the table, drops incomplete ones."""
     for staged in _children(spark, _stage(path)):
-        if exists(spark, f"{staged}/_SUCCESS"):
+        holds_days = any(f"/{DATE}=" in child for child in _children(spark, staged))
+        if holds_days and exists(spark, f"{staged}/_SUCCESS"):
             (
                 spark.read.parquet(staged).hint("rebalance", DATE)
                 .write.mode("overwrite")
