@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wattlake import vocabulary as V
 
+DAY = "date"  # partition column of stored tables
 WRITE_ORDER = ["ingestion_timestamp", "arrival_offset", "arrival_partition"]
 
 
@@ -34,8 +35,16 @@ def retained(gold: DataFrame, as_of: Column, days: int = V.RETENTION_DAYS) -> Da
 
 def newer_than(rows: DataFrame, mark: dt.datetime | Column | None,
                column: str = "processing_time") -> DataFrame:
-    """Rows strictly above the mark, all of them when there is none."""
-    return rows if mark is None else rows.filter(F.col(column) > mark)
+    """Rows strictly above the mark, all of them when there is none.
+
+    A table stored by day of ``column`` skips the days before the mark.
+    """
+    if mark is None:
+        return rows
+    mark = F.lit(mark)
+    if DAY in rows.columns:
+        rows = rows.filter(F.col(DAY) >= F.to_date(mark))
+    return rows.filter(F.col(column) > mark)
 
 
 def high_water_mark(rows: DataFrame, column: str = "processing_time") -> dt.datetime | None:

@@ -1,6 +1,6 @@
 """JSON events to typed rows, and the rows that cannot be used."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wattlake import vocabulary as V
 from wattlake.functions.lenient import flag, instant, number, zero_if_null
@@ -30,6 +30,10 @@ def _fields_of(text: Column, schema) -> Column:
     return F.inline(F.array(F.from_json(text, schema)))
 
 
+def _as_is(column: Column) -> Column:
+    return column
+
+
 def _tail() -> list[Column]:
     return [
         F.col("processing_time"), F.col("arrival_partition"), F.col("arrival_offset"),
@@ -45,13 +49,13 @@ def parse_mix(
     """Typed mix rows; what is absent or badly typed is null, no row is dropped.
 
     ``breakdown`` names the one that fills the source columns: ``production`` or
-    ``consumption``. ``strict`` reads numbers only where JSON has a number.
+    ``consumption``. ``strict`` reads numbers only where JSON has a number; by
+    default text such as "12.5" counts too.
     """
-    block = {"production": "powerProductionBreakdown",
-             "consumption": "powerConsumptionBreakdown"}[breakdown]
-    read = (lambda c: c) if strict else number
-    return _text(events, V.STRICT_MIX if strict else V.LENIENT_MIX, arrival).select(
-        F.col("zone").alias("zone"),
+    block = V.BREAKDOWNS[breakdown]
+    read, kind = (_as_is, T.DoubleType()) if strict else (number, T.StringType())
+    return _text(events, V.mix_message(block, kind), arrival).select(
+        F.col("zone"),
         instant(F.col("datetime")).alias("datetime"),
         *[read(F.col(name)).alias(silver) for name, silver, _ in V.TOTALS],
         *[read(F.col(block)[s]).alias(s) for s in V.GOLD_SOURCES],
@@ -64,10 +68,10 @@ def parse_mix(
 def parse_carbon(
     events: DataFrame, arrival: Column | None = None, strict: bool = False
 ) -> DataFrame:
-    read = (lambda c: c) if strict else number
-    read_flag = (lambda c: c) if strict else flag
-    return _text(events, V.STRICT_CARBON if strict else V.LENIENT_CARBON, arrival).select(
-        F.col("zone").alias("zone"),
+    read, kind = (_as_is, T.DoubleType()) if strict else (number, T.StringType())
+    read_flag, flag_kind = (_as_is, T.BooleanType()) if strict else (flag, T.StringType())
+    return _text(events, V.carbon_message(kind, flag_kind), arrival).select(
+        F.col("zone"),
         instant(F.col("datetime")).alias("datetime"),
         read(F.col("carbonIntensity")).alias("carbon_intensity"),
         F.col("emissionFactorType").alias("emission_factor_type"),

@@ -5,7 +5,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wattlake.operators.latest import utc_instant
+from wattlake.operators.latest import DAY, utc_instant
 
 
 @dataclass(frozen=True)
@@ -40,19 +40,17 @@ def temporal_cut(gold: DataFrame, test_fraction: float = 0.2) -> TemporalCut:
     Counts rows per day, then per second of the day where the cut falls, then per
     instant of that second, then per region. Each step groups with partial counts
     and looks at a number of groups the calendar bounds (days; 86,400; 1,000,000;
-    regions at one instant), whatever the number of rows. The bounds are plain
-    timestamp filters, so a step reads only the files that hold its interval.
+    regions at one instant), whatever the number of rows. The later steps read
+    one day only.
     (timestamp, region) has to be unique, as it is in gold.
     """
-    keys = gold.select("timestamp", "region")
+    by_day = [DAY] if DAY in gold.columns else []
+    keys = gold.select("timestamp", "region", *by_day)
     micros = F.unix_micros("timestamp")
     total, wanted = None, None
     low, high = None, None
     for width in (_DAY, _SECOND, 1):
-        scope = keys if low is None else keys.filter(
-            (F.col("timestamp") >= F.lit(utc_instant(low)))
-            & (F.col("timestamp") < F.lit(utc_instant(high)))
-        )
+        scope = keys if low is None else _between(keys, low, high)
         counts = scope.groupBy(F.floor(micros / width).cast("long").alias("slot")).count()
         if total is None:
             counts = _with_total(counts)
@@ -66,11 +64,18 @@ def temporal_cut(gold: DataFrame, test_fraction: float = 0.2) -> TemporalCut:
         low, high = slot * width, (slot + 1) * width
         if ends_here:
             return TemporalCut(high, None, wanted, total - wanted)
-    at_cut = keys.filter(F.col("timestamp") == F.lit(utc_instant(low)))
+    at_cut = _between(keys, low, high)
     region, _, _ = _slot_of(at_cut.groupBy("region").count(), "region", left)
     return TemporalCut(low, region, wanted, total - wanted)
 
 
+def _between(keys: DataFrame, low: int, high: int) -> DataFrame:
+    first, end = F.lit(utc_instant(low)), F.lit(utc_instant(high))
+    if DAY in keys.columns:  # an interval never spans two days
+        keys = keys.filter(F.col(DAY) == F.to_date(first))
+    return keys.filter((F.col("timestamp") >= first) & (F.col("timestamp") < end))
+
+
 def _with_total(counts: DataFrame) -> DataFrame:
     return counts.withColumn("total", F.sum("count").over(Window.partitionBy()))
 

@@ -1,5 +1,6 @@
 """The registered queries: every operator over messages derived from the whole
-``events`` table, from JSON text to result.
+``events`` table. Ingest queries start from JSON text, the others from the stored
+layers (see ``lake``).
 
 Timestamps leave as ``timestamp_ntz`` in UTC, the type of ``events.ts``.
 """
@@ -18,14 +19,15 @@ from wattlake.operators.latest import (
 )
 from wattlake.operators.split import temporal_cut, temporal_split
 from wattlake.plans import consumption, forecast
-from wattlake.plans.layers import Layers
+from wattlake.plans.lake import Lake, open_lake
 from wattlake.session import use_utc
 from wattlake.sinks import models
-from wattlake.sinks.tables import append_table, read_gold, write_gold
+from wattlake.sinks.events import enrich
+from wattlake.sinks.tables import append_table, exists, read_gold
 from wattlake.sources import feed
 from wattlake.sources.events import read_events
 from wattlake.sources.landing import list_objects, read_landed
-from wattlake.sources.scratch import materialize, new_path
+from wattlake.sources.scratch import new_path
 from wattlake.sources.tables import read_incremental
 from wattlake.streaming import control, ingest, sync
 
@@ -47,9 +49,8 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.load_events(use_utc(spark), sf_dir)
 
 
-def _layers(spark: SparkSession, sf_dir: str) -> Layers:
-    events = _events(spark, sf_dir)
-    return Layers(feed.mix_events(events), feed.carbon_events(events), F.col("timestamp"))
+def _lake(spark: SparkSession, sf_dir: str) -> Lake:
+    return open_lake(use_utc(spark), sf_dir)
 
 
 def _as_of(spark: SparkSession, sf_dir: str) -> Column:
@@ -59,17 +60,19 @@ def _as_of(spark: SparkSession, sf_dir: str) -> Column:
 
 
 def _with_event_id(df: DataFrame) -> DataFrame:
-    return df.withColumnRenamed("arrival_offset", "event_id").drop("arrival_partition")
+    return df.withColumnRenamed("arrival_offset", "event_id").drop("arrival_partition", "date")
+
+
+def _topic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The topic's file twin as a stream."""
+    return read_events(spark, "parquet", {"path": _lake(spark, sf_dir).topic_path(name)})
 
 
 # --- ingest ------------------------------------------------------------------
 
 def src_events(spark, sf_dir):
     """Stream scan of the topic's file twin, then the classic projection."""
-    where = new_path(spark, "topic")
-    feed.mix_events(_events(spark, sf_dir)).write.parquet(where)
-    stream = read_events(spark, "parquet", {"path": where})
-    rows = stream.select(
+    rows = _topic(spark, sf_dir, "mix").select(
         "topic", F.col("offset").alias("event_id"), F.col("timestamp").alias("processing_time"),
         F.length(F.col("value").cast("string")).isNotNull().alias("has_text"),
     )
@@ -81,8 +84,6 @@ def src_events(spark, sf_dir):
 
 def enrich_events(spark, sf_dir):
     """Readings with the polled zone and the polling time."""
-    from wattlake.sinks.events import enrich
-
     rows = enrich(feed.mix_readings(_events(spark, sf_dir)), F.col("arrival"), F.col("owner"))
     return rows.select(
         F.col("offset").alias("event_id"), F.col("reading.zone").alias("zone"),
@@ -93,7 +94,7 @@ def enrich_events(spark, sf_dir):
 
 def encode_events(spark, sf_dir):
     """Carbon readings to JSON and back: the fields as text."""
-    sent = feed.carbon_events(_events(spark, sf_dir))
+    sent = _lake(spark, sf_dir).carbon_topic()
     return parse.parse_paths(
         sent,
         {"zone": "$.zone", "datetime": "$.datetime", "carbon_intensity": "$.carbonIntensity",
@@ -104,13 +105,13 @@ def encode_events(spark, sf_dir):
 
 
 def parse_mix(spark, sf_dir):
-    parsed = _layers(spark, sf_dir).parsed_mix()
+    parsed = _lake(spark, sf_dir).parsed_mix()
     return _plain_times(_with_event_id(parsed.drop("topic", "raw", "sent_ingestion_timestamp")))
 
 
 def parse_mix_consumption(spark, sf_dir):
     """The other breakdown, numbers only where JSON has numbers."""
-    parsed = _layers(spark, sf_dir).parsed_mix("consumption", strict=True)
+    parsed = _lake(spark, sf_dir).parsed_mix("consumption", strict=True)
     return _plain_times(
         _with_event_id(parsed.drop("topic", "raw", "sent_ingestion_timestamp"))
     )
@@ -118,7 +119,7 @@ def parse_mix_consumption(spark, sf_dir):
 
 def parse_mix_path(spark, sf_dir):
     rows = parse.parse_paths(
-        feed.mix_events(_events(spark, sf_dir)),
+        _lake(spark, sf_dir).mix_topic(),
         {"zone": "$.zone", "production_total": "$.powerProductionTotal",
          "consumption_total": "$.powerConsumptionTotal",
          "nuclear": "$.powerProductionBreakdown.nuclear",
@@ -132,50 +133,50 @@ def parse_mix_path(spark, sf_dir):
 
 
 def parse_carbon(spark, sf_dir):
-    parsed = _layers(spark, sf_dir).parsed_carbon()
+    parsed = _lake(spark, sf_dir).parsed_carbon()
     return _plain_times(_with_event_id(parsed.drop("topic", "raw", "sent_ingestion_timestamp")))
 
 
 def fill_defaults(spark, sf_dir):
-    parsed = _layers(spark, sf_dir).parsed_mix()
+    parsed = _lake(spark, sf_dir).parsed_mix()
     zeros = {c: 0.0 for c in V.GOLD_SOURCES + ["production_total", "renewable_percentage"]}
     filled = layers.fill_defaults(parsed, {**zeros, "zone": "unknown"})
     return filled.select(F.col("arrival_offset").alias("event_id"), "zone", *zeros)
 
 
 def silver_mix(spark, sf_dir):
-    return _plain_times(_with_event_id(_layers(spark, sf_dir).silver_mix()))
+    return _plain_times(_with_event_id(layers.silver_mix(_lake(spark, sf_dir).parsed_mix())))
 
 
 def silver_carbon(spark, sf_dir):
-    return _plain_times(_with_event_id(_layers(spark, sf_dir).silver_carbon()))
+    return _plain_times(_with_event_id(layers.silver_carbon(_lake(spark, sf_dir).parsed_carbon())))
 
 
 def stamp(spark, sf_dir):
     """All rows of one batch carry one processing time."""
-    rows = layers.silver_mix(parse.parse_mix(feed.mix_events(_events(spark, sf_dir))))
+    rows = layers.silver_mix(parse.parse_mix(_lake(spark, sf_dir).mix_topic()))
     return rows.agg(
         F.count("*").alias("row_count"), F.countDistinct("processing_time").alias("stamps")
     )
 
 
 def to_display(spark, sf_dir):
-    shown = parse.display_rows(feed.mix_events(_events(spark, sf_dir)), F.col("timestamp"))
+    shown = parse.display_rows(_lake(spark, sf_dir).mix_topic(), F.col("timestamp"))
     return _plain_times(shown)
 
 
 def valid_display(spark, sf_dir):
     """What passes the console job's filters, per displayed region."""
-    shown = parse.display_rows(feed.mix_events(_events(spark, sf_dir)), F.col("timestamp"))
+    shown = parse.display_rows(_lake(spark, sf_dir).mix_topic(), F.col("timestamp"))
     return _plain_times(shown.groupBy("region").agg(
         F.count("*").alias("row_count"), F.max("date_heure").alias("last_time")
     ))
 
 
 def quarantine(spark, sf_dir):
-    lay = _layers(spark, sf_dir)
-    rows = parse.quarantine(lay.parsed_mix(), "production_total").unionByName(
-        parse.quarantine(lay.parsed_carbon(), "carbon_intensity")
+    lake = _lake(spark, sf_dir)
+    rows = parse.quarantine(lake.parsed_mix(), "production_total").unionByName(
+        parse.quarantine(lake.parsed_carbon(), "carbon_intensity")
     )
     return _plain_times(_with_event_id(rows.drop("raw")))
 
@@ -183,43 +184,44 @@ def quarantine(spark, sf_dir):
 # --- gold --------------------------------------------------------------------
 
 def to_gold_mix(spark, sf_dir):
-    return _plain_times(_with_event_id(layers.to_gold_mix(_layers(spark, sf_dir).silver_mix())))
+    return _plain_times(_with_event_id(layers.to_gold_mix(_lake(spark, sf_dir).silver_mix())))
 
 
 def to_gold_carbon(spark, sf_dir):
-    rows = layers.to_gold_carbon(_layers(spark, sf_dir).silver_carbon())
+    rows = layers.to_gold_carbon(_lake(spark, sf_dir).silver_carbon())
     return _plain_times(_with_event_id(rows))
 
 
 def gold_mix(spark, sf_dir):
-    return _plain_times(_with_event_id(_layers(spark, sf_dir).gold_mix()))
+    """Latest arrival per key, from silver."""
+    rows = layers.has_key(layers.to_gold_mix(_lake(spark, sf_dir).silver_mix()))
+    return _plain_times(_with_event_id(latest_per_key(rows)))
 
 
 def gold_carbon(spark, sf_dir):
-    return _plain_times(_with_event_id(_layers(spark, sf_dir).gold_carbon()))
+    rows = layers.has_key(layers.to_gold_carbon(_lake(spark, sf_dir).silver_carbon()))
+    return _plain_times(_with_event_id(latest_per_key(rows)))
 
 
 def gold_mix_direct(spark, sf_dir):
     """The path without silver: consumption breakdown, nulls kept, own ids."""
-    rows = layers.direct_gold_mix(_layers(spark, sf_dir).parsed_mix("consumption", strict=True))
+    rows = layers.direct_gold_mix(_lake(spark, sf_dir).parsed_mix("consumption", strict=True))
     return _plain_times(_with_event_id(latest_per_key(layers.has_key(rows))))
 
 
 def gold_carbon_direct(spark, sf_dir):
-    rows = layers.direct_gold_carbon(_layers(spark, sf_dir).parsed_carbon(strict=True))
+    rows = layers.direct_gold_carbon(_lake(spark, sf_dir).parsed_carbon(strict=True))
     return _plain_times(_with_event_id(latest_per_key(layers.has_key(rows))))
 
 
 def ingestion_id(spark, sf_dir):
-    rows = layers.direct_gold_mix(_layers(spark, sf_dir).parsed_mix("consumption"))
+    rows = layers.direct_gold_mix(_lake(spark, sf_dir).parsed_mix("consumption"))
     return rows.select(F.col("arrival_offset").alias("event_id"), "ingestion_id")
 
 
 def gold_scan(spark, sf_dir):
-    """Gold written by day, then one column of it summed per day."""
-    where = new_path(spark, "gold")
-    write_gold(_layers(spark, sf_dir).gold_mix(), where)
-    return read_gold(spark, where).groupBy("date").agg(
+    """One column of the stored table, summed per day."""
+    return _lake(spark, sf_dir).gold_mix().groupBy("date").agg(
         F.count("*").alias("row_count"),
         F.round(F.sum("total_production"), 2).alias("total_production"),
     ).withColumn("date", F.col("date").cast("string"))
@@ -228,21 +230,21 @@ def gold_scan(spark, sf_dir):
 def append_count(spark, sf_dir):
     """Rows of one append, counted while they are written, and rows read back."""
     where = new_path(spark, "append")
-    written = append_table(_layers(spark, sf_dir).silver_carbon(), path=where)
+    written = append_table(_lake(spark, sf_dir).silver_carbon(), path=where, partition_by=["date"])
     return spark.read.parquet(where).agg(F.count("*").alias("rows_read")).withColumn(
         "rows_written", F.lit(written).cast("long")
     )
 
 
-def _silver(lay: Layers) -> dict[str, DataFrame]:
-    return {"mix": lay.silver_mix(), "carbon": lay.silver_carbon()}
+def _silver(lake: Lake) -> dict[str, DataFrame]:
+    return {"mix": lake.silver_mix(), "carbon": lake.silver_carbon()}
 
 
 def high_water_marks(spark, sf_dir):
     """One mark per silver table."""
     parts = [
         df.agg(F.max("processing_time").alias("mark")).select(F.lit(name).alias("table_name"), "mark")
-        for name, df in _silver(_layers(spark, sf_dir)).items()
+        for name, df in _silver(_lake(spark, sf_dir)).items()
     ]
     return _plain_times(parts[0].unionByName(parts[1]))
 
@@ -251,32 +253,32 @@ def incremental_read(spark, sf_dir):
     """Silver rows above the mark of a day before the newest arrival."""
     mark = _as_of(spark, sf_dir) - F.expr("INTERVAL 1 DAY")
     return _plain_times(_with_event_id(
-        read_incremental(_layers(spark, sf_dir).silver_mix(), mark)
+        read_incremental(_lake(spark, sf_dir).silver_mix(), mark)
     ))
 
 
 def latest_region_rows(spark, sf_dir):
-    return _plain_times(_with_event_id(latest_by_region(_layers(spark, sf_dir).gold_mix())))
+    return _plain_times(_with_event_id(latest_by_region(_lake(spark, sf_dir).gold_mix())))
 
 
 def retention(spark, sf_dir):
-    kept = retained(_layers(spark, sf_dir).gold_mix(), _as_of(spark, sf_dir), RETENTION_SHOWN)
+    kept = retained(_lake(spark, sf_dir).gold_mix(), _as_of(spark, sf_dir), RETENTION_SHOWN)
     return _plain_times(kept.select(*V.KEY, "ingestion_timestamp", "total_production"))
 
 
 def count_by_region(spark, sf_dir):
-    return supervision.count_by_region(_layers(spark, sf_dir).gold_mix())
+    return supervision.count_by_region(_lake(spark, sf_dir).gold_mix())
 
 
 def preview(spark, sf_dir):
     """First ten rows of gold in key order."""
-    gold = _layers(spark, sf_dir).gold_mix()
+    gold = _lake(spark, sf_dir).gold_mix()
     return _plain_times(_with_event_id(supervision.preview(gold, V.KEY)))
 
 
 def preview_silver(spark, sf_dir):
     """First rows of silver in order of arrival."""
-    silver = _layers(spark, sf_dir).silver_mix()
+    silver = _lake(spark, sf_dir).silver_mix()
     return _plain_times(_with_event_id(
         supervision.preview(silver, ["processing_time", "arrival_offset"], 5)
     ))
@@ -285,36 +287,36 @@ def preview_silver(spark, sf_dir):
 # --- supervision ---------------------------------------------------------------
 
 def table_counts(spark, sf_dir):
-    lay = _layers(spark, sf_dir)
+    lake = _lake(spark, sf_dir)
     return supervision.table_counts({
-        "silver_mix": lay.silver_mix(), "silver_carbon": lay.silver_carbon(),
-        "gold_mix": lay.gold_mix(), "gold_carbon": lay.gold_carbon(),
+        "silver_mix": lake.silver_mix(), "silver_carbon": lake.silver_carbon(),
+        "gold_mix": lake.gold_mix(), "gold_carbon": lake.gold_carbon(),
     })
 
 
 def freshness(spark, sf_dir):
     return _plain_times(
-        supervision.freshness(_silver(_layers(spark, sf_dir)), _as_of(spark, sf_dir))
+        supervision.freshness(_silver(_lake(spark, sf_dir)), _as_of(spark, sf_dir))
     )
 
 
 def table_stats(spark, sf_dir):
-    return _plain_times(supervision.table_stats(_silver(_layers(spark, sf_dir))))
+    return _plain_times(supervision.table_stats(_silver(_lake(spark, sf_dir))))
 
 
 def top_zones(spark, sf_dir):
-    return supervision.top_zones(_layers(spark, sf_dir).silver_mix(), _as_of(spark, sf_dir))
+    return supervision.top_zones(_lake(spark, sf_dir).silver_mix(), _as_of(spark, sf_dir))
 
 
 def reconcile(spark, sf_dir):
     """Silver against a gold that is one day behind."""
-    lay = _layers(spark, sf_dir)
+    lake = _lake(spark, sf_dir)
     mark = _as_of(spark, sf_dir) - F.expr("INTERVAL 1 DAY")
 
     def behind(rows):
         return latest_per_key(layers.has_key(rows.filter(F.col("ingestion_timestamp") <= mark)))
 
-    mix, carbon = lay.silver_mix(), lay.silver_carbon()
+    mix, carbon = lake.silver_mix(), lake.silver_carbon()
     return _plain_times(supervision.reconcile({
         "mix": (mix, behind(layers.to_gold_mix(mix))),
         "carbon": (carbon, behind(layers.to_gold_carbon(carbon))),
@@ -322,16 +324,16 @@ def reconcile(spark, sf_dir):
 
 
 def flow_report(spark, sf_dir):
-    lay = _layers(spark, sf_dir)
-    return supervision.flow_report(_silver(lay), lay.gold_mix())
+    lake = _lake(spark, sf_dir)
+    return supervision.flow_report(_silver(lake), lake.gold_mix())
 
 
 # --- features ------------------------------------------------------------------
 
 def _joined(spark, sf_dir) -> DataFrame:
-    lay = _layers(spark, sf_dir)
+    lake = _lake(spark, sf_dir)
     return ft.mix_with_carbon(
-        lay.gold_mix().select(*V.GOLD_MIX_COLUMNS), lay.gold_carbon()
+        lake.gold_mix().select(*V.GOLD_MIX_COLUMNS), lake.gold_carbon()
     )
 
 
@@ -350,45 +352,36 @@ def features_spark_dow(spark, sf_dir):
 
 
 def region_encoded(spark, sf_dir):
-    gold = materialize(_layers(spark, sf_dir).gold_mix().select(*V.KEY), "keys")
-    return _plain_times(ft.encode_region(gold))
+    return _plain_times(ft.encode_region(_lake(spark, sf_dir).gold_mix().select(*V.KEY)))
 
 
 def training_set(spark, sf_dir):
-    joined = materialize(_joined(spark, sf_dir), "joined")
-    return _plain_times(ft.training_set(ft.features(joined), leaky=True))
+    return _plain_times(ft.training_set(ft.features(_joined(spark, sf_dir)), leaky=True))
 
 
 def split_rows(spark, sf_dir):
     """Which gold row trains and which tests."""
-    gold = materialize(_layers(spark, sf_dir).gold_mix().select(*V.KEY), "keys")
-    return _plain_times(temporal_split(gold, temporal_cut(gold)))
+    gold = _lake(spark, sf_dir).gold_mix()
+    return _plain_times(temporal_split(gold, temporal_cut(gold)).select(*V.KEY, "split"))
 
 
 def region_count(spark, sf_dir):
-    return _layers(spark, sf_dir).gold_mix().agg(F.countDistinct("region").alias("regions"))
+    return _lake(spark, sf_dir).gold_mix().agg(F.countDistinct("region").alias("regions"))
 
 
 # --- streams -------------------------------------------------------------------
 
-def _topic(spark, sf_dir, make) -> DataFrame:
-    """The topic's file twin as a stream."""
-    where = new_path(spark, "topic")
-    make(_events(spark, sf_dir)).write.parquet(where)
-    return read_events(spark, "parquet", {"path": where})
-
-
 def _fill_silver(spark, sf_dir) -> tuple[str, str, str]:
     """Both ingest streams, side by side, to their end."""
     mix, carbon, rejects = (new_path(spark, n) for n in ("mix", "carbon", "rejects"))
     arrival = F.col("timestamp")
     control.drain_all([
         control.start(
-            ingest.mix_to_silver(_topic(spark, sf_dir, feed.mix_events), mix, f"{rejects}/mix",
+            ingest.mix_to_silver(_topic(spark, sf_dir, "mix"), mix, f"{rejects}/mix",
                                  arrival),
             "silver_mix", new_path(spark, "cp"), drain=True),
         control.start(
-            ingest.carbon_to_silver(_topic(spark, sf_dir, feed.carbon_events), carbon,
+            ingest.carbon_to_silver(_topic(spark, sf_dir, "carbon"), carbon,
                                     f"{rejects}/carbon", arrival),
             "silver_carbon", new_path(spark, "cp"), drain=True),
     ])
@@ -409,7 +402,7 @@ def stream_rejects(spark, sf_dir):
 def stream_gold(spark, sf_dir):
     """Events straight to gold."""
     gold = new_path(spark, "gold")
-    job = ingest.mix_to_gold(_topic(spark, sf_dir, feed.mix_events), gold,
+    job = ingest.mix_to_gold(_topic(spark, sf_dir, "mix"), gold,
                              arrival=F.col("timestamp"))
     control.drain_all([control.start(job, "gold_mix", new_path(spark, "cp"), drain=True)])
     return _plain_times(_with_event_id(read_gold(spark, gold).drop("date")))
@@ -434,7 +427,7 @@ def sync_carbon(spark, sf_dir):
 
 def sync_marked(spark, sf_dir):
     """Two rounds of the batch sync: up to a day before the end, then the rest."""
-    silver = materialize(_layers(spark, sf_dir).silver_mix(), "silver")
+    silver = _lake(spark, sf_dir).silver_mix()
     gold, marks = new_path(spark, "gold"), new_path(spark, "marks")
     first = silver.filter(
         F.col("processing_time") <= _as_of(spark, sf_dir) - F.expr("INTERVAL 1 DAY")
@@ -446,8 +439,8 @@ def sync_marked(spark, sf_dir):
 
 def _landed(spark, sf_dir) -> str:
     where = new_path(spark, "bronze")
-    for name, make in (("mix", feed.mix_events), ("carbon", feed.carbon_events)):
-        job = ingest.land(_topic(spark, sf_dir, make), f"{where}/{name}")
+    for name in ("mix", "carbon"):
+        job = ingest.land(_topic(spark, sf_dir, name), f"{where}/{name}")
         control.drain_all([control.start(job, f"land_{name}", new_path(spark, "cp"), drain=True)])
     return where
 
@@ -467,7 +460,7 @@ def bronze_landing(spark, sf_dir):
 def bronze_rolled(spark, sf_dir):
     """Messages per topic and partition, and that no file holds more than asked."""
     where = new_path(spark, "rolled")
-    job = ingest.land_rolled(_topic(spark, sf_dir, feed.mix_events), where, ROLL_SHOWN)
+    job = ingest.land_rolled(_topic(spark, sf_dir, "mix"), where, ROLL_SHOWN)
     control.drain_all([control.start(job, "rolled", new_path(spark, "cp"), drain=True)])
     files = (
         read_landed(spark, where)
@@ -490,9 +483,9 @@ def progress(spark, sf_dir):
     """Rows each stream has read, from its progress reports."""
     jobs = [
         control.start(
-            ingest.raw_text(_topic(spark, sf_dir, make)).writeStream.format("noop"),
+            ingest.raw_text(_topic(spark, sf_dir, name)).writeStream.format("noop"),
             name, new_path(spark, "cp"), drain=True)
-        for name, make in (("mix", feed.mix_events), ("carbon", feed.carbon_events))
+        for name in ("mix", "carbon")
     ]
     control.drain_all(jobs)
     return control.progress_table(spark, jobs).groupBy("name").agg(
@@ -502,52 +495,43 @@ def progress(spark, sf_dir):
 
 # --- model -----------------------------------------------------------------------
 
-_runs: dict[tuple, str] = {}
-
-
-def _stored_gold(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    lay = _layers(spark, sf_dir)
-    return materialize(lay.gold_mix(), "gold_mix"), materialize(lay.gold_carbon(), "gold_carbon")
+def _trained_root(spark, sf_dir, label=V.CONSUMPTION_LABEL) -> str:
+    """Folder with a saved run; trained at the first use of a lake, loaded later,
+    as prediction jobs do."""
+    lake = _lake(spark, sf_dir)
+    root = f"{lake.root}/runs_{label}"
+    if not exists(spark, models.runs_path(root)):
+        trained = consumption.train(lake.gold_mix(), lake.gold_carbon(), label, trees=QUERY_TREES)
+        trained.scored.write.mode("overwrite").parquet(f"{root}/scored")
+        consumption.export(trained, root, dt.datetime.now(dt.timezone.utc))
+    return root
 
 
-def _trained_root(spark, sf_dir, label=V.CONSUMPTION_LABEL) -> tuple[str, DataFrame, DataFrame]:
-    """Folder with a saved run and the gold tables it came from; trained at the
-    first use in a session, loaded later, as predictions do."""
-    key = (spark.sparkContext.applicationId, sf_dir, label)
-    if key not in _runs:
-        root = new_path(spark, "runs")
-        mix, carbon = _stored_gold(spark, sf_dir)
-        trained = consumption.train(mix, carbon, label, trees=QUERY_TREES)
-        consumption.export(trained, root, dt.datetime.now(dt.timezone.utc))
-        append_table(trained.scored, path=f"{root}/scored")
-        append_table(mix, path=f"{root}/gold_mix")
-        append_table(carbon, path=f"{root}/gold_carbon")
-        _runs[key] = root
-    root = _runs[key]
-    return root, spark.read.parquet(f"{root}/gold_mix"), spark.read.parquet(f"{root}/gold_carbon")
+def _gold(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    lake = _lake(spark, sf_dir)
+    return lake.gold_mix(), lake.gold_carbon()
 
 
 def regression_metrics(spark, sf_dir):
     """Quality of a given prediction: production as forecast of consumption."""
-    joined = materialize(_joined(spark, sf_dir).select(
-        *V.KEY, V.CONSUMPTION_LABEL, "total_production"), "given")
-    split = temporal_split(joined, temporal_cut(joined))
+    gold = _lake(spark, sf_dir).gold_mix()
+    split = temporal_split(gold, temporal_cut(gold))
     scored = metrics.regression_metrics(split, V.CONSUMPTION_LABEL, "total_production")
     return scored.withColumns({c: F.round(c, 4) for c in ("mae", "rmse", "r2", "mape")})
 
 
 def train_consumption(spark, sf_dir):
-    root, _, _ = _trained_root(spark, sf_dir)
+    root = _trained_root(spark, sf_dir)
     return metrics.regression_metrics(spark.read.parquet(f"{root}/scored"), V.CONSUMPTION_LABEL)
 
 
 def train_carbon(spark, sf_dir):
-    root, _, _ = _trained_root(spark, sf_dir, V.CARBON_LABEL)
+    root = _trained_root(spark, sf_dir, V.CARBON_LABEL)
     return metrics.regression_metrics(spark.read.parquet(f"{root}/scored"), V.CARBON_LABEL)
 
 
 def feature_importance(spark, sf_dir):
-    root, _, _ = _trained_root(spark, sf_dir)
+    root = _trained_root(spark, sf_dir)
     run_id = models.latest_run(spark, root).first()["run_id"]
     return (
         spark.read.schema("feature string, importance double").option("header", True)
@@ -557,33 +541,33 @@ def feature_importance(spark, sf_dir):
 
 
 def residuals(spark, sf_dir):
-    root, _, _ = _trained_root(spark, sf_dir)
+    root = _trained_root(spark, sf_dir)
     scored = spark.read.parquet(f"{root}/scored").filter(F.col("split") == "test")
     return _plain_times(metrics.residuals(scored, V.CONSUMPTION_LABEL))
 
 
 def model_run(spark, sf_dir):
-    root, _, _ = _trained_root(spark, sf_dir)
+    root = _trained_root(spark, sf_dir)
     return _plain_times(models.latest_run(spark, root).drop("model_path"))
 
 
 def latest_model(spark, sf_dir):
-    root, _, _ = _trained_root(spark, sf_dir)
+    root = _trained_root(spark, sf_dir)
     return models.latest_run(spark, root).select(
         base_name(F.col("model_path")).alias("model"), "label", "n_features"
     )
 
 
 def latest_snapshot(spark, sf_dir):
-    lay = _layers(spark, sf_dir)
-    snapshot = ft.latest_snapshot(lay.gold_mix(), lay.gold_carbon())
+    lake = _lake(spark, sf_dir)
+    snapshot = ft.latest_snapshot(lake.gold_mix(), lake.gold_carbon())
     return _plain_times(snapshot)
 
 
 def forecast_grid(spark, sf_dir):
-    lay = _layers(spark, sf_dir)
+    lake = _lake(spark, sf_dir)
     start = F.date_trunc("hour", _as_of(spark, sf_dir))
-    grid = ft.forecast_grid(ft.latest_snapshot(lay.gold_mix(), lay.gold_carbon()), start, 24)
+    grid = ft.forecast_grid(ft.latest_snapshot(lake.gold_mix(), lake.gold_carbon()), start, 24)
     return _plain_times(grid.select(
         "region", "datetime", "state_time", "hour", "day_of_week", "month", "day", "is_weekend",
         "is_peak_hour", "total_production", "carbon_intensity",
@@ -592,24 +576,24 @@ def forecast_grid(spark, sf_dir):
 
 def predict_consumption(spark, sf_dir):
     """The focus zone at ten tomorrow."""
-    root, mix, carbon = _trained_root(spark, sf_dir)
-    model, run = models.load_latest(spark, root)
+    model, run = models.load_latest(spark, _trained_root(spark, sf_dir))
+    mix, carbon = _gold(spark, sf_dir)
     at = tomorrow_at(_as_of(spark, sf_dir), MORNING_HOUR)
     row = forecast.predict_consumption(model, mix, carbon, V.ZONES[0], at, run["run_id"])
     return _plain_times(row.drop("features", "model"))
 
 
 def predict_next_hours(spark, sf_dir):
-    root, mix, carbon = _trained_root(spark, sf_dir)
-    model, _ = models.load_latest(spark, root)
+    model, _ = models.load_latest(spark, _trained_root(spark, sf_dir))
+    mix, carbon = _gold(spark, sf_dir)
     start = F.date_trunc("hour", _as_of(spark, sf_dir))
     rows = forecast.predict_next_hours(model, mix, carbon, start, 24)
     return _plain_times(rows.select("region", "datetime", "predicted_consumption"))
 
 
 def compare_regions(spark, sf_dir):
-    root, mix, carbon = _trained_root(spark, sf_dir)
-    model, _ = models.load_latest(spark, root)
+    model, _ = models.load_latest(spark, _trained_root(spark, sf_dir))
+    mix, carbon = _gold(spark, sf_dir)
     return forecast.compare_regions(model, mix, carbon, V.ZONES[:4], _as_of(spark, sf_dir))
 
 
@@ -621,16 +605,16 @@ def intensity_by_zone(spark, sf_dir):
 
 
 def fossil_share(spark, sf_dir):
-    lay = _layers(spark, sf_dir)
+    lake = _lake(spark, sf_dir)
     gold = latest_per_key(layers.has_key(layers.direct_gold_mix(
-        lay.parsed_mix("consumption", strict=True))))
+        lake.parsed_mix("consumption", strict=True))))
     rows = declared.fossil_share(gold)
     return rows.withColumns({c: F.round(c, 4) for c in ("fossil", "output", "fossil_share")})
 
 
 def source_corr(spark, sf_dir):
     rows = declared.source_corr(
-        _layers(spark, sf_dir).gold_mix(), "total_production", ["total_consumption", "nuclear", "gas"]
+        _lake(spark, sf_dir).gold_mix(), "total_production", ["total_consumption", "nuclear", "gas"]
     )
     return rows.withColumns(
         {c: F.round(c, 4) for c in rows.columns if c.startswith("corr_")}

@@ -5,9 +5,8 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from wattlake import vocabulary as V
-from wattlake.operators.latest import latest_per_key
+from wattlake.operators.latest import DAY, latest_per_key
 
-DATE = "date"
 BATCH = "batch_id"
 # above this many days in one batch gold is read whole instead of by day list
 LISTED_DAYS = 3660
@@ -23,6 +22,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def last_change(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Modification time and size."""
+    files, place = _at(spark, path)
+    return (
+        files.getFileStatus(place).getModificationTime(),
+        files.getContentSummary(place).getLength(),
+    )
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     files, place = _at(spark, path)
     files.delete(place, True)
@@ -39,7 +47,7 @@ def by_day(df: DataFrame, time_column: str) -> DataFrame:
     The rebalance hint keeps rows of a day together, and splits a day that is
     larger than the advisory size over several tasks.
     """
-    return df.withColumn(DATE, F.to_date(time_column)).hint("rebalance", DATE)
+    return df.withColumn(DAY, F.to_date(time_column)).hint("rebalance", DAY)
 
 
 def append_batch(df: DataFrame, path: str, time_column: str, batch_id: int) -> None:
@@ -50,7 +58,7 @@ def append_batch(df: DataFrame, path: str, time_column: str, batch_id: int) -> N
         .withColumn(BATCH, F.lit(batch_id).cast("long"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DATE, BATCH)
+        .partitionBy(DAY, BATCH)
         .parquet(path)
     )
 
@@ -72,7 +80,7 @@ def append_table(
 
 def write_gold(rows: DataFrame, path: str) -> None:
     """First load of a gold table from rows that are already latest per key."""
-    by_day(rows, "timestamp").write.mode("overwrite").partitionBy(DATE).parquet(path)
+    by_day(rows, "timestamp").write.mode("overwrite").partitionBy(DAY).parquet(path)
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
@@ -87,11 +95,11 @@ def upsert_gold(rows: DataFrame, path: str) -> None:
     """
     spark = rows.sparkSession
     finish_swap(spark, path)
-    incoming = rows.withColumn(DATE, F.to_date("timestamp"))
+    incoming = rows.withColumn(DAY, F.to_date("timestamp"))
     merged = incoming
     if exists(spark, path):
         merged = incoming.unionByName(_touched(spark, path, incoming))
-    replace_days(latest_per_key(merged.drop(DATE)), path)
+    replace_days(latest_per_key(merged.drop(DAY)), path)
 
 
 def replace_days(days: DataFrame, path: str) -> None:
@@ -108,13 +116,13 @@ def replace_days(days: DataFrame, path: str) -> None:
 def finish_swap(spark: SparkSession, path: str) -> None:
     """Moves complete staged days into the table, drops incomplete ones."""
     for staged in _children(spark, _stage(path)):
-        holds_days = any(f"/{DATE}=" in child for child in _children(spark, staged))
+        holds_days = any(f"/{DAY}=" in child for child in _children(spark, staged))
         if holds_days and exists(spark, f"{staged}/_SUCCESS"):
             (
-                spark.read.parquet(staged).hint("rebalance", DATE)
+                spark.read.parquet(staged).hint("rebalance", DAY)
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(DATE)
+                .partitionBy(DAY)
                 .parquet(path)
             )
         _delete(spark, staged)
@@ -127,11 +135,11 @@ def _stage(path: str) -> str:
 def _touched(spark: SparkSession, path: str, incoming: DataFrame) -> DataFrame:
     """Gold rows of the days in the batch; partition filter up to ``LISTED_DAYS``."""
     gold = read_gold(spark, path)
-    days = incoming.select(DATE).distinct()
-    listed = [row[DATE] for row in days.limit(LISTED_DAYS + 1).collect()]
+    days = incoming.select(DAY).distinct()
+    listed = [row[DAY] for row in days.limit(LISTED_DAYS + 1).collect()]
     if len(listed) <= LISTED_DAYS:
-        return gold.filter(F.col(DATE).isin(listed))
-    return gold.join(days, DATE, "left_semi")
+        return gold.filter(F.col(DAY).isin(listed))
+    return gold.join(days, DAY, "left_semi")
 
 
 def upsert_connector(rows: DataFrame, fmt: str, options: dict[str, str]) -> None:
@@ -147,17 +155,17 @@ def expire_gold(spark: SparkSession, path: str, as_of, days: int = V.RETENTION_D
     left to keep. Returns their number. Younger days are handled on read."""
     limit = F.lit(as_of) - F.make_interval(days=F.lit(days))
     stale = (
-        read_gold(spark, path).groupBy(DATE)
+        read_gold(spark, path).groupBy(DAY)
         .agg(F.max("ingestion_timestamp").alias("newest"))
         .filter(F.col("newest") < limit)
     )
-    gone = [row[DATE] for row in stale.select(DATE).collect()]  # one value per day
+    gone = [row[DAY] for row in stale.select(DAY).collect()]  # one value per day
     for day in gone:
-        _delete(spark, f"{path.rstrip('/')}/{DATE}={day.isoformat()}")
+        _delete(spark, f"{path.rstrip('/')}/{DAY}={day.isoformat()}")
     return len(gone)
 
 
 def compact_days(spark: SparkSession, path: str, days: list) -> None:
     """Rewrites the given days of gold into evenly sized files."""
     finish_swap(spark, path)
-    replace_days(read_gold(spark, path).filter(F.col(DATE).isin(list(days))).drop(DATE), path)
+    replace_days(read_gold(spark, path).filter(F.col(DAY).isin(list(days))).drop(DAY), path)

@@ -12,7 +12,6 @@ ZONES = ["MA", "FR", "ES", "DE", "IT", "PT", "GB", "CA-ON", "SE", "NO"]
 SILVER_SOURCES = ["nuclear", "wind", "solar", "hydro", "gas", "coal", "biomass"]
 GOLD_SOURCES = SILVER_SOURCES + ["geothermal", "oil"]
 FOSSIL_SOURCES = ["coal", "gas", "oil"]
-OTHER_CONSUMPTION_SOURCES = ["unknown", "hydro discharge", "battery discharge"]
 
 WEEKEND_DAYS = [5, 6]  # Monday is 0
 SUNDAY_FIRST_WEEKEND_DAYS = [1, 7]  # Sunday is 1
@@ -113,18 +112,18 @@ EVENT = T.StructType([
     T.StructField("timestampType", T.IntegerType()),
 ])
 
-CONSUMPTION_BREAKDOWN = GOLD_SOURCES + OTHER_CONSUMPTION_SOURCES
 INGEST_METADATA = ["ingestion_timestamp", "ingestion_id"]
 CORRUPT = "_corrupt_record"
 
 
-def mix_message(number):
-    """Mix message with ``number`` as the type of every measured field."""
+def mix_message(breakdown, number):
+    """The mix message as far as it is used, with one of its two breakdowns and
+    ``number`` as the type of every measured field."""
     return T.StructType(
-        [T.StructField(n, T.StringType()) for n in ("zone", "datetime", "updatedAt")]
-        + [
-            T.StructField("powerConsumptionBreakdown", _struct(CONSUMPTION_BREAKDOWN, number)),
-            T.StructField("powerProductionBreakdown", _struct(GOLD_SOURCES, number)),
+        [
+            T.StructField("zone", T.StringType()),
+            T.StructField("datetime", T.StringType()),
+            T.StructField(breakdown, _struct(GOLD_SOURCES, number)),
         ]
         + [T.StructField(json_name, number) for json_name, _, _ in TOTALS]
         + [T.StructField(json_name, number) for json_name, _ in PERCENTAGES]
@@ -148,12 +147,9 @@ def carbon_message(number, flag):
     ])
 
 
-# lenient: numbers are read as text and cast afterwards, so "12.5" is a number
-LENIENT_MIX = mix_message(T.StringType())
-LENIENT_CARBON = carbon_message(T.StringType(), T.StringType())
-# strict: a number sent as text is null
-STRICT_MIX = mix_message(T.DoubleType())
-STRICT_CARBON = carbon_message(T.DoubleType(), T.BooleanType())
+BREAKDOWNS = {
+    "production": "powerProductionBreakdown", "consumption": "powerConsumptionBreakdown",
+}
 
 DISPLAY_MESSAGE = T.StructType([
     T.StructField("zone", T.StringType()),
