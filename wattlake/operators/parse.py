@@ -6,8 +6,9 @@ from wattlake import vocabulary as V
 from wattlake.functions.lenient import flag, instant, number, zero_if_null
 
 
-def _text(events: DataFrame, schema, arrival: Column | None) -> DataFrame:
-    """One JSON pass per message; ``arrival`` defaults to the time of the batch.
+def _arrivals(events: DataFrame, arrival: Column | None) -> DataFrame:
+    """Message text with its place and time; ``arrival`` defaults to the time of
+    the batch.
 
     The stamp belongs here, on the stream: inside foreachBatch every action
     would see another time.
@@ -18,7 +19,7 @@ def _text(events: DataFrame, schema, arrival: Column | None) -> DataFrame:
         (F.current_timestamp() if arrival is None else arrival).alias("processing_time"),
         F.col("partition").alias("arrival_partition"),
         F.col("offset").alias("arrival_offset"),
-    ).select("*", _fields_of(F.col("raw"), schema))
+    )
 
 
 def _fields_of(text: Column, schema) -> Column:
@@ -30,15 +31,27 @@ def _fields_of(text: Column, schema) -> Column:
     return F.inline(F.array(F.from_json(text, schema)))
 
 
-def _as_is(column: Column) -> Column:
-    return column
+def _read(rows: DataFrame, typed, as_text, strict: bool):
+    """Rows with the message fields, and a function from field path and cast to
+    its column.
+
+    Messages are read with typed fields. Only one that does not fit, such as a
+    number sent as text, is read again with text fields and cast.
+    """
+    rows = rows.select("*", _fields_of(F.col("raw"), typed))
+    if strict:
+        return rows, lambda path, cast: F.col(path)
+    again = F.when(F.col(V.CORRUPT).isNotNull(), F.from_json("raw", as_text))
+    rows = rows.select("*", F.explode(F.array(again)).alias("again"))
+    return rows, lambda path, cast: F.coalesce(F.col(path), cast(F.col(f"again.{path}")))
 
 
 def _tail() -> list[Column]:
+    unreadable = F.col(V.CORRUPT).isNotNull() & F.col("zone").isNull()
     return [
         F.col("processing_time"), F.col("arrival_partition"), F.col("arrival_offset"),
         F.col("topic"), F.col("raw"),
-        (F.col("raw").isNull() | F.col(V.CORRUPT).isNotNull()).alias("malformed"),
+        (F.col("raw").isNull() | unreadable).alias("malformed"),
     ]
 
 
@@ -49,17 +62,20 @@ def parse_mix(
     """Typed mix rows; what is absent or badly typed is null, no row is dropped.
 
     ``breakdown`` names the one that fills the source columns: ``production`` or
-    ``consumption``. ``strict`` reads numbers only where JSON has a number; by
+    ``consumption``. ``strict`` takes numbers only where JSON has a number; by
     default text such as "12.5" counts too.
     """
     block = V.BREAKDOWNS[breakdown]
-    read, kind = (_as_is, T.DoubleType()) if strict else (number, T.StringType())
-    return _text(events, V.mix_message(block, kind), arrival).select(
-        F.col("zone"),
+    rows, field = _read(
+        _arrivals(events, arrival), V.mix_message(block, T.DoubleType()),
+        V.mix_message(block, T.StringType()), strict,
+    )
+    return rows.select(
+        "zone",
         instant(F.col("datetime")).alias("datetime"),
-        *[read(F.col(name)).alias(silver) for name, silver, _ in V.TOTALS],
-        *[read(F.col(block)[s]).alias(s) for s in V.GOLD_SOURCES],
-        *[read(F.col(name)).alias(silver) for name, silver in V.PERCENTAGES],
+        *[field(name, number).alias(silver) for name, silver, _ in V.TOTALS],
+        *[field(f"{block}.{source}", number).alias(source) for source in V.GOLD_SOURCES],
+        *[field(name, number).alias(silver) for name, silver in V.PERCENTAGES],
         F.col("_metadata.ingestion_timestamp").alias("sent_ingestion_timestamp"),
         *_tail(),
     )
@@ -68,14 +84,16 @@ def parse_mix(
 def parse_carbon(
     events: DataFrame, arrival: Column | None = None, strict: bool = False
 ) -> DataFrame:
-    read, kind = (_as_is, T.DoubleType()) if strict else (number, T.StringType())
-    read_flag, flag_kind = (_as_is, T.BooleanType()) if strict else (flag, T.StringType())
-    return _text(events, V.carbon_message(kind, flag_kind), arrival).select(
-        F.col("zone"),
+    rows, field = _read(
+        _arrivals(events, arrival), V.carbon_message(T.DoubleType(), T.BooleanType()),
+        V.carbon_message(T.StringType(), T.StringType()), strict,
+    )
+    return rows.select(
+        "zone",
         instant(F.col("datetime")).alias("datetime"),
-        read(F.col("carbonIntensity")).alias("carbon_intensity"),
+        field("carbonIntensity", number).alias("carbon_intensity"),
         F.col("emissionFactorType").alias("emission_factor_type"),
-        read_flag(F.col("isEstimated")).alias("is_estimated"),
+        field("isEstimated", flag).alias("is_estimated"),
         F.col("estimationMethod").alias("estimation_method"),
         F.col("_metadata.ingestion_timestamp").alias("sent_ingestion_timestamp"),
         *_tail(),
@@ -123,7 +141,7 @@ def reject_reason(value: str) -> Column:
     A message with one badly typed field is not rejected, that field is null.
     """
     return (
-        F.when(F.col("malformed") & F.col("zone").isNull(), "malformed")
+        F.when(F.col("malformed"), "malformed")
         .when(F.col("zone").isNull(), "no_zone")
         .when(F.col(value).isNull(), "no_value")
         .when(F.col("datetime").isNull(), "no_event_time")
