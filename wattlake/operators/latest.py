@@ -28,9 +28,12 @@ def latest_by_region(gold: DataFrame) -> DataFrame:
     return _last_by(gold, ["region"], ["timestamp"])
 
 
-def retained(gold: DataFrame, as_of: Column, days: int = V.RETENTION_DAYS) -> DataFrame:
+def retained(
+    gold: DataFrame, as_of: Column | dt.datetime, days: int = V.RETENTION_DAYS
+) -> DataFrame:
     """Rows written within ``days`` before ``as_of``."""
-    return gold.filter(F.col("ingestion_timestamp") >= as_of - F.make_interval(days=F.lit(days)))
+    oldest = F.lit(as_of) - F.make_interval(days=F.lit(days))
+    return gold.filter(F.col("ingestion_timestamp") >= oldest)
 
 
 def newer_than(rows: DataFrame, mark: dt.datetime | Column | None,

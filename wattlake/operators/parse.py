@@ -6,9 +6,9 @@ from wattlake import vocabulary as V
 from wattlake.functions.lenient import flag, instant, number, zero_if_null
 
 
-def _arrivals(events: DataFrame, arrival: Column | None) -> DataFrame:
-    """Message text with its place and time; ``arrival`` defaults to the time of
-    the batch.
+def _arrivals(events: DataFrame, arrival: str | None) -> DataFrame:
+    """Message text with its place and time. ``arrival`` names the column of the
+    time; by default it is the time of the batch.
 
     The stamp belongs here, on the stream: inside foreachBatch every action
     would see another time.
@@ -16,34 +16,47 @@ def _arrivals(events: DataFrame, arrival: Column | None) -> DataFrame:
     return events.select(
         F.col("value").cast("string").alias("raw"),
         F.col("topic"),
-        (F.current_timestamp() if arrival is None else arrival).alias("processing_time"),
+        (F.current_timestamp() if arrival is None else F.col(arrival)).alias("processing_time"),
         F.col("partition").alias("arrival_partition"),
         F.col("offset").alias("arrival_offset"),
     )
 
 
-def _fields_of(text: Column, schema) -> Column:
-    """The message fields as columns, one row per message.
+def _with_fields(
+    rows: DataFrame, message: Column, schema: T.StructType, suffix: str = ""
+) -> DataFrame:
+    """Adds the fields of one message per row, those of a nested struct too.
 
-    A generator, because a filter on a plain from_json column is pushed below
+    By generators, because a filter on a plain from_json column is pushed below
     the projection and then parses the text again for every condition.
     """
-    return F.inline(F.array(F.from_json(text, schema)))
+    rows = rows.select("*", _spread(message, schema, suffix))
+    for field in schema.fields:
+        if isinstance(field.dataType, T.StructType):
+            name = field.name + suffix
+            rows = rows.select("*", _spread(F.col(name), field.dataType, suffix)).drop(name)
+    return rows
+
+
+def _spread(struct: Column, schema: T.StructType, suffix: str) -> Column:
+    return F.inline_outer(F.array(struct)).alias(*[name + suffix for name in schema.names])
 
 
-def _read(rows: DataFrame, typed, as_text, strict: bool):
-    """Rows with the message fields, and a function from field path and cast to
-    its column.
+def _read(rows: DataFrame, typed, texts: list[str], as_text, casts: dict, strict: bool):
+    """Rows with the message fields, those in ``casts`` as numbers or flags.
 
     Messages are read with typed fields. Only one that does not fit, such as a
     number sent as text, is read again with text fields and cast.
     """
-    rows = rows.select("*", _fields_of(F.col("raw"), typed))
+    whole = V.message(typed, texts)
+    rows = _with_fields(rows, F.from_json("raw", whole), whole)
     if strict:
-        return rows, lambda path, cast: F.col(path)
+        return rows
     again = F.when(F.col(V.CORRUPT).isNotNull(), F.from_json("raw", as_text))
-    rows = rows.select("*", F.explode(F.array(again)).alias("again"))
-    return rows, lambda path, cast: F.coalesce(F.col(path), cast(F.col(f"again.{path}")))
+    rows = _with_fields(rows, again, as_text, "_text")
+    return rows.withColumns({
+        name: F.coalesce(F.col(name), cast(F.col(f"{name}_text"))) for name, cast in casts.items()
+    })
 
 
 def _tail() -> list[Column]:
@@ -56,7 +69,7 @@ def _tail() -> list[Column]:
 
 
 def parse_mix(
-    events: DataFrame, breakdown: str = "production", arrival: Column | None = None,
+    events: DataFrame, breakdown: str = "production", arrival: str | None = None,
     strict: bool = False,
 ) -> DataFrame:
     """Typed mix rows; what is absent or badly typed is null, no row is dropped.
@@ -66,36 +79,36 @@ def parse_mix(
     default text such as "12.5" counts too.
     """
     block = V.BREAKDOWNS[breakdown]
-    rows, field = _read(
-        _arrivals(events, arrival), V.mix_message(block, T.DoubleType()),
-        V.mix_message(block, T.StringType()), strict,
+    names = {
+        **{json_name: silver for json_name, silver, _ in V.TOTALS},
+        **{source: source for source in V.GOLD_SOURCES},
+        **dict(V.PERCENTAGES),
+    }
+    rows = _read(
+        _arrivals(events, arrival), V.mix_numbers(block, T.DoubleType()), V.MIX_TEXTS,
+        V.mix_numbers(block, T.StringType()), {name: number for name in names}, strict,
     )
     return rows.select(
-        "zone",
-        instant(F.col("datetime")).alias("datetime"),
-        *[field(name, number).alias(silver) for name, silver, _ in V.TOTALS],
-        *[field(f"{block}.{source}", number).alias(source) for source in V.GOLD_SOURCES],
-        *[field(name, number).alias(silver) for name, silver in V.PERCENTAGES],
-        F.col("_metadata.ingestion_timestamp").alias("sent_ingestion_timestamp"),
+        "zone", instant(F.col("datetime")).alias("datetime"),
+        *[F.col(json_name).alias(silver) for json_name, silver in names.items()],
         *_tail(),
     )
 
 
 def parse_carbon(
-    events: DataFrame, arrival: Column | None = None, strict: bool = False
+    events: DataFrame, arrival: str | None = None, strict: bool = False
 ) -> DataFrame:
-    rows, field = _read(
-        _arrivals(events, arrival), V.carbon_message(T.DoubleType(), T.BooleanType()),
-        V.carbon_message(T.StringType(), T.StringType()), strict,
+    rows = _read(
+        _arrivals(events, arrival), V.carbon_measures(T.DoubleType(), T.BooleanType()),
+        V.CARBON_TEXTS, V.carbon_measures(T.StringType(), T.StringType()),
+        {"carbonIntensity": number, "isEstimated": flag}, strict,
     )
     return rows.select(
-        "zone",
-        instant(F.col("datetime")).alias("datetime"),
-        field("carbonIntensity", number).alias("carbon_intensity"),
+        "zone", instant(F.col("datetime")).alias("datetime"),
+        F.col("carbonIntensity").alias("carbon_intensity"),
         F.col("emissionFactorType").alias("emission_factor_type"),
-        field("isEstimated", flag).alias("is_estimated"),
+        F.col("isEstimated").alias("is_estimated"),
         F.col("estimationMethod").alias("estimation_method"),
-        F.col("_metadata.ingestion_timestamp").alias("sent_ingestion_timestamp"),
         *_tail(),
     )
 
@@ -112,27 +125,16 @@ def parse_paths(events: DataFrame, paths: dict[str, str], numbers: set[str] = fr
     )
 
 
-def display_rows(events: DataFrame, arrival: Column | None = None) -> DataFrame:
+def display_rows(events: DataFrame, arrival: str | None = None) -> DataFrame:
     """Console vocabulary of the mix; rows without an event time are left out."""
-    return (
-        events.select(
-            F.col("key").cast("string").alias("key"),
-            F.col("value").cast("string").alias("raw"),
-            (F.current_timestamp() if arrival is None else arrival).alias("processing_time"),
-        )
-        .filter(F.col("raw").isNotNull())
-        .select("*", _fields_of(F.col("raw"), V.DISPLAY_MESSAGE))
-        .select(
-            F.coalesce(F.col("zone"), F.lit(V.UNKNOWN_DISPLAY_REGION)).alias("region"),
-            instant(F.col("datetime")).alias("date_heure"),
-            *[
-                zero_if_null(F.col("powerProductionBreakdown")[source]).alias(shown)
-                for source, shown in V.DISPLAY_SOURCES.items()
-            ],
-            F.col("processing_time"),
-        )
-        .filter(F.col("date_heure").isNotNull())
-    )
+    texts = _arrivals(events, arrival).filter(F.col("raw").isNotNull())
+    rows = _with_fields(texts, F.from_json("raw", V.DISPLAY_MESSAGE), V.DISPLAY_MESSAGE)
+    return rows.select(
+        F.coalesce(F.col("zone"), F.lit(V.UNKNOWN_DISPLAY_REGION)).alias("region"),
+        instant(F.col("datetime")).alias("date_heure"),
+        *[zero_if_null(F.col(source)).alias(name) for source, name in V.DISPLAY_SOURCES.items()],
+        "processing_time",
+    ).filter(F.col("date_heure").isNotNull())
 
 
 def reject_reason(value: str) -> Column:

@@ -1,5 +1,6 @@
 """Counts, freshness, reconciliation and the leading zones."""
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -22,9 +23,9 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     ])
 
 
-def freshness(tables: dict[str, DataFrame], as_of: Column) -> DataFrame:
+def freshness(tables: dict[str, DataFrame], as_of: Column | dt.datetime) -> DataFrame:
     """Per table: rows, last update, rows of the last ten minutes, empty or not."""
-    recent = F.col("processing_time") > as_of - F.expr("INTERVAL 10 MINUTES")
+    recent = F.col("processing_time") > F.lit(as_of) - F.expr("INTERVAL 10 MINUTES")
     return _union([
         _named(
             df.agg(
@@ -58,10 +59,12 @@ def count_by_region(gold: DataFrame) -> DataFrame:
     return gold.groupBy("region").agg(F.count("*").alias("row_count"))
 
 
-def top_zones(silver_mix: DataFrame, as_of: Column, limit: int = 5) -> DataFrame:
+def top_zones(
+    silver_mix: DataFrame, as_of: Column | dt.datetime, limit: int = 5
+) -> DataFrame:
     """Zones with the highest mean production since yesterday 00:00."""
     return (
-        silver_mix.filter(F.col("datetime") >= start_of_yesterday(as_of))
+        silver_mix.filter(F.col("datetime") >= start_of_yesterday(F.lit(as_of)))
         .groupBy("zone")
         .agg(
             F.count("*").alias("records"),
@@ -103,19 +106,20 @@ def reconcile(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
 def flow_report(silver: dict[str, DataFrame], gold: DataFrame) -> DataFrame:
     """One row: totals of both silver tables, gold rows, zones per table."""
     stats = table_stats(silver)
-    mix, carbon = silver
-    zones = lambda name: F.max(F.when(F.col("table_name") == name, F.col("zones")))
     totals = stats.agg(
         F.sum("row_count").alias("silver_total"),
-        zones(mix).alias("mix_zones"),
-        zones(carbon).alias("carbon_zones"),
+        *[
+            F.max(F.when(F.col("table_name") == name, F.col("zones"))).alias(f"{name}_zones")
+            for name in silver
+        ],
     )
+    counted = ["silver_total", "gold_total"] + [f"{name}_zones" for name in silver]
     return (
         totals.withColumn("gold_total", F.lit(None).cast("long"))
         .unionByName(
             gold.agg(F.count("*").alias("gold_total")), allowMissingColumns=True
         )
-        .agg(*[F.max(c).alias(c) for c in ("silver_total", "gold_total", "mix_zones", "carbon_zones")])
+        .agg(*[F.max(c).alias(c) for c in counted])
         .withColumn(
             "status",
             F.when(F.col("silver_total") == 0, "empty")

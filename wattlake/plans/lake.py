@@ -6,7 +6,7 @@ running system; only the ingest jobs read JSON.
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from wattlake.operators.latest import DAY, latest_per_key
 from wattlake.operators.layers import (
@@ -51,10 +51,10 @@ class Lake:
         )
 
     def parsed_mix(self, breakdown: str = "production", strict: bool = False) -> DataFrame:
-        return parse_mix(self.mix_topic(), breakdown, F.col("timestamp"), strict)
+        return parse_mix(self.mix_topic(), breakdown, "timestamp", strict)
 
     def parsed_carbon(self, strict: bool = False) -> DataFrame:
-        return parse_carbon(self.carbon_topic(), F.col("timestamp"), strict)
+        return parse_carbon(self.carbon_topic(), "timestamp", strict)
 
     def silver_mix(self) -> DataFrame:
         return self._stored("silver_mix", lambda: silver_mix(self.parsed_mix()), "processing_time")

@@ -106,14 +106,14 @@ def encode_events(spark, sf_dir):
 
 def parse_mix(spark, sf_dir):
     parsed = _lake(spark, sf_dir).parsed_mix()
-    return _plain_times(_with_event_id(parsed.drop("topic", "raw", "sent_ingestion_timestamp")))
+    return _plain_times(_with_event_id(parsed.drop("topic", "raw")))
 
 
 def parse_mix_consumption(spark, sf_dir):
     """The other breakdown, numbers only where JSON has numbers."""
     parsed = _lake(spark, sf_dir).parsed_mix("consumption", strict=True)
     return _plain_times(
-        _with_event_id(parsed.drop("topic", "raw", "sent_ingestion_timestamp"))
+        _with_event_id(parsed.drop("topic", "raw"))
     )
 
 
@@ -134,7 +134,7 @@ def parse_mix_path(spark, sf_dir):
 
 def parse_carbon(spark, sf_dir):
     parsed = _lake(spark, sf_dir).parsed_carbon()
-    return _plain_times(_with_event_id(parsed.drop("topic", "raw", "sent_ingestion_timestamp")))
+    return _plain_times(_with_event_id(parsed.drop("topic", "raw")))
 
 
 def fill_defaults(spark, sf_dir):
@@ -161,13 +161,13 @@ def stamp(spark, sf_dir):
 
 
 def to_display(spark, sf_dir):
-    shown = parse.display_rows(_lake(spark, sf_dir).mix_topic(), F.col("timestamp"))
+    shown = parse.display_rows(_lake(spark, sf_dir).mix_topic(), "timestamp")
     return _plain_times(shown)
 
 
 def valid_display(spark, sf_dir):
     """What passes the console job's filters, per displayed region."""
-    shown = parse.display_rows(_lake(spark, sf_dir).mix_topic(), F.col("timestamp"))
+    shown = parse.display_rows(_lake(spark, sf_dir).mix_topic(), "timestamp")
     return _plain_times(shown.groupBy("region").agg(
         F.count("*").alias("row_count"), F.max("date_heure").alias("last_time")
     ))
@@ -374,7 +374,7 @@ def region_count(spark, sf_dir):
 def _fill_silver(spark, sf_dir) -> tuple[str, str, str]:
     """Both ingest streams, side by side, to their end."""
     mix, carbon, rejects = (new_path(spark, n) for n in ("mix", "carbon", "rejects"))
-    arrival = F.col("timestamp")
+    arrival = "timestamp"
     control.drain_all([
         control.start(
             ingest.mix_to_silver(_topic(spark, sf_dir, "mix"), mix, f"{rejects}/mix",
@@ -403,7 +403,7 @@ def stream_gold(spark, sf_dir):
     """Events straight to gold."""
     gold = new_path(spark, "gold")
     job = ingest.mix_to_gold(_topic(spark, sf_dir, "mix"), gold,
-                             arrival=F.col("timestamp"))
+                             arrival="timestamp")
     control.drain_all([control.start(job, "gold_mix", new_path(spark, "cp"), drain=True)])
     return _plain_times(_with_event_id(read_gold(spark, gold).drop("date")))
 

@@ -23,23 +23,28 @@ def start(
 
 
 def run_all(spark: SparkSession, queries: list[StreamingQuery], poll: int = 60, report=print) -> None:
-    """Waits until all have ended. If one fails, the others are stopped and the
-    error is raised, so that a restart resumes all of them from their checkpoints."""
+    """Waits until all have ended, with a status report every ``poll`` seconds. If
+    one fails, the others are stopped and the error is raised, so that a restart
+    resumes all of them from their checkpoints."""
+    spark.streams.resetTerminated()  # forget queries of earlier jobs
     try:
         while any(q.isActive for q in queries):
-            for query in queries:
-                if not query.isActive:
-                    query.awaitTermination()  # raises the error of a failed query
-            alive = [q for q in queries if q.isActive]
-            if alive and not alive[0].awaitTermination(poll):
-                report(status(alive))
-        for query in queries:
-            query.awaitTermination()
+            spark.streams.awaitAnyTermination(poll)
+            spark.streams.resetTerminated()
+            _raise_failures(queries)
+            report(status(queries))
+        _raise_failures(queries)
     finally:
         for query in queries:
             query.stop()
 
 
+def _raise_failures(queries: list[StreamingQuery]) -> None:
+    for query in queries:
+        if not query.isActive:
+            query.awaitTermination()
+
+
 def drain_all(queries: list[StreamingQuery]) -> None:
     """For queries that end by themselves."""
     try:

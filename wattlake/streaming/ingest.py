@@ -2,7 +2,7 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from wattlake.operators.layers import (
@@ -35,7 +35,7 @@ def _two_sinks(
 
 
 def mix_to_silver(
-    events: DataFrame, silver: str, rejects: str, arrival: Column | None = None,
+    events: DataFrame, silver: str, rejects: str, arrival: str | None = None,
     extras: bool = False,
 ) -> DataStreamWriter:
     return _two_sinks(
@@ -45,7 +45,7 @@ def mix_to_silver(
 
 
 def carbon_to_silver(
-    events: DataFrame, silver: str, rejects: str, arrival: Column | None = None,
+    events: DataFrame, silver: str, rejects: str, arrival: str | None = None,
     extras: bool = False,
 ) -> DataStreamWriter:
     return _two_sinks(
@@ -67,7 +67,7 @@ def _upserts(rows: DataFrame, gold: str) -> DataStreamWriter:
 
 
 def mix_to_gold(
-    events: DataFrame, gold: str, breakdown: str = "consumption", arrival: Column | None = None
+    events: DataFrame, gold: str, breakdown: str = "consumption", arrival: str | None = None
 ) -> DataStreamWriter:
     """The direct path: no silver, nulls kept. Rows without a key are left out;
     the silver path keeps them in quarantine."""
@@ -76,7 +76,7 @@ def mix_to_gold(
 
 
 def carbon_to_gold(
-    events: DataFrame, gold: str, arrival: Column | None = None
+    events: DataFrame, gold: str, arrival: str | None = None
 ) -> DataStreamWriter:
     return _upserts(has_key(direct_gold_carbon(parse_carbon(events, arrival, strict=True))), gold)
 

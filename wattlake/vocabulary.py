@@ -112,41 +112,33 @@ EVENT = T.StructType([
     T.StructField("timestampType", T.IntegerType()),
 ])
 
-INGEST_METADATA = ["ingestion_timestamp", "ingestion_id"]
 CORRUPT = "_corrupt_record"
 
 
-def mix_message(breakdown, number):
-    """The mix message as far as it is used, with one of its two breakdowns and
-    ``number`` as the type of every measured field."""
+def mix_numbers(breakdown, kind):
+    """The measured fields of a mix message, all of one type."""
+    flat = [json_name for json_name, _, _ in TOTALS] + [json_name for json_name, _ in PERCENTAGES]
     return T.StructType(
-        [
-            T.StructField("zone", T.StringType()),
-            T.StructField("datetime", T.StringType()),
-            T.StructField(breakdown, _struct(GOLD_SOURCES, number)),
-        ]
-        + [T.StructField(json_name, number) for json_name, _, _ in TOTALS]
-        + [T.StructField(json_name, number) for json_name, _ in PERCENTAGES]
-        + [
-            T.StructField("_metadata", _struct(INGEST_METADATA, T.StringType())),
-            T.StructField(CORRUPT, T.StringType()),
-        ]
+        [T.StructField(breakdown, _struct(GOLD_SOURCES, kind))]
+        + [T.StructField(name, kind) for name in flat]
     )
 
 
-def carbon_message(number, flag):
+def carbon_measures(number, flag):
     return T.StructType([
-        T.StructField("zone", T.StringType()),
-        T.StructField("datetime", T.StringType()),
-        T.StructField("carbonIntensity", number),
-        T.StructField("emissionFactorType", T.StringType()),
-        T.StructField("isEstimated", flag),
-        T.StructField("estimationMethod", T.StringType()),
-        T.StructField("_metadata", _struct(INGEST_METADATA, T.StringType())),
-        T.StructField(CORRUPT, T.StringType()),
+        T.StructField("carbonIntensity", number), T.StructField("isEstimated", flag),
     ])
 
 
+def message(measures, texts):
+    """Measured fields, text fields, and the place for a text that does not fit."""
+    return T.StructType(
+        measures.fields + _struct([*texts, CORRUPT], T.StringType()).fields
+    )
+
+
+MIX_TEXTS = ["zone", "datetime"]
+CARBON_TEXTS = ["zone", "datetime", "emissionFactorType", "estimationMethod"]
 BREAKDOWNS = {
     "production": "powerProductionBreakdown", "consumption": "powerConsumptionBreakdown",
 }
