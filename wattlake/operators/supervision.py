@@ -134,8 +134,17 @@ def preview(df: DataFrame, order: list[str], rows: int = 10) -> DataFrame:
     return df.orderBy(*order).limit(rows)
 
 
+def landing_summary(listing: DataFrame) -> DataFrame:
+    """Number and size of the landed objects, the newest time, present or not."""
+    return listing.agg(
+        F.count("*").alias("objects"),
+        F.sum("length").alias("bytes"),
+        F.max("modificationTime").alias("newest"),
+        (F.count("*") > 0).alias("present"),
+    )
+
+
 def newest_objects(listing: DataFrame, limit: int = 5) -> DataFrame:
-    """The newest landed objects and how many there are."""
     return (
         listing.orderBy(F.desc("modificationTime"), "path").limit(limit)
         .select("path", "modificationTime", "length")

@@ -75,7 +75,8 @@ def train(
     over both parts.
 
     The cleaned rows are written once: the split, the region index and every
-    tree level read them again.
+    tree level read them again. They are written in key order, because row
+    sampling goes by position and the seed alone would not repeat a model.
     """
     spark = mix.sparkSession
     ensure_checkpoint_dir(spark)
@@ -83,7 +84,8 @@ def train(
     columns, _ = available(cleaned.withColumn("region_encoded", F.lit(0)),
                            model_columns(label, leaky))
     inputs = [c for c in columns if c != "region_encoded"]
-    rows = materialize(cleaned.select(*V.KEY, *inputs, label), "training")
+    ordered = cleaned.select(*V.KEY, *inputs, label).repartition(*V.KEY).sortWithinPartitions(*V.KEY)
+    rows = materialize(ordered, "training")
     split = temporal_split(rows, temporal_cut(rows, test_fraction))
     codes = region_indexer().fit(rows)
     model = estimator(codes, columns, label, trees).fit(split.filter(F.col("split") == "train"))

@@ -11,7 +11,7 @@ from wattlake.operators.latest import for_regions
 
 def predict_next_hours(
     model: PipelineModel, mix: DataFrame, carbon: DataFrame, start: dt.datetime, hours: int = 24,
-    regions: list[str] | None = None,
+    regions: list[str] | None = None, name: str = "predicted_consumption",
 ) -> DataFrame:
     """Predictions for ``start`` and the hours after it, all regions in one pass.
 
@@ -21,9 +21,7 @@ def predict_next_hours(
     if regions is not None:
         mix, carbon = for_regions(mix, regions), for_regions(carbon, regions)
     grid = forecast_grid(latest_snapshot(mix, carbon), start, hours)
-    return model.transform(grid).withColumn(
-        "predicted_consumption", F.bround("prediction", 2)
-    )
+    return model.transform(grid).withColumn(name, F.bround("prediction", 2))
 
 
 def predict_consumption(

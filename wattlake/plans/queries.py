@@ -446,8 +446,7 @@ def _landed(spark, sf_dir) -> str:
 
 
 def bronze_landing(spark, sf_dir):
-    """Landed messages per topic and day, read back; text length as a check that
-    whole texts arrive."""
+    """Landed messages per topic and day, read back."""
     where = _landed(spark, sf_dir)
     rows = read_landed(spark, f"{where}/mix").unionByName(read_landed(spark, f"{where}/carbon"))
     zone = F.get_json_object("value", "$.zone")
@@ -479,6 +478,12 @@ def bronze_listing(spark, sf_dir):
     return _plain_times(supervision.newest_objects(listing))
 
 
+def bronze_summary(spark, sf_dir):
+    """Whether anything has landed, how many objects and bytes."""
+    listing = list_objects(spark, _landed(spark, sf_dir))
+    return _plain_times(supervision.landing_summary(listing))
+
+
 def progress(spark, sf_dir):
     """Rows each stream has read, from its progress reports."""
     jobs = [
@@ -591,6 +596,17 @@ def predict_next_hours(spark, sf_dir):
     return _plain_times(rows.select("region", "datetime", "predicted_consumption"))
 
 
+def predict_next_intensity(spark, sf_dir):
+    """The next hours of carbon intensity, by the model trained for it."""
+    model, _ = models.load_latest(spark, _trained_root(spark, sf_dir, V.CARBON_LABEL))
+    mix, carbon = _gold(spark, sf_dir)
+    start = F.date_trunc("hour", _as_of(spark, sf_dir))
+    rows = forecast.predict_next_hours(
+        model, mix, carbon, start, 24, name="predicted_intensity"
+    )
+    return _plain_times(rows.select("region", "datetime", "predicted_intensity"))
+
+
 def compare_regions(spark, sf_dir):
     model, _ = models.load_latest(spark, _trained_root(spark, sf_dir))
     mix, carbon = _gold(spark, sf_dir)
@@ -677,6 +693,7 @@ QUERIES: dict[str, Query] = {
     "bronze_landing": bronze_landing,
     "bronze_rolled": bronze_rolled,
     "bronze_listing": bronze_listing,
+    "bronze_summary": bronze_summary,
     "progress": progress,
     "train_consumption": train_consumption,
     "train_carbon": train_carbon,
@@ -686,6 +703,7 @@ QUERIES: dict[str, Query] = {
     "latest_model": latest_model,
     "predict_consumption": predict_consumption,
     "predict_next_hours": predict_next_hours,
+    "predict_next_intensity": predict_next_intensity,
     "compare_regions": compare_regions,
     "intensity_by_zone": intensity_by_zone,
     "fossil_share": fossil_share,

@@ -14,20 +14,39 @@ from wattlake.operators.parse import (
 from wattlake.sinks.tables import append_batch, upsert_gold
 
 
+# where a batch goes: a folder, or a function of the rows and the batch id
+Sink = str | Callable[[DataFrame, int], None]
+
+
+def _append_to(sink: Sink) -> Callable[[DataFrame, int], None]:
+    if callable(sink):
+        return sink
+    return lambda rows, batch_id: append_batch(rows, sink, "processing_time", batch_id)
+
+
+def _upsert_to(sink: Sink) -> Callable[[DataFrame, int], None]:
+    return sink if callable(sink) else lambda rows, batch_id: upsert_gold(rows, sink)
+
+
 def _two_sinks(
-    parsed: DataFrame, keep: Callable[[DataFrame], DataFrame], value: str, silver: str,
-    rejects: str,
+    parsed: DataFrame, keep: Callable[[DataFrame], DataFrame], value: str, silver: Sink,
+    rejects: Sink,
 ) -> DataStreamWriter:
     """Everything is derived on the stream; foreachBatch only writes. An error is
-    not caught: the query fails and the batch comes again at the next start."""
+    not caught: the query fails and the batch comes again at the next start.
+
+    Folders hold a repeated batch once. A sink without keys, such as a JDBC
+    append, gets it again; gold keeps the last arrival in either case.
+    """
+    to_silver, to_rejects = _append_to(silver), _append_to(rejects)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             if batch.isEmpty():
                 return
-            append_batch(keep(batch), silver, "processing_time", batch_id)
-            append_batch(quarantine(batch, value), rejects, "processing_time", batch_id)
+            to_silver(keep(batch), batch_id)
+            to_rejects(quarantine(batch, value), batch_id)
         finally:
             batch.unpersist()
 
@@ -35,7 +54,7 @@ def _two_sinks(
 
 
 def mix_to_silver(
-    events: DataFrame, silver: str, rejects: str, arrival: str | None = None,
+    events: DataFrame, silver: Sink, rejects: Sink, arrival: str | None = None,
     extras: bool = False,
 ) -> DataStreamWriter:
     return _two_sinks(
@@ -45,7 +64,7 @@ def mix_to_silver(
 
 
 def carbon_to_silver(
-    events: DataFrame, silver: str, rejects: str, arrival: str | None = None,
+    events: DataFrame, silver: Sink, rejects: Sink, arrival: str | None = None,
     extras: bool = False,
 ) -> DataStreamWriter:
     return _two_sinks(
@@ -54,12 +73,15 @@ def carbon_to_silver(
     )
 
 
-def _upserts(rows: DataFrame, gold: str) -> DataStreamWriter:
+def upserts(rows: DataFrame, gold: Sink) -> DataStreamWriter:
+    """Each batch into gold, last write per key."""
+    to_gold = _upsert_to(gold)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()  # read for the list of days and for the merge
         try:
             if not batch.isEmpty():
-                upsert_gold(batch, gold)
+                to_gold(batch, batch_id)
         finally:
             batch.unpersist()
 
@@ -67,18 +89,18 @@ def _upserts(rows: DataFrame, gold: str) -> DataStreamWriter:
 
 
 def mix_to_gold(
-    events: DataFrame, gold: str, breakdown: str = "consumption", arrival: str | None = None
+    events: DataFrame, gold: Sink, breakdown: str = "consumption", arrival: str | None = None
 ) -> DataStreamWriter:
     """The direct path: no silver, nulls kept. Rows without a key are left out;
     the silver path keeps them in quarantine."""
     parsed = parse_mix(events, breakdown, arrival, strict=True)
-    return _upserts(has_key(direct_gold_mix(parsed)), gold)
+    return upserts(has_key(direct_gold_mix(parsed)), gold)
 
 
 def carbon_to_gold(
-    events: DataFrame, gold: str, arrival: str | None = None
+    events: DataFrame, gold: Sink, arrival: str | None = None
 ) -> DataStreamWriter:
-    return _upserts(has_key(direct_gold_carbon(parse_carbon(events, arrival, strict=True))), gold)
+    return upserts(has_key(direct_gold_carbon(parse_carbon(events, arrival, strict=True))), gold)
 
 
 def mix_to_console(events: DataFrame, rows: int = 20) -> DataStreamWriter:

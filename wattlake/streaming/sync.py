@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from wattlake.operators.latest import high_water_mark
 from wattlake.operators.layers import has_key
 from wattlake.sinks.tables import exists, append_table, upsert_gold
-from wattlake.streaming.ingest import _upserts
+from wattlake.streaming.ingest import Sink, upserts
 
 MARKS = "table_name string, mark timestamp, saved_at timestamp"
 
@@ -22,10 +22,10 @@ def silver_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
 
 
 def sync_stream(
-    silver: DataFrame, shape: Callable[[DataFrame], DataFrame], gold: str
+    silver: DataFrame, shape: Callable[[DataFrame], DataFrame], gold: Sink
 ) -> DataStreamWriter:
     """The mark is the checkpoint: no row is skipped and none is read from gold."""
-    return _upserts(has_key(shape(silver)), gold)
+    return upserts(has_key(shape(silver)), gold)
 
 
 def read_mark(spark: SparkSession, marks: str, name: str) -> dt.datetime | None:
