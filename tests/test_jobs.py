@@ -1,8 +1,10 @@
 import pytest
+from pyspark.sql import functions as F
 
-from tests.conftest import carbon, mix
+from tests.conftest import at, carbon, mix
 from wattlake import vocabulary as V
 from wattlake.jobs import main
+from wattlake.operators import latest, layers, parse
 from wattlake.sinks import tables
 from wattlake.streaming import ingest
 
@@ -55,3 +57,29 @@ def test_other_sinks_get_the_rows(spark, root, make_events):
     ingest.mix_to_silver(events, take("silver"), take("rejects")).option(
         "checkpointLocation", f"{root}/cp1").trigger(availableNow=True).start().awaitTermination()
     assert seen["silver"][1:] == (48, 0) and seen["rejects"][1:] == (1, 0)
+
+
+def test_classic_silver_table_without_arrival_columns(spark, root, make_events):
+    parsed = parse.parse_mix(make_events([mix(total=1.0), mix(total=2.0), mix("DE")]), arrival="timestamp")
+    silver = layers.silver_mix(parsed).select(*V.SILVER_MIX_COLUMNS)
+    silver.write.parquet(f"{root}/old/mix")
+    layers.silver_carbon(parse.parse_carbon(
+        make_events([carbon()], V.TOPIC_CARBON), "timestamp")).write.parquet(f"{root}/old/carbon")
+    for _ in range(2):
+        main(["sync-table", "--root", root, "--source-format", "parquet", "--source",
+              f"path={root}/old/{{table}}"], spark)
+    gold = tables.read_gold(spark, f"{root}/gold_mix").orderBy("region").collect()
+    assert [(r.region, r.total_production) for r in gold] == [("DE", 100.0), ("FR", 2.0)]
+    assert tables.read_gold(spark, f"{root}/gold_carbon").count() == 1
+
+
+def test_rows_of_one_instant_without_offsets_have_one_winner(spark, make_events):
+    parsed = parse.parse_mix(make_events([mix(total=float(i)) for i in range(20)]), arrival="timestamp")
+    silver = layers.silver_mix(parsed).select(*V.SILVER_MIX_COLUMNS).withColumn(
+        "processing_time", F.lit(at("2024-01-06T10:00:00")))
+    winners = {
+        latest.latest_per_key(layers.to_gold_mix(silver.orderBy(order).repartition(n))).first()
+        .total_production
+        for n, order in ((1, F.col("production_total")), (3, F.desc("production_total")), (5, F.rand()))
+    }
+    assert len(winners) == 1

@@ -100,6 +100,17 @@ def sync_gold(spark, args):
     })
 
 
+def sync_table(spark, args):
+    """One round for silver tables without a stream, e.g. in a database."""
+    shapes = {"mix": layers.to_gold_mix, "carbon": layers.to_gold_carbon}
+    for name, shape in shapes.items():
+        options = {k: v.replace("{table}", name) for k, v in _pairs(args.source).items()}
+        path = options.pop("path", None)
+        silver_table = read_table(spark, path, args.source_format, options)
+        sync.sync_batch(spark, silver_table, shape, f"{args.root}/gold_{name}",
+                        f"{args.root}/marks", name)
+
+
 def _gold(spark, args) -> tuple[DataFrame, DataFrame]:
     return tuple(read_table(spark, f"{args.root}/gold_{name}") for name in ("mix", "carbon"))
 
@@ -158,6 +169,7 @@ def report(spark, args):
 
 JOBS = {
     "silver": silver, "direct": direct, "land": land, "console": console, "sync": sync_gold,
+    "sync-table": sync_table,
     "train": train, "predict": predict, "compare": compare, "report": report,
 }
 

@@ -38,16 +38,20 @@ def retained(
 
 def newer_than(rows: DataFrame, mark: dt.datetime | Column | None,
                column: str = "processing_time") -> DataFrame:
-    """Rows strictly above the mark, all of them when there is none.
-
-    A table stored by day of ``column`` skips the days before the mark.
-    """
+    """Rows strictly above the mark, all of them when there is none."""
     if mark is None:
         return rows
-    mark = F.lit(mark)
-    if DAY in rows.columns:
-        rows = rows.filter(F.col(DAY) >= F.to_date(mark))
-    return rows.filter(F.col(column) > mark)
+    return _days_from(rows, mark).filter(F.col(column) > F.lit(mark))
+
+
+def since(rows: DataFrame, start: dt.datetime | Column, column: str) -> DataFrame:
+    """Rows from ``start`` on."""
+    return _days_from(rows, start).filter(F.col(column) >= F.lit(start))
+
+
+def _days_from(rows: DataFrame, start: dt.datetime | Column) -> DataFrame:
+    """A table stored by day skips the days before."""
+    return rows.filter(F.col(DAY) >= F.to_date(F.lit(start))) if DAY in rows.columns else rows
 
 
 def high_water_mark(rows: DataFrame, column: str = "processing_time") -> dt.datetime | None:

@@ -50,7 +50,7 @@ def to_gold_mix(silver: DataFrame) -> DataFrame:
         *[_or_constant(silver, name, 0.0).alias(name) for _, name in V.PERCENTAGES],
         F.col("processing_time").alias("ingestion_timestamp"),
         F.lit(V.SYNC_INGESTION_ID).alias("ingestion_id"),
-        *V.ARRIVAL,
+        *_arrival(silver),
     ).select(*V.GOLD_MIX_COLUMNS, *V.ARRIVAL)
 
 
@@ -68,10 +68,19 @@ def to_gold_carbon(silver: DataFrame) -> DataFrame:
         ),
         F.col("processing_time").alias("ingestion_timestamp"),
         F.lit(V.SYNC_INGESTION_ID).alias("ingestion_id"),
-        *V.ARRIVAL,
+        *_arrival(silver),
     )
 
 
+def _arrival(silver: DataFrame) -> list:
+    """Partition and offset. A silver table in a database may lack them: a hash of
+    the row then decides between rows of one instant, the same way at each replay."""
+    if set(V.ARRIVAL) <= set(silver.columns):
+        return [F.col(c) for c in V.ARRIVAL]
+    partition, offset = V.ARRIVAL
+    return [F.lit(0).alias(partition), F.xxhash64(*silver.columns).alias(offset)]
+
+
 def direct_gold_mix(parsed: DataFrame) -> DataFrame:
     """Parsed events straight to gold rows: nulls stay null, every row gets an id."""
     renamed = {silver: gold for _, silver, gold in V.TOTALS}

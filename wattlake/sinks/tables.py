@@ -119,7 +119,7 @@ def finish_swap(spark: SparkSession, path: str) -> None:
         holds_days = any(f"/{DAY}=" in child for child in _children(spark, staged))
         if holds_days and exists(spark, f"{staged}/_SUCCESS"):
             (
-                spark.read.parquet(staged).hint("rebalance", DAY)
+                spark.read.parquet(staged)  # files have their size already
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(DAY)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from wattlake.operators.latest import high_water_mark
+from wattlake.operators.latest import high_water_mark, since
 from wattlake.operators.layers import has_key
 from wattlake.sinks.tables import exists, append_table, upsert_gold
 from wattlake.streaming.ingest import Sink, upserts
@@ -48,9 +48,7 @@ def sync_batch(
     mark = read_mark(spark, marks, name)
     fresh = silver
     if mark is not None:
-        fresh = silver.filter(
-            F.col("processing_time") >= F.lit(mark) - F.expr(f"INTERVAL {overlap}")
-        )
+        fresh = since(silver, F.lit(mark) - F.expr(f"INTERVAL {overlap}"), "processing_time")
     # fixed upper end: rows that arrive during this round belong to the next
     end = high_water_mark(fresh)
     if end is None:
