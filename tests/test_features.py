@@ -119,10 +119,10 @@ def test_forecast_grid(spark):
     assert ft.forecast_grid(snapshot, at("2024-01-06T22:30:00"), 1).count() == 2
 
 
-def test_join_plan_reads_only_the_columns_it_needs(spark):
+def test_join_plan_reads_only_the_columns_it_needs(spark, folder):
     rows = [("A", "2024-01-06T00:00:00", {"total_consumption": 1.0})]
-    mix = materialize(gold(spark, rows), "m")
-    gas = materialize(carbon(spark, [("A", "2024-01-06T00:00:00", 5.0)]), "c")
+    mix = materialize(gold(spark, rows), folder("m"))
+    gas = materialize(carbon(spark, [("A", "2024-01-06T00:00:00", 5.0)]), folder("c"))
     joined = ft.mix_with_carbon(mix, gas).groupBy("region").agg(F.avg("carbon_intensity"))
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<region:string,timestamp:timestamp,carbon_intensity:double>" in plan

@@ -6,7 +6,7 @@ from tests.conftest import at, mix
 from wattlake import vocabulary as V
 from wattlake.operators import latest, layers, parse
 from wattlake.sinks import tables
-from wattlake.sources import tables as source_tables
+from wattlake.sources import files, tables as source_tables
 
 
 def gold_rows(make_events, messages, **where):
@@ -68,7 +68,7 @@ def test_lost_driver_during_the_swap_loses_nothing(spark, make_events, folder):
     before = content(tables.read_gold(spark, path))
     # the copy is complete, the old day already gone, the new one not yet in place
     tables.write_gold(tables.read_gold(spark, path).drop("date"), f"{path}__staged/left")
-    tables._delete(spark, f"{path}/date=2024-01-06")
+    files.delete(spark, f"{path}/date=2024-01-06")
     tables.upsert_gold(
         gold_rows(make_events, [mix("ES", total=8.0)], first=20), path)
     after = content(tables.read_gold(spark, path))
@@ -80,10 +80,10 @@ def test_unfinished_copy_is_dropped(spark, make_events, folder):
     rows = gold_rows(make_events, [mix(total=1.0)])
     tables.upsert_gold(rows, path)
     tables.write_gold(rows.withColumn("total_production", F.lit(99.0)), f"{path}__staged/left")
-    tables._delete(spark, f"{path}__staged/left/_SUCCESS")
+    files.delete(spark, f"{path}__staged/left/_SUCCESS")
     tables.finish_swap(spark, path)
     assert [r[2] for r in content(tables.read_gold(spark, path))] == [1.0]
-    assert tables._children(spark, f"{path}__staged") == []
+    assert files.children(spark, f"{path}__staged") == []
 
 
 def test_upsert_of_more_days_than_are_listed(spark, make_events, folder, monkeypatch):

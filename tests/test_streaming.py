@@ -6,6 +6,7 @@ from tests.conftest import at, carbon, mix
 from wattlake import vocabulary as V
 from wattlake.operators import latest, layers, parse
 from wattlake.sinks import tables
+from wattlake.sources import files
 from wattlake.sources.events import kafka_options, read_events
 from wattlake.sources.landing import list_objects, read_landed
 from wattlake.streaming import control, ingest, sync
@@ -161,7 +162,7 @@ def test_sync_of_rows_without_a_key_only(spark, make_events, folder):
     silver = layers.silver_mix(parse.parse_mix(make_events([mix(time=None)]), arrival="timestamp"))
     end = sync.sync_batch(spark, silver, layers.to_gold_mix, gold, marks, "mix")
     assert end is not None  # the mark moves on, the row is not retried for ever
-    assert not tables.exists(spark, gold)
+    assert not files.exists(spark, gold)
 
 
 def test_landing_keeps_raw_text(spark, make_events, folder):

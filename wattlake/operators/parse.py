@@ -150,6 +150,12 @@ def reject_reason(value: str) -> Column:
     )
 
 
+def without_good_text(parsed: DataFrame, value: str) -> DataFrame:
+    """Keeps the text of rejected rows only: all that is held until both sinks
+    have their rows."""
+    return parsed.withColumn("raw", F.when(reject_reason(value).isNotNull(), F.col("raw")))
+
+
 def quarantine(parsed: DataFrame, value: str) -> DataFrame:
     """Rows that never reach gold, whole text kept, with the reason."""
     return (

@@ -16,7 +16,8 @@ from wattlake.operators.features import (
 from wattlake.operators.metrics import regression_metrics
 from wattlake.operators.split import temporal_cut, temporal_split
 from wattlake.sinks.models import model_path, run_record, save_run
-from wattlake.sources.scratch import ensure_checkpoint_dir, materialize
+from wattlake.sources.files import delete
+from wattlake.sources.scratch import ensure_checkpoint_dir, materialize, new_path
 
 # fixed values of the learner
 TREES = 300
@@ -85,13 +86,16 @@ def train(
                            model_columns(label, leaky))
     inputs = [c for c in columns if c != "region_encoded"]
     ordered = cleaned.select(*V.KEY, *inputs, label).repartition(*V.KEY).sortWithinPartitions(*V.KEY)
-    rows = materialize(ordered, "training")
+    training = new_path(spark, "training")
+    rows = materialize(ordered, training)
     split = temporal_split(rows, temporal_cut(rows, test_fraction))
     codes = region_indexer().fit(rows)
     model = estimator(codes, columns, label, trees).fit(split.filter(F.col("split") == "train"))
     scored = materialize(
-        model.transform(split).select(*V.KEY, "split", label, "prediction"), "scored"
+        model.transform(split).select(*V.KEY, "split", label, "prediction"),
+        new_path(spark, "scored"),
     )
+    delete(spark, training)
     return TrainedModel(
         model, scored, regression_metrics(scored, label), importance_table(spark, model, columns),
         columns, label,

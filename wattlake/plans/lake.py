@@ -13,8 +13,9 @@ from wattlake.operators.layers import (
     has_key, silver_carbon, silver_mix, to_gold_carbon, to_gold_mix,
 )
 from wattlake.operators.parse import parse_carbon, parse_mix
-from wattlake.sinks.tables import by_day, exists, last_change
+from wattlake.sinks.tables import by_day
 from wattlake.sources import feed
+from wattlake.sources.files import exists, last_change
 from wattlake.sources.scratch import new_path
 
 

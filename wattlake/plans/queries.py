@@ -23,9 +23,10 @@ from wattlake.plans.lake import Lake, open_lake
 from wattlake.session import use_utc
 from wattlake.sinks import models
 from wattlake.sinks.events import enrich
-from wattlake.sinks.tables import append_table, exists, read_gold
+from wattlake.sinks.tables import append_table, read_gold
 from wattlake.sources import feed
 from wattlake.sources.events import read_events
+from wattlake.sources.files import exists
 from wattlake.sources.landing import list_objects, read_landed
 from wattlake.sources.scratch import new_path
 from wattlake.sources.tables import read_incremental

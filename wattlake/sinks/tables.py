@@ -6,41 +6,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from wattlake import vocabulary as V
 from wattlake.operators.latest import DAY, latest_per_key
+from wattlake.sources.files import children, delete, exists
 
 BATCH = "batch_id"
 # above this many days in one batch gold is read whole instead of by day list
 LISTED_DAYS = 3660
 
 
-def _at(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    files, place = _at(spark, path)
-    return files.exists(place)
-
-
-def last_change(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Modification time and size."""
-    files, place = _at(spark, path)
-    return (
-        files.getFileStatus(place).getModificationTime(),
-        files.getContentSummary(place).getLength(),
-    )
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    files, place = _at(spark, path)
-    files.delete(place, True)
-
-
-def _children(spark: SparkSession, path: str) -> list[str]:
-    files, place = _at(spark, path)
-    return [e.getPath().toString() for e in files.listStatus(place)] if files.exists(place) else []
-
-
 def by_day(df: DataFrame, time_column: str) -> DataFrame:
     """Adds the partition column and evens out the output files.
 
@@ -115,8 +87,8 @@ def replace_days(days: DataFrame, path: str) -> None:
 
 def finish_swap(spark: SparkSession, path: str) -> None:
     """Moves complete staged days into the table, drops incomplete ones."""
-    for staged in _children(spark, _stage(path)):
-        holds_days = any(f"/{DAY}=" in child for child in _children(spark, staged))
+    for staged in children(spark, _stage(path)):
+        holds_days = any(f"/{DAY}=" in child for child in children(spark, staged))
         if holds_days and exists(spark, f"{staged}/_SUCCESS"):
             (
                 spark.read.parquet(staged)  # files have their size already
@@ -125,7 +97,7 @@ def finish_swap(spark: SparkSession, path: str) -> None:
                 .partitionBy(DAY)
                 .parquet(path)
             )
-        _delete(spark, staged)
+        delete(spark, staged)
 
 
 def _stage(path: str) -> str:
@@ -161,7 +133,7 @@ def expire_gold(spark: SparkSession, path: str, as_of, days: int = V.RETENTION_D
     )
     gone = [row[DAY] for row in stale.select(DAY).collect()]  # one value per day
     for day in gone:
-        _delete(spark, f"{path.rstrip('/')}/{DAY}={day.isoformat()}")
+        delete(spark, f"{path.rstrip('/')}/{DAY}={day.isoformat()}")
     return len(gone)
 
 

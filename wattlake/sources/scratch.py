@@ -35,10 +35,8 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/wattlake/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, path: str) -> DataFrame:
     """Writes the rows once and reads them back: later steps start from the
     files, with column pruning and pushed filters, also after a lost executor."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

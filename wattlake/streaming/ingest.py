@@ -9,7 +9,7 @@ from wattlake.operators.layers import (
     direct_gold_carbon, direct_gold_mix, has_key, silver_carbon, silver_mix,
 )
 from wattlake.operators.parse import (
-    display_rows, parse_carbon, parse_mix, quarantine,
+    display_rows, parse_carbon, parse_mix, quarantine, without_good_text,
 )
 from wattlake.sinks.tables import append_batch, upsert_gold
 
@@ -50,7 +50,8 @@ def _two_sinks(
         finally:
             batch.unpersist()
 
-    return parsed.writeStream.outputMode("append").foreachBatch(write)
+    held = without_good_text(parsed, value)
+    return held.writeStream.outputMode("append").foreachBatch(write)
 
 
 def mix_to_silver(

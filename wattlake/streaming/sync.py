@@ -9,7 +9,8 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from wattlake.operators.latest import high_water_mark, since
 from wattlake.operators.layers import has_key
-from wattlake.sinks.tables import exists, append_table, upsert_gold
+from wattlake.sinks.tables import append_table, upsert_gold
+from wattlake.sources.files import exists
 from wattlake.streaming.ingest import Sink, upserts
 
 MARKS = "table_name string, mark timestamp, saved_at timestamp"
