@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
@@ -165,3 +166,28 @@ def test_latest_by_region(make_events):
                                    mix(time="2024-01-06T08:00:00.000Z", total=2.0)])
     assert [r.total_production for r in latest.latest_by_region(rows).collect()] == [1.0]
     assert latest.for_regions(rows, ["DE"]).count() == 0
+
+
+def test_against_brute_force_with_a_hot_key(spark):
+    """A third of all rows on one key, many on one instant."""
+    rng = random.Random(11)
+    start = at("2024-01-06T00:00:00")
+    rows = []
+    for offset in range(1500):
+        hot = offset % 3 == 0
+        region = "FR" if hot else f"R{rng.randrange(20)}"
+        hour = 5 if hot else rng.randrange(48)
+        arrived = start + dt.timedelta(seconds=rng.randrange(40))
+        rows.append((region, start + dt.timedelta(hours=hour), arrived, 0, offset, rng.random()))
+    rng.shuffle(rows)
+    best = {}
+    for row in rows:
+        key, order = row[:2], (row[2], row[4], row[3])
+        if key not in best or order > best[key][0]:
+            best[key] = (order, row[5])
+    df = spark.createDataFrame(
+        rows, "region string, timestamp timestamp, ingestion_timestamp timestamp, "
+              "arrival_partition int, arrival_offset long, v double").repartition(6)
+    kept = latest.latest_per_key(df).collect()
+    assert len(kept) == len(best)
+    assert sorted(r.v for r in kept) == sorted(v for _, v in best.values())

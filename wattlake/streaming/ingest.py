@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from wattlake.operators.latest import latest_per_key
 from wattlake.operators.layers import (
     direct_gold_carbon, direct_gold_mix, has_key, silver_carbon, silver_mix,
 )
@@ -75,16 +76,17 @@ def carbon_to_silver(
 
 
 def upserts(rows: DataFrame, gold: Sink) -> DataStreamWriter:
-    """Each batch into gold, last write per key."""
+    """Each batch into gold, last write per key. Only the newest row per key of the
+    batch is held while its days are looked up and merged."""
     to_gold = _upsert_to(gold)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # read for the list of days and for the merge
+        newest = latest_per_key(batch).persist()
         try:
-            if not batch.isEmpty():
-                to_gold(batch, batch_id)
+            if not newest.isEmpty():
+                to_gold(newest, batch_id)
         finally:
-            batch.unpersist()
+            newest.unpersist()
 
     return rows.writeStream.outputMode("append").foreachBatch(write)
 
