@@ -5,15 +5,14 @@ import os
 
 import pytest
 
-import __spark_entry__ as contract
 from tests.conftest import SF
+from wattlake.plans.oracles import ORACLES
+from wattlake.plans.queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 if not os.path.exists(SF):
     pytest.skip("no test tables", allow_module_level=True)
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def tables():
@@ -49,3 +48,10 @@ def test_rows_only(spark, name):
 
 def test_every_oracle_has_its_query():
     assert set(ORACLES) <= set(QUERIES)
+
+
+def test_the_contract_registers_them():
+    import __spark_entry__ as contract
+
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql())
