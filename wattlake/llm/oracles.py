@@ -34,6 +34,37 @@ SELECT doc_id, size, n::BIGINT AS source_size, target,
 FROM placed JOIN parts ON placed.source IS NOT DISTINCT FROM parts.source
 """
 
+# All pairs of different sets that share a shingle, counted exactly.
+NEAR = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN []::VARCHAR[]
+                      WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                      ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))))
+                 END AS s
+  FROM w
+), classes AS (
+  SELECT min(doc_id) AS id, len(s) AS n, s FROM sets WHERE len(s) > 0 GROUP BY s
+), grams AS (
+  SELECT id, n, unnest(s) AS g FROM classes
+), pairs AS (
+  SELECT a.id AS x, b.id AS y FROM grams a JOIN grams b ON a.g = b.g AND a.id <> b.id
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT id AS x, id AS y FROM classes
+  UNION
+  SELECT r.x, p.y FROM reach r JOIN pairs p ON r.y = p.x
+), comp AS (
+  SELECT x, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT doc_id, len(sets.s) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       doc_id = coalesce(component_id, doc_id) AS kept
+FROM sets LEFT JOIN classes ON sets.s = classes.s AND len(sets.s) > 0 LEFT JOIN comp ON comp.x = classes.id
+"""
+
 # DuckDB has no checksum of this kind: the usual table by its rule, then byte by byte.
 SHARDS = r"""
 WITH steps AS (
@@ -71,6 +102,7 @@ FROM n
 
 ORACLES: dict[str, str] = {
     "op1_mix_sources": MIX,
+    "op3_near_duplicates": NEAR,
     "op7_byte_shards": SHARDS,
     "op10_content_sort": COPIES,
 }
