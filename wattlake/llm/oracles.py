@@ -34,6 +34,27 @@ SELECT doc_id, size, n::BIGINT AS source_size, target,
 FROM placed JOIN parts ON placed.source IS NOT DISTINCT FROM parts.source
 """
 
+# Every window of 20 words against its earliest place.
+PASSAGES = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []::VARCHAR[]) AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, sha256(array_to_string(w[i:i + 19], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM w)
+), repeated AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS n FROM windows
+  ) WHERE n > 1
+), covered AS (
+  SELECT doc_id, list(DISTINCT j) AS c FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM repeated) GROUP BY doc_id
+)
+SELECT w.doc_id, len(w) AS n_words, coalesce(len(c), 0) AS n_removed,
+       sha256(array_to_string(CASE WHEN c IS NULL THEN w
+         ELSE list_transform(list_sort(list_where(range(1, len(w) + 1), list_transform(range(1, len(w) + 1), lambda j: NOT list_contains(c, j)))),
+                             lambda j: w[j]) END, ' ')) AS kept_sha256
+FROM w LEFT JOIN covered ON w.doc_id = covered.doc_id
+"""
+
 # All pairs of different sets that share a shingle, counted exactly.
 NEAR = r"""
 WITH RECURSIVE w AS (
@@ -102,6 +123,7 @@ FROM n
 
 ORACLES: dict[str, str] = {
     "op1_mix_sources": MIX,
+    "op2_repeated_passages": PASSAGES,
     "op3_near_duplicates": NEAR,
     "op7_byte_shards": SHARDS,
     "op10_content_sort": COPIES,

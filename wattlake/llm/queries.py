@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import content_sort, mixing, neardup, sharding
+from wattlake.llm import content_sort, mixing, neardup, sharding, substrings
 from wattlake.llm.common import read_table
 
 SHARDS = 40
@@ -22,6 +22,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_repeated_passages": op2_repeated_passages,
     "op3_near_duplicates": op3_near_duplicates,
     "op7_byte_shards": op7_byte_shards,
     "op10_content_sort": op10_content_sort,
