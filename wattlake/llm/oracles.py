@@ -86,6 +86,25 @@ SELECT doc_id, len(sets.s) AS n_shingles, coalesce(component_id, doc_id) AS comp
 FROM sets LEFT JOIN classes ON sets.s = classes.s AND len(sets.s) > 0 LEFT JOIN comp ON comp.x = classes.id
 """
 
+# Containment by counting, item by item.
+LEAKS = r"""
+WITH texts AS (
+  SELECT true AS doc, doc_id AS id, text FROM documents UNION ALL SELECT false, item_id, text FROM benchmark
+), w AS (
+  SELECT doc, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x20\x09-\x0D]+') AS w
+  FROM texts
+), grams AS (
+  SELECT doc, id, unnest(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) AS g
+  FROM w WHERE len(w) >= 5
+), items AS (
+  SELECT id, g, count(*) OVER (PARTITION BY id) AS n FROM grams WHERE NOT doc
+)
+SELECT d.id AS doc_id, i.id AS item_id, n AS n_item, count(*) AS n_shared, count(*)::DOUBLE / n AS containment
+FROM grams d JOIN items i ON d.doc AND d.g = i.g
+GROUP BY d.id, i.id, n HAVING 100 * count(*) >= 75 * n
+"""
+
 # DuckDB has no checksum of this kind: the usual table by its rule, then byte by byte.
 SHARDS = r"""
 WITH steps AS (
@@ -125,6 +144,7 @@ ORACLES: dict[str, str] = {
     "op1_mix_sources": MIX,
     "op2_repeated_passages": PASSAGES,
     "op3_near_duplicates": NEAR,
+    "op5_benchmark_leaks": LEAKS,
     "op7_byte_shards": SHARDS,
     "op10_content_sort": COPIES,
 }

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import content_sort, mixing, neardup, sharding, substrings
+from wattlake.llm import content_sort, decontamination, mixing, neardup, sharding, substrings
 from wattlake.llm.common import read_table
 
 SHARDS = 40
@@ -30,6 +30,12 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contained_items(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    )
+
+
 def op7_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = sharding.byte_shards(read_table(spark, sf_dir, "documents"), SHARDS)
     return cut.select(
@@ -46,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_repeated_passages": op2_repeated_passages,
     "op3_near_duplicates": op3_near_duplicates,
+    "op5_benchmark_leaks": op5_benchmark_leaks,
     "op7_byte_shards": op7_byte_shards,
     "op10_content_sort": op10_content_sort,
 }
