@@ -5,10 +5,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import content_sort, decontamination, mixing, neardup, sharding, substrings
+from wattlake.llm import content_sort, decontamination, mixing, neardup, quality, sharding, substrings, toxicity
 from wattlake.llm.common import read_table
 
 SHARDS = 40
+#: Score from which a label is predicted.
+PREDICTED = 0.7
+
+
+def _with_prediction(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("predicted", (F.col("score") >= PREDICTED).cast("int"))
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,12 +36,24 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_prediction(
+        toxicity.score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    )
+
+
 def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained_items(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_prediction(
+        quality.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    )
+
+
 def op7_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = sharding.byte_shards(read_table(spark, sf_dir, "documents"), SHARDS)
     return cut.select(
@@ -52,7 +70,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_repeated_passages": op2_repeated_passages,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_toxicity": op4_toxicity,
     "op5_benchmark_leaks": op5_benchmark_leaks,
+    "op6_quality": op6_quality,
     "op7_byte_shards": op7_byte_shards,
     "op10_content_sort": op10_content_sort,
 }
