@@ -2,10 +2,21 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import content_sort, decontamination, mixing, neardup, quality, sharding, substrings, toxicity
+from wattlake.llm import (
+    content_sort,
+    decontamination,
+    licenses,
+    mixing,
+    neardup,
+    quality,
+    secrets,
+    sharding,
+    substrings,
+    toxicity,
+)
 from wattlake.llm.common import read_table
 
 SHARDS = 40
@@ -62,6 +73,27 @@ def op7_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(read_table(spark, sf_dir, "documents"))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(F.encode(listed(F.filter("spans", lambda s: s["kind"] != "literal")), "UTF-8"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.exact_copies(read_table(spark, sf_dir, "documents"))
 
@@ -74,5 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_benchmark_leaks": op5_benchmark_leaks,
     "op6_quality": op6_quality,
     "op7_byte_shards": op7_byte_shards,
+    "op8_secrets": op8_secrets,
+    "op9_licenses": op9_licenses,
     "op10_content_sort": op10_content_sort,
 }
