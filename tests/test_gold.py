@@ -87,14 +87,51 @@ def test_unfinished_copy_is_dropped(spark, make_events, folder):
     assert files.children(spark, f"{path}__staged") == []
 
 
-def test_upsert_of_more_days_than_are_listed(spark, make_events, folder, monkeypatch):
-    monkeypatch.setattr(tables, "LISTED_DAYS", 1)
+def test_upsert_touches_the_days_of_the_batch_only(spark, make_events, folder):
     path = folder("gold")
     days = [mix(time=f"2024-01-0{d}T09:00:00.000Z", total=float(d)) for d in range(1, 5)]
     tables.upsert_gold(gold_rows(make_events, days), path)
     tables.upsert_gold(gold_rows(make_events, days[:2], first=50), path)
     got = content(tables.read_gold(spark, path))
     assert [(r[2], r[3]) for r in got] == [(1.0, 50), (2.0, 51), (3.0, 2), (4.0, 3)]
+    untouched = files.file_state(spark, f"{path}/date=2024-01-04")
+    tables.upsert_gold(gold_rows(make_events, days[:1], first=90), path)
+    assert files.file_state(spark, f"{path}/date=2024-01-04") == untouched
+    # days that are not in the batch may even be unreadable
+    with open(f"{path}/date=2024-01-03/part-broken.snappy.parquet", "w") as broken:
+        broken.write("no parquet")
+    tables.upsert_gold(gold_rows(make_events, days[1:2], first=95), path)
+
+
+def test_expired_day_of_an_open_swap_stays_away(spark, make_events, folder):
+    path = folder("gold")
+    tables.upsert_gold(gold_rows(make_events, [mix()]), path)
+    old = gold_rows(make_events, [mix(time="2022-01-05T09:00:00.000Z")], start="2022-01-05T10:00:00")
+    tables.write_gold(old, f"{path}__staged/left")  # a driver was lost before the move
+    assert tables.expire_gold(spark, path, at("2024-02-01T00:00:00")) == 1
+    tables.upsert_gold(gold_rows(make_events, [mix("DE")]), path)
+    assert {r.timestamp.year for r in tables.read_gold(spark, path).collect()} == {2024}
+
+
+def test_pruning_by_another_column_drops_nothing(spark, make_events, folder):
+    path = folder("gold")
+    late = [mix(), mix("DE", time="2023-05-01T09:00:00.000Z")]
+    tables.upsert_gold(gold_rows(make_events, late), path)
+    gold = tables.read_gold(spark, path)
+    mark = at("2024-01-01T00:00:00")
+    assert source_tables.read_incremental(gold, mark, "ingestion_timestamp").count() == 2
+    assert source_tables.read_incremental(gold, mark, "timestamp", "timestamp").count() == 1
+
+
+def test_newest_rows_of_regions_are_not_sorted(spark, make_events, folder):
+    path = folder("gold")
+    hours = [mix(z, f"2024-01-0{d}T{h:02}:00:00.000Z", h + d) for z in ("FR", "DE") for d in (1, 2) for h in range(24)]
+    tables.upsert_gold(gold_rows(make_events, hours), path)
+    newest = latest.latest_by_region(tables.read_gold(spark, path))
+    assert [(r.region, r.timestamp.isoformat()) for r in newest.orderBy("region").collect()] == [
+        ("DE", "2024-01-02T23:00:00"), ("FR", "2024-01-02T23:00:00")]
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "Sort " not in plan and "SortAggregate" not in plan
 
 
 def test_retention_boundary(make_events):
@@ -154,7 +191,8 @@ def test_incremental_read_prunes_days(spark, make_events, folder):
         parse.parse_mix(make_events([mix(), mix()]), arrival="timestamp"))
     tables.append_batch(silver, path, "processing_time", 0)
     fresh = source_tables.read_incremental(
-        source_tables.read_table(spark, path), at("2024-01-06T10:00:00"))
+        source_tables.read_table(spark, path), at("2024-01-06T10:00:00"),
+        stored_by="processing_time")
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
     assert "GreaterThan(processing_time" in plan

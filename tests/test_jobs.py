@@ -36,6 +36,21 @@ def test_from_topics_to_forecast(spark, root, capfd):
     run("train", "--trees", "2")
     run("predict", "--at", "2024-01-07T00:00:00", "--hours", "3", "--regions", "FR")
     run("compare", "--at", "2024-01-07T00:00:00", "--regions", "FR", "DE")
+    run("train", "--trees", "2", "--label", V.CARBON_LABEL)
+    run("predict", "--at", "2024-01-07T01:00:00+01:00", "--hours", "300", "--rows", "5", "--label",
+        V.CARBON_LABEL, "--regions", "FR")
+    intensity = spark.read.parquet(f"{root}/results/forecast_{V.CARBON_LABEL}")
+    assert intensity.count() == 300 and intensity.filter("predicted_intensity IS NULL").count() == 0
+    assert intensity.agg(F.min("datetime")).first()[0].isoformat() == "2024-01-07T00:00:00"
+    assert spark.read.parquet(f"{root}/results/reconcile").count() == 2
+    assert spark.read.parquet(f"{root}/progress").agg(F.sum("input_rows")).first()[0] > 0
+    run("landing")
+    assert spark.read.parquet(f"{root}/results/landing_summary").first().present
+    run("repair")
+    run("compact", "--days", "2024-01-06")
+    assert tables.read_gold(spark, f"{root}/gold_mix").count() == 48
+    run("expire", "--at", "2024-01-07T00:00:00")
+    assert tables.read_gold(spark, f"{root}/gold_mix").count() == 48
     shown = capfd.readouterr().out
     assert "2024-01-07 02:00:00" in shown and "predicted_consumption" in shown
     assert "success" in shown

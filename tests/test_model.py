@@ -101,3 +101,17 @@ def test_carbon_label(tables):
     assert V.CARBON_LABEL not in model.columns
     # rows without a reading cannot be learnt from
     assert sum(r.n_rows for r in model.metrics.collect()) == 480
+
+
+@pytest.mark.parametrize("regions", [40, 400])
+def test_any_number_of_regions(spark, regions, folder):
+    rows = [(f"R{r:03}", (dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)).isoformat(),
+             {"total_production": 10.0 * r + h, "total_consumption": 9.0 * r + h})
+            for r in range(regions) for h in range(6)]
+    mix, gas = gold(spark, rows), carbon(spark, [("R000", "2024-01-01T00:00:00", 50.0)])
+    trained = consumption.train(mix, gas, trees=2)
+    root = folder("models")
+    consumption.export(trained, root, at("2024-01-02T00:00:00"))
+    model, _ = models.load_latest(spark, root)
+    rows = forecast.predict_next_hours(model, mix, gas, at("2024-01-02T00:00:00"), 2).collect()
+    assert len(rows) == 2 * regions and all(r.predicted_consumption is not None for r in rows)

@@ -132,3 +132,21 @@ def test_direct_rows_keep_nulls_and_get_stable_ids(make_events):
     assert first == again
     assert [r[:2] for r in first] == [(None, None), (90.0, None)]
     assert len({r[2] for r in first}) == 2
+
+
+def test_nan_and_infinity_are_no_readings(make_events):
+    text = '{"zone":"FR","datetime":"2024-01-06T09:00:00.000Z","powerProductionTotal":%s,"renewablePercentage":%s}'
+    events = make_events([text % ("NaN", 1), text % ('"NaN"', 1), text % ('"Infinity"', 1), text % ("-Infinity", 1),
+                          text % ("5.0", '"NaN"')])
+    for strict in (False, True):
+        parsed = parse.parse_mix(events, arrival=STAMP, strict=strict)
+        assert rows(parsed, "production_total")[:4] == [(None,)] * 4
+        assert layers.silver_mix(parsed).count() == 1
+        assert parse.quarantine(parsed, "production_total").select("reason").distinct().count() == 1
+        assert [r.renewable_percentage for r in layers.silver_mix(parsed).collect()] == [0.0]
+
+
+def test_an_empty_zone_is_none(make_events):
+    parsed = parse.parse_mix(make_events([mix(""), mix("FR")]), arrival=STAMP)
+    assert [r.zone for r in layers.silver_mix(parsed).collect()] == ["FR"]
+    assert [r.reason for r in parse.quarantine(parsed, "production_total").collect()] == ["no_zone"]

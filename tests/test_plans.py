@@ -66,3 +66,13 @@ def test_forecast_grid_has_no_cross_join(lake):
     snapshot = ft.latest_snapshot(lake.gold_mix(), lake.gold_carbon())
     plan = physical(ft.forecast_grid(snapshot, at("2024-01-31T00:00:00"), 24))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_codes_do_not_move_the_rows(lake):
+    plan = physical(ft.encode_region(lake.gold_mix()))
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_latest_snapshot_sorts_nothing(lake):
+    plan = physical(ft.latest_snapshot(lake.gold_mix(), lake.gold_carbon()))
+    assert "SortAggregate" not in plan and "Sort [" not in plan

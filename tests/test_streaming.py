@@ -101,18 +101,23 @@ def test_direct_streams(spark, make_events, folder):
     topic, other, gold, gold2 = (folder(n) for n in ("mix", "carbon", "gold", "gold2"))
     feed(make_events, topic, MESSAGES)
     feed(make_events, other, [carbon(), carbon(intensity=None), carbon(None)], topic=V.TOPIC_CARBON)
+    rejects, log = folder("rejects"), control.ProgressLog(spark, folder("progress"))
     mix_query = control.start(
-        ingest.mix_to_gold(read_events(spark, "parquet", {"path": topic}), gold,
+        ingest.mix_to_gold(read_events(spark, "parquet", {"path": topic}), gold, f"{rejects}/m",
                            arrival="timestamp"), "m", folder("cp"), drain=True)
     carbon_query = control.start(
-        ingest.carbon_to_gold(read_events(spark, "parquet", {"path": other}), gold2, "timestamp"),
+        ingest.carbon_to_gold(read_events(spark, "parquet", {"path": other}), gold2, f"{rejects}/c",
+                              "timestamp"),
         "c", folder("cp"), drain=True)
-    control.run_all(spark, [mix_query, carbon_query], poll=1, report=lambda _: None)
+    control.run_all(spark, [mix_query, carbon_query], poll=1, report=lambda _: None, log=log)
+    left_out = {r.reason for r in spark.read.parquet(f"{rejects}/m").collect()}
+    assert left_out and left_out <= {"malformed", "no_zone", "no_event_time"}
+    assert [r.reason for r in spark.read.parquet(f"{rejects}/c").collect()] == ["no_zone"]
     assert [r[2] for r in content(tables.read_gold(spark, gold))] == [2.0, 3.0]
     kept = tables.read_gold(spark, gold2).collect()
     # the direct path keeps nulls: the second reading replaced the first
     assert [(r.region, r.carbon_intensity) for r in kept] == [("FR", None)]
-    progress = control.progress_table(spark, [mix_query, carbon_query])
+    progress = spark.read.parquet(log.path)
     assert {r["name"]: r["n"] for r in progress.groupBy("name").agg(
         F.sum("input_rows").alias("n")).collect()} == {"m": 6, "c": 3}
 
@@ -194,5 +199,36 @@ def test_console_job_runs(spark, make_events, folder):
 
 def test_kafka_defaults():
     options = kafka_options("broker:9092", V.TOPIC_MIX, minPartitions="64")
-    assert options["startingOffsets"] == "latest" and options["failOnDataLoss"] == "false"
+    assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "true"
     assert options["subscribe"] == V.TOPIC_MIX and options["minPartitions"] == "64"
+
+
+def test_progress_of_more_batches_than_spark_keeps(spark, folder):
+    source, n = folder("many"), 130
+    spark.range(0, n, 1, n).write.parquet(source)
+    log = control.ProgressLog(spark, folder("progress"))
+    rows = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(source)
+    query = control.start(rows.writeStream.format("noop"), "many", folder("cp"), drain=True)
+    control.drain_all([query])
+    stored = log.finish([query]).filter("name = 'many'")
+    assert stored.agg(F.sum("input_rows")).first()[0] == n
+    assert stored.select("batch_id").distinct().count() > 100
+
+
+def test_repair_finds_rows_committed_late(spark, make_events, folder):
+    gold, marks = folder("gold"), folder("marks")
+
+    def silver(messages):
+        return layers.silver_mix(parse.parse_mix(make_events(messages), arrival="timestamp"))
+
+    late = mix("DE", total=5.0)
+    new = [mix(total=1.0), mix("ES", total=2.0)]
+    whole = silver([late, *new])
+    sync.sync_batch(spark, whole.filter("zone <> 'DE'"), layers.to_gold_mix, gold, marks, "mix")
+    hours_later = whole.withColumn("processing_time", F.col("processing_time") - F.expr("INTERVAL 3 HOURS"))
+    late_rows = hours_later.filter("zone = 'DE'").unionByName(whole.filter("zone <> 'DE'"))
+    sync.sync_batch(spark, late_rows, layers.to_gold_mix, gold, marks, "mix")
+    assert tables.read_gold(spark, gold).count() == 2
+    assert sync.repair(spark, late_rows, layers.to_gold_mix, gold) == 1
+    assert tables.read_gold(spark, gold).count() == 3
+    assert sync.repair(spark, late_rows, layers.to_gold_mix, gold) == 0

@@ -3,8 +3,13 @@
 from pyspark.sql import Column, functions as F
 
 
+def finite(value: Column) -> Column:
+    """NaN and Infinity are no readings: one of them would spoil every average."""
+    return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+
+
 def number(text: Column) -> Column:
-    return text.try_cast("double")
+    return finite(text.try_cast("double"))
 
 
 def flag(text: Column) -> Column:

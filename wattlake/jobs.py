@@ -14,9 +14,12 @@ from wattlake.operators import layers, supervision
 from wattlake.plans import consumption, forecast
 from wattlake.session import build_session
 from wattlake.sinks import models
-from wattlake.sinks.tables import append_table, upsert_connector
+from wattlake.sinks.events import encode_events, enrich
+from wattlake.sinks.events import publish as publish_events
+from wattlake.sinks.tables import append_table, compact_days, expire_gold, upsert_connector
 from wattlake.sources.events import KAFKA_DEFAULTS, read_events
-from wattlake.sources.tables import read_table
+from wattlake.sources.landing import list_objects
+from wattlake.sources.tables import JdbcSlices, read_jdbc, read_table
 from wattlake.streaming import control, ingest, sync
 
 
@@ -49,11 +52,12 @@ def _upsert_sink(args, name: str):
 
 
 def _run(spark: SparkSession, args, writers: dict) -> None:
+    log = control.ProgressLog(spark, f"{args.root}/progress")  # before the first batch
     queries = [
         control.start(writer, name, f"{args.checkpoints}/{name}", args.every or None, args.drain)
         for name, writer in writers.items()
     ]
-    control.run_all(spark, queries)
+    control.run_all(spark, queries, log=log)
 
 
 def silver(spark, args):
@@ -68,11 +72,13 @@ def silver(spark, args):
 
 
 def direct(spark, args):
-    """Both topics straight into gold."""
+    """Both topics straight into gold, what cannot be used into quarantine."""
     mix, carbon = _events(spark, args, V.TOPIC_MIX), _events(spark, args, V.TOPIC_CARBON)
     _run(spark, args, {
-        "gold_mix": ingest.mix_to_gold(mix, _upsert_sink(args, "mix"), args.breakdown),
-        "gold_carbon": ingest.carbon_to_gold(carbon, _upsert_sink(args, "carbon")),
+        "gold_mix": ingest.mix_to_gold(
+            mix, _upsert_sink(args, "mix"), f"{args.root}/rejects_direct_mix", args.breakdown),
+        "gold_carbon": ingest.carbon_to_gold(
+            carbon, _upsert_sink(args, "carbon"), f"{args.root}/rejects_direct_carbon"),
     })
 
 
@@ -105,10 +111,65 @@ def sync_table(spark, args):
     shapes = {"mix": layers.to_gold_mix, "carbon": layers.to_gold_carbon}
     for name, shape in shapes.items():
         options = {k: v.replace("{table}", name) for k, v in _pairs(args.source).items()}
-        path = options.pop("path", None)
-        silver_table = read_table(spark, path, args.source_format, options)
-        sync.sync_batch(spark, silver_table, shape, f"{args.root}/gold_{name}",
-                        f"{args.root}/marks", name)
+        sync.sync_batch(spark, _silver_table(spark, args, options), shape,
+                        f"{args.root}/gold_{name}", f"{args.root}/marks", name, args.overlap)
+
+
+def _silver_table(spark: SparkSession, args, options: dict[str, str]) -> DataFrame:
+    """Over JDBC in slices if ``--slices`` names a column, its bounds and a count."""
+    if args.source_format == "jdbc":
+        url, table = options.pop("url"), options.pop("dbtable")
+        slices = None
+        if args.slices:
+            column, lower, upper, count = args.slices
+            slices = JdbcSlices(column, lower, upper, int(count))
+        return read_jdbc(spark, url, table, options, slices)
+    return read_table(spark, options.pop("path", None), args.source_format, options)
+
+
+def repair(spark, args):
+    """Silver rows that gold lacks or has older, e.g. committed after their round."""
+    shapes = {"mix": layers.to_gold_mix, "carbon": layers.to_gold_carbon}
+    for name, shape in shapes.items():
+        rows = read_table(spark, f"{args.root}/silver_{name}")
+        print(name, sync.repair(spark, rows, shape, f"{args.root}/gold_{name}"))
+
+
+def compact(spark, args):
+    """The given days of both gold tables into evenly sized files."""
+    days = [dt.date.fromisoformat(day) for day in args.days]
+    for name in ("mix", "carbon"):
+        compact_days(spark, f"{args.root}/gold_{name}", days)
+
+
+def expire(spark, args):
+    """Deletes the days of gold in which no row is young enough to keep."""
+    for name in ("mix", "carbon"):
+        print(name, expire_gold(spark, f"{args.root}/gold_{name}", _when(args.at), args.keep_days))
+
+
+def land_rolled(spark, args):
+    """Both topics as raw text files of a bounded number of messages."""
+    _run(spark, args, {
+        f"rolled_{topic}": ingest.land_rolled(
+            _events(spark, args, topic), f"{args.root}/rolled/{topic}", args.records)
+        for topic in (V.TOPIC_MIX, V.TOPIC_CARBON)
+    })
+
+
+def landing(spark, args):
+    """Whether anything has landed, how much, and the newest objects."""
+    listing = list_objects(spark, f"{args.root}/bronze")
+    _store(spark, args, "landing_summary", supervision.landing_summary(listing))
+    _store(spark, args, "landing_newest", supervision.newest_objects(listing))
+
+
+def publish(spark, args):
+    """Readings in a table (column ``reading``) to a topic, enriched and as JSON."""
+    options = _pairs(args.sink)
+    readings = read_table(spark, f"{args.root}/readings", "parquet")
+    publish_events(encode_events(enrich(readings), options.pop("topic")),
+                   options.pop("kafka.bootstrap.servers"), **options)
 
 
 def _gold(spark, args) -> tuple[DataFrame, DataFrame]:
@@ -127,26 +188,43 @@ def train(spark, args):
 
 
 def _when(text: str | None) -> dt.datetime:
-    now = dt.datetime.now(dt.timezone.utc)
-    return now if text is None else dt.datetime.fromisoformat(text).replace(tzinfo=dt.timezone.utc)
+    """A time without an offset is UTC, one with an offset is converted."""
+    if text is None:
+        return dt.datetime.now(dt.timezone.utc)
+    when = dt.datetime.fromisoformat(text)
+    if when.tzinfo is None:
+        return when.replace(tzinfo=dt.timezone.utc)
+    return when.astimezone(dt.timezone.utc)
+
+
+def _store(spark: SparkSession, args, name: str, rows: DataFrame) -> None:
+    """Appends all rows to a table with the time they were made for, and shows some."""
+    path = f"{args.root}/results/{name}"
+    made_at = _when(args.at)
+    rows.withColumn("made_at", F.lit(made_at)).write.mode("append").parquet(path)
+    print(f"{name}: stored in {path}, up to {args.rows} rows of it:")
+    stored = spark.read.parquet(path).filter(F.col("made_at") == F.lit(made_at)).drop("made_at")
+    stored.show(args.rows, truncate=False)
 
 
 def predict(spark, args):
-    """The next hours of the given regions, or of all."""
-    model, _ = models.load_latest(spark, f"{args.root}/model", V.CONSUMPTION_LABEL)
+    """The next hours of the given regions, or of all, for the label."""
+    model, _ = models.load_latest(spark, f"{args.root}/model", args.label)
+    name = FORECASTS[args.label]
     rows = forecast.predict_next_hours(
-        model, *_gold(spark, args), _when(args.at), args.hours, args.regions or None
-    )
-    rows.select("region", "datetime", "predicted_consumption").orderBy("region", "datetime").show(
-        args.rows, truncate=False
+        model, *_gold(spark, args), _when(args.at), args.hours, args.regions or None, name
     )
+    _store(spark, args, f"forecast_{args.label}", rows.select("region", "datetime", name))
 
 
 def compare(spark, args):
-    """Regions by predicted consumption."""
-    model, _ = models.load_latest(spark, f"{args.root}/model", V.CONSUMPTION_LABEL)
-    forecast.compare_regions(model, *_gold(spark, args), args.regions or V.ZONES,
-                             _when(args.at)).show(args.rows, truncate=False)
+    """Regions by predicted value."""
+    model, _ = models.load_latest(spark, f"{args.root}/model", args.label)
+    name = FORECASTS[args.label]
+    rows = forecast.compare_regions(
+        model, *_gold(spark, args), args.regions or V.ZONES, _when(args.at), name
+    )
+    _store(spark, args, f"comparison_{args.label}", rows)
 
 
 def report(spark, args):
@@ -157,19 +235,23 @@ def report(spark, args):
     mix, carbon = _gold(spark, args)
     as_of = F.lit(_when(args.at))
     pairs = {"mix": (silver_tables["mix"], mix), "carbon": (silver_tables["carbon"], carbon)}
-    for part in (
-        supervision.freshness(silver_tables, as_of),
-        supervision.flow_report(silver_tables, mix),
-        supervision.top_zones(silver_tables["mix"], as_of),
-        supervision.reconcile(pairs),
-        supervision.count_by_region(mix),
-    ):
-        part.show(args.rows, truncate=False)
+    for name, part in {
+        "freshness": supervision.freshness(silver_tables, as_of),
+        "flow": supervision.flow_report(silver_tables, mix),
+        "top_zones": supervision.top_zones(silver_tables["mix"], as_of),
+        "reconcile": supervision.reconcile(pairs),
+        "count_by_region": supervision.count_by_region(mix),
+    }.items():
+        _store(spark, args, name, part)
+
 
+# what a model of a label predicts
+FORECASTS = {V.CONSUMPTION_LABEL: "predicted_consumption", V.CARBON_LABEL: "predicted_intensity"}
 
 JOBS = {
     "silver": silver, "direct": direct, "land": land, "console": console, "sync": sync_gold,
-    "sync-table": sync_table,
+    "sync-table": sync_table, "repair": repair, "compact": compact, "expire": expire,
+    "land-rolled": land_rolled, "landing": landing, "publish": publish,
     "train": train, "predict": predict, "compare": compare, "report": report,
 }
 
@@ -192,7 +274,13 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--at", help="ISO time in UTC instead of now")
     p.add_argument("--hours", type=int, default=24)
     p.add_argument("--regions", nargs="*")
-    p.add_argument("--rows", type=int, default=100, help="rows shown")
+    p.add_argument("--rows", type=int, default=100, help="rows shown of a stored result")
+    p.add_argument("--overlap", default="10 minutes", help="sync-table: read again before the mark")
+    p.add_argument("--slices", nargs=4, metavar=("COLUMN", "LOWER", "UPPER", "COUNT"),
+                   help="sync-table over JDBC: parallel read")
+    p.add_argument("--days", nargs="*", default=[], help="compact: ISO days")
+    p.add_argument("--keep-days", type=int, default=V.RETENTION_DAYS)
+    p.add_argument("--records", type=int, default=1000, help="land-rolled: messages in a file")
     return p
 
 

@@ -9,6 +9,10 @@ from wattlake.operators.layers import fill_defaults
 from wattlake.operators.latest import latest_by_region
 
 
+#: regions whose codes are sent to every task, about 2 MB
+SENT_CODES = 50_000
+
+
 def mix_with_carbon(mix: DataFrame, carbon: DataFrame) -> DataFrame:
     """Every mix row with the carbon reading of its region and time, if any."""
     right = carbon.select(*V.KEY, "carbon_intensity", "is_estimated")
@@ -31,12 +35,16 @@ def short_features(joined: DataFrame) -> DataFrame:
 def encode_region(df: DataFrame) -> DataFrame:
     """Position of the region among all regions in sorted order, from 0.
 
-    The window runs over one row per region, the join broadcasts them when the
-    runtime size allows it and splits a hot region when it does not.
+    The window runs over one row per region. Up to ``SENT_CODES`` regions the codes
+    are sent to the rows, which then stay where they are; beyond that they are
+    joined, with the same result.
     """
     codes = df.select("region").distinct().withColumn(
         "region_encoded", F.dense_rank().over(Window.orderBy("region")) - 1
     )
+    few = codes.limit(SENT_CODES + 1).collect()
+    if len(few) <= SENT_CODES:
+        codes = F.broadcast(df.sparkSession.createDataFrame(few, codes.schema))
     return df.join(codes, "region")
 
 

@@ -24,8 +24,17 @@ def latest_per_key(rows: DataFrame) -> DataFrame:
 
 
 def latest_by_region(gold: DataFrame) -> DataFrame:
-    """The newest row of every region; gold has one row per region and time."""
-    return _last_by(gold, ["region"], ["timestamp"])
+    """The newest row of every region; gold has one row per region and time.
+
+    The newest times come from two columns; only the days in which they lie are
+    then read in full, and no row is sorted.
+    """
+    newest = gold.groupBy("region").agg(F.max("timestamp").alias("timestamp"))
+    keys = [*V.KEY]
+    if DAY in gold.columns:
+        newest = newest.withColumn(DAY, F.to_date("timestamp"))
+        keys.append(DAY)
+    return gold.join(newest, keys).select(*gold.columns)
 
 
 def retained(
@@ -37,21 +46,27 @@ def retained(
 
 
 def newer_than(rows: DataFrame, mark: dt.datetime | Column | None,
-               column: str = "processing_time") -> DataFrame:
-    """Rows strictly above the mark, all of them when there is none."""
+               column: str = "processing_time", stored_by: str | None = None) -> DataFrame:
+    """Rows strictly above the mark, all of them when there is none. ``stored_by``
+    names the time column whose day the table is partitioned by."""
     if mark is None:
         return rows
-    return _days_from(rows, mark).filter(F.col(column) > F.lit(mark))
+    return _days_from(rows, mark, column, stored_by).filter(F.col(column) > F.lit(mark))
 
 
-def since(rows: DataFrame, start: dt.datetime | Column, column: str) -> DataFrame:
+def since(rows: DataFrame, start: dt.datetime | Column, column: str,
+          stored_by: str | None = None) -> DataFrame:
     """Rows from ``start`` on."""
-    return _days_from(rows, start).filter(F.col(column) >= F.lit(start))
+    return _days_from(rows, start, column, stored_by).filter(F.col(column) >= F.lit(start))
 
 
-def _days_from(rows: DataFrame, start: dt.datetime | Column) -> DataFrame:
-    """A table stored by day skips the days before."""
-    return rows.filter(F.col(DAY) >= F.to_date(F.lit(start))) if DAY in rows.columns else rows
+def _days_from(rows: DataFrame, start: dt.datetime | Column, column: str,
+               stored_by: str | None) -> DataFrame:
+    """A table stored by the day of this very column skips the days before; the day
+    of another column says nothing."""
+    if stored_by != column:
+        return rows
+    return rows.filter(F.col(DAY) >= F.to_date(F.lit(start)))
 
 
 def high_water_mark(rows: DataFrame, column: str = "processing_time") -> dt.datetime | None:

@@ -17,12 +17,16 @@ def _zeros(columns: list[str]) -> dict[str, object]:
     return {c: 0.0 for c in columns}
 
 
+def _has_zone():
+    return F.col("zone").isNotNull() & (F.col("zone") != "")
+
+
 def silver_mix(parsed: DataFrame, extras: bool = False) -> DataFrame:
     """Every arrival with a zone and a production total; sources and shares
     default to 0, totals stay null. ``extras`` keeps the fields that the fourteen
     classic columns lack."""
     more = V.SILVER_MIX_EXTRAS if extras else []
-    kept = parsed.filter(F.col("zone").isNotNull() & F.col("production_total").isNotNull())
+    kept = parsed.filter(_has_zone() & F.col("production_total").isNotNull())
     zeros = V.GOLD_SOURCES + [name for _, name in V.PERCENTAGES]
     return fill_defaults(kept, _zeros(zeros)).select(*V.SILVER_MIX_COLUMNS, *more, *V.ARRIVAL)
 
@@ -30,7 +34,7 @@ def silver_mix(parsed: DataFrame, extras: bool = False) -> DataFrame:
 def silver_carbon(parsed: DataFrame, extras: bool = False) -> DataFrame:
     more = V.SILVER_CARBON_EXTRAS if extras else []
     return parsed.filter(
-        F.col("zone").isNotNull() & F.col("carbon_intensity").isNotNull()
+        _has_zone() & F.col("carbon_intensity").isNotNull()
     ).select(*V.SILVER_CARBON_COLUMNS, *more, *V.ARRIVAL)
 
 
@@ -110,4 +114,6 @@ def _arrival_id():
 
 def has_key(rows: DataFrame) -> DataFrame:
     """Rows that gold can hold: region and event time are its key."""
-    return rows.filter(F.col("region").isNotNull() & F.col("timestamp").isNotNull())
+    return rows.filter(
+        F.col("region").isNotNull() & (F.col("region") != "") & F.col("timestamp").isNotNull()
+    )

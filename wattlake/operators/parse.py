@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wattlake import vocabulary as V
-from wattlake.functions.lenient import flag, instant, number, zero_if_null
+from wattlake.functions.lenient import finite, flag, instant, number, zero_if_null
 
 
 def _arrivals(events: DataFrame, arrival: str | None) -> DataFrame:
@@ -90,7 +90,7 @@ def parse_mix(
     )
     return rows.select(
         "zone", instant(F.col("datetime")).alias("datetime"),
-        *[F.col(json_name).alias(silver) for json_name, silver in names.items()],
+        *[finite(F.col(json_name)).alias(silver) for json_name, silver in names.items()],
         *_tail(),
     )
 
@@ -105,7 +105,7 @@ def parse_carbon(
     )
     return rows.select(
         "zone", instant(F.col("datetime")).alias("datetime"),
-        F.col("carbonIntensity").alias("carbon_intensity"),
+        finite(F.col("carbonIntensity")).alias("carbon_intensity"),
         F.col("emissionFactorType").alias("emission_factor_type"),
         F.col("isEstimated").alias("is_estimated"),
         F.col("estimationMethod").alias("estimation_method"),
@@ -132,31 +132,31 @@ def display_rows(events: DataFrame, arrival: str | None = None) -> DataFrame:
     return rows.select(
         F.coalesce(F.col("zone"), F.lit(V.UNKNOWN_DISPLAY_REGION)).alias("region"),
         instant(F.col("datetime")).alias("date_heure"),
-        *[zero_if_null(F.col(source)).alias(name) for source, name in V.DISPLAY_SOURCES.items()],
+        *[zero_if_null(finite(F.col(source))).alias(name) for source, name in V.DISPLAY_SOURCES.items()],
         "processing_time",
     ).filter(F.col("date_heure").isNotNull())
 
 
-def reject_reason(value: str) -> Column:
+def reject_reason(value: str | None) -> Column:
     """Why a parsed row cannot reach gold; null for a good row.
 
-    A message with one badly typed field is not rejected, that field is null.
+    A message with one badly typed field is not rejected, that field is null. The
+    direct path keeps rows without a value: it names none. An empty zone is none.
     """
-    return (
-        F.when(F.col("malformed"), "malformed")
-        .when(F.col("zone").isNull(), "no_zone")
-        .when(F.col(value).isNull(), "no_value")
-        .when(F.col("datetime").isNull(), "no_event_time")
-    )
+    reason = F.when(F.col("malformed"), "malformed").when(
+        F.col("zone").isNull() | (F.col("zone") == ""), "no_zone")
+    if value is not None:
+        reason = reason.when(F.col(value).isNull(), "no_value")
+    return reason.when(F.col("datetime").isNull(), "no_event_time")
 
 
-def without_good_text(parsed: DataFrame, value: str) -> DataFrame:
+def without_good_text(parsed: DataFrame, value: str | None) -> DataFrame:
     """Keeps the text of rejected rows only: all that is held until both sinks
     have their rows."""
     return parsed.withColumn("raw", F.when(reject_reason(value).isNotNull(), F.col("raw")))
 
 
-def quarantine(parsed: DataFrame, value: str) -> DataFrame:
+def quarantine(parsed: DataFrame, value: str | None) -> DataFrame:
     """Rows that never reach gold, whole text kept, with the reason."""
     return (
         parsed.withColumn("reason", reject_reason(value))

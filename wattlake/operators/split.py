@@ -47,20 +47,21 @@ def temporal_cut(gold: DataFrame, test_fraction: float = 0.2) -> TemporalCut:
     by_day = [DAY] if DAY in gold.columns else []
     keys = gold.select("timestamp", "region", *by_day)
     micros = F.unix_micros("timestamp")
-    total, wanted = None, None
+    total, wanted, left = None, None, None
     low, high = None, None
     for width in (_DAY, _SECOND, 1):
         scope = keys if low is None else _between(keys, low, high)
         counts = scope.groupBy(F.floor(micros / width).cast("long").alias("slot")).count()
         if total is None:
-            counts = _with_total(counts)
-            head = counts.select("total").first()
-            total = 0 if head is None else head["total"]
+            # one row per day; the whole table is counted this once
+            days = sorted((row["slot"], row["count"]) for row in counts.collect())
+            total = sum(n for _, n in days)
             wanted = total - test_size(total, test_fraction)
             if wanted <= 0:
                 raise ValueError(f"{total} rows are too few for a test share of {test_fraction}")
-            left = wanted
-        slot, ends_here, left = _slot_of(counts, "slot", left)
+            slot, ends_here, left = _day_of(days, wanted)
+        else:
+            slot, ends_here, left = _slot_of(counts, "slot", left)
         low, high = slot * width, (slot + 1) * width
         if ends_here:
             return TemporalCut(high, None, wanted, total - wanted)
@@ -76,8 +77,13 @@ def _between(keys: DataFrame, low: int, high: int) -> DataFrame:
     return keys.filter((F.col("timestamp") >= first) & (F.col("timestamp") < end))
 
 
-def _with_total(counts: DataFrame) -> DataFrame:
-    return counts.withColumn("total", F.sum("count").over(Window.partitionBy()))
+def _day_of(days: list[tuple[int, int]], left: int) -> tuple[int, bool, int]:
+    """As ``_slot_of``, for the few rows of the days."""
+    for slot, count in days:
+        if left <= count:
+            return slot, left == count, left
+        left -= count
+    raise AssertionError("fewer rows than wanted")
 
 
 def _slot_of(counts: DataFrame, slot: str, left: int):

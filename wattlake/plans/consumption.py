@@ -5,7 +5,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -41,15 +41,24 @@ class TrainedModel:
 def region_indexer() -> StringIndexer:
     """Codes in sorted order; a region that was not there is an error."""
     return StringIndexer(
-        inputCol="region", outputCol="region_encoded", stringOrderType="alphabetAsc",
+        inputCol="region", outputCol="region_code", stringOrderType="alphabetAsc",
         handleInvalid="error",
     )
 
 
+def plain_code() -> SQLTransformer:
+    """The code as a number like any other: a nominal feature would need a bin per
+    region, and training would fail beyond 32 regions."""
+    return SQLTransformer(
+        statement="SELECT *, CAST(region_code + 0 AS DOUBLE) AS region_encoded FROM __THIS__"
+    )
+
+
 def estimator(region_codes, columns: list[str], label: str, trees: int = TREES) -> Pipeline:
     """Region code, feature vector and trees in one saved object."""
     return Pipeline(stages=[
         region_codes,
+        plain_code(),
         VectorAssembler(inputCols=columns, outputCol="features"),
         GBTRegressor(
             labelCol=label, featuresCol="features", predictionCol="prediction", lossType="squared",
@@ -88,7 +97,9 @@ def train(
     ordered = cleaned.select(*V.KEY, *inputs, label).repartition(*V.KEY).sortWithinPartitions(*V.KEY)
     training = new_path(spark, "training")
     rows = materialize(ordered, training)
-    split = temporal_split(rows, temporal_cut(rows, test_fraction))
+    # the same rows as in the training table, but still stored by day
+    counted = mix.dropna(subset=[label, *V.KEY]) if label in mix.columns else cleaned
+    split = temporal_split(rows, temporal_cut(counted, test_fraction))
     codes = region_indexer().fit(rows)
     model = estimator(codes, columns, label, trees).fit(split.filter(F.col("split") == "train"))
     scored = materialize(

@@ -38,11 +38,12 @@ def predict_consumption(
 
 
 def compare_regions(
-    model: PipelineModel, mix: DataFrame, carbon: DataFrame, regions: list[str], at: dt.datetime
+    model: PipelineModel, mix: DataFrame, carbon: DataFrame, regions: list[str], at: dt.datetime,
+    name: str = "predicted_consumption",
 ) -> DataFrame:
     """Regions by predicted value, highest first."""
     return (
-        predict_next_hours(model, mix, carbon, at, 1, regions)
-        .select("region", "predicted_consumption")
-        .orderBy(F.desc("predicted_consumption"), "region")
+        predict_next_hours(model, mix, carbon, at, 1, regions, name)
+        .select("region", name)
+        .orderBy(F.desc(name), "region")
     )

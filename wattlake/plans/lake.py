@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wattlake.operators.latest import DAY, latest_per_key
 from wattlake.operators.layers import (
-    has_key, silver_carbon, silver_mix, to_gold_carbon, to_gold_mix,
+    direct_gold_mix, has_key, silver_carbon, silver_mix, to_gold_carbon, to_gold_mix,
 )
 from wattlake.operators.parse import parse_carbon, parse_mix
 from wattlake.sinks.tables import by_day
 from wattlake.sources import feed
-from wattlake.sources.files import exists, last_change
+from wattlake.sources.files import exists, file_state
 from wattlake.sources.scratch import new_path
 
 
@@ -77,13 +77,22 @@ class Lake:
             "timestamp",
         )
 
+    def direct_mix(self) -> DataFrame:
+        """Gold of the path without silver."""
+        return self._stored(
+            "direct_mix",
+            lambda: latest_per_key(has_key(direct_gold_mix(
+                self.parsed_mix("consumption", strict=True)))),
+            "timestamp",
+        )
+
 
 _open: dict[tuple, Lake] = {}
 
 
 def open_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """One lake per session and state of the source: a changed source gets a new one."""
-    state = last_change(spark, f"{sf_dir}/events.parquet")
+    state = file_state(spark, f"{sf_dir}/events.parquet")
     key = (spark.sparkContext.applicationId, sf_dir, state)
     if key not in _open:
         _open[key] = Lake(spark, sf_dir, new_path(spark, "lake"))

@@ -1,21 +1,50 @@
-"""The same results as SQL over the ``events`` table, without the JSON detour."""
-
-from wattlake import vocabulary as V
-from wattlake.plans.queries import RETENTION_SHOWN
-from wattlake.sources import feed
+"""The same results as SQL over the ``events`` table, without the JSON detour.
+
+Names and constants are written out here and not taken from the code under test, so
+that a change on one side shows.
+"""
+
+from types import SimpleNamespace
+
+# fixed values of the data contract and of the derived feed
+C = SimpleNamespace(
+    TOPIC_MIX="mix_energie", TOPIC_CARBON="carbone_energie",
+    ZONES=["MA", "FR", "ES", "DE", "IT", "PT", "GB", "CA-ON", "SE", "NO"],
+    SILVER_SOURCES=["nuclear", "wind", "solar", "hydro", "gas", "coal", "biomass"],
+    GOLD_SOURCES=["nuclear", "wind", "solar", "hydro", "gas", "coal", "biomass", "geothermal", "oil"],
+    FOSSIL_SOURCES=["coal", "gas", "oil"],
+    PEAK_HOURS=[8, 9, 10, 18, 19, 20],
+    UNKNOWN_EMISSION_FACTOR="unknown", UNKNOWN_DISPLAY_REGION="Inconnu",
+    DEFAULT_ESTIMATION_METHOD="real_time", SYNC_INGESTION_ID="postgres-sync",
+    DISPLAY_SOURCES={"nuclear": "nucleaire", "coal": "charbon", "gas": "gaz", "wind": "eolien",
+                     "solar": "solaire", "hydro": "hydraulique"},
+    FEATURES=["region_encoded", "hour", "day_of_week", "month", "day", "is_weekend", "is_peak_hour",
+              "nuclear", "wind", "solar", "hydro", "gas", "coal", "biomass", "geothermal", "oil",
+              "total_production", "total_import", "total_export", "fossil_free_percentage",
+              "renewable_percentage", "carbon_intensity", "renewable_ratio", "fossil_ratio",
+              "production_consumption_ratio"],
+    SHORT_FEATURES=["region", "hour", "day_of_week", "month", "is_weekend", "nuclear", "wind", "solar",
+                    "hydro", "gas", "coal", "biomass", "geothermal", "oil", "total_production",
+                    "fossil_free_percentage", "renewable_percentage", "carbon_intensity"],
+    CONSUMPTION_LABEL="total_consumption", CARBON_LABEL="carbon_intensity",
+    SOURCE_OF_EVENT={"click": "nuclear", "view": "wind", "purchase": "solar", "signup": "hydro",
+                     "error": "gas"},
+    NO_CARBON=73, NO_TIME=79, NO_TOTAL=83, NO_ZONE=89, BROKEN=97, PARTITIONS=4,
+)
+RETENTION_SHOWN = 14
 
-_ZONES = "[" + ", ".join(f"'{z}'" for z in V.ZONES) + "]"
+_ZONES = "[" + ", ".join(f"'{z}'" for z in C.ZONES) + "]"
 
 
 def _breakdown(value: str, suffix: str) -> str:
-    by_source = {source: event for event, source in feed.SOURCE_OF_EVENT.items()}
+    by_source = {source: event for event, source in C.SOURCE_OF_EVENT.items()}
     return ", ".join(
         f"CASE WHEN event_type = '{by_source[s]}' AND NOT broken THEN {value} END AS {s}{suffix}"
-        for s in V.GOLD_SOURCES if s in by_source
+        for s in C.GOLD_SOURCES if s in by_source
     )
 
 
-_ABSENT = [s for s in V.GOLD_SOURCES if s not in feed.SOURCE_OF_EVENT.values()]
+_ABSENT = [s for s in C.GOLD_SOURCES if s not in C.SOURCE_OF_EVENT.values()]
 _NONE = ", ".join(f"CAST(NULL AS DOUBLE) AS {s}" for s in _ABSENT)
 
 # one row per event with the fields of both messages; as_of is the newest arrival
@@ -27,15 +56,15 @@ ev AS (
 ),
 msg AS (
   SELECT *, {_ZONES}[CAST(user_id % 10 AS INTEGER) + 1] AS polled_zone,
-         k = {feed.BROKEN} AS broken
+         k = {C.BROKEN} AS broken
   FROM ev
 ),
 now AS (SELECT max(ts) AS as_of FROM events),
 mix AS (
   SELECT event_id, ts AS processing_time, broken AS malformed, k, event_type,
-    CASE WHEN k NOT IN ({feed.NO_ZONE}, {feed.BROKEN}) THEN polled_zone END AS zone,
-    CASE WHEN k NOT IN ({feed.NO_TIME}, {feed.BROKEN}) THEN date_trunc('hour', ts) END AS datetime,
-    CASE WHEN k NOT IN ({feed.NO_TOTAL}, {feed.BROKEN}) THEN value END AS production_total,
+    CASE WHEN k NOT IN ({C.NO_ZONE}, {C.BROKEN}) THEN polled_zone END AS zone,
+    CASE WHEN k NOT IN ({C.NO_TIME}, {C.BROKEN}) THEN date_trunc('hour', ts) END AS datetime,
+    CASE WHEN k NOT IN ({C.NO_TOTAL}, {C.BROKEN}) THEN value END AS production_total,
     CASE WHEN NOT broken THEN value + k END AS consumption_total,
     CASE WHEN NOT broken THEN CAST(k * 2 AS DOUBLE) END AS import_total,
     CASE WHEN NOT broken THEN CAST(k AS DOUBLE) END AS export_total,
@@ -49,9 +78,9 @@ mix AS (
 ),
 carbon AS (
   SELECT event_id, ts AS processing_time, broken AS malformed,
-    CASE WHEN k NOT IN ({feed.NO_ZONE}, {feed.BROKEN}) THEN polled_zone END AS zone,
-    CASE WHEN k NOT IN ({feed.NO_TIME}, {feed.BROKEN}) THEN date_trunc('hour', ts) END AS datetime,
-    CASE WHEN k NOT IN ({feed.NO_CARBON}, {feed.BROKEN}) THEN CAST(k * 5 AS DOUBLE) END
+    CASE WHEN k NOT IN ({C.NO_ZONE}, {C.BROKEN}) THEN polled_zone END AS zone,
+    CASE WHEN k NOT IN ({C.NO_TIME}, {C.BROKEN}) THEN date_trunc('hour', ts) END AS datetime,
+    CASE WHEN k NOT IN ({C.NO_CARBON}, {C.BROKEN}) THEN CAST(k * 5 AS DOUBLE) END
       AS carbon_intensity,
     CASE WHEN broken THEN NULL WHEN k >= 66 THEN 'direct' WHEN k >= 33 THEN 'lifecycle' END
       AS emission_factor_type,
@@ -60,7 +89,7 @@ carbon AS (
   FROM msg
 )"""
 
-_FILLED = ", ".join(f"coalesce({s}, 0.0) AS {s}" for s in V.SILVER_SOURCES)
+_FILLED = ", ".join(f"coalesce({s}, 0.0) AS {s}" for s in C.SILVER_SOURCES)
 SILVER = MESSAGES + f""",
 silver_mix AS (
   SELECT zone, datetime, production_total, consumption_total, {_FILLED},
@@ -74,20 +103,20 @@ silver_carbon AS (
   FROM carbon WHERE zone IS NOT NULL AND carbon_intensity IS NOT NULL
 ),
 mix_rows AS (
-  SELECT zone AS region, datetime AS "timestamp", {", ".join(V.SILVER_SOURCES)},
+  SELECT zone AS region, datetime AS "timestamp", {", ".join(C.SILVER_SOURCES)},
          CAST(0 AS DOUBLE) AS geothermal, CAST(0 AS DOUBLE) AS oil,
          coalesce(consumption_total, 0.0) AS total_consumption,
          production_total AS total_production,
          CAST(0 AS DOUBLE) AS total_import, CAST(0 AS DOUBLE) AS total_export,
          fossil_free_percentage, renewable_percentage,
-         processing_time AS ingestion_timestamp, '{V.SYNC_INGESTION_ID}' AS ingestion_id, event_id
+         processing_time AS ingestion_timestamp, '{C.SYNC_INGESTION_ID}' AS ingestion_id, event_id
   FROM silver_mix
 ),
 carbon_rows AS (
   SELECT zone AS region, datetime AS "timestamp", carbon_intensity,
-         coalesce(emission_factor_type, '{V.UNKNOWN_EMISSION_FACTOR}') AS emission_factor_type,
-         false AS is_estimated, '{V.DEFAULT_ESTIMATION_METHOD}' AS estimation_method,
-         processing_time AS ingestion_timestamp, '{V.SYNC_INGESTION_ID}' AS ingestion_id, event_id
+         coalesce(emission_factor_type, '{C.UNKNOWN_EMISSION_FACTOR}') AS emission_factor_type,
+         false AS is_estimated, '{C.DEFAULT_ESTIMATION_METHOD}' AS estimation_method,
+         processing_time AS ingestion_timestamp, '{C.SYNC_INGESTION_ID}' AS ingestion_id, event_id
   FROM silver_carbon
 )"""
 
@@ -105,7 +134,7 @@ gold_mix AS ({_latest("mix_rows")}),
 gold_carbon AS ({_latest("carbon_rows")})"""
 
 _USED = ", ".join(
-    f"{s}_used AS {s}" if s not in ("coal", "biomass") else s for s in V.GOLD_SOURCES
+    f"{s}_used AS {s}" if s not in ("coal", "biomass") else s for s in C.GOLD_SOURCES
 )
 DIRECT = MESSAGES + f""",
 direct_mix AS (
@@ -113,7 +142,7 @@ direct_mix AS (
          consumption_total AS total_consumption, production_total AS total_production,
          import_total AS total_import, export_total AS total_export,
          fossil_free_percentage, renewable_percentage, processing_time AS ingestion_timestamp,
-         sha256(concat_ws('|', '{V.TOPIC_MIX}', event_id % {feed.PARTITIONS}, event_id))
+         sha256(concat_ws('|', '{C.TOPIC_MIX}', event_id % {C.PARTITIONS}, event_id))
            AS ingestion_id,
          event_id
   FROM mix
@@ -121,7 +150,7 @@ direct_mix AS (
 direct_carbon AS (
   SELECT zone AS region, datetime AS "timestamp", carbon_intensity, emission_factor_type,
          is_estimated, estimation_method, processing_time AS ingestion_timestamp,
-         sha256(concat_ws('|', '{V.TOPIC_CARBON}', event_id % {feed.PARTITIONS}, event_id))
+         sha256(concat_ws('|', '{C.TOPIC_CARBON}', event_id % {C.PARTITIONS}, event_id))
            AS ingestion_id,
          event_id
   FROM carbon
@@ -134,7 +163,7 @@ joined AS (
   LEFT JOIN gold_carbon c ON m.region = c.region AND m."timestamp" = c."timestamp"
 )"""
 
-_PEAK = ", ".join(map(str, V.PEAK_HOURS))
+_PEAK = ", ".join(map(str, C.PEAK_HOURS))
 
 
 def _calendar(ts: str) -> str:
@@ -157,7 +186,7 @@ _SPLIT = """CASE WHEN row_number() OVER (ORDER BY "timestamp", region)
   <= count(*) OVER () - ceil(CAST(0.2 AS DOUBLE) * count(*) OVER ()) THEN 'train' ELSE 'test' END
   AS split"""
 
-_NUMERIC = [c for c in V.FEATURES if c != "region_encoded"]
+_NUMERIC = [c for c in C.FEATURES if c != "region_encoded"]
 
 SNAPSHOT = GOLD + f""",
 last_mix AS (
@@ -215,12 +244,35 @@ def _rejects(table: str, value: str, topic: str) -> str:
 
 
 _QUARANTINE = (
-    _rejects("mix", "production_total", V.TOPIC_MIX) + " UNION ALL "
-    + _rejects("carbon", "carbon_intensity", V.TOPIC_CARBON)
+    _rejects("mix", "production_total", C.TOPIC_MIX) + " UNION ALL "
+    + _rejects("carbon", "carbon_intensity", C.TOPIC_CARBON)
 )
+_KEYLESS = """CASE WHEN malformed THEN 'malformed' WHEN zone IS NULL THEN 'no_zone'
+  WHEN datetime IS NULL THEN 'no_event_time' END"""
+_DIRECT_REJECTS = " UNION ALL ".join(
+    f"SELECT * FROM (SELECT '{topic}' AS topic, {_KEYLESS} AS reason FROM {table}) WHERE reason IS NOT NULL"
+    for table, topic in (("mix", C.TOPIC_MIX), ("carbon", C.TOPIC_CARBON))
+)
+# rows of a model: those with its label, split in time order
+_LEARNED = JOINED + f""",
+labelled AS (SELECT *, total_consumption AS y FROM joined),
+consumption_rows AS (SELECT *, {_SPLIT} FROM labelled),
+carbon_labelled AS (SELECT *, carbon_intensity AS y FROM joined WHERE carbon_intensity IS NOT NULL),
+carbon_learned AS (SELECT *, {_SPLIT} FROM carbon_labelled)"""
+_MODEL_FEATURES = [c for c in C.FEATURES if c != "production_consumption_ratio"]
+
+
+def _learned(table: str) -> str:
+    return _q(_LEARNED, f"""SELECT split, count(*) AS n_rows, count(*) FILTER (WHERE y = 0) AS n_zero_actual,
+  true AS sound FROM {table} GROUP BY split""")
+
+
+_HOURS = _q(SNAPSHOT, """SELECT region, date_trunc('hour', as_of) + INTERVAL 1 HOUR * h AS datetime,
+  CAST(extract(hour FROM date_trunc('hour', as_of) + INTERVAL 1 HOUR * h) AS INTEGER) AS hour, true AS predicted
+FROM snapshot, now, range(24) AS hours(h)""")
 _DISPLAY = (
-    f"SELECT coalesce(zone, '{V.UNKNOWN_DISPLAY_REGION}') AS region, datetime AS date_heure, "
-    + ", ".join(f"coalesce({s}, 0.0) AS {shown}" for s, shown in V.DISPLAY_SOURCES.items())
+    f"SELECT coalesce(zone, '{C.UNKNOWN_DISPLAY_REGION}') AS region, datetime AS date_heure, "
+    + ", ".join(f"coalesce({s}, 0.0) AS {shown}" for s, shown in C.DISPLAY_SOURCES.items())
     + ", processing_time FROM mix WHERE datetime IS NOT NULL"
 )
 
@@ -229,7 +281,7 @@ GOLD_CARBON_ROWS = _q(GOLD, "SELECT * FROM gold_carbon")
 DIRECT_MIX_ROWS = _q(DIRECT, _latest("direct_mix"))
 
 ORACLES: dict[str, str] = {
-    "src_events": f"""SELECT '{V.TOPIC_MIX}' AS topic, event_id, ts AS processing_time,
+    "src_events": f"""SELECT '{C.TOPIC_MIX}' AS topic, event_id, ts AS processing_time,
   true AS has_text FROM events""",
     "enrich_events": _q(MESSAGES, """SELECT event_id, polled_zone AS zone,
   epoch_us(ts) / 1e6::DOUBLE AS epoch, strftime(ts, '%Y-%m-%d %H:%M:%S') AS date_processing
@@ -240,7 +292,7 @@ FROM msg"""),
   CASE WHEN NOT malformed THEN strftime(processing_time, '%Y-%m-%d %H:%M:%S') END
     AS date_processing
 FROM carbon"""),
-    "parse_mix": _q(MESSAGES, f"SELECT {_PARSED}, {', '.join(V.GOLD_SOURCES)} FROM mix"),
+    "parse_mix": _q(MESSAGES, f"SELECT {_PARSED}, {', '.join(C.GOLD_SOURCES)} FROM mix"),
     "parse_mix_consumption": _q(MESSAGES, f"SELECT {_PARSED}, {_USED} FROM mix"),
     "parse_mix_path": _q(MESSAGES, """SELECT event_id, zone, production_total, consumption_total,
   nuclear, wind, renewable_percentage, export_total AS hydro_discharge FROM mix"""),
@@ -250,7 +302,7 @@ FROM carbon"""),
         "SELECT event_id, coalesce(zone, 'unknown') AS zone, "
         + ", ".join(
             f"coalesce({c}, 0.0) AS {c}"
-            for c in V.GOLD_SOURCES + ["production_total", "renewable_percentage"]
+            for c in C.GOLD_SOURCES + ["production_total", "renewable_percentage"]
         )
         + " FROM mix",
     ),
@@ -314,20 +366,22 @@ behind_carbon AS ({_latest("carbon_rows", _BEHIND)})""",
   'success' AS status"""),
     "mix_carbon": _q(JOINED, "SELECT * FROM joined"),
     "features": _q(FEATURED, f"""SELECT region, "timestamp", {", ".join(_NUMERIC)},
-  {V.CONSUMPTION_LABEL} FROM featured"""),
+  {C.CONSUMPTION_LABEL} FROM featured"""),
     "features_spark_dow": _q(JOINED, f"""SELECT region,
   CAST(extract(hour FROM "timestamp") AS INTEGER) AS hour,
   CAST(dayofweek("timestamp") + 1 AS INTEGER) AS day_of_week,
   CAST(extract(month FROM "timestamp") AS INTEGER) AS month,
   CAST(dayofweek("timestamp") IN (0, 6) AS INTEGER) AS is_weekend,
-  {", ".join(V.SHORT_FEATURES[5:])}, {V.CONSUMPTION_LABEL}
-FROM joined WHERE {V.CONSUMPTION_LABEL} IS NOT NULL"""),
+  {", ".join(C.SHORT_FEATURES[5:])}, {C.CONSUMPTION_LABEL}
+FROM joined WHERE {C.CONSUMPTION_LABEL} IS NOT NULL"""),
     "region_encoded": _q(GOLD, """SELECT region, "timestamp",
   CAST(dense_rank() OVER (ORDER BY region) - 1 AS INTEGER) AS region_encoded FROM gold_mix"""),
+    "region_rows": _q(GOLD, """SELECT region, "timestamp", total_production FROM gold_mix
+WHERE region IN ('MA', 'FR')"""),
     "region_count": _q(GOLD, "SELECT count(DISTINCT region) AS regions FROM gold_mix"),
     "training_set": _q(FEATURED, f"""SELECT region, "timestamp",
   CAST(dense_rank() OVER (ORDER BY region) - 1 AS INTEGER) AS region_encoded,
-  {", ".join(f"coalesce({c}, 0) AS {c}" for c in _NUMERIC)}, {V.CONSUMPTION_LABEL}
+  {", ".join(f"coalesce({c}, 0) AS {c}" for c in _NUMERIC)}, {C.CONSUMPTION_LABEL}
 FROM featured"""),
     "temporal_split": _q(GOLD, f'SELECT region, "timestamp", {_SPLIT} FROM gold_mix'),
     "regression_metrics": _q(JOINED + f""",
@@ -353,6 +407,8 @@ grid AS (
     "stream_rejects": _q(MESSAGES, f"""SELECT topic, reason, count(*) AS row_count
 FROM ({_QUARANTINE}) GROUP BY ALL"""),
     "stream_gold": DIRECT_MIX_ROWS,
+    "rejects_direct": _q(MESSAGES, f"""SELECT topic, reason, count(*) AS row_count
+FROM ({_DIRECT_REJECTS}) GROUP BY ALL"""),
     "sync_mix": GOLD_MIX_ROWS,
     "sync_carbon": GOLD_CARBON_ROWS,
     "sync_marked": GOLD_MIX_ROWS,
@@ -360,13 +416,40 @@ FROM ({_QUARANTINE}) GROUP BY ALL"""),
         f"""SELECT '{topic}' AS topic, strftime(processing_time, '%Y-%m-%d') AS date,
   count(*) AS messages, count(zone) AS with_zone, count(*) FILTER (WHERE malformed) AS broken
 FROM {table} GROUP BY ALL"""
-        for table, topic in (("mix", V.TOPIC_MIX), ("carbon", V.TOPIC_CARBON))
+        for table, topic in (("mix", C.TOPIC_MIX), ("carbon", C.TOPIC_CARBON))
     )),
-    "bronze_rolled": f"""SELECT '{V.TOPIC_MIX}' AS topic,
-  CAST(event_id % {feed.PARTITIONS} AS INTEGER) AS "partition", count(*) AS messages,
+    "bronze_rolled": f"""SELECT '{C.TOPIC_MIX}' AS topic,
+  CAST(event_id % {C.PARTITIONS} AS INTEGER) AS "partition", count(*) AS messages,
   true AS within_limit FROM events GROUP BY ALL""",
     "progress": """SELECT 'mix' AS name, count(*) AS input_rows FROM events
 UNION ALL SELECT 'carbon' AS name, count(*) AS input_rows FROM events""",
+    "bronze_listing": _q(MESSAGES, " UNION ALL ".join(
+        f"""SELECT DISTINCT '{topic}' AS topic, strftime(processing_time, '%Y-%m-%d') AS date,
+  true AS none_newer, true AS filled FROM {table}"""
+        for table, topic in (("mix", C.TOPIC_MIX), ("carbon", C.TOPIC_CARBON))
+    )),
+    "bronze_summary": """SELECT 2 * count(*) AS messages, count(*) > 0 AS present, true AS all_bytes
+FROM events""",
+    "train_consumption": _learned("consumption_rows"),
+    "train_carbon": _learned("carbon_learned"),
+    "feature_importance": "SELECT unnest(["
+    + ", ".join(f"'{f}'" for f in _MODEL_FEATURES)
+    + "]) AS feature, true AS is_share, true AS sums_to_one",
+    "residuals": _q(_LEARNED, """SELECT region, "timestamp", split, y AS actual, true AS adds_up
+FROM consumption_rows WHERE split = 'test'"""),
+    "model_run": _q(_LEARNED, f"""SELECT 'total_consumption' AS label,
+  count(*) FILTER (WHERE split = 'train') AS train_rows, count(*) FILTER (WHERE split = 'test') AS test_rows,
+  {len(_MODEL_FEATURES)} AS n_features, count(*) FILTER (WHERE split = 'test' AND y = 0) AS n_zero_actual,
+  '{",".join(_MODEL_FEATURES)}' AS features FROM consumption_rows"""),
+    "latest_model": f"""SELECT true AS named, 'total_consumption' AS label,
+  {len(_MODEL_FEATURES)} AS n_features""",
+    "predict_consumption": _q(SNAPSHOT, """SELECT region,
+  date_trunc('day', as_of) + INTERVAL 1 DAY + INTERVAL 10 HOUR AS datetime, total_production, true AS predicted
+FROM snapshot, now WHERE region = 'MA'"""),
+    "predict_next_hours": _HOURS,
+    "predict_next_intensity": _HOURS,
+    "compare_regions": _q(SNAPSHOT, """SELECT region, true AS predicted FROM snapshot
+WHERE region IN ('MA', 'FR', 'ES', 'DE')"""),
     "intensity_by_zone": _q(JOINED, """SELECT region, count(*) AS readings,
   round(avg(carbon_intensity), 4) AS avg_intensity, min(carbon_intensity) AS min_intensity,
   max(carbon_intensity) AS max_intensity
@@ -375,8 +458,8 @@ FROM joined WHERE carbon_intensity IS NOT NULL GROUP BY region"""),
         DIRECT + f""",
 latest AS ({_latest("direct_mix")}),
 sums AS (
-  SELECT region, sum({" + ".join(f"coalesce({s}, 0.0)" for s in V.FOSSIL_SOURCES)}) AS fossil,
-         sum({" + ".join(f"coalesce({s}, 0.0)" for s in V.GOLD_SOURCES)}) AS output
+  SELECT region, sum({" + ".join(f"coalesce({s}, 0.0)" for s in C.FOSSIL_SOURCES)}) AS fossil,
+         sum({" + ".join(f"coalesce({s}, 0.0)" for s in C.GOLD_SOURCES)}) AS output
   FROM latest GROUP BY region
 )""",
         """SELECT region, round(fossil, 4) AS fossil, round(output, 4) AS output,

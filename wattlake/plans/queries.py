@@ -15,7 +15,7 @@ from wattlake.functions.calendar import tomorrow_at
 from wattlake.functions.identity import base_name
 from wattlake.operators import declared, features as ft, layers, metrics, parse, supervision
 from wattlake.operators.latest import (
-    high_water_mark, latest_by_region, latest_per_key, retained,
+    for_regions, high_water_mark, latest_by_region, latest_per_key, retained,
 )
 from wattlake.operators.split import temporal_cut, temporal_split
 from wattlake.plans import consumption, forecast
@@ -32,8 +32,6 @@ from wattlake.sources.scratch import new_path
 from wattlake.sources.tables import read_incremental
 from wattlake.streaming import control, ingest, sync
 
-# the learner's default is 300 trees; the registered queries grow fewer
-QUERY_TREES = 20
 RETENTION_SHOWN = 14
 ROLL_SHOWN = 1000
 MORNING_HOUR = 10
@@ -254,7 +252,7 @@ def incremental_read(spark, sf_dir):
     """Silver rows above the mark of a day before the newest arrival."""
     mark = _as_of(spark, sf_dir) - F.expr("INTERVAL 1 DAY")
     return _plain_times(_with_event_id(
-        read_incremental(_lake(spark, sf_dir).silver_mix(), mark)
+        read_incremental(_lake(spark, sf_dir).silver_mix(), mark, stored_by="processing_time")
     ))
 
 
@@ -372,41 +370,49 @@ def region_count(spark, sf_dir):
 
 # --- streams -------------------------------------------------------------------
 
-def _fill_silver(spark, sf_dir) -> tuple[str, str, str]:
-    """Both ingest streams, side by side, to their end."""
-    mix, carbon, rejects = (new_path(spark, n) for n in ("mix", "carbon", "rejects"))
-    arrival = "timestamp"
+_TO_SILVER = {"mix": ingest.mix_to_silver, "carbon": ingest.carbon_to_silver}
+_TO_GOLD = {"mix": ingest.mix_to_gold, "carbon": ingest.carbon_to_gold}
+
+
+def _fill(spark, sf_dir, jobs, names) -> tuple[str, str]:
+    """The ingest streams of the topics, side by side, to their end: the folders of
+    their tables and of their rejects."""
+    out, rejects = new_path(spark, "filled"), new_path(spark, "rejects")
     control.drain_all([
         control.start(
-            ingest.mix_to_silver(_topic(spark, sf_dir, "mix"), mix, f"{rejects}/mix",
-                                 arrival),
-            "silver_mix", new_path(spark, "cp"), drain=True),
-        control.start(
-            ingest.carbon_to_silver(_topic(spark, sf_dir, "carbon"), carbon,
-                                    f"{rejects}/carbon", arrival),
-            "silver_carbon", new_path(spark, "cp"), drain=True),
+            jobs[name](_topic(spark, sf_dir, name), f"{out}/{name}", f"{rejects}/{name}",
+                       arrival="timestamp"),
+            f"fill_{name}", new_path(spark, "cp"), drain=True)
+        for name in names
     ])
-    return mix, carbon, rejects
+    return out, rejects
+
+
+def _count_rejects(spark, rejects: str) -> DataFrame:
+    both = spark.read.parquet(f"{rejects}/mix").unionByName(spark.read.parquet(f"{rejects}/carbon"))
+    return both.groupBy("topic", "reason").agg(F.count("*").alias("row_count"))
 
 
 def stream_silver(spark, sf_dir):
-    mix, _, _ = _fill_silver(spark, sf_dir)
-    return _plain_times(_with_event_id(spark.read.parquet(mix).drop("date", "batch_id")))
+    out, _ = _fill(spark, sf_dir, _TO_SILVER, ["mix"])
+    return _plain_times(_with_event_id(spark.read.parquet(f"{out}/mix").drop("date", "batch_id")))
 
 
 def stream_rejects(spark, sf_dir):
-    _, _, rejects = _fill_silver(spark, sf_dir)
-    both = spark.read.parquet(f"{rejects}/mix").unionByName(spark.read.parquet(f"{rejects}/carbon"))
-    return both.groupBy("topic", "reason").agg(F.count("*").alias("row_count"))
+    _, rejects = _fill(spark, sf_dir, _TO_SILVER, ["mix", "carbon"])
+    return _count_rejects(spark, rejects)
 
 
 def stream_gold(spark, sf_dir):
     """Events straight to gold."""
-    gold = new_path(spark, "gold")
-    job = ingest.mix_to_gold(_topic(spark, sf_dir, "mix"), gold,
-                             arrival="timestamp")
-    control.drain_all([control.start(job, "gold_mix", new_path(spark, "cp"), drain=True)])
-    return _plain_times(_with_event_id(read_gold(spark, gold).drop("date")))
+    out, _ = _fill(spark, sf_dir, _TO_GOLD, ["mix"])
+    return _plain_times(_with_event_id(read_gold(spark, f"{out}/mix").drop("date")))
+
+
+def rejects_direct(spark, sf_dir):
+    """What the path without silver puts into quarantine."""
+    _, rejects = _fill(spark, sf_dir, _TO_GOLD, ["mix", "carbon"])
+    return _count_rejects(spark, rejects)
 
 
 def _sync(spark, silver, shape) -> DataFrame:
@@ -417,13 +423,13 @@ def _sync(spark, silver, shape) -> DataFrame:
 
 
 def sync_mix(spark, sf_dir):
-    mix, _, _ = _fill_silver(spark, sf_dir)
-    return _sync(spark, mix, layers.to_gold_mix)
+    out, _ = _fill(spark, sf_dir, _TO_SILVER, ["mix"])
+    return _sync(spark, f"{out}/mix", layers.to_gold_mix)
 
 
 def sync_carbon(spark, sf_dir):
-    _, carbon, _ = _fill_silver(spark, sf_dir)
-    return _sync(spark, carbon, layers.to_gold_carbon)
+    out, _ = _fill(spark, sf_dir, _TO_SILVER, ["carbon"])
+    return _sync(spark, f"{out}/carbon", layers.to_gold_carbon)
 
 
 def sync_marked(spark, sf_dir):
@@ -474,19 +480,37 @@ def bronze_rolled(spark, sf_dir):
 
 
 def bronze_listing(spark, sf_dir):
-    """The five newest landed objects."""
+    """Topics and days of the landed objects; none is newer than the newest listed."""
     listing = list_objects(spark, _landed(spark, sf_dir))
-    return _plain_times(supervision.newest_objects(listing))
+    newest = supervision.newest_objects(listing, 1).select(F.col("modificationTime").alias("newest"))
+    place = F.col("path")
+    return (
+        listing.join(newest, listing["modificationTime"] <= newest["newest"], "left")
+        .groupBy(
+            F.regexp_extract(place, "topic=([^/]+)", 1).alias("topic"),
+            F.regexp_extract(place, "date=([^/]+)", 1).alias("date"),
+        )
+        .agg((F.count_if(F.col("newest").isNull()) == 0).alias("none_newer"),
+             (F.min("length") > 0).alias("filled"))
+    )
 
 
 def bronze_summary(spark, sf_dir):
-    """Whether anything has landed, how many objects and bytes."""
-    listing = list_objects(spark, _landed(spark, sf_dir))
-    return _plain_times(supervision.landing_summary(listing))
+    """Whether anything has landed, and whether all bytes of the messages have."""
+    where = _landed(spark, sf_dir)
+    summary = supervision.landing_summary(list_objects(spark, where))
+    texts = read_landed(spark, f"{where}/mix").unionByName(read_landed(spark, f"{where}/carbon"))
+    landed = texts.agg(
+        F.count("*").alias("messages"), F.sum(F.octet_length("value") + 1).alias("text_bytes")
+    )
+    return landed.join(summary).select(
+        "messages", "present", (F.col("bytes") == F.col("text_bytes")).alias("all_bytes")
+    )
 
 
 def progress(spark, sf_dir):
-    """Rows each stream has read, from its progress reports."""
+    """Rows each stream has read, from the stored reports of its batches."""
+    log = control.ProgressLog(spark, new_path(spark, "progress"))
     jobs = [
         control.start(
             ingest.raw_text(_topic(spark, sf_dir, name)).writeStream.format("noop"),
@@ -494,7 +518,8 @@ def progress(spark, sf_dir):
         for name in ("mix", "carbon")
     ]
     control.drain_all(jobs)
-    return control.progress_table(spark, jobs).groupBy("name").agg(
+    mine = log.finish(jobs).filter(F.col("name").isin("mix", "carbon"))
+    return mine.groupBy("name").agg(
         F.sum("input_rows").alias("input_rows")
     )
 
@@ -507,7 +532,7 @@ def _trained_root(spark, sf_dir, label=V.CONSUMPTION_LABEL) -> str:
     lake = _lake(spark, sf_dir)
     root = f"{lake.root}/runs_{label}"
     if not exists(spark, models.runs_path(root)):
-        trained = consumption.train(lake.gold_mix(), lake.gold_carbon(), label, trees=QUERY_TREES)
+        trained = consumption.train(lake.gold_mix(), lake.gold_carbon(), label)
         trained.scored.write.mode("overwrite").parquet(f"{root}/scored")
         consumption.export(trained, root, dt.datetime.now(dt.timezone.utc))
     return root
@@ -526,44 +551,79 @@ def regression_metrics(spark, sf_dir):
     return scored.withColumns({c: F.round(c, 4) for c in ("mae", "rmse", "r2", "mape")})
 
 
+# What a learner computes has no twin in SQL: these queries give the parts that are
+# determined by the data, and say whether the learned numbers keep to what must hold.
+
+def _is_number(value: Column) -> Column:
+    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+
+
+def _quality(spark, sf_dir, label) -> DataFrame:
+    root = _trained_root(spark, sf_dir, label)
+    found = metrics.regression_metrics(spark.read.parquet(f"{root}/scored"), label)
+    finite = [_is_number(F.col(c)) for c in ("mae", "rmse", "r2", "mape")]
+    ordered = (F.col("mae") >= 0) & (F.col("rmse") >= F.col("mae")) & (F.col("r2") <= 1)
+    return found.select(
+        "split", "n_rows", "n_zero_actual",
+        (finite[0] & finite[1] & finite[2] & finite[3] & ordered).alias("sound"),
+    )
+
+
 def train_consumption(spark, sf_dir):
-    root = _trained_root(spark, sf_dir)
-    return metrics.regression_metrics(spark.read.parquet(f"{root}/scored"), V.CONSUMPTION_LABEL)
+    return _quality(spark, sf_dir, V.CONSUMPTION_LABEL)
 
 
 def train_carbon(spark, sf_dir):
-    root = _trained_root(spark, sf_dir, V.CARBON_LABEL)
-    return metrics.regression_metrics(spark.read.parquet(f"{root}/scored"), V.CARBON_LABEL)
+    return _quality(spark, sf_dir, V.CARBON_LABEL)
 
 
 def feature_importance(spark, sf_dir):
+    """Every feature of the model once, with a share between 0 and 1; all sum to 1."""
     root = _trained_root(spark, sf_dir)
     run_id = models.latest_run(spark, root).first()["run_id"]
-    return (
+    weights = (
         spark.read.schema("feature string, importance double").option("header", True)
         .csv(f"{root}/importance/{run_id}")
-        .orderBy(F.desc("importance"), "feature").limit(15)
+    )
+    total = weights.agg(F.sum("importance").alias("total"))
+    return weights.join(total).select(
+        "feature", F.col("importance").between(0, 1).alias("is_share"),
+        (F.abs(F.col("total") - 1) < 1e-6).alias("sums_to_one"),
     )
 
 
 def residuals(spark, sf_dir):
     root = _trained_root(spark, sf_dir)
     scored = spark.read.parquet(f"{root}/scored").filter(F.col("split") == "test")
-    return _plain_times(metrics.residuals(scored, V.CONSUMPTION_LABEL))
+    rows = metrics.residuals(scored, V.CONSUMPTION_LABEL)
+    return _plain_times(rows.select(
+        *V.KEY, "split", "actual",
+        (F.col("residual") == F.col("actual") - F.col("predicted")).alias("adds_up"),
+    ))
 
 
 def model_run(spark, sf_dir):
     root = _trained_root(spark, sf_dir)
-    return _plain_times(models.latest_run(spark, root).drop("model_path"))
+    return models.latest_run(spark, root, V.CONSUMPTION_LABEL).select(
+        "label", "train_rows", "test_rows", "n_features", "n_zero_actual",
+        F.array_join("features", ",").alias("features"),
+    )
 
 
 def latest_model(spark, sf_dir):
+    """The newest run is found, and its folder bears its name."""
     root = _trained_root(spark, sf_dir)
     return models.latest_run(spark, root).select(
-        base_name(F.col("model_path")).alias("model"), "label", "n_features"
+        (base_name(F.col("model_path")) == F.col("run_id")).alias("named"), "label", "n_features"
     )
 
 
+def region_rows(spark, sf_dir):
+    """Gold of two regions only."""
+    gold = _lake(spark, sf_dir).gold_mix()
+    return _plain_times(for_regions(gold, V.ZONES[:2]).select(*V.KEY, "total_production"))
+
+
 def latest_snapshot(spark, sf_dir):
     lake = _lake(spark, sf_dir)
     snapshot = ft.latest_snapshot(lake.gold_mix(), lake.gold_carbon())
@@ -586,7 +646,10 @@ def predict_consumption(spark, sf_dir):
     mix, carbon = _gold(spark, sf_dir)
     at = tomorrow_at(_as_of(spark, sf_dir), MORNING_HOUR)
     row = forecast.predict_consumption(model, mix, carbon, V.ZONES[0], at, run["run_id"])
-    return _plain_times(row.drop("features", "model"))
+    return _plain_times(row.select(
+        "region", "datetime", F.col("features.total_production").alias("total_production"),
+        _is_number(F.col("predicted_consumption")).alias("predicted"),
+    ))
 
 
 def predict_next_hours(spark, sf_dir):
@@ -594,7 +657,9 @@ def predict_next_hours(spark, sf_dir):
     mix, carbon = _gold(spark, sf_dir)
     start = F.date_trunc("hour", _as_of(spark, sf_dir))
     rows = forecast.predict_next_hours(model, mix, carbon, start, 24)
-    return _plain_times(rows.select("region", "datetime", "predicted_consumption"))
+    return _plain_times(rows.select(
+        "region", "datetime", "hour", _is_number(F.col("predicted_consumption")).alias("predicted")
+    ))
 
 
 def predict_next_intensity(spark, sf_dir):
@@ -605,13 +670,16 @@ def predict_next_intensity(spark, sf_dir):
     rows = forecast.predict_next_hours(
         model, mix, carbon, start, 24, name="predicted_intensity"
     )
-    return _plain_times(rows.select("region", "datetime", "predicted_intensity"))
+    return _plain_times(rows.select(
+        "region", "datetime", "hour", _is_number(F.col("predicted_intensity")).alias("predicted")
+    ))
 
 
 def compare_regions(spark, sf_dir):
     model, _ = models.load_latest(spark, _trained_root(spark, sf_dir))
     mix, carbon = _gold(spark, sf_dir)
-    return forecast.compare_regions(model, mix, carbon, V.ZONES[:4], _as_of(spark, sf_dir))
+    rows = forecast.compare_regions(model, mix, carbon, V.ZONES[:4], _as_of(spark, sf_dir))
+    return rows.select("region", _is_number(F.col("predicted_consumption")).alias("predicted"))
 
 
 # --- declared aims -----------------------------------------------------------------
@@ -622,10 +690,7 @@ def intensity_by_zone(spark, sf_dir):
 
 
 def fossil_share(spark, sf_dir):
-    lake = _lake(spark, sf_dir)
-    gold = latest_per_key(layers.has_key(layers.direct_gold_mix(
-        lake.parsed_mix("consumption", strict=True))))
-    rows = declared.fossil_share(gold)
+    rows = declared.fossil_share(_lake(spark, sf_dir).direct_mix())
     return rows.withColumns({c: F.round(c, 4) for c in ("fossil", "output", "fossil_share")})
 
 
@@ -680,6 +745,7 @@ QUERIES: dict[str, Query] = {
     "features_spark_dow": features_spark_dow,
     "region_encoded": region_encoded,
     "region_count": region_count,
+    "region_rows": region_rows,
     "training_set": training_set,
     "temporal_split": split_rows,
     "regression_metrics": regression_metrics,
@@ -688,6 +754,7 @@ QUERIES: dict[str, Query] = {
     "stream_silver": stream_silver,
     "stream_rejects": stream_rejects,
     "stream_gold": stream_gold,
+    "rejects_direct": rejects_direct,
     "sync_mix": sync_mix,
     "sync_carbon": sync_carbon,
     "sync_marked": sync_marked,

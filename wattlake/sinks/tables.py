@@ -6,11 +6,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from wattlake import vocabulary as V
 from wattlake.operators.latest import DAY, latest_per_key
-from wattlake.sources.files import children, delete, exists
+from wattlake.sources.files import children, delete, exists, move
 
 BATCH = "batch_id"
-# above this many days in one batch gold is read whole instead of by day list
-LISTED_DAYS = 3660
 
 
 def by_day(df: DataFrame, time_column: str) -> DataFrame:
@@ -69,17 +67,18 @@ def upsert_gold(rows: DataFrame, path: str) -> None:
     finish_swap(spark, path)
     incoming = rows.withColumn(DAY, F.to_date("timestamp"))
     merged = incoming
-    if exists(spark, path):
-        merged = incoming.unionByName(_touched(spark, path, incoming))
+    touched = _touched(spark, path, incoming)
+    if touched is not None:
+        merged = incoming.unionByName(touched)
     replace_days(latest_per_key(merged.drop(DAY)), path)
 
 
 def replace_days(days: DataFrame, path: str) -> None:
     """Puts whole days in the place of the same days of the table.
 
-    They are written beside the table first: Spark swaps partitions one by one,
-    and a driver lost in between would otherwise take old rows with it. The next
-    writer completes the swap from that copy.
+    They are written beside the table first, once, and then moved day by day. A
+    driver lost in between leaves the days not yet moved complete beside the table;
+    the next writer moves them.
     """
     write_gold(days, f"{_stage(path)}/{uuid.uuid4().hex}")
     finish_swap(days.sparkSession, path)
@@ -90,13 +89,10 @@ def finish_swap(spark: SparkSession, path: str) -> None:
     for staged in children(spark, _stage(path)):
         holds_days = any(f"/{DAY}=" in child for child in children(spark, staged))
         if holds_days and exists(spark, f"{staged}/_SUCCESS"):
-            (
-                spark.read.parquet(staged)  # files have their size already
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(DAY)
-                .parquet(path)
-            )
+            for day in children(spark, staged):
+                name = day.rstrip("/").rsplit("/", 1)[-1]
+                if name.startswith(f"{DAY}="):
+                    move(spark, day, f"{path.rstrip('/')}/{name}")
         delete(spark, staged)
 
 
@@ -104,14 +100,15 @@ def _stage(path: str) -> str:
     return f"{path.rstrip('/')}__staged"
 
 
-def _touched(spark: SparkSession, path: str, incoming: DataFrame) -> DataFrame:
-    """Gold rows of the days in the batch; partition filter up to ``LISTED_DAYS``."""
-    gold = read_gold(spark, path)
-    days = incoming.select(DAY).distinct()
-    listed = [row[DAY] for row in days.limit(LISTED_DAYS + 1).collect()]
-    if len(listed) <= LISTED_DAYS:
-        return gold.filter(F.col(DAY).isin(listed))
-    return gold.join(days, DAY, "left_semi")
+def _touched(spark: SparkSession, path: str, incoming: DataFrame) -> DataFrame | None:
+    """Gold rows of the days in the batch, if there are any: only the folders of
+    these days are listed and read. The calendar bounds their number."""
+    days = [row[DAY] for row in incoming.select(DAY).distinct().collect()]
+    folders = [f"{path.rstrip('/')}/{DAY}={day.isoformat()}" for day in sorted(days)]
+    there = [folder for folder in folders if exists(spark, folder)]
+    if not there:
+        return None
+    return spark.read.option("basePath", path).parquet(*there)
 
 
 def upsert_connector(rows: DataFrame, fmt: str, options: dict[str, str]) -> None:
@@ -124,7 +121,9 @@ def upsert_connector(rows: DataFrame, fmt: str, options: dict[str, str]) -> None
 
 def expire_gold(spark: SparkSession, path: str, as_of, days: int = V.RETENTION_DAYS) -> int:
     """Storage side of retention: deletes the day partitions in which no row is
-    left to keep. Returns their number. Younger days are handled on read."""
+    left to keep. Returns their number. Younger days are handled on read. A swap
+    left open is completed first, or it would bring an expired day back."""
+    finish_swap(spark, path)
     limit = F.lit(as_of) - F.make_interval(days=F.lit(days))
     stale = (
         read_gold(spark, path).groupBy(DAY)

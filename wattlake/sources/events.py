@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wattlake.vocabulary import EVENT
 
-KAFKA_DEFAULTS = {"startingOffsets": "latest", "failOnDataLoss": "false"}
+# nothing is skipped in silence; a live view may ask for latest and false by option
+KAFKA_DEFAULTS = {"startingOffsets": "earliest", "failOnDataLoss": "true"}
 
 
 def kafka_options(servers: str, topic: str, **more: str) -> dict[str, str]:

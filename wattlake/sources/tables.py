@@ -49,7 +49,9 @@ def read_jdbc(
 
 
 def read_incremental(
-    table: DataFrame, mark: dt.datetime | None, column: str = "processing_time"
+    table: DataFrame, mark: dt.datetime | None, column: str = "processing_time",
+    stored_by: str | None = None,
 ) -> DataFrame:
-    """Rows above the mark, the full table when there is none."""
-    return newer_than(table, mark, column)
+    """Rows above the mark, the full table when there is none. Silver is stored by
+    the day of ``processing_time``, gold by that of ``timestamp``."""
+    return newer_than(table, mark, column, stored_by)

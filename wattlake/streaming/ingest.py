@@ -30,7 +30,7 @@ def _upsert_to(sink: Sink) -> Callable[[DataFrame, int], None]:
 
 
 def _two_sinks(
-    parsed: DataFrame, keep: Callable[[DataFrame], DataFrame], value: str, silver: Sink,
+    parsed: DataFrame, keep: Callable[[DataFrame], DataFrame], value: str | None, silver: Sink,
     rejects: Sink,
 ) -> DataStreamWriter:
     """Everything is derived on the stream; foreachBatch only writes. An error is
@@ -91,19 +91,31 @@ def upserts(rows: DataFrame, gold: Sink) -> DataStreamWriter:
     return rows.writeStream.outputMode("append").foreachBatch(write)
 
 
+def _direct(
+    parsed: DataFrame, shape: Callable[[DataFrame], DataFrame], gold: Sink, rejects: Sink
+) -> DataStreamWriter:
+    to_gold = _upsert_to(gold)
+
+    def newest(rows: DataFrame, batch_id: int) -> None:
+        to_gold(latest_per_key(rows), batch_id)
+
+    return _two_sinks(parsed, lambda rows: has_key(shape(rows)), None, newest, rejects)
+
+
 def mix_to_gold(
-    events: DataFrame, gold: Sink, breakdown: str = "consumption", arrival: str | None = None
+    events: DataFrame, gold: Sink, rejects: Sink, breakdown: str = "consumption",
+    arrival: str | None = None,
 ) -> DataStreamWriter:
-    """The direct path: no silver, nulls kept. Rows without a key are left out;
-    the silver path keeps them in quarantine."""
+    """The direct path: no silver, nulls kept. Malformed rows and rows without a key
+    go to the rejects with their text."""
     parsed = parse_mix(events, breakdown, arrival, strict=True)
-    return upserts(has_key(direct_gold_mix(parsed)), gold)
+    return _direct(parsed, direct_gold_mix, gold, rejects)
 
 
 def carbon_to_gold(
-    events: DataFrame, gold: Sink, arrival: str | None = None
+    events: DataFrame, gold: Sink, rejects: Sink, arrival: str | None = None
 ) -> DataStreamWriter:
-    return upserts(has_key(direct_gold_carbon(parse_carbon(events, arrival, strict=True))), gold)
+    return _direct(parse_carbon(events, arrival, strict=True), direct_gold_carbon, gold, rejects)
 
 
 def mix_to_console(events: DataFrame, rows: int = 20) -> DataStreamWriter:
