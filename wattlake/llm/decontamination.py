@@ -1,7 +1,7 @@
 """Benchmark items inside documents: size-partitioned MinHash containment search.
 
 The similarity of a short item and a long document is tiny even if the document holds
-the whole item, so sizes are partitioned. Items fall into classes of 16, 32, 64, ...
+the whole item, so sizes are partitioned. Items fall into classes of 1, 2, 4, 8, ...
 shingles, and for each class the shingles of the documents are read in windows of twice
 that size, half a window apart: an item lies in one window as a whole and makes up at
 least a quarter of it. A window and an item of its class are candidates if they agree
@@ -27,8 +27,6 @@ from wattlake.llm.common import store
 from wattlake.llm.neardup import multipliers
 from wattlake.llm.words import chunks, grams, shingle_set
 
-#: Shingles of the smallest class.
-SMALLEST = 16
 _FILTER_BITS = 20
 _NONE = np.uint64(2**64 - 1)
 
@@ -51,9 +49,8 @@ class ItemIndex:
         factors = multipliers(settings.hashes)
         self.classes: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
         sizes = np.array([len(s) for s in sets])
-        low, size = 0, SMALLEST
-        while len(sizes) and low < sizes.max():
-            members = np.flatnonzero((sizes > low) & (sizes <= size))
+        for size in sorted({1 << (int(n) - 1).bit_length() for n in sizes}):
+            members = np.flatnonzero((2 * sizes > size) & (sizes <= size))
             minima = np.array([[(sets[i] * f).min() for f in factors] for i in members], dtype=np.uint64)
             flat = minima.reshape(-1)
             order = np.argsort(flat, kind="stable")
@@ -61,7 +58,6 @@ class ItemIndex:
             known[flat & np.uint64((1 << _FILTER_BITS) - 1)] = True
             owners = np.repeat(members, settings.hashes)[order]
             self.classes.append((size, flat[order], owners, known))
-            low, size = size, 2 * size
 
     def candidates(self, shingles: np.ndarray) -> set[tuple[int, int, int]]:
         """(first shingle, end, item) of windows that agree with an item in a minimum."""

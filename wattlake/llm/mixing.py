@@ -96,7 +96,7 @@ def plan_mix(
         .withColumn("until", F.sum("words").over(spread))
     )
     cuts = ranges.join(filled, ranges["source"].eqNullSafe(filled["source"])).where(
-        "until - words <= rest AND rest < until"
+        "rest > 0 AND until - words <= rest AND rest < until"
     ).select(ranges["source"], "range", (F.col("until") - F.col("words")).alias("before"), "rest")
 
     inside = sizes.withColumn("range", F.substring("draw", 1, RANGE_DIGITS)).groupBy("source", "range", "draw").agg(

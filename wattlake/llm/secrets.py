@@ -158,7 +158,9 @@ def literal_spans(text: str, settings: Settings) -> list[tuple[int, int, str, fl
         while names:
             name, start, end = names.pop()
             if not name:
-                literals.append((start, end))
+                # A bare word on a line of its own may be the name of a constant.
+                if text[start:end] not in constants or text[start - 1] in "\"'`":
+                    literals.append((start, end))
             elif name not in seen:
                 seen.add(name)
                 names += constants.get(name, ())
