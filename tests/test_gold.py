@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import at, mix
@@ -229,3 +230,21 @@ def test_against_brute_force_with_a_hot_key(spark):
     kept = latest.latest_per_key(df).collect()
     assert len(kept) == len(best)
     assert sorted(r.v for r in kept) == sorted(v for _, v in best.values())
+
+
+def test_silver_batches_become_one_folder_per_day(spark, make_events, folder):
+    path = folder("silver")
+    for batch in range(4):
+        day = "2024-01-06" if batch < 3 else "2024-01-08"
+        silver = layers.silver_mix(parse.parse_mix(
+            make_events([mix(total=float(batch)), mix("DE")], start=f"{day}T10:00:00", first=10 * batch),
+            arrival="timestamp"))
+        tables.append_batch(silver, path, "processing_time", batch)
+    before = sorted(map(str, spark.read.parquet(path).drop("batch_id").collect()))
+    tables.compact_silver(spark, path, [dt.date(2024, 1, 6)])
+    assert len(files.children(spark, f"{path}/date=2024-01-06")) == 1
+    assert sorted(map(str, spark.read.parquet(path).drop("batch_id").collect())) == before
+    with pytest.raises(ValueError, match="newest batch"):
+        tables.compact_silver(spark, path, [dt.date(2024, 1, 8)])
+    tables.append_batch(silver, path, "processing_time", 3)  # the newest batch comes again
+    assert sorted(map(str, spark.read.parquet(path).drop("batch_id").collect())) == before

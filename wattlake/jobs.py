@@ -16,7 +16,7 @@ from wattlake.session import build_session
 from wattlake.sinks import models
 from wattlake.sinks.events import encode_events, enrich
 from wattlake.sinks.events import publish as publish_events
-from wattlake.sinks.tables import append_table, compact_days, expire_gold, upsert_connector
+from wattlake.sinks.tables import append_table, compact_days, compact_silver, expire_gold, upsert_connector
 from wattlake.sources.events import KAFKA_DEFAULTS, read_events
 from wattlake.sources.landing import list_objects
 from wattlake.sources.tables import JdbcSlices, read_jdbc, read_table
@@ -137,9 +137,18 @@ def repair(spark, args):
 
 def compact(spark, args):
     """The given days of both gold tables into evenly sized files."""
-    days = [dt.date.fromisoformat(day) for day in args.days]
     for name in ("mix", "carbon"):
-        compact_days(spark, f"{args.root}/gold_{name}", days)
+        compact_days(spark, f"{args.root}/gold_{name}", _days(args))
+
+
+def compact_silver_days(spark, args):
+    """The batch folders of the given days of both silver tables into one per day."""
+    for name in ("mix", "carbon"):
+        compact_silver(spark, f"{args.root}/silver_{name}", _days(args))
+
+
+def _days(args) -> list[dt.date]:
+    return [dt.date.fromisoformat(day) for day in args.days]
 
 
 def expire(spark, args):
@@ -250,7 +259,7 @@ FORECASTS = {V.CONSUMPTION_LABEL: "predicted_consumption", V.CARBON_LABEL: "pred
 
 JOBS = {
     "silver": silver, "direct": direct, "land": land, "console": console, "sync": sync_gold,
-    "sync-table": sync_table, "repair": repair, "compact": compact, "expire": expire,
+    "sync-table": sync_table, "repair": repair, "compact": compact, "compact-silver": compact_silver_days, "expire": expire,
     "land-rolled": land_rolled, "landing": landing, "publish": publish,
     "train": train, "predict": predict, "compare": compare, "report": report,
 }
@@ -278,7 +287,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--overlap", default="10 minutes", help="sync-table: read again before the mark")
     p.add_argument("--slices", nargs=4, metavar=("COLUMN", "LOWER", "UPPER", "COUNT"),
                    help="sync-table over JDBC: parallel read")
-    p.add_argument("--days", nargs="*", default=[], help="compact: ISO days")
+    p.add_argument("--days", nargs="*", default=[], help="compact, compact-silver: ISO days")
     p.add_argument("--keep-days", type=int, default=V.RETENTION_DAYS)
     p.add_argument("--records", type=int, default=1000, help="land-rolled: messages in a file")
     return p

@@ -140,3 +140,25 @@ def compact_days(spark: SparkSession, path: str, days: list) -> None:
     """Rewrites the given days of gold into evenly sized files."""
     finish_swap(spark, path)
     replace_days(read_gold(spark, path).filter(F.col(DAY).isin(list(days))).drop(DAY), path)
+
+
+def compact_silver(spark: SparkSession, path: str, days: list) -> None:
+    """Puts the batch folders of the given days of silver into one folder per day.
+
+    The newest batch can come again after a restart and then replaces its own folder,
+    so a day it wrote to is refused. A sync stream reads the rewritten files once more,
+    which the upsert makes harmless; it should be past these days, as files it has
+    planned to read go.
+    """
+    finish_swap(spark, path)
+    silver = spark.read.parquet(path)
+    newest = silver.agg(F.max(BATCH)).first()[0]
+    rows = silver.filter(F.col(DAY).isin(list(days)))
+    if not rows.filter(F.col(BATCH) == newest).isEmpty():
+        raise ValueError("the newest batch wrote to one of these days")
+    last = rows.groupBy(DAY).agg(F.max(BATCH).alias(BATCH))  # one row per day
+    (
+        rows.drop(BATCH).join(F.broadcast(last), DAY).hint("rebalance", DAY)
+        .write.partitionBy(DAY, BATCH).parquet(f"{_stage(path)}/{uuid.uuid4().hex}")
+    )
+    finish_swap(spark, path)
