@@ -41,15 +41,16 @@ class Lake:
         {"mix": self.mix_topic, "carbon": self.carbon_topic}[name]()
         return f"{self.root}/{name}_topic"
 
+    def _events(self) -> DataFrame:
+        """The small source is one file; a topic is read by many tasks."""
+        events = feed.load_events(self.spark, self.sf_dir)
+        return events.repartition(self.spark.sparkContext.defaultParallelism, "event_id")
+
     def mix_topic(self) -> DataFrame:
-        return self._stored(
-            "mix_topic", lambda: feed.mix_events(feed.load_events(self.spark, self.sf_dir))
-        )
+        return self._stored("mix_topic", lambda: feed.mix_events(self._events()))
 
     def carbon_topic(self) -> DataFrame:
-        return self._stored(
-            "carbon_topic", lambda: feed.carbon_events(feed.load_events(self.spark, self.sf_dir))
-        )
+        return self._stored("carbon_topic", lambda: feed.carbon_events(self._events()))
 
     def parsed_mix(self, breakdown: str = "production", strict: bool = False) -> DataFrame:
         return parse_mix(self.mix_topic(), breakdown, "timestamp", strict)
