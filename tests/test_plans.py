@@ -31,7 +31,8 @@ def test_each_message_is_parsed_once(lake):
 def test_gold_combines_before_its_one_exchange(lake):
     plan = physical(latest.latest_per_key(layers.has_key(layers.to_gold_mix(lake.silver_mix()))))
     assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.index("partial_max_by") > plan.index("Exchange hashpartitioning")
+    assert plan.index("Partial") > plan.index("Exchange hashpartitioning")
+    assert plan.count("WindowGroupLimit") == 2
     assert "IsNotNull(datetime)" in plan
 
 
@@ -75,4 +76,4 @@ def test_codes_do_not_move_the_rows(lake):
 
 def test_latest_snapshot_sorts_nothing(lake):
     plan = physical(ft.latest_snapshot(lake.gold_mix(), lake.gold_carbon()))
-    assert "SortAggregate" not in plan and "Sort [" not in plan
+    assert "SortAggregate" not in plan and "Window" not in plan and "Sort [" not in plan

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wattlake import vocabulary as V
 
@@ -10,17 +10,15 @@ DAY = "date"  # partition column of stored tables
 WRITE_ORDER = ["ingestion_timestamp", "arrival_offset", "arrival_partition"]
 
 
-def _last_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    # max_by is combined before the exchange, so a key that holds a large share
-    # of the rows sends one row per task, whatever its size
-    rest = [c for c in df.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("best")
-    return df.groupBy(*keys).agg(best).select(*keys, "best.*").select(*df.columns)
-
-
 def latest_per_key(rows: DataFrame) -> DataFrame:
-    """Gold: of all arrivals for a (region, timestamp) the last one."""
-    return _last_by(rows, V.KEY, WRITE_ORDER)
+    """Gold: of all arrivals for a (region, timestamp) the last one.
+
+    Spark limits each key to its first row before the exchange too, so a key that
+    holds a large share of the rows sends one row per task, whatever its size.
+    """
+    last_first = Window.partitionBy(*V.KEY).orderBy(*[F.desc(c) for c in WRITE_ORDER])
+    numbered = rows.select("*", F.row_number().over(last_first).alias("_rank"))
+    return numbered.filter(F.col("_rank") == 1).select(*rows.columns)
 
 
 def latest_by_region(gold: DataFrame) -> DataFrame:
