@@ -13,8 +13,8 @@ from wattlake.operators.layers import (
     direct_gold_mix, has_key, silver_carbon, silver_mix, to_gold_carbon, to_gold_mix,
 )
 from wattlake.operators.parse import parse_carbon, parse_mix
+from wattlake.plans import feed
 from wattlake.sinks.tables import by_day
-from wattlake.sources import feed
 from wattlake.sources.files import exists, file_state
 from wattlake.sources.scratch import new_path
 

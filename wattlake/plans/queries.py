@@ -18,13 +18,12 @@ from wattlake.operators.latest import (
     for_regions, high_water_mark, latest_by_region, latest_per_key, retained,
 )
 from wattlake.operators.split import temporal_cut, temporal_split
-from wattlake.plans import consumption, forecast
+from wattlake.plans import consumption, feed, forecast
 from wattlake.plans.lake import Lake, open_lake
 from wattlake.session import use_utc
 from wattlake.sinks import models
 from wattlake.sinks.events import enrich
 from wattlake.sinks.tables import append_table, read_gold
-from wattlake.sources import feed
 from wattlake.sources.events import read_events
 from wattlake.sources.files import exists
 from wattlake.sources.landing import list_objects, read_landed
