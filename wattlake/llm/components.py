@@ -12,8 +12,8 @@ def components(edges: DataFrame) -> DataFrame:
     Alternating stars: each node hands its smallest neighbour to its larger neighbours,
     then to its smaller ones. The number of rounds grows with the logarithm of the
     largest component. Every round is stored, so lost executors cost one round. Minima
-    are combined before the exchange, and the join back is one Spark can split where a
-    node has very many edges.
+    are combined before the exchange; they are stored before they are joined back, as
+    Spark splits a node with very many edges only where both sides come from exchanges.
     """
     edges = store(
         edges.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
@@ -22,10 +22,10 @@ def components(edges: DataFrame) -> DataFrame:
     seen = _mark(edges)
     while True:
         both = edges.union(edges.select("b", "a"))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+        low = store(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), "lows")
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
         large = store(large, "large_stars")
-        low = large.groupBy("a").agg(F.min("b").alias("low"))
+        low = store(large.groupBy("a").agg(F.min("b").alias("low")), "lows")
         small = (
             large.join(low, "a").select(F.col("low").alias("a"), "b").where("a != b").distinct()
             .union(low.select(F.col("low").alias("a"), F.col("a").alias("b"))).distinct()

@@ -66,7 +66,7 @@ class Settings:
         return need
 
 
-PROFILE = "doc_id long, text_hash long, row long, n_shingles long, set_digest binary, signature binary, bands array<long>"
+PROFILE = "doc_id long, text_hash long, row long, n_shingles long, set_digest binary, bands array<long>"
 
 
 def multipliers(n: int) -> np.ndarray:
@@ -87,40 +87,45 @@ def _profiles(settings: Settings):
         band = scramble(np.arange(1, settings.bands + 1, dtype=np.uint64))
         mix = multipliers(settings.rows)
         for batch in batches:
-            counts, digests, signatures, bands = [], [], [], []
+            counts, digests, bands = [], [], []
             for begin, end, words in chunks(batch.column("text"), lower=True):
                 for i in range(end - begin):
                     found = shingle_set(words.hashes[words.first[i] : words.first[i + 1]], settings.shingle_words)
                     counts.append(len(found))
                     if not len(found):
-                        digests.append(None), signatures.append(None), bands.append(None)
+                        digests.append(None), bands.append(None)
                         continue
                     one = signature(found, factors)
                     digests.append(xxhash.xxh3_128_digest(found.tobytes()))
-                    signatures.append(one.tobytes())
                     rows = one.reshape(settings.bands, settings.rows).astype(np.uint64)
                     bands.append(scramble((rows * mix).sum(axis=1, dtype=np.uint64) ^ band).view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("text_hash"), batch.column("row"),
                     pa.array(counts, pa.int64()), pa.array(digests, pa.binary()),
-                    pa.array(signatures, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(bands, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "text_hash", "row", "n_shingles", "set_digest", "signature", "bands"],
+                names=["doc_id", "text_hash", "row", "n_shingles", "set_digest", "bands"],
             )
 
     return run
 
 
 def _sets(settings: Settings):
+    """Sets and signatures of the candidates; those of all texts would be moved in vain."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors = multipliers(settings.hashes)
         for batch in batches:
-            found = []
+            found, signatures = [], []
             for begin, end, words in chunks(batch.column("text"), lower=True):
                 for i in range(end - begin):
                     hashes = words.hashes[words.first[i] : words.first[i + 1]]
-                    found.append(shingle_set(hashes, settings.shingle_words).tobytes())
-            columns = {name: batch.column(name) for name in ("group", "row", "parts", "part", "signature")}
+                    found.append(shingle_set(hashes, settings.shingle_words))
+                    signatures.append(signature(found[-1], factors).tobytes())
+            columns = {name: batch.column(name) for name in ("group", "row", "parts", "part")}
+            columns["signature"] = pa.array(signatures, pa.binary())
+            found = [one.tobytes() for one in found]
             columns["shingles"] = pa.array(found, pa.binary())
             yield pa.RecordBatch.from_pydict(columns)
 
@@ -244,13 +249,16 @@ def near_duplicates(
     heads = profiles.join(classes.select(F.col("class_row").alias("row")), "row", "left_semi")
 
     bands = heads.select("row", F.explode("bands").alias("band"))
-    smallest = bands.groupBy("band").agg(F.min("row").alias("low"), F.count("*").alias("n")).where("n > 1")
+    # Stored, so that Spark can split the join of a band that very many rows have.
+    smallest = store(
+        bands.groupBy("band").agg(F.min("row").alias("low"), F.count("*").alias("n")).where("n > 1"), "shared_bands"
+    )
     groups = store(
         components(bands.join(smallest, "band").where("row != low").select(F.col("low").alias("a"), F.col("row").alias("b"))),
         "candidate_groups",
     )
 
-    members = heads.select("row", "doc_id", "text_hash", "n_shingles", "signature").join(
+    members = heads.select("row", "doc_id", "text_hash").join(
         groups.select(F.col("node").alias("row"), F.col("component").alias("group")), "row"
     )
     sizes = groups.join(heads.select(F.col("row").alias("node"), "n_shingles"), "node").groupBy(
@@ -265,7 +273,7 @@ def near_duplicates(
     with_text = members.withColumn("id_key", id_key).drop("doc_id").join(
         texts.withColumn("id_key", id_key).select("id_key", "text_hash", "text"), ["id_key", "text_hash"]
     ).dropDuplicates(["id_key", "text_hash", "row"])
-    sets = with_text.select("group", "row", "parts", "part", "signature", "text").mapInArrow(
+    sets = with_text.select("group", "row", "parts", "part", "text").mapInArrow(
         _sets(settings), "group long, row long, parts int, part int, signature binary, shingles binary"
     )
     pairs = (
