@@ -6,7 +6,8 @@ import pytest
 LONG = "lorem ipsum dolor sit amet " * 6000
 COLUMNS = (
     "doc_id long, text string, lang string, source string, n_chars long, size long, shard int, slot long, row long,"
-    " label int, group long, part int, target double, draw string, piece int, run long, score double"
+    " label int, group long, part int, target double, draw string, piece int, run long, score double,"
+    " whole long, last_draw string, kept_id long, content string"
 )
 
 
@@ -17,7 +18,7 @@ def make_docs(spark):
 
     def make(rows, parts=3):
         full = [
-            (r[0], r[1], "en", r[2] if len(r) > 2 else "s", None, 7, 7, 7, 7, 7, 7, 7, 7.0, "7", 7, 7, 7.0) for r in rows
+            (r[0], r[1], "en", r[2] if len(r) > 2 else "s", None, 7, 7, 7, 7, 7, 7, 7, 7.0, "7", 7, 7, 7.0, 7, "7", 7, "7") for r in rows
         ]
         return spark.createDataFrame(full, COLUMNS).repartition(parts)
 

@@ -124,18 +124,21 @@ def mix(docs: DataFrame, seed: int = SEED, **plan) -> DataFrame:
     """The documents with ``mix_copies``, ``mix_size``, ``source_size`` and ``target``.
 
     A null text has size 0 and a null source is a source of its own, the last. Columns
-    of the input by these four names are replaced. An empty table gives no rows.
+    of the input by these four names are replaced, one named ``mix_plan`` is left out.
+    An empty table gives no rows.
     """
     # Small, and planned once; its rows are those of the sources, the join moves no text
     # as long as the table of sources can be broadcast by its measured size.
-    sources = store(plan_mix(docs, seed=seed, **plan), "mix_plan").withColumnRenamed("source", "plan_source")
-    own = ("mix_copies", "mix_size", "source_size", "target")
-    rows = docs.drop(*own).withColumn("mix_size", word_count()).withColumn("_draw", draw(seed))
-    more = (F.col("_draw") <= F.col("last_draw")).cast("long")
-    return (
-        rows.join(sources, rows["source"].eqNullSafe(sources["plan_source"]))
-        .withColumn("mix_copies", F.col("whole") + more)
-        .drop("_draw", "plan_source", "whole", "last_draw")
+    sources = store(plan_mix(docs, seed=seed, **plan), "mix_plan").select(F.struct("*").alias("mix_plan"))
+    rows = docs.drop("mix_copies", "mix_size", "source_size", "target", "mix_plan")
+    planned = rows.join(sources, rows["source"].eqNullSafe(F.col("mix_plan.source")))
+    more = (draw(seed) <= F.col("mix_plan.last_draw")).cast("long")
+    return planned.select(
+        *rows.columns,
+        (F.col("mix_plan.whole") + more).alias("mix_copies"),
+        word_count().alias("mix_size"),
+        F.col("mix_plan.source_size").alias("source_size"),
+        F.col("mix_plan.target").alias("target"),
     )
 
 

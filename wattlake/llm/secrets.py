@@ -11,9 +11,11 @@ that it reaches and by its own shape.
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -180,8 +182,10 @@ def secret_spans(text: str | None, settings: Settings = Settings()) -> list[tupl
         return []
     spans = base_spans(text)
     covered = sorted((start, end) for start, end, _, _ in spans)
+    starts, reach = [start for start, _ in covered], list(accumulate((end for _, end in covered), max))
     for span in literal_spans(text, settings):
-        if not any(start <= span[0] and span[1] <= end for start, end in covered):
+        before = bisect_right(starts, span[0])
+        if not before or reach[before - 1] < span[1]:
             spans.append(span)
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
