@@ -4,25 +4,25 @@ Every window of ``window`` words has a leader: the k-word gram in it with the sm
 hash, the leftmost on ties. Equal windows have equal leaders, so all windows that can
 be equal to one another lie in spans around occurrences of one leader gram; a span
 holds the consecutive windows with that occurrence as their leader. About one word in
-eight is a leader, and only leader grams that occur twice are followed up:
+seven begins a leader, and only leader grams that occur twice are followed up:
 
 * texts with equal words are one class: the first is looked at, later ones repeat it;
-* spans with equal words repeat the first of them as a whole;
-* of the different spans around one leader, the earlier ones are the reference shard
-  of the later ones. They arrive in order of (document, position); each is streamed
-  through the suffix automaton of those before it, and windows that end where the
-  match is at least ``window`` words long are repeated. Then it is added.
-
-An automaton is thus sent to the spans that can match it, not to every document, whose
-cost would be shards times corpus. A leader with very many different spans (words
-around the ends of a passage that many documents share) is not put into one automaton:
-its spans are cut into single windows, whose equality is decided by grouping.
+* the spans around one leader meet in one task, in order of (document, position). The
+  spans so far are a reference shard with a suffix automaton. A span is streamed through
+  it, and windows that end where the match is at least ``window`` words long are
+  repeated; then it is added. A span equal to one before it is repeated as a whole.
+
+An automaton thus meets the spans that can match it, and is not sent to every document,
+whose cost would be shards times corpus. A leader with very many spans (a passage that a
+large share of the documents has) would be too much for one task: equal spans are
+found by grouping, combined before the exchange, and what is left is cut into single
+windows for which the same is done.
 """
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-
-import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +33,16 @@ from pyspark.sql import functions as F
 from wattlake.llm.common import partitions, store
 from wattlake.llm.words import chunks, grams
 
+
 @dataclass(frozen=True)
 class Settings:
     #: Words of the shortest repeated passage.
     window: int = 20
     #: Words of a leader gram.
-    gram: int = 5
-    #: Different spans around one leader that share an automaton.
-    shard_spans: int = 256
+    gram: int = 8
+    #: Texts with a leader, those with it more than once counted twice, up to which its
+    #: spans share an automaton.
+    shard_spans: int = 1024
 
 
 class SuffixAutomaton:
@@ -147,8 +149,9 @@ def _outlines(settings: Settings):
                     counts.append(len(hashes))
                     digests.append(xxhash.xxh3_128_digest(joined))
                     shas.append(hashlib.sha256(joined).hexdigest())
-                    # A leader that occurs twice in the text is listed twice.
-                    found.append(_spans(hashes, settings)[0].view(np.int64))
+                    leader, times = np.unique(_spans(hashes, settings)[0].view(np.int64), return_counts=True)
+                    # One that occurs again in the text is listed twice, however often it does.
+                    found.append(np.repeat(leader, np.minimum(times, 2)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("text_hash"), batch.column("row"),
@@ -161,59 +164,105 @@ def _outlines(settings: Settings):
     return run
 
 
+def _named_spans(batch: pa.RecordBatch, names: str, settings: Settings):
+    """For each chunk of the texts the spans around the leaders listed for the text:
+    (row of the batch, leader, first window, windows, words of the text)."""
+    listed = batch.column(names)
+    for begin, end, words in chunks(batch.column("text")):
+        spans = []
+        for i in range(end - begin):
+            wanted = listed[begin + i].as_py()
+            if not wanted:
+                continue
+            leader, first, windows = _spans(_hashes(words, i), settings)
+            named = np.flatnonzero(np.isin(leader.view(np.int64), np.array(wanted, dtype=np.int64)))
+            split = words.data[words.offsets[i] : words.offsets[i + 1]].tobytes().split()
+            for at in named:
+                spans.append((begin + i, int(leader[at].view(np.int64)), int(first[at]), int(windows[at]), split))
+        yield spans
+
+
 def _cut_spans(settings: Settings):
-    """The spans of a text around the leaders named for it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            order, rows = batch.column("order").to_pylist(), batch.column("row").to_pylist()
+            for spans in _named_spans(batch, "few", settings):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([s[1] for s in spans], pa.int64()),
+                        pa.array([order[s[0]] for s in spans], pa.int64()),
+                        pa.array([rows[s[0]] for s in spans], pa.int64()),
+                        pa.array([s[2] for s in spans], pa.int32()),
+                        pa.array([b" ".join(w[low : low + n + settings.window - 1]) for _, _, low, n, w in spans], pa.binary()),
+                    ],
+                    names=["leader", "order", "row", "begin", "content"],
+                )
+
+    return run
+
+
+def _digest_spans(settings: Settings):
+    """Spans as 128-bit digests of their words, with those of their windows. A span that
+    its own text has before is repeated in any case: such runs are listed in ``own`` of
+    the row of the text's first span."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             order, rows = batch.column("order").to_pylist(), batch.column("row").to_pylist()
-            wanted = batch.column("repeated")
-            for begin, end, words in chunks(batch.column("text")):
-                columns = {"leader": [], "order": [], "row": [], "begin": [], "windows": [], "content": []}
-                for i in range(end - begin):
-                    at = begin + i
-                    leader, first, windows = _spans(_hashes(words, i), settings)
-                    named = np.isin(leader.view(np.int64), np.array(wanted[at].as_py(), dtype=np.int64))
-                    split = words.data[words.offsets[i] : words.offsets[i + 1]].tobytes().split()
-                    for key, low, n in zip(leader.view(np.int64)[named], first[named], windows[named]):
-                        columns["leader"].append(key)
-                        columns["order"].append(order[at])
-                        columns["row"].append(rows[at])
-                        columns["begin"].append(low)
-                        columns["windows"].append(n)
-                        columns["content"].append(b" ".join(split[low : low + n + settings.window - 1]))
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+            for spans in _named_spans(batch, "many", settings):
+                known, own, found = set(), {}, []
+                for at, _, low, n, words in spans:
+                    digest = xxhash.xxh3_128_digest(b" ".join(words[low : low + n + settings.window - 1]))
+                    if (at, digest) in known:
+                        own[at].append({"begin": low, "windows": n})
+                        continue
+                    each = [xxhash.xxh3_128_digest(b" ".join(words[i : i + settings.window])) for i in range(low, low + n)]
+                    found.append((order[at], rows[at], low, n, digest, each, own.setdefault(at, []) if at not in own else None))
+                    known.add((at, digest))
+                columns = zip(*found) if found else [()] * len(HOT_SPANS)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, t) for v, t in zip(columns.values(), types)], names=list(columns)
+                    [pa.array(list(c), kind) for c, (_, kind) in zip(columns, HOT_SPANS)], names=[n for n, _ in HOT_SPANS]
                 )
 
     return run
 
 
+RUNS = pa.list_(pa.struct([("begin", pa.int32()), ("windows", pa.int32())]))
+HOT_SPANS = [
+    ("order", pa.int64()), ("row", pa.int64()), ("begin", pa.int32()), ("windows", pa.int32()),
+    ("span", pa.binary()), ("each", pa.list_(pa.binary())), ("own", RUNS),
+]
+
+
 def _match_spans(settings: Settings):
     """Rows come sorted by (leader, order, row, begin); gives the runs of repeated windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leader = automaton = None
+        leader, shard, automaton = None, set(), None
         for batch in batches:
-            rows, begins, lengths = [], [], []
+            found = []
             for key, row, begin, content in zip(
                 *(batch.column(c).to_pylist() for c in ("leader", "row", "begin", "content"))
             ):
-                words = content.split(b" ")
                 if key != leader:
-                    leader, automaton = key, SuffixAutomaton()
-                else:
-                    matched = np.fromiter(automaton.statistics(words), dtype=np.int64, count=len(words))
-                    repeated = np.concatenate([[False], matched[settings.window - 1 :] >= settings.window, [False]])
-                    edges = np.flatnonzero(np.diff(repeated.astype(np.int8)))
-                    for low, high in edges.reshape(-1, 2).tolist():
-                        rows.append(row)
-                        begins.append(begin + low)
-                        lengths.append(high - low)
+                    leader, shard, automaton = key, {content}, None
+                    continue
+                words = content.split(b" ")
+                if content in shard:
+                    found.append((row, begin, len(words) - settings.window + 1))
+                    continue
+                if automaton is None:
+                    automaton = SuffixAutomaton()
+                    automaton.add(next(iter(shard)).split(b" "))
+                matched = np.fromiter(automaton.statistics(words), dtype=np.int64, count=len(words))
+                repeated = np.concatenate([[False], matched[settings.window - 1 :] >= settings.window, [False]])
+                edges = np.flatnonzero(np.diff(repeated.astype(np.int8)))
+                found += [(row, begin + low, high - low) for low, high in edges.reshape(-1, 2).tolist()]
                 automaton.add(words)
+                shard.add(content)
+            row, begin, windows = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int64()), pa.array(begins, pa.int32()), pa.array(lengths, pa.int32())],
+                [pa.array(row, pa.int64()), pa.array(begin, pa.int32()), pa.array(windows, pa.int32())],
                 names=["row", "begin", "windows"],
             )
 
@@ -246,6 +295,65 @@ def kept_mask(n: int, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.cumsum(edges[:n]) == 0
 
 
+def _touched_texts(texts: DataFrame, outlines: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
+    """First texts of their class with a leader that occurs again, and these leaders:
+    in ``few`` those with few enough spans for one automaton, in ``many`` the others."""
+    firsts = outlines.join(classes.select("row"), "row", "left_semi")
+    listed = firsts.select("row", F.explode("leaders").alias("leader"))
+    # Stored, so that Spark can split the join of a leader that very many texts have.
+    frequent = store(listed.groupBy("leader").agg(F.count("*").alias("n")).where("n > 1"), "shared_leaders")
+    few = F.col("n") <= settings.shard_spans
+    # A text names a leader twice at most, so its lists are no longer than the text.
+    wanted = listed.join(frequent, "leader").groupBy("row").agg(
+        F.collect_set(F.when(few, F.col("leader"))).alias("few"),
+        F.collect_set(F.when(~few, F.col("leader"))).alias("many"),
+    )
+    order = F.coalesce(F.col("doc_id"), F.lit(2**63 - 1))
+    return (
+        wanted.join(firsts.select("row", "doc_id", "text_hash"), "row")
+        .withColumn("order", order).drop("doc_id")
+        .join(texts.withColumn("order", order).select("order", "text_hash", "text"), ["order", "text_hash"])
+        .dropDuplicates(["order", "text_hash", "row"]).drop("text_hash")
+    )
+
+
+def _repeated_runs(touched: DataFrame, settings: Settings) -> DataFrame:
+    """(row, runs): runs (begin, windows) of windows whose words begin earlier. A row may
+    come several times."""
+    spans = touched.where(F.size("few") > 0).mapInArrow(
+        _cut_spans(settings), "leader long, order long, row long, begin int, content binary"
+    )
+    matched = (
+        spans.repartition(partitions(touched.sparkSession), "leader")
+        .sortWithinPartitions("leader", "order", "row", "begin")
+        .mapInArrow(_match_spans(settings), "row long, begin int, windows int")
+    )
+    many = store(
+        touched.where(F.size("many") > 0).mapInArrow(
+            _digest_spans(settings),
+            "order long, row long, begin int, windows int, span binary, each array<binary>,"
+            " own array<struct<begin: int, windows: int>>",
+        ),
+        "hot_spans",
+    )
+    place = F.struct("order", "row", "begin")
+    firsts = many.groupBy("span").agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    firsts = store(firsts, "first_spans")
+    again = many.join(firsts.where("n > 1"), "span").where(place > F.col("first"))
+    # What is left differs as a span; its windows may still be equal to others.
+    single = many.withColumn("first", place).join(firsts, ["span", "first"]).select(
+        "order", "row", "begin", F.posexplode("each").alias("i", "window")
+    ).select("order", "row", (F.col("begin") + F.col("i")).alias("begin"), "window")
+    earliest = store(
+        single.groupBy("window").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1"),
+        "first_windows",
+    )
+    grouped = single.join(earliest, "window").where(place > F.col("first")).withColumn("windows", F.lit(1))
+    one = F.array(F.struct("begin", "windows")).alias("runs")
+    parts = [part.select("row", one) for part in (matched, again, grouped)]
+    return reduce(DataFrame.union, parts, many.where(F.size("own") > 0).select("row", F.col("own").alias("runs")))
+
+
 def repeated_passages(
     docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -258,12 +366,10 @@ def repeated_passages(
     has the result of the first. A null text has no words. Other columns of the input
     are not looked at. An empty table gives no rows.
     """
-    spark, n = docs.sparkSession, partitions(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     outlines = store(
         texts.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_outlines(settings), OUTLINE), "outlines"
     )
-
     # Of equal texts the first is the class; combined before the exchange.
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     classes = store(
@@ -271,66 +377,11 @@ def repeated_passages(
         .select("words_digest", F.col("first.row").alias("row"), F.col("first.doc_id").alias("first_id")),
         "text_classes",
     )
-    firsts = outlines.join(classes.select("row"), "row", "left_semi")
-
-    listed = firsts.select("row", F.explode("leaders").alias("leader"))
-    frequent = listed.groupBy("leader").agg(F.count("*").alias("n")).where("n > 1").select("leader")
-    # A row of a text names each leader once, so this list is no longer than the text.
-    wanted = listed.join(frequent, "leader").groupBy("row").agg(F.collect_set("leader").alias("repeated"))
-    id_key = F.coalesce(F.col("doc_id"), F.lit(2**63 - 1))
-    touched = store(
-        wanted.join(firsts.select("row", "doc_id", "text_hash"), "row")
-        .withColumn("order", id_key).drop("doc_id")
-        .join(texts.withColumn("order", id_key).select("order", "text_hash", "text"), ["order", "text_hash"])
-        .dropDuplicates(["order", "text_hash", "row"]).drop("text_hash"),
-        "touched_texts",
-    )
-
-    place = F.struct("order", "row", "begin")
-    spans = store(
-        touched.mapInArrow(
-            _cut_spans(settings),
-            "leader long, order long, row long, begin int, windows int, content binary",
-        ).withColumn("span", F.unhex(F.md5(F.concat(F.encode(F.col("leader").cast("string"), "UTF-8"), "content")))),
-        "spans",
-    )
-    # Different spans of a leader, each with its first place; a leader with a single
-    # one needs no automaton.
-    distinct = store(
-        spans.groupBy("leader", "span").agg(F.min(place).alias("first"), F.count("*").alias("n")), "distinct_spans"
-    )
-    shards = distinct.groupBy("leader").agg(F.count("*").alias("different")).where("different > 1")
-    several = distinct.select("leader", "span", "first").join(shards, "leader")
-    span_firsts = spans.withColumn("first", place).join(several, ["leader", "span", "first"])
-
-    cold = span_firsts.where(F.col("different") <= settings.shard_spans)
-    matched = (
-        cold.select("leader", "order", "row", "begin", "content")
-        .repartition(n, "leader").sortWithinPartitions("leader", "order", "row", "begin")
-        .mapInArrow(_match_spans(settings), "row long, begin int, windows int")
-    )
-
-    # Single windows of leaders with too many different spans: equal windows group.
-    single = span_firsts.where(F.col("different") > settings.shard_spans).select(
-        "order", "row", F.expr("split(decode(content, 'UTF-8'), ' ')").alias("words"),
-        F.explode(F.expr("sequence(0, windows - 1)")).alias("i"), "begin",
-    ).select(
-        "order", "row", (F.col("begin") + F.col("i")).alias("at"),
-        F.sha2(F.encode(F.array_join(F.expr(f"slice(words, i + 1, {settings.window})"), " "), "UTF-8"), 256).alias("window"),
-    )
-    earliest = single.groupBy("window").agg(
-        F.min(F.struct("order", "row", "at")).alias("first"), F.count("*").alias("n")
-    ).where("n > 1")
-    hot = single.join(earliest, "window").where(F.struct("order", "row", "at") > F.col("first")).select(
-        "row", F.col("at").alias("begin"), F.lit(1).alias("windows")
-    )
-
-    # Spans equal to an earlier one: all their windows.
-    again = spans.join(distinct.where("n > 1"), ["leader", "span"]).where(place > F.col("first")).select(
-        "row", "begin", "windows"
-    )
+    touched = store(_touched_texts(texts, outlines, classes, settings), "touched_texts")
     # A text has fewer runs than words.
-    runs = matched.union(hot).union(again).groupBy("row").agg(F.collect_list(F.struct("begin", "windows")).alias("runs"))
+    runs = _repeated_runs(touched, settings).groupBy("row").agg(
+        F.flatten(F.collect_list("runs")).alias("runs")
+    )
     results = touched.select("row", "text").join(runs, "row").mapInArrow(
         _kept_words(settings), "row long, n_removed long, kept_sha256 string"
     )
@@ -340,7 +391,7 @@ def repeated_passages(
     )
     own = F.col("doc_id").eqNullSafe(F.col("first_id"))
     whole = F.col("n_words") < settings.window
-    return outlines.join(first, "words_digest", "left").select(
+    return outlines.drop("leaders").join(first, "words_digest", "left").select(
         "doc_id", "n_words",
         F.when(whole, F.lit(0)).when(own, F.coalesce("own_removed", F.lit(0))).otherwise(F.col("n_words"))
         .cast("long").alias("n_removed"),
