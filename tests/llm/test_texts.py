@@ -8,10 +8,11 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import vocabulary
 from wattlake.llm import components, decontamination, licenses, neardup, secrets, substrings
-from wattlake.llm.words import chunks
+from wattlake.llm.words import chunks, grams
 
 
 def words(text):
@@ -66,6 +67,32 @@ def test_repeated_rows_and_rows_without_id_have_a_result(make_docs):
     ]
 
 
+def test_a_leader_with_many_spans_in_few_texts_is_grouped(spark, make_docs):
+    """One gram all over two texts, with other words around it: few texts, many spans."""
+    rng, words_ = random.Random(6), vocabulary(300)
+    several = [rng.sample(words_, 3) for _ in range(3000)]
+    gram = min(several, key=lambda g: grams(next(found for _, _, found in chunks(pa.array([" ".join(g)]))).hashes, 3)[0])
+    rows = [(i, " ".join(w for _ in range(60) for w in gram + rng.sample(words_, 5))) for i in range(2)]
+    rows.append((2, " ".join(words(rows[0][1])[100:140] + words_[:50] + words(rows[1][1])[7:30])))
+    settings = substrings.Settings(window=8, gram=3, shard_spans=16)
+    docs = make_docs(rows).withColumn("text_hash", F.xxhash64("text")).withColumn("row", F.col("doc_id"))
+    texts = docs.select("doc_id", "text_hash", "text")
+    outlines = docs.select("doc_id", "text_hash", "row", "text").mapInArrow(substrings._outlines(settings), substrings.OUTLINE)
+    touched = substrings._touched_texts(texts, outlines, docs.select("row"), settings)
+    spans, named = defaultdict(int), {"few": set(), "many": set()}
+    for row in touched.collect():
+        hashes = next(found for _, _, found in chunks(pa.array([row.text]))).hashes
+        for leader in substrings._spans(hashes, settings)[0].view(np.int64).tolist():
+            spans[leader] += 1
+        for name in named:
+            named[name].update(row[name])
+    assert max(spans.values()) > 40
+    assert named["many"] == {s for s in spans if spans[s] > 16}
+    assert named["few"] == {s for s in spans if 1 < spans[s] <= 16}
+    got = {r.doc_id: tuple(r) for r in substrings.repeated_passages(make_docs(rows), settings).collect()}
+    assert got == passages(rows, settings.window)
+
+
 def test_automaton_finds_longest_matches():
     rng = random.Random(3)
     for _ in range(200):

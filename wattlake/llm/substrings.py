@@ -40,8 +40,7 @@ class Settings:
     window: int = 20
     #: Words of a leader gram.
     gram: int = 8
-    #: Texts with a leader, those with it more than once counted twice, up to which its
-    #: spans share an automaton.
+    #: Spans around a leader up to which they share an automaton.
     shard_spans: int = 1024
 
 
@@ -117,7 +116,7 @@ def leaders(gram_hashes: np.ndarray, grams_per_window: int) -> np.ndarray:
     return best
 
 
-OUTLINE = "doc_id long, text_hash long, row long, n_words long, words_digest binary, words_sha256 string, leaders array<long>"
+OUTLINE = "doc_id long, text_hash long, row long, n_words long, words_digest binary, words_sha256 string, leaders array<struct<leader: long, spans: long>>"
 
 
 def _hashes(words, i: int) -> np.ndarray:
@@ -142,7 +141,7 @@ def _spans(hashes: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarr
 def _outlines(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, digests, shas, found = [], [], [], []
+            counts, digests, shas, found, spans = [], [], [], [], []
             for begin, end, words in chunks(batch.column("text")):
                 for i in range(end - begin):
                     hashes, joined = _hashes(words, i), _joined(words, i)
@@ -150,13 +149,15 @@ def _outlines(settings: Settings):
                     digests.append(xxhash.xxh3_128_digest(joined))
                     shas.append(hashlib.sha256(joined).hexdigest())
                     leader, times = np.unique(_spans(hashes, settings)[0].view(np.int64), return_counts=True)
-                    # One that occurs again in the text is listed twice, however often it does.
-                    found.append(np.repeat(leader, np.minimum(times, 2)))
+                    found.append(leader), spans.append(times)
+            ends = pa.array(np.cumsum([0] + [len(f) for f in found]), pa.int32())
+            found, spans = (np.concatenate([np.zeros(0, np.int64), *each]) for each in (found, spans))
+            listed = pa.StructArray.from_arrays([pa.array(found), pa.array(spans)], ["leader", "spans"])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), batch.column("text_hash"), batch.column("row"),
                     pa.array(counts, pa.int64()), pa.array(digests, pa.binary()),
-                    pa.array(shas, pa.string()), pa.array(found, pa.list_(pa.int64())),
+                    pa.array(shas, pa.string()), pa.ListArray.from_arrays(ends, listed),
                 ],
                 names=["doc_id", "text_hash", "row", "n_words", "words_digest", "words_sha256", "leaders"],
             )
@@ -299,12 +300,12 @@ def _touched_texts(texts: DataFrame, outlines: DataFrame, classes: DataFrame, se
     """First texts of their class with a leader that occurs again, and these leaders:
     in ``few`` those with few enough spans for one automaton, in ``many`` the others."""
     firsts = outlines.join(classes.select("row"), "row", "left_semi")
-    listed = firsts.select("row", F.explode("leaders").alias("leader"))
+    listed = firsts.select("row", F.inline("leaders"))
     # Stored, so that Spark can split the join of a leader that very many texts have.
-    frequent = store(listed.groupBy("leader").agg(F.count("*").alias("n")).where("n > 1"), "shared_leaders")
+    frequent = store(listed.groupBy("leader").agg(F.sum("spans").alias("n")).where("n > 1"), "shared_leaders")
     few = F.col("n") <= settings.shard_spans
-    # A text names a leader twice at most, so its lists are no longer than the text.
-    wanted = listed.join(frequent, "leader").groupBy("row").agg(
+    # A text names a leader once, so its lists are no longer than the text.
+    wanted = listed.drop("spans").join(frequent, "leader").groupBy("row").agg(
         F.collect_set(F.when(few, F.col("leader"))).alias("few"),
         F.collect_set(F.when(~few, F.col("leader"))).alias("many"),
     )
