@@ -26,11 +26,13 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest id.
 
-    Documents without words, or without an id in a group without ids, are groups of
-    their own. Rows repeated with id and text count as one document.
+    A group without ids keeps the one with the smallest hash of its text. Documents
+    without words are groups of their own. Rows repeated with id and text count as one
+    document.
     """
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    kept = neardup.kept_texts(docs).select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    same = docs["doc_id"].eqNullSafe(kept["kept_id"]) & (F.xxhash64(docs["text"]) == kept["kept_hash"])
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import re
 import pytest
 
 from tests.llm import test_native, test_texts
+from tests.llm.conftest import vocabulary
 from wattlake.llm import secrets
 from wattlake.llm.oracles import ORACLES
 from wattlake.llm.queries import QUERIES
@@ -107,3 +108,24 @@ def test_pipeline(spark, tables):
     final = corpus_pipeline.run(spark, SF).collect()
     assert sorted(map(tuple, final)) == sorted(map(tuple, rows["sharding"]))
     assert not math.isnan(sum(r.size for r in final))
+
+
+def test_near_dedup_stage_without_ids_and_with_shared_ids(spark, make_docs):
+    """One document of each group stays, whether or not rows have an id of their own."""
+    texts = [vocabulary(60, seed=n) for n in range(6)]
+    whole = [" ".join(t) for t in texts]
+    near = [[" ".join(t[:-n] + ["other"] * n) for n in (1, 2)] for t in texts]
+    rows = [
+        (8, whole[0]), (8, whole[0]), (None, near[0][0]), (None, near[0][1]),  # a group with an id
+        (None, whole[1]), (None, near[1][0]), (None, near[1][1]), (None, whole[1]),  # one without
+        (2, whole[2]), (5, near[2][0]), (5, whole[3]),  # one id, two texts, one of them a copy
+        (6, whole[4]), (6, near[4][0]),  # one id, two near copies
+        (None, None), (None, ""), (9, ""),  # no words
+    ]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, make_docs(rows), SF).collect()]
+    assert sum(text in (whole[1], *near[1]) for _, text in got) == 1
+    assert sum(doc_id == 6 for doc_id, _ in got) == 1
+    rest = [r for r in got if r[1] not in (whole[1], *near[1]) and r[0] != 6]
+    assert sorted(rest, key=repr) == sorted(
+        [(8, whole[0]), (2, whole[2]), (5, whole[3]), (None, None), (None, ""), (9, "")], key=repr
+    )

@@ -219,20 +219,9 @@ def _block_links(settings: Settings):
     return run
 
 
-def near_duplicates(
-    docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept.
-
-    Words are runs of anything but ASCII white space, A-Z lower-cased; a text with fewer
-    words than a shingle has one shingle, a null or empty text none and no links. Rows
-    are linked if the similarity of their shingle sets, as 64-bit hashes, reaches the
-    threshold; ``component_id`` is the smallest id that can be reached. Rows without an
-    id take part and never name a component that has an id; a component without any id
-    has a null ``component_id`` and its rows are kept. Repeated rows share their
-    component, and each with the component's id is kept. Other columns of the input are
-    not looked at. An empty table gives no rows.
-    """
+def _linked(docs: DataFrame, settings: Settings, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Profiles of all rows, classes of rows with equal sets, and (node, component) of
+    the classes that verified links join, named by their rows."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     profiles = store(
@@ -242,8 +231,11 @@ def near_duplicates(
     # A class is named by its row with the smallest id; the aggregate combines before it shuffles.
     classes = store(
         profiles.where("n_shingles > 0").groupBy("set_digest").agg(
-            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first")
-        ).select("set_digest", F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("class_row")),
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "row")).alias("first")
+        ).select(
+            "set_digest", F.col("first.doc_id").alias("class_id"), F.col("first.text_hash").alias("class_hash"),
+            F.col("first.row").alias("class_row"),
+        ),
         "classes",
     )
     heads = profiles.join(classes.select(F.col("class_row").alias("row")), "row", "left_semi")
@@ -285,7 +277,24 @@ def near_duplicates(
         .sortWithinPartitions("group", "low", "high")
     )
     links = store(pairs.mapInArrow(_block_links(settings), "a long, b long"), "links")
-    linked = store(components(links), "linked")
+    return profiles, classes, store(components(links), "linked")
+
+
+def near_duplicates(
+    docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, kept.
+
+    Words are runs of anything but ASCII white space, A-Z lower-cased; a text with fewer
+    words than a shingle has one shingle, a null or empty text none and no links. Rows
+    are linked if the similarity of their shingle sets, as 64-bit hashes, reaches the
+    threshold; ``component_id`` is the smallest id that can be reached. Rows without an
+    id take part and never name a component that has an id; a component without any id
+    has a null ``component_id`` and its rows are kept. Repeated rows share their
+    component, and each with the component's id is kept. Other columns of the input are
+    not looked at. An empty table gives no rows.
+    """
+    profiles, classes, linked = _linked(docs, settings, id_col, text_col)
 
     # Smallest id of each component; a hot component is combined before the exchange.
     named = linked.join(classes, linked["node"] == classes["class_row"]).select("node", "component", "class_id")
@@ -301,3 +310,21 @@ def near_duplicates(
         "n_shingles",
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def kept_texts(
+    docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """(doc_id, text_hash) of the documents that stay: of each component that with the
+    smallest id, one with an id before one without, then the smallest hash; of texts
+    without words each. No pair comes twice.
+    """
+    profiles, classes, linked = _linked(docs, settings, id_col, text_col)
+    wordless = profiles.where("n_shingles = 0").select("doc_id", "text_hash").distinct()
+    first = F.min(F.struct(F.col("class_id").isNull().alias("no_id"), "class_id", "class_hash")).alias("first")
+    heads = (
+        classes.join(linked, classes["class_row"] == linked["node"], "left")
+        .groupBy(F.coalesce("component", "class_row").alias("component")).agg(first)
+        .select(F.col("first.class_id").alias("doc_id"), F.col("first.class_hash").alias("text_hash"))
+    )
+    return heads.unionAll(wordless)
