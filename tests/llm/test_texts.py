@@ -230,6 +230,18 @@ def test_secret_spans(text):
     assert [(kind, start, end) for start, end, kind, _ in secrets.secret_spans(text)] == SECRETS[text]
 
 
+@pytest.mark.parametrize("text, literal", [
+    ('DB_PASS = "Zx81kfPq92LmA0"', "Zx81kfPq92LmA0"), ("smtp_pass: Zx81kfPq92LmA0", "Zx81kfPq92LmA0"),
+    ('mysqlPass = "Zx81kfPq92LmA0"', "Zx81kfPq92LmA0"), ('db_password = "$2b$12$Kx9/vQ8aLmZ"', "$2b$12$Kx9/vQ8aLmZ"),
+    ('db_password = "%x9Kd81LmQ"', "%x9Kd81LmQ"), ('my_passphrase = "correct Horse 7 battery"', "correct Horse 7 battery"),
+    ('bypass = "Zx81kfPq92LmA0"', None), ('db_pass = "${DB_PASS_2}"', None), ('db_pass = "$DB_PASS_2"', None),
+    ('db_pass = "%(db_pass2)s"', None), ('db_pass = "<your-Pass-01>"', None), ('db_pass = "{{dbPass01}}"', None),
+    ('db_pass = "two Words 81"', None),
+])
+def test_names_and_placeholders_of_secrets(text, literal):
+    assert [text[a:b] for a, b, kind, _ in secrets.secret_spans(text) if kind == "literal"] == ([literal] if literal else [])
+
+
 def test_secrets_of_tables(make_docs, corpus):
     rows = corpus + [(4000 + i, t) for i, t in enumerate(SECRETS)] + [(None, "token=abcdef"), (4000, "x")]
     got = secrets.find_secrets(make_docs(rows)).collect()

@@ -35,12 +35,22 @@ SENSITIVE = (
     ("token", 0.9), ("apikey", 1.0), ("accesskey", 1.0), ("privatekey", 1.0), ("authkey", 1.0), ("encryptionkey", 1.0),
     ("signingkey", 1.0), ("bearer", 0.8), ("authorization", 0.8),
 )
+# Names that are sensitive as a whole part of a name only.
+SENSITIVE_PARTS = {"pass": 0.9}
+_PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 # Literals that only stand for a secret.
 PLACEHOLDERS = frozenset(
     ("changeme", "password", "passwd", "secret", "token", "example", "placeholder", "undefined", "optional",
      "required", "string", "default", "redacted", "masked", "hidden", "disabled", "enabled")
 )
 
+_REFERENCE = (
+    r"(?:\$\{[^{}]*\}|\$\([^()]*\)|\$(?:[A-Za-z_]+|[A-Z_][A-Z0-9_]*)|%\([^()]*\)[a-z]|%\w+%|<[^<>]*>"
+    r"|\{\{[^{}]*\}\}|\{%[^{}]*%\}|\{\w*\})"
+)
+#: One or more references to what is filled in elsewhere, and nothing else.
+_FILLED_IN = re.compile(rf"{_REFERENCE}(?:[-_.:/@]*{_REFERENCE})*", re.ASCII)
+
 _TOKEN = re.compile(
     r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)
     |(?P<name>[A-Za-z_$][\w$]*(?:[.-][A-Za-z_$][\w$]*)*)
@@ -81,14 +91,16 @@ def base_spans(text: str) -> list[tuple[int, int, str, float]]:
 
 def name_score(name: str) -> float:
     plain = re.sub(r"[^a-z0-9]", "", name.lower())
-    return max((weight for part, weight in SENSITIVE if part in plain), default=0.0)
+    whole = (SENSITIVE_PARTS.get(part.lower(), 0.0) for part in _PART.findall(name))
+    return max((*(weight for part, weight in SENSITIVE if part in plain), *whole), default=0.0)
 
 
-def literal_score(literal: str, settings: Settings) -> float:
-    """0 for what cannot be a secret, up to 1 by the variety of the characters."""
-    if len(literal) < settings.least or any(c.isspace() for c in literal):
+def literal_score(literal: str, settings: Settings, spaces: bool = False) -> float:
+    """0 for what cannot be a secret, up to 1 by the variety of the characters. Spaces
+    in it are allowed only where ``spaces`` says so."""
+    if len(literal) < settings.least or any(c.isspace() for c in (literal.replace(" ", "x") if spaces else literal)):
         return 0.0
-    if literal.lower() in PLACEHOLDERS or literal[0] in "<$%{" or literal.startswith(("http://", "https://")):
+    if literal.lower() in PLACEHOLDERS or _FILLED_IN.fullmatch(literal) or literal.startswith(("http://", "https://")):
         return 0.0
     counts = Counter(literal)
     if len(counts) <= 2:
@@ -168,7 +180,7 @@ def literal_spans(text: str, settings: Settings) -> list[tuple[int, int, str, fl
                 names += constants.get(name, ())
         # Parts of one value are judged together: short pieces may add up to a secret.
         whole = "".join(text[start:end] for start, end in sorted(set(literals)))
-        score = sensitive * literal_score(whole, settings)
+        score = sensitive * literal_score(whole, settings, "passphrase" in re.sub("[^a-z]", "", target.lower()))
         if score >= settings.score:
             for span in literals:
                 if span[1] > span[0]:
