@@ -45,7 +45,7 @@ def test_registered():
     import __spark_entry__ as contract
 
     assert set(contract.queries()) >= {*QUERIES, "pipeline"}
-    assert {re.match(r"op(\d+)_", n)[1] for n in QUERIES} == {str(n) for n in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in QUERIES} == {str(n) for n in range(1, 14)}
 
 
 def test_secrets_without_hints(spark, tables):

@@ -140,6 +140,94 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 FROM n
 """
 
+# Every order is walked through: a document goes at the first filter that it fails.
+AUDIT = r"""
+WITH marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 2 * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN texts.doc_id > min(texts.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+  FROM texts LEFT JOIN marks ON texts.doc_id = marks.doc_id
+), kinds AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, fails
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l
+), orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.l NOT IN (b.l, c.l, d.l, e.l) AND b.l NOT IN (c.l, d.l, e.l) AND c.l NOT IN (d.l, e.l) AND d.l <> e.l
+), walked AS (
+  SELECT part, o, fails, n, good, toxic,
+         coalesce(list_min(list_transform(regexp_extract_all(fails, '.'), lambda f: instr(o, f))), 6) AS gone
+  FROM kinds, orders
+), steps AS (
+  SELECT part, o AS filter_order, s AS step,
+         sum(CASE WHEN gone > s THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN gone = s THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN gone < s AND contains(fails, o[s]) THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = o[s] THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN gone = s THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN gone = s THEN toxic ELSE 0 END) AS toxic_lost
+  FROM walked, (SELECT unnest(range(1, 6)) AS s) GROUP BY part, o, s
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, sum(removed) OVER (PARTITION BY part, filter_order[step])::BIGINT AS shapley
+FROM steps
+"""
+
+# Near words by their texts with one letter masked or left out; the checksum byte by byte.
+VARIANTS = r"""
+WITH RECURSIVE crcs AS (
+  SELECT list(c ORDER BY i) AS crc FROM (
+    SELECT i, list_reduce([i] || range(8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS c
+    FROM (SELECT unnest(range(256))::BIGINT AS i))
+), runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents) WHERE length(run) >= 7 GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, xor(list_reduce([4294967295::BIGINT] || list_transform(regexp_extract_all(hex(encode(doc_id || ':' || run)), '..'),
+                                                                        lambda x: ('0x' || x)::BIGINT),
+                                 lambda a, b: xor(a >> 8, crc[xor(a & 255, b) + 1])), 4294967295) AS h
+  FROM runs, crcs
+), words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word,
+         sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING sum(n) >= 2 AND length(word) >= 7
+), holes AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT x.word, x.n, y.word AS near, y.n AS near_n FROM holes x JOIN holes y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION
+  SELECT x.word, x.n, y.word, y.n FROM holes x JOIN words y ON x.a || x.b = y.word
+  UNION
+  SELECT y.word, y.n, x.word, x.n FROM holes x JOIN words y ON x.a || x.b = y.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS form, max(near_n) AS form_n FROM near GROUP BY word
+), chosen AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * words.n THEN form END AS form,
+         CASE WHEN form_n >= 10 * words.n THEN form_n END AS form_n
+  FROM words LEFT JOIN best ON words.word = best.word
+), ways AS (
+  SELECT word, word AS at, form AS onward FROM chosen
+  UNION ALL
+  SELECT ways.word, chosen.word, chosen.form FROM ways JOIN chosen ON ways.onward = chosen.word
+)
+SELECT chosen.word, form, ways.at AS root, n, n_near, form_n
+FROM chosen JOIN ways ON chosen.word = ways.word AND ways.onward IS NULL
+"""
+
 ORACLES: dict[str, str] = {
     "op1_mix_sources": MIX,
     "op2_repeated_passages": PASSAGES,
@@ -147,4 +235,6 @@ ORACLES: dict[str, str] = {
     "op5_benchmark_leaks": LEAKS,
     "op7_byte_shards": SHARDS,
     "op10_content_sort": COPIES,
+    "op12_filter_audit": AUDIT,
+    "op13_spelling_variants": VARIANTS,
 }

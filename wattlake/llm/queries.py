@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from wattlake.llm import (
     content_sort,
     decontamination,
+    filter_audit,
     licenses,
     mixing,
     neardup,
+    phrases,
     quality,
     secrets,
     sharding,
+    spelling,
     substrings,
     toxicity,
 )
@@ -98,6 +101,18 @@ def op10_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.exact_copies(read_table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_repeated_passages": op2_repeated_passages,
@@ -109,4 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_licenses": op9_licenses,
     "op10_content_sort": op10_content_sort,
+    "op11_phrase_fingerprints": op11_phrase_fingerprints,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_spelling_variants": op13_spelling_variants,
 }
