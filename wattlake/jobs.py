@@ -16,7 +16,9 @@ from wattlake.session import build_session
 from wattlake.sinks import models
 from wattlake.sinks.events import encode_events, enrich
 from wattlake.sinks.events import publish as publish_events
-from wattlake.sinks.tables import append_table, compact_days, compact_silver, expire_gold, upsert_connector
+from wattlake.sinks.tables import (
+    append_table, compact_days, compact_silver, expire_gold, read_gold, upsert_connector,
+)
 from wattlake.sources.events import KAFKA_DEFAULTS, read_events
 from wattlake.sources.landing import list_objects
 from wattlake.sources.tables import JdbcSlices, read_jdbc, read_table
@@ -182,7 +184,7 @@ def publish(spark, args):
 
 
 def _gold(spark, args) -> tuple[DataFrame, DataFrame]:
-    return tuple(read_table(spark, f"{args.root}/gold_{name}") for name in ("mix", "carbon"))
+    return tuple(read_gold(spark, f"{args.root}/gold_{name}") for name in ("mix", "carbon"))
 
 
 def train(spark, args):

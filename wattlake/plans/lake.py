@@ -14,9 +14,10 @@ from wattlake.operators.layers import (
 )
 from wattlake.operators.parse import parse_carbon, parse_mix
 from wattlake.plans import feed
-from wattlake.sinks.tables import by_day
+from wattlake.sinks.tables import by_day, read_bucketed, read_gold, write_bucketed, write_gold
 from wattlake.sources.files import exists, file_state
 from wattlake.sources.scratch import new_path
+from wattlake.sources.tables import read_footers
 
 
 @dataclass(frozen=True)
@@ -27,15 +28,28 @@ class Lake:
     sf_dir: str
     root: str
 
-    def _stored(self, name: str, make, by: str | None = None) -> DataFrame:
+    def _once(self, name: str, write) -> str:
         path = f"{self.root}/{name}"
         if not exists(self.spark, f"{path}/_SUCCESS"):
-            rows = make()
+            write(path)
+        return path
+
+    def _stored(self, name: str, make, by: str | None = None) -> DataFrame:
+        def write(path):
             if by is None:
-                rows.write.mode("overwrite").parquet(path)
+                make().write.mode("overwrite").parquet(path)
             else:
-                by_day(rows, by).write.mode("overwrite").partitionBy(DAY).parquet(path)
-        return self.spark.read.parquet(path)
+                by_day(make(), by).write.mode("overwrite").partitionBy(DAY).parquet(path)
+
+        return self.spark.read.parquet(self._once(name, write))
+
+    def _gold(self, name: str, make) -> DataFrame:
+        return read_gold(self.spark, self._once(name, lambda path: write_gold(make(), path)))
+
+    def footers(self, name: str) -> DataFrame:
+        """A stored table, opened for what its file footers tell."""
+        getattr(self, name)()
+        return read_footers(self.spark, f"{self.root}/{name}")
 
     def topic_path(self, name: str) -> str:
         {"mix": self.mix_topic, "carbon": self.carbon_topic}[name]()
@@ -67,24 +81,27 @@ class Lake:
         )
 
     def gold_mix(self) -> DataFrame:
-        return self._stored(
-            "gold_mix", lambda: latest_per_key(has_key(to_gold_mix(self.silver_mix()))),
-            "timestamp",
-        )
+        return self._gold("gold_mix", lambda: latest_per_key(has_key(to_gold_mix(self.silver_mix()))))
 
     def gold_carbon(self) -> DataFrame:
-        return self._stored(
-            "gold_carbon", lambda: latest_per_key(has_key(to_gold_carbon(self.silver_carbon()))),
-            "timestamp",
+        return self._gold(
+            "gold_carbon", lambda: latest_per_key(has_key(to_gold_carbon(self.silver_carbon())))
         )
 
+    def bucketed(self, name: str) -> DataFrame:
+        """Gold of a feed dealt by key, for joins without an exchange."""
+        gold, buckets = getattr(self, f"gold_{name}"), int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        path = self._once(
+            f"bucketed_{name}_{buckets}", lambda at: write_bucketed(gold().drop(DAY), at, buckets)
+        )
+        return read_bucketed(self.spark, path, buckets)
+
     def direct_mix(self) -> DataFrame:
         """Gold of the path without silver."""
-        return self._stored(
+        return self._gold(
             "direct_mix",
             lambda: latest_per_key(has_key(direct_gold_mix(
                 self.parsed_mix("consumption", strict=True)))),
-            "timestamp",
         )
 
 

@@ -364,6 +364,8 @@ behind_carbon AS ({_latest("carbon_rows", _BEHIND)})""",
   (SELECT count(DISTINCT zone) FROM silver_mix) AS mix_zones,
   (SELECT count(DISTINCT zone) FROM silver_carbon) AS carbon_zones,
   'success' AS status"""),
+    "newest_arrivals": _q(GOLD, """SELECT strftime("timestamp", '%Y-%m-%d') AS date,
+  epoch_us(max(ingestion_timestamp)) AS newest FROM gold_mix GROUP BY 1"""),
     "mix_carbon": _q(JOINED, "SELECT * FROM joined"),
     "features": _q(FEATURED, f"""SELECT region, "timestamp", {", ".join(_NUMERIC)},
   {C.CONSUMPTION_LABEL} FROM featured"""),

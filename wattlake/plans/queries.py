@@ -21,7 +21,7 @@ from wattlake.operators.split import temporal_cut, temporal_split
 from wattlake.plans import consumption, feed, forecast
 from wattlake.plans.lake import Lake, open_lake
 from wattlake.session import use_utc
-from wattlake.sinks import models
+from wattlake.sinks import models, tables as sinks
 from wattlake.sinks.events import enrich
 from wattlake.sinks.tables import append_table, read_gold
 from wattlake.sources.events import read_events
@@ -285,11 +285,10 @@ def preview_silver(spark, sf_dir):
 # --- supervision ---------------------------------------------------------------
 
 def table_counts(spark, sf_dir):
+    """From file footers."""
     lake = _lake(spark, sf_dir)
-    return supervision.table_counts({
-        "silver_mix": lake.silver_mix(), "silver_carbon": lake.silver_carbon(),
-        "gold_mix": lake.gold_mix(), "gold_carbon": lake.gold_carbon(),
-    })
+    names = ("silver_mix", "silver_carbon", "gold_mix", "gold_carbon")
+    return supervision.table_counts({name: lake.footers(name) for name in names})
 
 
 def freshness(spark, sf_dir):
@@ -336,7 +335,21 @@ def _joined(spark, sf_dir) -> DataFrame:
 
 
 def mix_carbon(spark, sf_dir):
-    return _plain_times(_joined(spark, sf_dir).drop("ingestion_id"))
+    """Both feeds dealt by key: neither side moves."""
+    lake = _lake(spark, sf_dir)
+    joined = ft.mix_with_carbon(
+        lake.bucketed("mix").select(*V.GOLD_MIX_COLUMNS), lake.bucketed("carbon")
+    )
+    return _plain_times(joined.drop("ingestion_id"))
+
+
+def newest_arrivals(spark, sf_dir):
+    """Newest arrival of each day of gold, from file footers: the search for expired days."""
+    lake = _lake(spark, sf_dir)
+    lake.gold_mix()
+    return sinks.newest_arrivals(spark, f"{lake.root}/gold_mix").withColumn(
+        "date", F.col("date").cast("string")
+    )
 
 
 def features(spark, sf_dir):
@@ -740,6 +753,7 @@ QUERIES: dict[str, Query] = {
     "reconcile": reconcile,
     "flow_report": flow_report,
     "mix_carbon": mix_carbon,
+    "newest_arrivals": newest_arrivals,
     "features": features,
     "features_spark_dow": features_spark_dow,
     "region_encoded": region_encoded,

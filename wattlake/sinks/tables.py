@@ -1,14 +1,26 @@
 """Silver append and gold upsert on files; JDBC and connector tables by option."""
 
+import hashlib
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession, functions as F
 
 from wattlake import vocabulary as V
 from wattlake.operators.latest import DAY, latest_per_key
 from wattlake.sources.files import children, delete, exists, move
+from wattlake.sources.tables import read_footers
 
 BATCH = "batch_id"
+#: Arrival of a gold row in microseconds, as file footers tell the greatest of whole
+#: numbers but not of times. Never null, as a footer without a greatest value is an error.
+STAMP = "ingestion_micros"
+NO_STAMP = -(2**63)
+#: Gold files are in order of the region and have a Bloom filter of it where the
+#: regions of a row group are too many for a dictionary.
+REGION_LAYOUT = {
+    "parquet.bloom.filter.enabled#region": "true", "parquet.bloom.filter.adaptive.enabled": "true",
+}
 
 
 def by_day(df: DataFrame, time_column: str) -> DataFrame:
@@ -48,20 +60,61 @@ def append_table(
     return seen.get["row_count"]
 
 
+def _gold_writer(rows: DataFrame) -> DataFrameWriter:
+    """Whole days, each file in key order: a reader of few regions skips most row groups
+    and pages."""
+    stamp = F.coalesce(F.unix_micros("ingestion_timestamp"), F.lit(NO_STAMP))
+    stored = by_day(rows.withColumn(STAMP, stamp), "timestamp").sortWithinPartitions(DAY, *V.KEY)
+    return stored.write.mode("overwrite").options(**REGION_LAYOUT).partitionBy(DAY)
+
+
 def write_gold(rows: DataFrame, path: str) -> None:
     """First load of a gold table from rows that are already latest per key."""
-    by_day(rows, "timestamp").write.mode("overwrite").partitionBy(DAY).parquet(path)
+    _gold_writer(rows).parquet(path)
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop(STAMP)
 
 
-def upsert_gold(rows: DataFrame, path: str) -> None:
+def write_bucketed(rows: DataFrame, path: str, buckets: int) -> None:
+    """Gold whose rows are dealt by key into ``buckets`` files a day. Two tables of equal
+    bucket counts are joined and grouped by key without an exchange. ``buckets`` is fixed
+    for a table: a few times the cores of the cluster, so that a bucket of the days of
+    one question fits a task."""
+    spark = rows.sparkSession
+    stored = rows.withColumn(DAY, F.to_date("timestamp")).repartition(buckets, *V.KEY)
+    # Files are told their bucket only when written as a table; the entry goes again.
+    name = f"writing_{uuid.uuid4().hex}"
+    (
+        stored.write.mode("overwrite").options(**REGION_LAYOUT).partitionBy(DAY)
+        .bucketBy(buckets, *V.KEY).sortBy(*V.KEY).option("path", path).saveAsTable(name)
+    )
+    spark.sql(f"DROP TABLE {name}")
+
+
+def read_bucketed(spark: SparkSession, path: str, buckets: int) -> DataFrame:
+    """The table by its entry in the catalog, which is made from the files where it is
+    missing: another session, or another catalog, needs the path and the bucket count only."""
+    name = "gold_" + hashlib.md5(f"{path}:{buckets}".encode()).hexdigest()
+    if not spark.catalog.tableExists(name):
+        columns = [f for f in spark.read.parquet(path).schema if f.name != DAY]
+        listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+        keys = ", ".join(V.KEY)
+        spark.sql(
+            f"CREATE TABLE {name} ({listed}, {DAY} DATE) USING parquet PARTITIONED BY ({DAY}) "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def upsert_gold(rows: DataFrame, path: str, buckets: int | None = None) -> None:
     """Last write wins on (region, timestamp); repeating a batch changes nothing.
 
     Only the days that occur in ``rows`` are read and rewritten. One writer per
-    gold table.
+    gold table. ``buckets`` is that of a bucketed table, which stays one.
     """
     spark = rows.sparkSession
     finish_swap(spark, path)
@@ -70,17 +123,18 @@ def upsert_gold(rows: DataFrame, path: str) -> None:
     touched = _touched(spark, path, incoming)
     if touched is not None:
         merged = incoming.unionByName(touched)
-    replace_days(latest_per_key(merged.drop(DAY)), path)
+    replace_days(latest_per_key(merged.drop(DAY)), path, buckets)
 
 
-def replace_days(days: DataFrame, path: str) -> None:
+def replace_days(days: DataFrame, path: str, buckets: int | None = None) -> None:
     """Puts whole days in the place of the same days of the table.
 
     They are written beside the table first, once, and then moved day by day. A
     driver lost in between leaves the days not yet moved complete beside the table;
     the next writer moves them.
     """
-    write_gold(days, f"{_stage(path)}/{uuid.uuid4().hex}")
+    staged = f"{_stage(path)}/{uuid.uuid4().hex}"
+    write_bucketed(days, staged, buckets) if buckets else write_gold(days, staged)
     finish_swap(days.sparkSession, path)
 
 
@@ -108,7 +162,7 @@ def _touched(spark: SparkSession, path: str, incoming: DataFrame) -> DataFrame |
     there = [folder for folder in folders if exists(spark, folder)]
     if not there:
         return None
-    return spark.read.option("basePath", path).parquet(*there)
+    return spark.read.option("basePath", path).parquet(*there).drop(STAMP)
 
 
 def upsert_connector(rows: DataFrame, fmt: str, options: dict[str, str]) -> None:
@@ -119,27 +173,48 @@ def upsert_connector(rows: DataFrame, fmt: str, options: dict[str, str]) -> None
     ).write.format(fmt).mode("append").options(**options).save()
 
 
+def newest_arrivals(spark: SparkSession, path: str) -> DataFrame:
+    """(date, newest) of gold, newest in microseconds, from the footers of its files."""
+    return read_footers(spark, path).groupBy(DAY).agg(F.max(STAMP).alias("newest"))
+
+
+def _scanned_arrivals(spark: SparkSession, path: str) -> DataFrame:
+    """The same by reading the column, null for a day without arrivals."""
+    return spark.read.parquet(path).groupBy(DAY).agg(
+        F.max(F.unix_micros("ingestion_timestamp")).alias("newest")
+    )
+
+
 def expire_gold(spark: SparkSession, path: str, as_of, days: int = V.RETENTION_DAYS) -> int:
     """Storage side of retention: deletes the day partitions in which no row is
     left to keep. Returns their number. Younger days are handled on read. A swap
-    left open is completed first, or it would bring an expired day back."""
+    left open is completed first, or it would bring an expired day back.
+
+    No column is read but in a table that has files of a writer without the stamp.
+    """
     finish_swap(spark, path)
-    limit = F.lit(as_of) - F.make_interval(days=F.lit(days))
-    stale = (
-        read_gold(spark, path).groupBy(DAY)
-        .agg(F.max("ingestion_timestamp").alias("newest"))
-        .filter(F.col("newest") < limit)
-    )
-    gone = [row[DAY] for row in stale.select(DAY).collect()]  # one value per day
+    limit = F.unix_micros(F.lit(as_of) - F.make_interval(days=F.lit(days)))
+    stale = (F.col("newest") < limit) & (F.col("newest") != NO_STAMP)
+
+    def found(newest: DataFrame) -> list:
+        return [row[DAY] for row in newest.filter(stale).select(DAY).collect()]  # one value per day
+
+    if STAMP in spark.read.parquet(path).columns:
+        try:
+            gone = found(newest_arrivals(spark, path))
+        except Py4JJavaError:  # a file whose footer does not know the column
+            gone = found(_scanned_arrivals(spark, path))
+    else:
+        gone = found(_scanned_arrivals(spark, path))
     for day in gone:
         delete(spark, f"{path.rstrip('/')}/{DAY}={day.isoformat()}")
     return len(gone)
 
 
-def compact_days(spark: SparkSession, path: str, days: list) -> None:
+def compact_days(spark: SparkSession, path: str, days: list, buckets: int | None = None) -> None:
     """Rewrites the given days of gold into evenly sized files."""
     finish_swap(spark, path)
-    replace_days(read_gold(spark, path).filter(F.col(DAY).isin(list(days))).drop(DAY), path)
+    replace_days(read_gold(spark, path).filter(F.col(DAY).isin(list(days))).drop(DAY), path, buckets)
 
 
 def compact_silver(spark: SparkSession, path: str, days: list) -> None:
