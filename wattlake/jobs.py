@@ -10,18 +10,20 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattlake import vocabulary as V
-from wattlake.operators import layers, supervision
+from wattlake.operators import layers, partials, supervision
 from wattlake.plans import consumption, forecast
 from wattlake.session import build_session
 from wattlake.sinks import models
 from wattlake.sinks.events import encode_events, enrich
 from wattlake.sinks.events import publish as publish_events
 from wattlake.sinks.tables import (
-    append_table, compact_days, compact_silver, expire_gold, read_gold, upsert_connector,
+    append_table, compact_days, compact_partials, compact_silver, expire_gold, read_gold,
+    rebuild_partials, upsert_connector,
 )
 from wattlake.sources.events import KAFKA_DEFAULTS, read_events
+from wattlake.sources.files import exists
 from wattlake.sources.landing import list_objects
-from wattlake.sources.tables import JdbcSlices, read_jdbc, read_table
+from wattlake.sources.tables import JdbcSlices, read_footers, read_jdbc, read_table
 from wattlake.streaming import control, ingest, sync
 
 
@@ -67,9 +69,11 @@ def silver(spark, args):
     mix, carbon = _events(spark, args, V.TOPIC_MIX), _events(spark, args, V.TOPIC_CARBON)
     _run(spark, args, {
         "silver_mix": ingest.mix_to_silver(
-            mix, _append_sink(args, "mix"), f"{args.root}/rejects_mix"),
+            mix, _append_sink(args, "mix"), f"{args.root}/rejects_mix",
+            partials=f"{args.root}/partials_mix"),
         "silver_carbon": ingest.carbon_to_silver(
-            carbon, _append_sink(args, "carbon"), f"{args.root}/rejects_carbon"),
+            carbon, _append_sink(args, "carbon"), f"{args.root}/rejects_carbon",
+            partials=f"{args.root}/partials_carbon"),
     })
 
 
@@ -149,6 +153,20 @@ def compact_silver_days(spark, args):
         compact_silver(spark, f"{args.root}/silver_{name}", _days(args))
 
 
+def compact_partial_sums(spark, args):
+    """The partial sums of the given event days into one row per zone."""
+    for name in ("mix", "carbon"):
+        compact_partials(spark, f"{args.root}/partials_{name}", _days(args))
+
+
+def rebuild_partial_sums(spark, args):
+    """The partial sums of all of silver anew, for tables older than they are. No silver
+    stream runs meanwhile."""
+    for name, value in (("mix", "production_total"), ("carbon", "carbon_intensity")):
+        rows = read_table(spark, f"{args.root}/silver_{name}")
+        rebuild_partials(partials.day_zone_partials(rows, value), f"{args.root}/partials_{name}")
+
+
 def _days(args) -> list[dt.date]:
     return [dt.date.fromisoformat(day) for day in args.days]
 
@@ -239,17 +257,30 @@ def compare(spark, args):
 
 
 def report(spark, args):
-    """Freshness, totals, leading zones, reconciliation."""
-    silver_tables = {
-        name: read_table(spark, f"{args.root}/silver_{name}") for name in ("mix", "carbon")
-    }
+    """Freshness, totals, leading zones, reconciliation. Where the silver stream keeps
+    partial sums, these are read instead of all of silver, and counts come from file
+    footers."""
+    names = ("mix", "carbon")
+    silver_tables = {name: read_table(spark, f"{args.root}/silver_{name}") for name in names}
     mix, carbon = _gold(spark, args)
     as_of = F.lit(_when(args.at))
     pairs = {"mix": (silver_tables["mix"], mix), "carbon": (silver_tables["carbon"], carbon)}
+    if all(exists(spark, f"{args.root}/partials_{name}") for name in names):
+        sums = {name: read_table(spark, f"{args.root}/partials_{name}") for name in names}
+        counted = read_footers(spark, f"{args.root}/gold_mix")
+        parts = {
+            "freshness": partials.freshness(sums, silver_tables, as_of),
+            "flow": supervision.flow_of(partials.table_stats(sums), list(names), counted),
+            "top_zones": partials.top_zones(sums["mix"], as_of),
+        }
+    else:
+        parts = {
+            "freshness": supervision.freshness(silver_tables, as_of),
+            "flow": supervision.flow_report(silver_tables, mix),
+            "top_zones": supervision.top_zones(silver_tables["mix"], as_of),
+        }
     for name, part in {
-        "freshness": supervision.freshness(silver_tables, as_of),
-        "flow": supervision.flow_report(silver_tables, mix),
-        "top_zones": supervision.top_zones(silver_tables["mix"], as_of),
+        **parts,
         "reconcile": supervision.reconcile(pairs),
         "count_by_region": supervision.count_by_region(mix),
     }.items():
@@ -261,7 +292,8 @@ FORECASTS = {V.CONSUMPTION_LABEL: "predicted_consumption", V.CARBON_LABEL: "pred
 
 JOBS = {
     "silver": silver, "direct": direct, "land": land, "console": console, "sync": sync_gold,
-    "sync-table": sync_table, "repair": repair, "compact": compact, "compact-silver": compact_silver_days, "expire": expire,
+    "sync-table": sync_table, "repair": repair, "compact": compact, "compact-silver": compact_silver_days,
+    "compact-partials": compact_partial_sums, "rebuild-partials": rebuild_partial_sums, "expire": expire,
     "land-rolled": land_rolled, "landing": landing, "publish": publish,
     "train": train, "predict": predict, "compare": compare, "report": report,
 }
@@ -289,7 +321,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--overlap", default="10 minutes", help="sync-table: read again before the mark")
     p.add_argument("--slices", nargs=4, metavar=("COLUMN", "LOWER", "UPPER", "COUNT"),
                    help="sync-table over JDBC: parallel read")
-    p.add_argument("--days", nargs="*", default=[], help="compact, compact-silver: ISO days")
+    p.add_argument("--days", nargs="*", default=[], help="compact, compact-silver, compact-partials: ISO days")
     p.add_argument("--keep-days", type=int, default=V.RETENTION_DAYS)
     p.add_argument("--records", type=int, default=1000, help="land-rolled: messages in a file")
     return p

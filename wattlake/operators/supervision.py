@@ -105,15 +105,20 @@ def reconcile(pairs: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
 
 def flow_report(silver: dict[str, DataFrame], gold: DataFrame) -> DataFrame:
     """One row: totals of both silver tables, gold rows, zones per table."""
-    stats = table_stats(silver)
+    return flow_of(table_stats(silver), list(silver), gold)
+
+
+def flow_of(stats: DataFrame, names: list[str], gold: DataFrame) -> DataFrame:
+    """The same from the statistics of the silver tables; gold rows are counted, from
+    file footers if gold was opened for that."""
     totals = stats.agg(
         F.sum("row_count").alias("silver_total"),
         *[
             F.max(F.when(F.col("table_name") == name, F.col("zones"))).alias(f"{name}_zones")
-            for name in silver
+            for name in names
         ],
     )
-    counted = ["silver_total", "gold_total"] + [f"{name}_zones" for name in silver]
+    counted = ["silver_total", "gold_total"] + [f"{name}_zones" for name in names]
     return (
         totals.withColumn("gold_total", F.lit(None).cast("long"))
         .unionByName(

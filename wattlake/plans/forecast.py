@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
+from wattlake.operators.asof import until
 from wattlake.operators.features import forecast_grid, latest_snapshot
 from wattlake.operators.latest import for_regions
 
@@ -13,11 +14,13 @@ def predict_next_hours(
     model: PipelineModel, mix: DataFrame, carbon: DataFrame, start: dt.datetime, hours: int = 24,
     regions: list[str] | None = None, name: str = "predicted_consumption",
 ) -> DataFrame:
-    """Predictions for ``start`` and the hours after it, all regions in one pass.
+    """Predictions for ``start`` and the hours after it, all regions in one pass, from the
+    state that was known then: no row later than ``start`` is used.
 
-    A region without gold rows has no prediction; one the model has never seen
-    is an error.
+    A region without gold rows up to then has no prediction; one the model has never
+    seen is an error.
     """
+    mix, carbon = until(mix, start), until(carbon, start)
     if regions is not None:
         mix, carbon = for_regions(mix, regions), for_regions(carbon, regions)
     grid = forecast_grid(latest_snapshot(mix, carbon), start, hours)

@@ -6,15 +6,18 @@ running system; only the ingest jobs read JSON.
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattlake.operators.latest import DAY, latest_per_key
 from wattlake.operators.layers import (
     direct_gold_mix, has_key, silver_carbon, silver_mix, to_gold_carbon, to_gold_mix,
 )
 from wattlake.operators.parse import parse_carbon, parse_mix
+from wattlake.operators.partials import day_zone_partials
 from wattlake.plans import feed
-from wattlake.sinks.tables import by_day, read_bucketed, read_gold, write_bucketed, write_gold
+from wattlake.sinks.tables import (
+    append_partials, by_day, read_bucketed, read_gold, write_bucketed, write_gold,
+)
 from wattlake.sources.files import exists, file_state
 from wattlake.sources.scratch import new_path
 from wattlake.sources.tables import read_footers
@@ -96,6 +99,21 @@ class Lake:
         )
         return read_bucketed(self.spark, path, buckets)
 
+    def partials(self, name: str, value: str) -> DataFrame:
+        """Sums by event day and zone, as the silver stream keeps them."""
+        silver = getattr(self, f"silver_{name}")
+        return self.spark.read.parquet(self._once(
+            f"partials_{name}", lambda path: append_partials(day_zone_partials(silver(), value), path, 0)
+        ))
+
+    def behind(self, name: str, mark) -> DataFrame:
+        """Gold of a feed as it was at a time of arrival."""
+        shape = {"mix": to_gold_mix, "carbon": to_gold_carbon}[name]
+        silver = getattr(self, f"silver_{name}")
+        return self._gold(f"behind_{name}", lambda: latest_per_key(
+            has_key(shape(silver()).filter(F.col("ingestion_timestamp") <= mark))
+        ))
+
     def direct_mix(self) -> DataFrame:
         """Gold of the path without silver."""
         return self._gold(

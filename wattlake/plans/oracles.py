@@ -205,6 +205,25 @@ snapshot AS (
 )"""
 
 
+# the state at half past six, ten days before the newest arrival
+_PAST = "date_trunc('day', as_of) - INTERVAL 9 DAY - INTERVAL 17 HOUR - INTERVAL 30 MINUTE"
+
+
+def _until(table: str) -> str:
+    return f"""SELECT * EXCLUDE (rn, as_of) FROM (
+    SELECT {table}.*, as_of, row_number() OVER (PARTITION BY region ORDER BY "timestamp" DESC) AS rn
+    FROM {table}, now WHERE "timestamp" <= {_PAST}) WHERE rn = 1"""
+
+
+PAST = GOLD + f""",
+past_mix AS ({_until("gold_mix")}),
+past_carbon AS ({_until("gold_carbon")}),
+past AS (
+  SELECT m.* EXCLUDE (event_id, ingestion_id), coalesce(c.carbon_intensity, 0.0) AS carbon_intensity
+  FROM past_mix m LEFT JOIN past_carbon c ON m.region = c.region
+)"""
+
+
 def _q(ctes: str, body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
@@ -215,13 +234,13 @@ def _stats(body: str, tables=("mix", "carbon")) -> str:
     )
 
 
-def _reconcile(name: str) -> str:
+def _reconcile(name: str, stale: str = "") -> str:
     return f"""SELECT '{name}' AS table_name,
   CAST(coalesce(sum(arrivals), 0) AS BIGINT) AS silver_rows,
   count(*) FILTER (WHERE k."timestamp" IS NOT NULL) AS silver_keys,
   CAST(coalesce(sum(arrivals) FILTER (WHERE k."timestamp" IS NULL), 0) AS BIGINT) AS unkeyed_rows,
   count(g.region) AS gold_keys,
-  count(*) FILTER (WHERE k."timestamp" IS NOT NULL AND g.region IS NULL) AS missing_keys,
+  count(*) FILTER (WHERE k."timestamp" IS NOT NULL AND g.region IS NULL) AS missing_keys,{stale}
   max(arrived) AS silver_last, max(g.ingestion_timestamp) AS gold_last,
   count(*) FILTER (WHERE k."timestamp" IS NOT NULL AND g.region IS NULL) = 0 AS in_sync
 FROM (SELECT zone AS region, datetime AS "timestamp", count(*) AS arrivals,
@@ -280,6 +299,27 @@ GOLD_MIX_ROWS = _q(GOLD, "SELECT * FROM gold_mix")
 GOLD_CARBON_ROWS = _q(GOLD, "SELECT * FROM gold_carbon")
 DIRECT_MIX_ROWS = _q(DIRECT, _latest("direct_mix"))
 
+_TOP_ZONES = _q(SILVER, """SELECT zone, count(*) AS records,
+  round(avg(production_total), 0) AS avg_prod
+FROM silver_mix, now WHERE datetime >= date_trunc('day', as_of) - INTERVAL 1 DAY
+GROUP BY zone ORDER BY avg_prod DESC, zone LIMIT 5""")
+_FRESHNESS = _q(SILVER, _stats("""count(*) AS row_count, max(processing_time) AS last_update,
+  count(*) FILTER (WHERE processing_time > (SELECT as_of - INTERVAL 10 MINUTE FROM now))
+    AS recent_rows, count(*) = 0 AS is_empty"""))
+_TABLE_STATS = _q(SILVER, _stats(
+    "count(*) AS row_count, count(DISTINCT zone) AS zones, max(processing_time) AS last_update"
+))
+_FLOW = _q(GOLD, """SELECT
+  (SELECT count(*) FROM silver_mix) + (SELECT count(*) FROM silver_carbon) AS silver_total,
+  (SELECT count(*) FROM gold_mix) AS gold_total,
+  (SELECT count(DISTINCT zone) FROM silver_mix) AS mix_zones,
+  (SELECT count(DISTINCT zone) FROM silver_carbon) AS carbon_zones,
+  'success' AS status""")
+_BOTH_BEHIND = SILVER + f""",
+behind_mix AS ({_latest("mix_rows", _BEHIND)}),
+behind_carbon AS ({_latest("carbon_rows", _BEHIND)})"""
+_STALE = "count(*) FILTER (WHERE g.ingestion_timestamp < k.arrived) AS stale_keys,"
+
 ORACLES: dict[str, str] = {
     "src_events": f"""SELECT '{C.TOPIC_MIX}' AS topic, event_id, ts AS processing_time,
   true AS has_text FROM events""",
@@ -342,28 +382,21 @@ FROM gold_mix, now WHERE ingestion_timestamp >= as_of - INTERVAL {RETENTION_SHOW
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
         for t in ("silver_mix", "silver_carbon", "gold_mix", "gold_carbon")
     )),
-    "freshness": _q(SILVER, _stats("""count(*) AS row_count, max(processing_time) AS last_update,
-  count(*) FILTER (WHERE processing_time > (SELECT as_of - INTERVAL 10 MINUTE FROM now))
-    AS recent_rows, count(*) = 0 AS is_empty""")),
-    "table_stats": _q(SILVER, _stats(
-        "count(*) AS row_count, count(DISTINCT zone) AS zones, max(processing_time) AS last_update"
-    )),
-    "top_zones": _q(SILVER, """SELECT zone, count(*) AS records,
-  round(avg(production_total), 0) AS avg_prod
-FROM silver_mix, now WHERE datetime >= date_trunc('day', as_of) - INTERVAL 1 DAY
-GROUP BY zone ORDER BY avg_prod DESC, zone LIMIT 5"""),
-    "reconcile": _q(
-        SILVER + f""",
-behind_mix AS ({_latest("mix_rows", _BEHIND)}),
-behind_carbon AS ({_latest("carbon_rows", _BEHIND)})""",
-        _reconcile("mix") + " UNION ALL " + _reconcile("carbon"),
+    "freshness": _FRESHNESS,
+    "freshness_kept": _FRESHNESS,
+    "table_stats": _TABLE_STATS,
+    "table_stats_kept": _TABLE_STATS,
+    "top_zones": _TOP_ZONES,
+    "top_zones_scanned": _TOP_ZONES,
+    "day_zone_sums": _q(SILVER, """SELECT strftime(datetime, '%Y-%m-%d') AS date, zone, count(*) AS records,
+  count(production_total) AS valued, round(sum(production_total), 4) AS total,
+  max(processing_time) AS last_update FROM silver_mix GROUP BY 1, 2"""),
+    "reconcile": _q(_BOTH_BEHIND, _reconcile("mix") + " UNION ALL " + _reconcile("carbon")),
+    "reconcile_digests": _q(
+        _BOTH_BEHIND, _reconcile("mix", _STALE) + " UNION ALL " + _reconcile("carbon", _STALE)
     ),
-    "flow_report": _q(GOLD, """SELECT
-  (SELECT count(*) FROM silver_mix) + (SELECT count(*) FROM silver_carbon) AS silver_total,
-  (SELECT count(*) FROM gold_mix) AS gold_total,
-  (SELECT count(DISTINCT zone) FROM silver_mix) AS mix_zones,
-  (SELECT count(DISTINCT zone) FROM silver_carbon) AS carbon_zones,
-  'success' AS status"""),
+    "flow_report": _FLOW,
+    "flow_report_kept": _FLOW,
     "newest_arrivals": _q(GOLD, """SELECT strftime("timestamp", '%Y-%m-%d') AS date,
   epoch_us(max(ingestion_timestamp)) AS newest FROM gold_mix GROUP BY 1"""),
     "mix_carbon": _q(JOINED, "SELECT * FROM joined"),
@@ -396,6 +429,12 @@ scored AS (
   count(*) FILTER (WHERE y = 0) AS n_zero_actual
 FROM scored GROUP BY split"""),
     "latest_snapshot": _q(SNAPSHOT, f"SELECT *, {_RATIOS} FROM snapshot"),
+    "snapshot_as_of": _q(PAST, f"SELECT *, {_RATIOS} FROM past"),
+    "carbon_as_of": _q(GOLD, """SELECT m.region, m."timestamp", m.total_production,
+  c."timestamp" AS carbon_time, c.carbon_intensity, c.emission_factor_type
+FROM gold_mix m ASOF LEFT JOIN gold_carbon c ON m.region = c.region AND m."timestamp" >= c."timestamp\""""),
+    "predict_as_of": _q(PAST, f"""SELECT region, {_PAST} AS datetime, "timestamp" AS state_time,
+  total_production, carbon_intensity, true AS predicted FROM past, now"""),
     "forecast_grid": _q(
         SNAPSHOT + """,
 grid AS (

@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wattlake import vocabulary as V
 from wattlake.functions.calendar import tomorrow_at
 from wattlake.functions.identity import base_name
-from wattlake.operators import declared, features as ft, layers, metrics, parse, supervision
+from wattlake.operators import (
+    asof, declared, digests, features as ft, layers, metrics, parse, partials, supervision,
+)
 from wattlake.operators.latest import (
     for_regions, high_water_mark, latest_by_region, latest_per_key, retained,
 )
@@ -301,10 +303,58 @@ def table_stats(spark, sf_dir):
     return _plain_times(supervision.table_stats(_silver(_lake(spark, sf_dir))))
 
 
+def _partials(lake: Lake) -> dict[str, DataFrame]:
+    return {
+        "mix": lake.partials("mix", "production_total"),
+        "carbon": lake.partials("carbon", "carbon_intensity"),
+    }
+
+
 def top_zones(spark, sf_dir):
+    """From the sums of two days and later."""
+    sums = _partials(_lake(spark, sf_dir))["mix"]
+    return partials.top_zones(sums, _as_of(spark, sf_dir))
+
+
+def top_zones_scanned(spark, sf_dir):
+    """The same from all of silver."""
     return supervision.top_zones(_lake(spark, sf_dir).silver_mix(), _as_of(spark, sf_dir))
 
 
+def day_zone_sums(spark, sf_dir):
+    """The sums that the silver stream keeps, over several batches."""
+    return _plain_times(partials.merge_partials(_stream_partials(spark, sf_dir))).withColumns({
+        "date": F.col("date").cast("string"), "total": F.round("total", 4),
+    })
+
+
+def table_stats_kept(spark, sf_dir):
+    return _plain_times(partials.table_stats(_partials(_lake(spark, sf_dir))))
+
+
+def freshness_kept(spark, sf_dir):
+    lake = _lake(spark, sf_dir)
+    return _plain_times(partials.freshness(_partials(lake), _silver(lake), _as_of(spark, sf_dir)))
+
+
+def flow_report_kept(spark, sf_dir):
+    """From the kept sums and the file footers of gold."""
+    lake = _lake(spark, sf_dir)
+    sums = _partials(lake)
+    return supervision.flow_of(partials.table_stats(sums), list(sums), lake.footers("gold_mix"))
+
+
+def reconcile_digests(spark, sf_dir):
+    """As ``reconcile``, against stored gold, comparing rows only in hours that differ."""
+    lake = _lake(spark, sf_dir)
+    mark = _as_of(spark, sf_dir) - F.expr("INTERVAL 1 DAY")
+    parts = [
+        digests.reconcile_by_digests(rows, lake.behind(name, mark)).select(F.lit(name).alias("table_name"), "*")
+        for name, rows in _silver(lake).items()
+    ]
+    return _plain_times(parts[0].unionByName(parts[1]))
+
+
 def reconcile(spark, sf_dir):
     """Silver against a gold that is one day behind."""
     lake = _lake(spark, sf_dir)
@@ -400,6 +450,19 @@ def _fill(spark, sf_dir, jobs, names) -> tuple[str, str]:
     return out, rejects
 
 
+def _stream_partials(spark, sf_dir) -> DataFrame:
+    """The sums of the mix stream, which takes its topic in several batches."""
+    out, sums = new_path(spark, "filled"), new_path(spark, "sums")
+    topic = read_events(
+        spark, "parquet", {"path": _lake(spark, sf_dir).topic_path("mix"), "maxFilesPerTrigger": "3"}
+    )
+    job = ingest.mix_to_silver(
+        topic, f"{out}/mix", f"{out}/rejects", arrival="timestamp", partials=sums
+    )
+    control.drain_all([control.start(job, "fill_sums", new_path(spark, "cp"), drain=True)])
+    return spark.read.parquet(sums)
+
+
 def _count_rejects(spark, rejects: str) -> DataFrame:
     both = spark.read.parquet(f"{rejects}/mix").unionByName(spark.read.parquet(f"{rejects}/carbon"))
     return both.groupBy("topic", "reason").agg(F.count("*").alias("row_count"))
@@ -642,6 +705,37 @@ def latest_snapshot(spark, sf_dir):
     return _plain_times(snapshot)
 
 
+def _past(spark, sf_dir) -> Column:
+    """Half past six, ten days before the newest arrival."""
+    return F.date_trunc("day", _as_of(spark, sf_dir)) - F.expr("INTERVAL 9 DAY 17 HOURS 30 MINUTES")
+
+
+def snapshot_as_of(spark, sf_dir):
+    """The state of every region as it was known at a past time."""
+    at = _past(spark, sf_dir)
+    mix, carbon = (asof.until(gold, at) for gold in _gold(spark, sf_dir))
+    return _plain_times(ft.latest_snapshot(mix, carbon))
+
+
+def carbon_as_of(spark, sf_dir):
+    """Every mix row with the newest carbon reading at or before it."""
+    mix, carbon = _gold(spark, sf_dir)
+    rows = mix.select(*V.KEY, "total_production")
+    found = asof.as_of_join(rows, carbon, ["carbon_intensity", "emission_factor_type"], "carbon_time")
+    return _plain_times(found)
+
+
+def predict_as_of(spark, sf_dir):
+    """A prediction for a past time, and the state that it is made from."""
+    model, run = models.load_latest(spark, _trained_root(spark, sf_dir))
+    mix, carbon = _gold(spark, sf_dir)
+    rows = forecast.predict_next_hours(model, mix, carbon, _past(spark, sf_dir), 1)
+    return _plain_times(rows.select(
+        "region", "datetime", "state_time", "total_production", "carbon_intensity",
+        _is_number(F.col("predicted_consumption")).alias("predicted"),
+    ))
+
+
 def forecast_grid(spark, sf_dir):
     lake = _lake(spark, sf_dir)
     start = F.date_trunc("hour", _as_of(spark, sf_dir))
@@ -750,7 +844,13 @@ QUERIES: dict[str, Query] = {
     "freshness": freshness,
     "table_stats": table_stats,
     "top_zones": top_zones,
+    "top_zones_scanned": top_zones_scanned,
+    "day_zone_sums": day_zone_sums,
+    "table_stats_kept": table_stats_kept,
+    "freshness_kept": freshness_kept,
+    "flow_report_kept": flow_report_kept,
     "reconcile": reconcile,
+    "reconcile_digests": reconcile_digests,
     "flow_report": flow_report,
     "mix_carbon": mix_carbon,
     "newest_arrivals": newest_arrivals,
@@ -763,6 +863,9 @@ QUERIES: dict[str, Query] = {
     "temporal_split": split_rows,
     "regression_metrics": regression_metrics,
     "latest_snapshot": latest_snapshot,
+    "snapshot_as_of": snapshot_as_of,
+    "carbon_as_of": carbon_as_of,
+    "predict_as_of": predict_as_of,
     "forecast_grid": forecast_grid,
     "stream_silver": stream_silver,
     "stream_rejects": stream_rejects,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession, f
 
 from wattlake import vocabulary as V
 from wattlake.operators.latest import DAY, latest_per_key
+from wattlake.operators.partials import merge_partials
 from wattlake.sources.files import children, delete, exists, move
 from wattlake.sources.tables import read_footers
 
@@ -45,6 +46,24 @@ def append_batch(df: DataFrame, path: str, time_column: str, batch_id: int) -> N
     )
 
 
+def append_partials(partials: DataFrame, path: str, batch_id: int) -> None:
+    """Partial sums of one micro-batch, a folder per event day and batch. A replayed
+    batch replaces its own."""
+    (
+        partials.withColumn(BATCH, F.lit(batch_id).cast("long")).hint("rebalance", DAY)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DAY, BATCH).parquet(path)
+    )
+
+
+def rebuild_partials(partials: DataFrame, path: str) -> None:
+    """The sums of all of silver in the place of those that are there. They bear no batch's
+    id, so that batches to come add to them."""
+    staged = f"{_stage(path)}/{uuid.uuid4().hex}"
+    append_partials(partials, staged, -1)
+    move(partials.sparkSession, staged, path)
+
+
 def append_table(
     df: DataFrame, fmt: str = "parquet", path: str | None = None,
     options: dict[str, str] | None = None, partition_by: list[str] | None = None,
@@ -225,15 +244,26 @@ def compact_silver(spark: SparkSession, path: str, days: list) -> None:
     which the upsert makes harmless; it should be past these days, as files it has
     planned to read go.
     """
+    _compact_batches(spark, path, days, lambda rows: rows)
+
+
+def compact_partials(spark: SparkSession, path: str, days: list) -> None:
+    """Merges the partial sums of the given event days into a row per zone. A day with
+    sums of the newest batch, which can come again, is refused; a later event of a
+    merged day adds its own."""
+    _compact_batches(spark, path, days, merge_partials)
+
+
+def _compact_batches(spark: SparkSession, path: str, days: list, merge) -> None:
     finish_swap(spark, path)
-    silver = spark.read.parquet(path)
-    newest = silver.agg(F.max(BATCH)).first()[0]
-    rows = silver.filter(F.col(DAY).isin(list(days)))
+    table = spark.read.parquet(path)
+    newest = table.agg(F.max(BATCH)).first()[0]
+    rows = table.filter(F.col(DAY).isin(list(days)))
     if not rows.filter(F.col(BATCH) == newest).isEmpty():
         raise ValueError("the newest batch wrote to one of these days")
     last = rows.groupBy(DAY).agg(F.max(BATCH).alias(BATCH))  # one row per day
     (
-        rows.drop(BATCH).join(F.broadcast(last), DAY).hint("rebalance", DAY)
+        merge(rows.drop(BATCH)).join(F.broadcast(last), DAY).hint("rebalance", DAY)
         .write.partitionBy(DAY, BATCH).parquet(f"{_stage(path)}/{uuid.uuid4().hex}")
     )
     finish_swap(spark, path)

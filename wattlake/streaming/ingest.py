@@ -12,7 +12,8 @@ from wattlake.operators.layers import (
 from wattlake.operators.parse import (
     display_rows, parse_carbon, parse_mix, quarantine, without_good_text,
 )
-from wattlake.sinks.tables import append_batch, upsert_gold
+from wattlake.operators.partials import day_zone_partials
+from wattlake.sinks.tables import append_batch, append_partials, upsert_gold
 
 
 # where a batch goes: a folder, or a function of the rows and the batch id
@@ -31,13 +32,14 @@ def _upsert_to(sink: Sink) -> Callable[[DataFrame, int], None]:
 
 def _two_sinks(
     parsed: DataFrame, keep: Callable[[DataFrame], DataFrame], value: str | None, silver: Sink,
-    rejects: Sink,
+    rejects: Sink, partials: str | None = None,
 ) -> DataStreamWriter:
     """Everything is derived on the stream; foreachBatch only writes. An error is
     not caught: the query fails and the batch comes again at the next start.
 
     Folders hold a repeated batch once. A sink without keys, such as a JDBC
-    append, gets it again; gold keeps the last arrival in either case.
+    append, gets it again; gold keeps the last arrival in either case. ``partials`` is
+    the folder of the sums by event day and zone that reports read.
     """
     to_silver, to_rejects = _append_to(silver), _append_to(rejects)
 
@@ -47,6 +49,8 @@ def _two_sinks(
             if batch.isEmpty():
                 return
             to_silver(keep(batch), batch_id)
+            if partials is not None:
+                append_partials(day_zone_partials(keep(batch), value), partials, batch_id)
             to_rejects(quarantine(batch, value), batch_id)
         finally:
             batch.unpersist()
@@ -57,21 +61,21 @@ def _two_sinks(
 
 def mix_to_silver(
     events: DataFrame, silver: Sink, rejects: Sink, arrival: str | None = None,
-    extras: bool = False,
+    extras: bool = False, partials: str | None = None,
 ) -> DataStreamWriter:
     return _two_sinks(
         parse_mix(events, arrival=arrival), lambda rows: silver_mix(rows, extras),
-        "production_total", silver, rejects,
+        "production_total", silver, rejects, partials,
     )
 
 
 def carbon_to_silver(
     events: DataFrame, silver: Sink, rejects: Sink, arrival: str | None = None,
-    extras: bool = False,
+    extras: bool = False, partials: str | None = None,
 ) -> DataStreamWriter:
     return _two_sinks(
         parse_carbon(events, arrival=arrival), lambda rows: silver_carbon(rows, extras),
-        "carbon_intensity", silver, rejects,
+        "carbon_intensity", silver, rejects, partials,
     )
 
 
