@@ -9,7 +9,6 @@ from itertools import permutations
 
 import numpy as np
 import pytest
-import xxhash
 
 from tests.llm.conftest import vocabulary
 from wattlake.llm import filter_audit, phrases, spelling
@@ -185,7 +184,7 @@ def lempel_ziv(text):
 
 
 def minima(text, k):
-    return sorted({xxhash.xxh3_64_intdigest(p) >> 32 for p in lempel_ziv(text)})[:k]
+    return sorted({int(phrases.hashes(p, [len(p)])[0]) for p in lempel_ziv(text)})[:k]
 
 
 def alike(a, b, k):
@@ -199,10 +198,18 @@ def test_phrases_in_two_pieces(cut):
     for _ in range(50):
         text = "".join(rng.choice("abcé ") for _ in range(rng.randint(0, 200)))
         at = min(cut[1], len(text))
-        dictionary = phrases.Dictionary()
-        head, rest = dictionary.parse(text, 0, at)
-        tail, _ = dictionary.parse(text, rest, len(text))
-        assert set(head) | set(tail) == dictionary.known == lempel_ziv(text)
+        dictionary, log = phrases.Dictionary(), []
+        head = dictionary.parse(text[:at])
+        state = dictionary.state
+        for _ in range(2):  # what is undone leaves no trace
+            tail = [at + end for end in dictionary.parse(text[at:], log)]
+            ends = head + tail
+            found = [text[a:b] for a, b in zip([0, *ends], ends)]
+            assert len(found) == len(set(found)) and set(found) == lempel_ziv(text)
+            one_by_one = [int(phrases.hashes(p, [len(p)])[0]) for p in found]
+            assert phrases.hashes(text, ends).tolist() == one_by_one
+            dictionary.undo(log)
+            dictionary.state, log = state, []
 
 
 def test_fingerprints_by_plain_parse(spark, make_docs):

@@ -18,11 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import partitions, store, text_or_empty
+from wattlake.llm.words import scramble
 
 
 @dataclass(frozen=True)
@@ -36,41 +36,57 @@ class Settings:
 
 
 class Dictionary:
-    """Phrases of a text that is given bit by bit."""
+    """Phrases of a text that is given bit by bit, as a tree of their letters. A phrase
+    that no other begins with is a leaf and takes no node of its own."""
 
     def __init__(self):
-        self.known: set[str] = set()
-
-    def parse(self, text: str, begin: int, end: int) -> tuple[list[str], int]:
-        """New phrases of text[begin:end], and where the unfinished last one begins.
-
-        All beginnings of a known phrase are known, so the end of the next one is
-        searched for up or down from the length of the last.
-        """
-        known, found, length = self.known, [], 1
-        while begin < end:
-            length = min(length, end - begin)
-            if text[begin : begin + length] in known:
-                length += 1
-                while begin + length <= end and text[begin : begin + length] in known:
-                    length += 1
-                if begin + length > end:
-                    break
+        self.root: dict = {}
+        #: Where the unfinished phrase stands: its node, and the place of that if it is a leaf.
+        self.state = (self.root, self.root, "")
+
+    def parse(self, text: str, log: list | None = None) -> list[int]:
+        """Where in this bit each phrase ends. ``log`` takes what has to be undone."""
+        node, above, last = self.state
+        root, ends, at = self.root, [], 0
+        for letter in text:
+            at += 1
+            if node is None:
+                above[last] = {letter: None}
+                if log is not None:
+                    log.append((above, last, True))
+                ends.append(at)
+                node = root
+            elif letter in node:
+                above, last, node = node, letter, node[letter]
             else:
-                while length > 1 and text[begin : begin + length - 1] not in known:
-                    length -= 1
-            phrase = text[begin : begin + length]
-            known.add(phrase)
-            found.append(phrase)
-            begin += length
-        return found, begin
-
-    def forget(self, phrases: list[str]) -> None:
-        self.known.difference_update(phrases)
+                node[letter] = None
+                if log is not None:
+                    log.append((node, letter, False))
+                ends.append(at)
+                node = root
+        self.state = (node, above, last)
+        return ends
+
+    @staticmethod
+    def undo(log: list) -> None:
+        for node, letter, leaf in reversed(log):
+            if leaf:
+                node[letter] = None
+            else:
+                del node[letter]
 
 
-def hashes(phrases: list[str]) -> np.ndarray:
-    return np.array([xxhash.xxh3_64_intdigest(p) >> 32 for p in phrases], dtype=np.uint32)
+def hashes(text: str, ends: list[int]) -> np.ndarray:
+    """32-bit hash of each phrase of a text, which begins where the one before it ends."""
+    if not ends:
+        return np.zeros(0, dtype=np.uint32)
+    codes = np.frombuffer(text[: ends[-1]].encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    starts = np.array([0, *ends[:-1]], dtype=np.int64)
+    lengths = np.diff(starts, append=ends[-1])
+    place = np.arange(len(codes)) - np.repeat(starts, lengths)
+    weights = scramble(np.arange(1, int(lengths.max()) + 1, dtype=np.uint64)) | np.uint64(1)
+    sums = np.add.reduceat(scramble(codes + np.uint64(1)) * weights[place], starts)
+    return (scramble(sums) >> np.uint64(32)).astype(np.uint32)
 
 
 def smallest(values: np.ndarray, minima: int) -> np.ndarray:
@@ -97,19 +113,25 @@ class _Document:
     def __init__(self, key, text: str, settings: Settings):
         self.key, self.text, self.settings, self.copies = key, text, settings, 0
         self.cut = len(text) - len(text) // settings.edit_share
-        self.dictionary = Dictionary()
-        head, self.rest = self.dictionary.parse(text, 0, self.cut)
-        tail, _ = self.dictionary.parse(text, self.rest, len(text))
-        self.dictionary.forget(tail)
+        self.dictionary, log = Dictionary(), []
+        head = self.dictionary.parse(text[: self.cut])
+        state = self.dictionary.state
+        tail = self.dictionary.parse(text[self.cut :], log)
+        self.dictionary.undo(log)
+        self.dictionary.state = state
+        #: Where the phrase begins that is unfinished at the cut.
+        self.rest = head[-1] if head else 0
+        every = hashes(text, head + [self.cut + end for end in tail])
         # The smallest of the whole are among the smallest of its parts.
-        self.head = smallest(hashes(head), settings.minima)
-        self.minima = smallest(np.concatenate([self.head, hashes(tail)]), settings.minima)
+        self.head = smallest(every[: len(head)], settings.minima)
+        self.minima = smallest(every, settings.minima)
 
     def result(self, after: "_Document") -> tuple:
         k = self.settings.minima
         edited = self.text[: self.cut] + after.text[: len(self.text) - self.cut]
-        tail, _ = self.dictionary.parse(edited, self.rest, len(edited))
-        minima = smallest(np.concatenate([self.head, hashes(tail)]), k)
+        tail = self.dictionary.parse(edited[self.cut :])
+        added = hashes(edited[self.rest :], [self.cut - self.rest + end for end in tail])
+        minima = smallest(np.concatenate([self.head, added]), k)
         return (
             self.key[1], len(self.text), hashlib.sha256(edited.encode()).hexdigest(), written(self.minima), written(minima),
             likeness(self.minima, minima, k), likeness(self.minima, after.minima, k), self.copies,
@@ -195,7 +217,7 @@ def fingerprints(
     go by id, those without one last, different texts with one id by a hash of the text.
     Rows repeated with id and text count as one document, and each has its result. The
     one after the last is the first; a single document follows itself. A text is held
-    whole, with its phrases about 20 bytes of memory for each of its characters. Other
+    whole, with its phrases up to 100 bytes of memory for each of its characters. Other
     columns of the input are not looked at. An empty table gives no rows.
     """
     spark = docs.sparkSession
