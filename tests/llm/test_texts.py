@@ -1,8 +1,10 @@
 """Passages, near-duplicates, benchmark items, secrets and licenses by brute force."""
 
 import hashlib
+import math
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -242,6 +244,76 @@ def test_names_and_placeholders_of_secrets(text, literal):
     assert [text[a:b] for a, b, kind, _ in secrets.secret_spans(text) if kind == "literal"] == ([literal] if literal else [])
 
 
+@pytest.mark.parametrize("text", [
+    'password = "' + "$A_" * 40 + '!"', 'password = "' + "$a_$B9" * 40 + '!"', 'password = "' + "%a%" * 5000 + '!"',
+    'password = "' + "<" * 200_000, "password = ${" * 20_000,
+    "my_pwd = x\nx = 'Zx81kfPq92LmA0'\n" * 31_000, "my_pwd = 'a' + x\nx = 'Zx81kfPq92LmA0'\n" * 20_000,
+    "".join(f"a{i} = x\npwd_{i} = a{i}\nx = 'Zx{i}81kf'\n" for i in range(10_000)),
+    "".join(f"pwd{i} = pwd{i + 1}\n" for i in range(20_000)) + "pwd20000 = 'Zx81kfPq92LmA0'",
+])
+def test_no_text_takes_long(text):
+    begin = time.perf_counter()
+    secrets.secret_spans(text)
+    assert time.perf_counter() - begin < 30
+
+
+def plain_score(literal, spaces):
+    if len(literal) < 6 or any(c.isspace() and not (spaces and c == " ") for c in literal):
+        return 0.0
+    if literal.lower() in secrets.PLACEHOLDERS or literal.startswith(("http://", "https://")) or re.fullmatch(r"(\$\{\w*\})+", literal):
+        return 0.0
+    if len(set(literal)) <= 2:
+        return 0.0
+    shares = [literal.count(c) / len(literal) for c in set(literal)]
+    kinds = [str.isdigit, str.islower, str.isupper, lambda c: not c.isalnum()]
+    return min(1.0, 0.25 - sum(x * math.log2(x) for x in shares) / 8 + 0.1 * sum(any(map(k, literal)) for k in kinds))
+
+
+def test_literals_of_configurations_by_following_every_name():
+    """Every value that a sensitive name gets, with all literals its names stand for."""
+    rng = random.Random(12)
+    names = ["a", "b", "c", "host", "db_pwd", "my_passphrase", "authKey"]
+    literals = ["q8", "Wn4zP1", "Zx81kfPq92LmA0", "changeme", "two Words 81 a", "aaaaaaaa", "${HOME}", "http://x.yz/Qw9", "k"]
+    found = 0
+    for _ in range(400):
+        text, pairs = "", []
+        for _ in range(rng.randint(1, 7)):
+            name, parts = rng.choice(names), []
+            text += f"{name} = "
+            for k in range(rng.randint(1, 3)):
+                text += " + " if k else ""
+                if rng.random() < 0.5:
+                    word = rng.choice(literals)
+                    parts.append(("", len(text) + 1, len(text) + 1 + len(word)))
+                    text += f'"{word}"'
+                else:
+                    parts.append((rng.choice(names), -1, -1))
+                    text += parts[-1][0]
+            text += "\n"
+            pairs.append((name, parts))
+        defined, expected = {name for name, _ in pairs}, set()
+        for i, (target, parts) in enumerate(pairs):
+            if len(parts) == 1 and parts[0][0] and parts[0][0] not in defined:
+                # A word on a line of its own that names no constant is a value.
+                end = sum(len(line) + 1 for line in text.split("\n")[: i + 1]) - 1
+                parts.append(("", end - len(parts[0][0]), end))
+        for target, parts in pairs:
+            spans, left, seen = set(), list(parts), set()
+            while left:
+                name, *span = left.pop()
+                if not name:
+                    spans.add(tuple(span))
+                elif name not in seen:
+                    seen.add(name)
+                    left += [p for t, more in pairs if t == name for p in more]
+            whole = "".join(text[a:b] for a, b in sorted(spans))
+            if secrets.name_score(target) * plain_score(whole, target == "my_passphrase") >= 0.5:
+                expected |= spans
+        assert {s[:2] for s in secrets.literal_spans(text, secrets.Settings())} == expected, text
+        found += len(expected)
+    assert found > 200
+
+
 def test_secrets_of_tables(make_docs, corpus):
     rows = corpus + [(4000 + i, t) for i, t in enumerate(SECRETS)] + [(None, "token=abcdef"), (4000, "x")]
     got = secrets.find_secrets(make_docs(rows)).collect()

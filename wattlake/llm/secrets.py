@@ -44,12 +44,14 @@ PLACEHOLDERS = frozenset(
      "required", "string", "default", "redacted", "masked", "hidden", "disabled", "enabled")
 )
 
+# Each kind of reference begins and ends in one way only, a name after $ with the whole
+# word, and none begins with a sign that may stand between two: a text is matched in one way.
 _REFERENCE = (
-    r"(?:\$\{[^{}]*\}|\$\([^()]*\)|\$(?:[A-Za-z_]+|[A-Z_][A-Z0-9_]*)|%\([^()]*\)[a-z]|%\w+%|<[^<>]*>"
-    r"|\{\{[^{}]*\}\}|\{%[^{}]*%\}|\{\w*\})"
+    r"(?:\$\{[^{}]*\}|\$\([^()]*\)|\$[A-Za-z_]++(?![0-9])|\$[A-Z_]++[0-9][A-Z0-9_]*+(?![a-z])"
+    r"|%\([^()]*\)[a-z]|%\w++%|<[^<>]*>|\{\{[^{}]*\}\}|\{%[^{}]*%\}|\{\w*+\})"
 )
 #: One or more references to what is filled in elsewhere, and nothing else.
-_FILLED_IN = re.compile(rf"{_REFERENCE}(?:[-_.:/@]*{_REFERENCE})*", re.ASCII)
+_FILLED_IN = re.compile(rf"{_REFERENCE}(?:[-_.:/@]*+{_REFERENCE})*+", re.ASCII)
 
 _TOKEN = re.compile(
     r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)
@@ -95,19 +97,48 @@ def name_score(name: str) -> float:
     return max((*(weight for part, weight in SENSITIVE if part in plain), *whole), default=0.0)
 
 
-def literal_score(literal: str, settings: Settings, spaces: bool = False) -> float:
-    """0 for what cannot be a secret, up to 1 by the variety of the characters. Spaces
-    in it are allowed only where ``spaces`` says so."""
-    if len(literal) < settings.least or any(c.isspace() for c in (literal.replace(" ", "x") if spaces else literal)):
+#: Characters up to which literals that are judged together are also put together.
+TOGETHER = 256
+
+
+class Literals:
+    """Some literals of a text, each place once, as far as it decides about them together."""
+
+    def __init__(self, text: str, spans: set[tuple[int, int]]):
+        self.spans = sorted(spans)
+        pieces = [(start, text[start:end]) for start, end in self.spans if end > start]
+        self.counts: Counter = Counter()
+        for _, piece in pieces:
+            self.counts.update(piece)
+        self.length = sum(self.counts.values())
+        #: All of them if they are short, and the first ones, in order of their places.
+        self.pieces = pieces if self.length <= TOGETHER else []
+        self.first = pieces[:8]
+        self.filled_in = all(_FILLED_IN.fullmatch(piece) for _, piece in pieces)
+
+
+def literal_score(parts: list[Literals], settings: Settings, spaces: bool = False) -> float:
+    """Literals of different places as one value: 0 for what cannot be a secret, up to 1 by
+    the variety of the characters. Spaces in it are allowed only where ``spaces`` says so."""
+    length = sum(part.length for part in parts)
+    counts: Counter = Counter()
+    for part in parts:
+        counts.update(part.counts)
+    if length < settings.least or any(c.isspace() and not (spaces and c == " ") for c in counts):
+        return 0.0
+    if length <= TOGETHER:
+        whole = "".join(piece for _, piece in sorted(p for part in parts for p in part.pieces))
+        if whole.lower() in PLACEHOLDERS or _FILLED_IN.fullmatch(whole):
+            return 0.0
+    elif all(part.filled_in for part in parts):
         return 0.0
-    if literal.lower() in PLACEHOLDERS or _FILLED_IN.fullmatch(literal) or literal.startswith(("http://", "https://")):
+    if "".join(piece for _, piece in sorted(p for part in parts for p in part.first)).startswith(("http://", "https://")):
         return 0.0
-    counts = Counter(literal)
     if len(counts) <= 2:
         return 0.0
-    entropy = -sum(n / len(literal) * math.log2(n / len(literal)) for n in counts.values())
-    kinds = sum(any(test(c) for c in literal) for test in (str.isdigit, str.islower, str.isupper)) + any(
-        not c.isalnum() for c in literal
+    entropy = -sum(n / length * math.log2(n / length) for n in counts.values())
+    kinds = sum(any(test(c) for c in counts) for test in (str.isdigit, str.islower, str.isupper)) + any(
+        not c.isalnum() for c in counts
     )
     return min(1.0, 0.25 + entropy / 8 + 0.1 * kinds)
 
@@ -163,29 +194,80 @@ def literal_spans(text: str, settings: Settings) -> list[tuple[int, int, str, fl
     constants: dict[str, list[tuple[str, int, int]]] = {}
     for target, parts in pairs:
         constants.setdefault(target, []).extend(parts)
+    for name, parts in constants.items():
+        constants[name] = list(dict.fromkeys(parts))
+
+    def own(parts: list[tuple[str, int, int]]) -> set[tuple[int, int]]:
+        # A bare word on a line of its own may be the name of a constant.
+        return {
+            (start, end) for name, start, end in parts
+            if not name and (text[start:end] not in constants or text[start - 1] in "\"'`")
+        }
+
+    stands_for: dict[str, str | None] = {}
+    ends: dict[str, str] = {}
+
+    def followed(name: str) -> str:
+        """The last of a chain of names that only stand for one another."""
+        seen: set[str] = set()
+        while name not in seen and name not in ends:
+            seen.add(name)
+            if name not in stands_for:
+                parts = constants.get(name, ())
+                named = {other for other, _, _ in parts if other}
+                stands_for[name] = named.pop() if len(named) == 1 and not own(parts) else None
+            if stands_for[name] is None:
+                break
+            name = stands_for[name]
+        name = ends.get(name, name)
+        ends.update(dict.fromkeys(seen, name))
+        return name
+
+    # What some names reach is gathered once, however many values name them.
+    known: dict[frozenset[str], tuple[Literals, set[tuple[int, int]]]] = {}
+
+    def reached(names: frozenset[str]) -> tuple[Literals, set[tuple[int, int]]]:
+        if names not in known:
+            spans, seen, left = set(), set(names), list(names)
+            while left:
+                parts = constants.get(left.pop(), ())
+                spans |= own(parts)
+                more = {name for name, _, _ in parts if name} - seen
+                seen |= more
+                left += more
+            known[names] = Literals(text, spans), spans
+        return known[names]
+
     best: dict[tuple[int, int], float] = {}
+    best_of: dict[frozenset[str], float] = {}
+    judged: dict[tuple, float] = {}
     for target, parts in pairs:
         sensitive = name_score(target)
         if not sensitive:
             continue
-        literals, names, seen = [], list(parts), set()
-        while names:
-            name, start, end = names.pop()
-            if not name:
-                # A bare word on a line of its own may be the name of a constant.
-                if text[start:end] not in constants or text[start - 1] in "\"'`":
-                    literals.append((start, end))
-            elif name not in seen:
-                seen.add(name)
-                names += constants.get(name, ())
+        names = frozenset(followed(name) for name, _, _ in parts if name)
+        others, places = reached(names) if names else (None, set())
+        mine = own(parts) - places
         # Parts of one value are judged together: short pieces may add up to a secret.
-        whole = "".join(text[start:end] for start, end in sorted(set(literals)))
-        score = sensitive * literal_score(whole, settings, "passphrase" in re.sub("[^a-z]", "", target.lower()))
+        spaces = "passphrase" in re.sub("[^a-z]", "", target.lower())
+        key = (names, spaces)
+        if mine or key not in judged:
+            together = ([Literals(text, mine)] if mine else []) + ([others] if others else [])
+            judged_now = literal_score(together, settings, spaces)
+            if not mine:
+                judged[key] = judged_now
+        else:
+            judged_now = judged[key]
+        score = sensitive * judged_now
         if score >= settings.score:
-            for span in literals:
-                if span[1] > span[0]:
-                    best[span] = max(best.get(span, 0.0), score)
-    return [(start, end, "literal", score) for (start, end), score in best.items()]
+            for span in mine:
+                best[span] = max(best.get(span, 0.0), score)
+            if names:
+                best_of[names] = max(best_of.get(names, 0.0), score)
+    for names, score in best_of.items():
+        for span in known[names][1]:
+            best[span] = max(best.get(span, 0.0), score)
+    return [(start, end, "literal", score) for (start, end), score in best.items() if end > start]
 
 
 def secret_spans(text: str | None, settings: Settings = Settings()) -> list[tuple[int, int, str, float]]:
