@@ -99,3 +99,21 @@ def test_swaps_take_the_weight_from_group_terms():
     assert (with_swaps >= 0.7).mean() < 0.05
     insults = pa.array([texts_of(rng, own, True, "muslims") for _ in range(100)])
     assert (toxicity.text_scores(toxicity.fit(examples, toxicity.Settings()), insults) >= 0.7).mean() > 0.9
+
+
+def test_one_id_does_not_fill_the_sample(spark, make_docs, labelled):
+    """Of the rows with one id one is learned from, the same under any partitioning."""
+    from wattlake.llm.labelled import labelled_sample, rows_of_sample
+
+    rows, labels = labelled
+    many = rows + [(i, f"again {i} {k % 50}") for i in (1, 4) for k in range(5000)]
+    table = spark.createDataFrame(labels + [(1, 1, 1), (4, 0, 0)], LABELS)
+    most = {0: 40, 1: 60}
+    taken = []
+    for parts in (2, 7):
+        sample = labelled_sample(make_docs(many, parts), table, "quality", 4, 2, most)
+        counted = sample.selectExpr("doc_id", "label", "encode(text, 'UTF-8') AS words")
+        found = list(rows_of_sample(counted, batch_bytes=700))
+        assert len(found) == len({r.doc_id for r in found}) <= sum(most.values())
+        taken.append(sorted((r.doc_id, r.label, bytes(r.words)) for r in found))
+    assert taken[0] == taken[1] and len(taken[0]) == 100

@@ -18,8 +18,9 @@ def labelled_sample(
     """(doc_id, text, label) of at most ``per_class`` documents of each class.
 
     Taken in the order of a hash of the id, so the choice is the same in every run. Ids
-    of the held-out fold, null labels and contradictory labels of one id are left out;
-    of repeated rows with an id each is taken.
+    of the held-out fold, null labels and contradictory labels of one id are left out.
+    Of the rows with one id that with the smallest hash of its text is taken, whatever
+    their number: it is found among hashes, one for each task that has such rows.
     """
     usable = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
@@ -33,4 +34,25 @@ def labelled_sample(
         chosen = part if chosen is None else chosen.unionAll(part)
     # No more rows than per_class sums up to.
     chosen = F.broadcast(store(chosen, "sample_ids"))
-    return docs.select("doc_id", F.col(text_col).alias("text")).join(chosen, "doc_id")
+    named = docs.select("doc_id", F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    # No more rows than ids were chosen, so these can be sent again.
+    first = store(
+        named.select("doc_id", "text_hash").join(chosen, "doc_id").groupBy("doc_id").agg(
+            F.min("text_hash").alias("text_hash"), F.first("label").alias("label")
+        ),
+        "sample_texts",
+    )
+    # Repeated rows with one text: one of them for each task, then one.
+    return named.join(F.broadcast(first), ["doc_id", "text_hash"]).select("doc_id", "text", "label")
+
+
+def rows_of_sample(counted: DataFrame, batch_bytes: int = 1 << 28):
+    """Rows (doc_id, label, ...) of a sample, one for each id, to the driver. They are
+    written to the shared folder first; the driver reads them in pieces by a hash of the
+    id, each of about ``batch_bytes`` at most."""
+    binary = [f.name for f in counted.schema.fields if f.dataType.typeName() == "binary"]
+    counted = store(counted.dropDuplicates(["doc_id"]), "sample_counts")
+    size = counted.agg(F.sum(sum((F.octet_length(c) for c in binary), F.lit(0)))).first()[0] or 0
+    pieces = size // batch_bytes + 1
+    for piece in range(pieces):
+        yield from counted.where(F.pmod(F.xxhash64("doc_id"), F.lit(pieces)) == piece).collect()

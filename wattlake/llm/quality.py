@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.labelled import fold, labelled_sample
+from wattlake.llm.labelled import fold, labelled_sample, rows_of_sample
 from wattlake.llm.words import WHITE, Words, chunks
 
 _BYTES32 = np.random.default_rng(77).integers(1, 2**32, 256, dtype=np.uint32)
@@ -139,9 +139,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str, settings: Settings) ->
     sample = labelled_sample(
         docs, labels, label, settings.folds, settings.held_out, {0: settings.sample, 1: settings.sample}
     )
-    rows = sample.select("doc_id", F.col("label").cast("int").alias("label"), "text").mapInArrow(
+    counted = sample.select("doc_id", F.col("label").cast("int").alias("label"), "text").mapInArrow(
         count_features(settings), "doc_id long, label int, buckets binary, counts binary"
-    ).collect()
+    )
+    rows = list(rows_of_sample(counted))
     rows.sort(key=lambda r: (r.doc_id, bytes(r.buckets)))
     return fit(
         [(r.label, np.frombuffer(bytes(r.buckets), np.int32), np.frombuffer(bytes(r.counts), np.int32)) for r in rows],

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.labelled import fold, labelled_sample
+from wattlake.llm.labelled import fold, labelled_sample, rows_of_sample
 from wattlake.llm.words import Words, chunks
 
 #: Bytes that separate words here: all of ASCII but digits and letters.
@@ -157,9 +157,10 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings) -> Model:
     sample = labelled_sample(
         docs, labels, "toxic", settings.folds, settings.held_out, {0: settings.other, 1: settings.toxic}
     )
-    rows = sample.select("doc_id", F.col("label").cast("int").alias("label"), "text").mapInArrow(
+    counted = sample.select("doc_id", F.col("label").cast("int").alias("label"), "text").mapInArrow(
         count_words, "doc_id long, label int, words binary"
-    ).collect()
+    )
+    rows = list(rows_of_sample(counted))
     rows.sort(key=lambda r: (r.doc_id, bytes(r.words)))
     return fit([(r.label, np.frombuffer(bytes(r.words), np.uint64)) for r in rows], settings)
 
