@@ -129,3 +129,28 @@ def test_near_dedup_stage_without_ids_and_with_shared_ids(spark, make_docs):
     assert sorted(rest, key=repr) == sorted(
         [(8, whole[0]), (2, whole[2]), (5, whole[3]), (None, None), (None, ""), (9, "")], key=repr
     )
+
+
+def test_stages_on_edge_cases(spark, make_docs):
+    """No stage minds nulls, repeated rows, a long text, or columns with names of its own."""
+    own = vocabulary(90, seed=40)
+    rows = [(i, " ".join(own[i % 9 * 10 : i % 9 * 10 + 10] + [str(i)] * 3), ("a", "b", None)[i % 3]) for i in range(40)]
+    rows += [(None, None, None), (None, "", "a"), (3, rows[3][1], "a"), (3, rows[3][1], "a"), (99, "long " * 200_000, "b")]
+    names = ["mix_plan", "_copy", "mix_copies", "mix_size", "source_size", "planned_source", "own_source", "own_draw",
+             "whole", "last_draw", "kept_id", "kept_hash", "text_hash", "component", "col", "key"]
+    docs = make_docs(rows).selectExpr("*", *[f"'{n}' AS {n}" for n in names if n not in make_docs([]).columns])
+    for given in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            got = stage(spark, given, SF)
+            if name == "sharding":
+                assert got.count() == given.count()
+                continue
+            assert got.columns == docs.columns, name
+            out = got.collect()
+            # What stays, stays as it was.
+            assert {tuple(r) for r in out} <= {tuple(r) for r in given.collect()}, name
+            if name == "benchmark decontamination":
+                assert len(out) == given.count()
+            if name == "MinHash near-dedup" and out:
+                texts = [r.text for r in out]
+                assert texts.count(rows[3][1]) == 1 and texts.count("long " * 200_000) == 1

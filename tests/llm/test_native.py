@@ -128,7 +128,7 @@ def test_mix_agrees_with_itself_and_repeats_rows(make_docs, corpus):
     first = {r.doc_id: r.mix_copies for r in mixing.mix(make_docs(corpus, 2)).collect()}
     second = mixing.mix(make_docs(corpus, 9))
     assert first == {r.doc_id: r.mix_copies for r in second.collect()}
-    counts = {r.doc_id: r["count"] for r in mixing.repeat(second).groupBy("doc_id").count().collect()}
+    counts = {r.doc_id: r["count"] for r in mixing.repeated(make_docs(corpus, 9)).groupBy("doc_id").count().collect()}
     assert counts == {d: n for d, n in first.items() if n}
 
 

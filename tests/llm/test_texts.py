@@ -169,7 +169,7 @@ def items(spark):
     own = vocabulary(5000, seed=9)
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choice(own) for _ in range(n))) for i, n in enumerate([5, 9, 15, 20, 40, 70, 150, 400])]
-    return rows + [(50, None), (51, ""), (52, "too few words"), (None, rows[3][1]), (3, rows[3][1])]
+    return rows + [(50, None), (51, ""), (52, "too few words"), (53, "Rare"), (54, "two words"), (55, "two words"), (None, rows[3][1]), (3, rows[3][1])]
 
 
 def contained(rows, items):
@@ -177,7 +177,11 @@ def contained(rows, items):
     for doc_id, text, *_ in rows:
         own = shingles(text) if len(words(text)) >= 5 else set()
         for item_id, item in items:
-            if len(words(item)) >= 5:
+            short, run = words((item or "").lower()), words((text or "").lower())
+            if 0 < len(short) < 5:
+                if any(run[i : i + len(short)] == short for i in range(len(run))):
+                    out.add((doc_id, item_id, 1, 1))
+            elif short:
                 both = len(own & shingles(item))
                 if 100 * both >= 75 * len(shingles(item)):
                     out.add((doc_id, item_id, len(shingles(item)), both))
@@ -195,8 +199,13 @@ def test_benchmark_items(spark, make_docs, corpus, items, settings):
         text = [rng.choice(filler) for _ in range(rng.choice([0, 3, 300, 3000]))]
         at = rng.randint(0, len(text))
         rows.append((5000 + n, " ".join(text[:at] + item + text[at:]).upper()))
+    rows += [(6000, "these are two\tWORDS here"), (6001, "words two words"), (6002, "rarely"), (6003, "so rare"), (6004, "rare"),
+             (6005, "too few"), (6006, "words of too few Words too"), (None, "two words"), (6007, "two"), (6008, "words")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = decontamination.contained_items(make_docs(rows), bench, settings).collect()
+    assert {(d, i) for d, i, *_ in map(tuple, got) if i in (52, 53, 54)} == {
+        (6000, 54), (6001, 54), (6003, 53), (6004, 53), (6006, 52), (None, 54)
+    }
     assert {tuple(r)[:4] for r in got} == contained(rows, items) and len(got) == len(contained(rows, items))
     clean = decontamination.without_items(make_docs(rows), bench, settings)
     leaks = {r.doc_id for r in got}

@@ -37,19 +37,27 @@ class Settings:
     #: Smallest share of an item's shingles, in hundredths.
     percent: int = 75
     hashes: int = 48
-    #: Shingles of the items of one pass, 8 bytes each.
+    #: Shingles of the items of one pass, with the minima of each item and whose they are;
+    #: 8 bytes each.
     pass_shingles: int = 2_000_000
 
 
 class ItemIndex:
     """Minima of the items by size class."""
 
-    def __init__(self, ids: list[int], sets: list[np.ndarray], settings: Settings):
+    def __init__(self, ids: list[int], lengths: list[int], sets: list[np.ndarray], settings: Settings):
         self.ids, self.sets, self.settings = ids, sets, settings
+        #: Items shorter than a shingle, by their number of words: hashes and items.
+        self.short: list[tuple[int, np.ndarray, np.ndarray]] = []
+        counted = np.array(lengths, dtype=np.int64)
+        for n in range(1, settings.shingle_words):
+            members = np.flatnonzero(counted == n)
+            if len(members):
+                self.short.append((n, np.array([sets[i][0] for i in members], dtype=np.uint64), members))
         factors = multipliers(settings.hashes)
         self.classes: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
-        sizes = np.array([len(s) for s in sets])
-        for size in sorted({1 << (int(n) - 1).bit_length() for n in sizes}):
+        sizes = np.where(counted < settings.shingle_words, 0, [len(s) for s in sets])
+        for size in sorted({1 << (int(n) - 1).bit_length() for n in sizes if n}):
             members = np.flatnonzero((2 * sizes > size) & (sizes <= size))
             minima = np.array([[(sets[i] * f).min() for f in factors] for i in members], dtype=np.uint64)
             flat = minima.reshape(-1)
@@ -99,21 +107,33 @@ def _find(index: ItemIndex, texts: pa.Array) -> Iterator[tuple[int, int, int]]:
             shared = int(np.isin(index.sets[item], own).sum())
             if 100 * shared >= percent * len(index.sets[item]):
                 yield begin + text, item, shared
+        for n, hashes, members in index.short:
+            order = np.argsort(hashes, kind="stable")
+            found = grams(words.hashes, n)
+            left = np.searchsorted(hashes[order], found, side="left")
+            right = np.searchsorted(hashes[order], found, side="right")
+            at = np.flatnonzero(left < right)
+            text = np.searchsorted(words.first, at, side="right") - 1
+            whole = at + n <= words.first[text + 1]  # not run over the end of its text
+            hits = {(int(t), int(members[i])) for t, a in zip(text[whole], at[whole]) for i in order[left[a] : right[a]]}
+            for t, item in sorted(hits):
+                yield begin + t, item, 1
 
 
 def _item_sets(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, found = [], []
+            lengths, sizes, found = [], [], []
             for begin, end, words in chunks(batch.column("text"), lower=True):
                 for i in range(end - begin):
                     hashes = words.hashes[words.first[i] : words.first[i + 1]]
-                    one = shingle_set(hashes, settings.shingle_words) if len(hashes) >= settings.shingle_words else hashes[:0]
+                    one = shingle_set(hashes, settings.shingle_words)
+                    lengths.append(len(hashes))
                     sizes.append(len(one))
                     found.append(one.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("item_id"), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())],
-                names=["item_id", "n", "shingles"],
+                [batch.column("item_id"), pa.array(lengths, pa.int64()), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())],
+                names=["item_id", "n_words", "n", "shingles"],
             )
 
     return run
@@ -123,24 +143,27 @@ def passes(items: DataFrame, settings: Settings, id_col: str, text_col: str) ->
     """Indexes of bounded size that together hold all items."""
     before = Window.orderBy("item_id", "n").rowsBetween(Window.unboundedPreceding, -1)
     sets = items.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text")).mapInArrow(
-        _item_sets(settings), "item_id long, n long, shingles binary"
-    ).where("n > 0")
+        _item_sets(settings), "item_id long, n_words long, n long, shingles binary"
+    ).where("n > 0").withColumn("n_words", F.least("n_words", F.lit(settings.shingle_words)))
     sets = store(sets, "item_sets")
     # Ids and sizes of the items only; the sets are read pass by pass.
     placed = store(
-        sets.withColumn("key", F.xxhash64("shingles")).select("item_id", "n", "key").withColumn(
-            "pass", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / settings.pass_shingles)
-        ).dropDuplicates(["item_id", "key"]),
+        sets.withColumn("key", F.xxhash64("shingles")).select("item_id", "n_words", "n", "key").withColumn(
+            "pass", F.floor(F.coalesce(F.sum(F.col("n") + 2 * settings.hashes).over(before), F.lit(0)) / settings.pass_shingles)
+        ).dropDuplicates(["item_id", "n_words", "key"]),
         "item_passes",
     )
     last = placed.agg(F.max("pass")).first()[0]
     for number in range(0 if last is None else last + 1):
         now = sets.withColumn("key", F.xxhash64("shingles")).alias("s").join(
             placed.where(F.col("pass") == number).alias("p"),
-            F.col("s.item_id").eqNullSafe(F.col("p.item_id")) & (F.col("s.key") == F.col("p.key")),
-        ).select("s.item_id", "s.shingles").distinct().orderBy("item_id", "shingles").collect()
+            F.col("s.item_id").eqNullSafe(F.col("p.item_id")) & (F.col("s.key") == F.col("p.key"))
+            & (F.col("s.n_words") == F.col("p.n_words")),
+        ).select("s.item_id", "s.n_words", "s.shingles").distinct().orderBy("item_id", "n_words", "shingles").collect()
         yield ItemIndex(
-            [r.item_id for r in now], [np.frombuffer(bytes(r.shingles), dtype=np.uint64) for r in now], settings
+            [r.item_id for r in now], [r.n_words for r in now],
+            [np.frombuffer(bytes(r.shingles), dtype=np.uint64) for r in now],
+            settings,
         )
 
 
@@ -152,8 +175,8 @@ def contained_items(
 
     Words are runs of anything but ASCII white space, A-Z lower-cased; ``containment`` is
     the share of the item's distinct 5-word shingles (as 64-bit hashes) that the document
-    has anywhere. Items with fewer than 5 words and null texts are not searched, they
-    would be found everywhere. Repeated documents and rows without an id are reported
+    has anywhere. An item with fewer than 5 words is one sequence, found where its words
+    stand in a row; items without words are not searched. Very long texts are searched whole. Repeated documents and rows without an id are reported
     each; repeated items once. Other columns of the input are not looked at. With no
     items, or no documents, there are no rows.
     """

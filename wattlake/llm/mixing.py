@@ -120,32 +120,37 @@ def plan_mix(
     )
 
 
+def _planned(docs: DataFrame, seed: int, plan: dict) -> DataFrame:
+    """Each row as one column ``row``, so that no name of the input meets one of ours."""
+    # Small, and planned once; its rows are those of the sources, the join moves no text
+    # as long as the table of sources can be broadcast by its measured size.
+    sources = store(plan_mix(docs, seed=seed, **plan), "mix_plan").withColumnRenamed("source", "planned_source")
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["source"].alias("own_source"),
+        draw(seed).alias("own_draw"), word_count().alias("mix_size"),
+    )
+    planned = rows.join(sources, F.col("own_source").eqNullSafe(F.col("planned_source")))
+    more = (F.col("own_draw") <= F.col("last_draw")).cast("long")
+    return planned.withColumn("mix_copies", F.col("whole") + more)
+
+
 def mix(docs: DataFrame, seed: int = SEED, **plan) -> DataFrame:
     """The documents with ``mix_copies``, ``mix_size``, ``source_size`` and ``target``.
 
-    A null text has size 0 and a null source is a source of its own, the last. Columns
-    of the input by these four names are replaced, one named ``mix_plan`` is left out.
-    An empty table gives no rows.
+    A null text has size 0 and a null source is a source of its own, the last. Rows
+    repeated with id and text are taken equally often. A very long text is one document
+    like any other. Columns of the input by the four names are replaced. An empty table
+    gives no rows.
     """
-    # Small, and planned once; its rows are those of the sources, the join moves no text
-    # as long as the table of sources can be broadcast by its measured size.
-    sources = store(plan_mix(docs, seed=seed, **plan), "mix_plan").select(F.struct("*").alias("mix_plan"))
-    rows = docs.drop("mix_copies", "mix_size", "source_size", "target", "mix_plan")
-    planned = rows.join(sources, rows["source"].eqNullSafe(F.col("mix_plan.source")))
-    more = (draw(seed) <= F.col("mix_plan.last_draw")).cast("long")
-    return planned.select(
-        *rows.columns,
-        (F.col("mix_plan.whole") + more).alias("mix_copies"),
-        word_count().alias("mix_size"),
-        F.col("mix_plan.source_size").alias("source_size"),
-        F.col("mix_plan.target").alias("target"),
-    )
+    added = ["mix_copies", "mix_size", "source_size", "target"]
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in added]
+    return _planned(docs, seed, plan).select(*kept, *added)
 
 
-def repeat(mixed: DataFrame) -> DataFrame:
-    """Every row as often as ``mix_copies`` says; documents with none go."""
-    return (
-        mixed.where("mix_copies > 0")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
-        .drop("_copy")
+def repeated(docs: DataFrame, seed: int = SEED, **plan) -> DataFrame:
+    """The rows, all their columns as they were, as often as the mix takes them; those it
+    does not take go. Nulls, ties and empty tables as in ``mix``."""
+    taken = _planned(docs, seed, plan).where("mix_copies > 0").select(
+        "row", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))
     )
+    return taken.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

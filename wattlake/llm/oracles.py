@@ -86,7 +86,7 @@ SELECT doc_id, len(sets.s) AS n_shingles, coalesce(component_id, doc_id) AS comp
 FROM sets LEFT JOIN classes ON sets.s = classes.s AND len(sets.s) > 0 LEFT JOIN comp ON comp.x = classes.id
 """
 
-# Containment by counting, item by item.
+# Containment by counting, item by item; an item under five words is one gram of its length.
 LEAKS = r"""
 WITH texts AS (
   SELECT true AS doc, doc_id AS id, text FROM documents UNION ALL SELECT false, item_id, text FROM benchmark
@@ -94,14 +94,16 @@ WITH texts AS (
   SELECT doc, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                      '[^\x20\x09-\x0D]+') AS w
   FROM texts
+), lengths AS (
+  SELECT DISTINCT least(len(w), 5) AS k FROM w WHERE NOT doc AND len(w) > 0
 ), grams AS (
-  SELECT doc, id, unnest(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) AS g
-  FROM w WHERE len(w) >= 5
+  SELECT doc, id, k, unnest(list_distinct(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))) AS g
+  FROM w JOIN lengths ON len(w) >= k AND (doc OR k = least(len(w), 5))
 ), items AS (
-  SELECT id, g, count(*) OVER (PARTITION BY id) AS n FROM grams WHERE NOT doc
+  SELECT id, k, g, count(*) OVER (PARTITION BY id) AS n FROM grams WHERE NOT doc
 )
 SELECT d.id AS doc_id, i.id AS item_id, n AS n_item, count(*) AS n_shared, count(*)::DOUBLE / n AS containment
-FROM grams d JOIN items i ON d.doc AND d.g = i.g
+FROM grams d JOIN items i ON d.doc AND d.k = i.k AND d.g = i.g
 GROUP BY d.id, i.id, n HAVING 100 * count(*) >= 75 * n
 """
 
