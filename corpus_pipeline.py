@@ -41,8 +41,11 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    return mixing.repeat(mixing.mix(docs)).select(*docs.columns)
+    """Each document as often as the mix takes it; a null source is one of its own.
+
+    All columns stay as they were, whatever their names.
+    """
+    return mixing.repeated(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
