@@ -216,6 +216,12 @@ def train(spark, args):
     trained.importance.show(10, truncate=False)
 
 
+def compare_history(spark, args):
+    """Whether the label's own past makes a better model."""
+    rows = consumption.compare_history(*_gold(spark, args), label=args.label, trees=args.trees)
+    _store(spark, args, f"history_{args.label}", rows)
+
+
 def _when(text: str | None) -> dt.datetime:
     """A time without an offset is UTC, one with an offset is converted."""
     if text is None:
@@ -251,7 +257,7 @@ def compare(spark, args):
     model, _ = models.load_latest(spark, f"{args.root}/model", args.label)
     name = FORECASTS[args.label]
     rows = forecast.compare_regions(
-        model, *_gold(spark, args), args.regions or V.ZONES, _when(args.at), name
+        model, *_gold(spark, args), args.regions or None, _when(args.at), name
     )
     _store(spark, args, f"comparison_{args.label}", rows)
 
@@ -295,7 +301,7 @@ JOBS = {
     "sync-table": sync_table, "repair": repair, "compact": compact, "compact-silver": compact_silver_days,
     "compact-partials": compact_partial_sums, "rebuild-partials": rebuild_partial_sums, "expire": expire,
     "land-rolled": land_rolled, "landing": landing, "publish": publish,
-    "train": train, "predict": predict, "compare": compare, "report": report,
+    "train": train, "compare-history": compare_history, "predict": predict, "compare": compare, "report": report,
 }
 
 

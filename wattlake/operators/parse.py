@@ -116,12 +116,17 @@ def parse_carbon(
 def parse_paths(events: DataFrame, paths: dict[str, str], numbers: set[str] = frozenset()) -> DataFrame:
     """Ad-hoc extraction: ``{column: JSON path}``, e.g. ``$.a.b`` or ``$.a['b c']``.
 
-    Every path walks the text again; for many fields use the schema parsers.
+    Each text is parsed once, into a variant from which all paths are taken. A text that
+    is no JSON, or that names a field twice, has no values; a value of another type is
+    null where a number is wanted and its JSON text elsewhere.
     """
-    text = F.col("value").cast("string")
-    columns = [F.get_json_object(text, path).alias(name) for name, path in paths.items()]
-    return events.select("partition", "offset", *columns).withColumns(
-        {name: number(F.col(name)) for name in paths if name in numbers}
+    parsed = events.select("partition", "offset", F.try_parse_json(F.col("value").cast("string")).alias("parsed"))
+    columns = [
+        F.try_variant_get("parsed", path, "double" if name in numbers else "string").alias(name)
+        for name, path in paths.items()
+    ]
+    return parsed.select("partition", "offset", *columns).withColumns(
+        {name: finite(F.col(name)) for name in paths if name in numbers}
     )
 
 

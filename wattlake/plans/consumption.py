@@ -13,6 +13,7 @@ from wattlake import vocabulary as V
 from wattlake.operators.features import (
     available, clean_rows, features, mix_with_carbon, model_columns,
 )
+from wattlake.operators.history import History, with_history
 from wattlake.operators.metrics import regression_metrics
 from wattlake.operators.split import temporal_cut, temporal_split
 from wattlake.sinks.models import model_path, run_record, save_run
@@ -79,20 +80,22 @@ def importance_table(spark: SparkSession, model: PipelineModel, columns: list[st
 
 def train(
     mix: DataFrame, carbon: DataFrame, label: str = V.CONSUMPTION_LABEL, leaky: bool = False,
-    trees: int = TREES, test_fraction: float = 0.2,
+    trees: int = TREES, test_fraction: float = 0.2, extra: tuple[str, ...] = (),
 ) -> TrainedModel:
     """Fits on the earlier part of the rows, scores all of them. Regions are coded
     over both parts.
 
     The cleaned rows are written once: the split, the region index and every
     tree level read them again. They are written in key order, because row
-    sampling goes by position and the seed alone would not repeat a model.
+    sampling goes by position and the seed alone would not repeat a model. ``extra``
+    names further columns of the mix to learn from.
     """
     spark = mix.sparkSession
     ensure_checkpoint_dir(spark)
     cleaned = clean_rows(features(mix_with_carbon(mix, carbon)), label)
     columns, _ = available(cleaned.withColumn("region_encoded", F.lit(0)),
                            model_columns(label, leaky))
+    cleaned, columns = cleaned.fillna(0, subset=list(extra)), columns + list(extra)
     inputs = [c for c in columns if c != "region_encoded"]
     ordered = cleaned.select(*V.KEY, *inputs, label).repartition(*V.KEY).sortWithinPartitions(*V.KEY)
     training = new_path(spark, "training")
@@ -113,6 +116,19 @@ def train(
     )
 
 
+def compare_history(
+    mix: DataFrame, carbon: DataFrame, label: str = V.CONSUMPTION_LABEL, trees: int = TREES,
+    history: History = History(),
+) -> DataFrame:
+    """Quality of two models on the same rows: with and without the label's own past."""
+    path = new_path(mix.sparkSession, "history")
+    longer = materialize(with_history(mix, label, history), path)
+    variants = {"plain": train(longer, carbon, label, trees=trees),
+                "history": train(longer, carbon, label, trees=trees, extra=tuple(history.columns(label)))}
+    parts = [t.metrics.select(F.lit(name).alias("variant"), "*") for name, t in variants.items()]
+    return parts[0].unionByName(parts[1])
+
+
 def export(trained: TrainedModel, root: str, trained_on: dt.datetime) -> str:
     """Saves model, importances and run record; returns the run id."""
     run_id = uuid.uuid4().hex

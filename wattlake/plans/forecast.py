@@ -41,10 +41,10 @@ def predict_consumption(
 
 
 def compare_regions(
-    model: PipelineModel, mix: DataFrame, carbon: DataFrame, regions: list[str], at: dt.datetime,
+    model: PipelineModel, mix: DataFrame, carbon: DataFrame, regions: list[str] | None, at: dt.datetime,
     name: str = "predicted_consumption",
 ) -> DataFrame:
-    """Regions by predicted value, highest first."""
+    """Regions, all if none are named, by predicted value, highest first."""
     return (
         predict_next_hours(model, mix, carbon, at, 1, regions, name)
         .select("region", name)

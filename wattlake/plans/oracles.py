@@ -320,6 +320,13 @@ behind_mix AS ({_latest("mix_rows", _BEHIND)}),
 behind_carbon AS ({_latest("carbon_rows", _BEHIND)})"""
 _STALE = "count(*) FILTER (WHERE g.ingestion_timestamp < k.arrived) AS stale_keys,"
 
+_LABEL_PAST = ", ".join(
+    [f"round(max(y) OVER (w RANGE BETWEEN INTERVAL {span} PRECEDING AND INTERVAL {span} PRECEDING), 9) AS total_consumption_lag_{s}"
+     for s, span in (("1h", "1 HOUR"), ("24h", "24 HOUR"), ("7d", "7 DAY"))]
+    + [f"round(avg(y) OVER (w RANGE BETWEEN INTERVAL {span} PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING), 9) AS total_consumption_mean_{s}"
+       for s, span in (("1h", "1 HOUR"), ("24h", "24 HOUR"), ("7d", "7 DAY"))]
+).replace("(w RANGE", '(PARTITION BY region ORDER BY "timestamp" RANGE')
+
 ORACLES: dict[str, str] = {
     "src_events": f"""SELECT '{C.TOPIC_MIX}' AS topic, event_id, ts AS processing_time,
   true AS has_text FROM events""",
@@ -409,6 +416,8 @@ FROM gold_mix, now WHERE ingestion_timestamp >= as_of - INTERVAL {RETENTION_SHOW
   CAST(dayofweek("timestamp") IN (0, 6) AS INTEGER) AS is_weekend,
   {", ".join(C.SHORT_FEATURES[5:])}, {C.CONSUMPTION_LABEL}
 FROM joined WHERE {C.CONSUMPTION_LABEL} IS NOT NULL"""),
+    "rolling_features": _q(GOLD, f"""SELECT region, "timestamp", y AS total_consumption, {_LABEL_PAST}
+FROM (SELECT region, "timestamp", total_consumption AS y FROM gold_mix)"""),
     "region_encoded": _q(GOLD, """SELECT region, "timestamp",
   CAST(dense_rank() OVER (ORDER BY region) - 1 AS INTEGER) AS region_encoded FROM gold_mix"""),
     "region_rows": _q(GOLD, """SELECT region, "timestamp", total_production FROM gold_mix
@@ -472,6 +481,9 @@ UNION ALL SELECT 'carbon' AS name, count(*) AS input_rows FROM events""",
     "bronze_summary": """SELECT 2 * count(*) AS messages, count(*) > 0 AS present, true AS all_bytes
 FROM events""",
     "train_consumption": _learned("consumption_rows"),
+    "history_comparison": _q(_LEARNED, """SELECT variant, split, count(*) AS n_rows,
+  count(*) FILTER (WHERE y = 0) AS n_zero_actual, true AS sound
+FROM consumption_rows, (SELECT unnest(['plain', 'history']) AS variant) GROUP BY ALL"""),
     "train_carbon": _learned("carbon_learned"),
     "feature_importance": "SELECT unnest(["
     + ", ".join(f"'{f}'" for f in _MODEL_FEATURES)

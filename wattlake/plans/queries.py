@@ -14,7 +14,7 @@ from wattlake import vocabulary as V
 from wattlake.functions.calendar import tomorrow_at
 from wattlake.functions.identity import base_name
 from wattlake.operators import (
-    asof, declared, digests, features as ft, layers, metrics, parse, partials, supervision,
+    asof, declared, digests, features as ft, history, layers, metrics, parse, partials, supervision,
 )
 from wattlake.operators.latest import (
     for_regions, high_water_mark, latest_by_region, latest_per_key, retained,
@@ -36,6 +36,7 @@ from wattlake.streaming import control, ingest, sync
 RETENTION_SHOWN = 14
 ROLL_SHOWN = 1000
 MORNING_HOUR = 10
+COMPARED_TREES = 10
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -412,6 +413,14 @@ def features_spark_dow(spark, sf_dir):
     return ft.short_features(_joined(spark, sf_dir))
 
 
+def rolling_features(spark, sf_dir):
+    """What each region used before: values some time ago, means of the time before."""
+    rows = _lake(spark, sf_dir).gold_mix().select(*V.KEY, V.CONSUMPTION_LABEL)
+    found = history.with_history(rows, V.CONSUMPTION_LABEL)
+    added = history.History().columns(V.CONSUMPTION_LABEL)
+    return _plain_times(found).withColumns({c: F.round(c, 9) for c in added})
+
+
 def region_encoded(spark, sf_dir):
     return _plain_times(ft.encode_region(_lake(spark, sf_dir).gold_mix().select(*V.KEY)))
 
@@ -633,14 +642,19 @@ def _is_number(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
 
 
+def _sound() -> Column:
+    """Whether the measures of a model keep to what must hold of them."""
+    finite = [_is_number(F.col(c)) for c in ("mae", "rmse", "r2", "mape")]
+    ordered = (F.col("mae") >= 0) & (F.col("rmse") >= F.col("mae")) & (F.col("r2") <= 1)
+    return finite[0] & finite[1] & finite[2] & finite[3] & ordered
+
+
 def _quality(spark, sf_dir, label) -> DataFrame:
     root = _trained_root(spark, sf_dir, label)
     found = metrics.regression_metrics(spark.read.parquet(f"{root}/scored"), label)
-    finite = [_is_number(F.col(c)) for c in ("mae", "rmse", "r2", "mape")]
-    ordered = (F.col("mae") >= 0) & (F.col("rmse") >= F.col("mae")) & (F.col("r2") <= 1)
     return found.select(
         "split", "n_rows", "n_zero_actual",
-        (finite[0] & finite[1] & finite[2] & finite[3] & ordered).alias("sound"),
+        _sound().alias("sound"),
     )
 
 
@@ -648,6 +662,13 @@ def train_consumption(spark, sf_dir):
     return _quality(spark, sf_dir, V.CONSUMPTION_LABEL)
 
 
+def history_comparison(spark, sf_dir):
+    """Models of few trees with and without the past, judged on the same held-out rows."""
+    lake = _lake(spark, sf_dir)
+    found = consumption.compare_history(lake.gold_mix(), lake.gold_carbon(), trees=COMPARED_TREES)
+    return found.select("variant", "split", "n_rows", "n_zero_actual", _sound().alias("sound"))
+
+
 def train_carbon(spark, sf_dir):
     return _quality(spark, sf_dir, V.CARBON_LABEL)
 
@@ -856,6 +877,7 @@ QUERIES: dict[str, Query] = {
     "newest_arrivals": newest_arrivals,
     "features": features,
     "features_spark_dow": features_spark_dow,
+    "rolling_features": rolling_features,
     "region_encoded": region_encoded,
     "region_count": region_count,
     "region_rows": region_rows,
@@ -881,6 +903,7 @@ QUERIES: dict[str, Query] = {
     "progress": progress,
     "train_consumption": train_consumption,
     "train_carbon": train_carbon,
+    "history_comparison": history_comparison,
     "feature_importance": feature_importance,
     "residuals": residuals,
     "model_run": model_run,
