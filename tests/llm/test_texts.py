@@ -53,7 +53,7 @@ def passages(rows, window):
 
 @pytest.mark.parametrize("settings", [
     substrings.Settings(), substrings.Settings(shard_spans=2), substrings.Settings(window=8, gram=3, shard_spans=1),
-    substrings.Settings(window=6, gram=6),
+    substrings.Settings(window=6, gram=6), substrings.Settings(remembered=3), substrings.Settings(window=8, gram=3, shard_spans=2, remembered=2),
 ])
 def test_repeated_passages(make_docs, corpus, settings):
     got = {r.doc_id: tuple(r) for r in substrings.repeated_passages(make_docs(corpus), settings).collect()}

@@ -42,6 +42,8 @@ class Settings:
     gram: int = 8
     #: Spans around a leader up to which they share an automaton.
     shard_spans: int = 1024
+    #: Places of spans that a task remembers, about 300 bytes each.
+    remembered: int = 500_000
 
 
 class SuffixAutomaton:
@@ -183,55 +185,93 @@ def _named_spans(batch: pa.RecordBatch, names: str, settings: Settings):
         yield spans
 
 
+class _Firsts:
+    """Earliest places of the spans that a task has seen, by digest of their words.
+
+    A span with an equal one before it is repeated as a whole, and whatever matches it
+    matches the earlier one: it need not be sent. Forgetting places costs rows, not
+    results, so a task remembers a bounded number.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.places = most, {}
+
+    def repeated(self, digest: bytes, place: tuple[int, int, int]) -> bool:
+        known = self.places.get(digest)
+        if known is not None and known < place:
+            return True
+        if len(self.places) >= self.most:
+            self.places.clear()
+        self.places[digest] = place
+        return False
+
+
+def _add_run(runs: list[dict], begin: int, windows: int) -> None:
+    """Adds a run of windows, to the last one where it continues that."""
+    if runs and runs[-1]["begin"] + runs[-1]["windows"] == begin:
+        runs[-1]["windows"] += windows
+    else:
+        runs.append({"begin": begin, "windows": windows})
+
+
+def _record(rows: list[tuple], schema: list) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), kind) for c, (_, kind) in zip(columns, schema)], names=[n for n, _ in schema])
+
+
 def _cut_spans(settings: Settings):
+    """Spans with their words. Runs of those that the task knows to be repeated are listed
+    in a row of their own for each text, without words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        firsts = _Firsts(settings.remembered)
         for batch in batches:
             order, rows = batch.column("order").to_pylist(), batch.column("row").to_pylist()
             for spans in _named_spans(batch, "few", settings):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([s[1] for s in spans], pa.int64()),
-                        pa.array([order[s[0]] for s in spans], pa.int64()),
-                        pa.array([rows[s[0]] for s in spans], pa.int64()),
-                        pa.array([s[2] for s in spans], pa.int32()),
-                        pa.array([b" ".join(w[low : low + n + settings.window - 1]) for _, _, low, n, w in spans], pa.binary()),
-                    ],
-                    names=["leader", "order", "row", "begin", "content"],
-                )
+                found, own = [], {}
+                for at, leader, low, n, words in spans:
+                    content = b" ".join(words[low : low + n + settings.window - 1])
+                    if firsts.repeated(xxhash.xxh3_128_digest(content), (order[at], rows[at], low)):
+                        _add_run(own.setdefault(at, []), low, n)
+                    else:
+                        found.append((leader, order[at], rows[at], low, content, None))
+                found += [(rows[at], order[at], rows[at], None, None, runs) for at, runs in own.items()]
+                yield _record(found, SPANS)
 
     return run
 
 
 def _digest_spans(settings: Settings):
-    """Spans as 128-bit digests of their words, with those of their windows. A span that
-    its own text has before is repeated in any case: such runs are listed in ``own`` of
-    the row of the text's first span."""
+    """Spans as 128-bit digests of their words, with those of their windows; repeated ones
+    as in ``_cut_spans``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        firsts = _Firsts(settings.remembered)
         for batch in batches:
             order, rows = batch.column("order").to_pylist(), batch.column("row").to_pylist()
             for spans in _named_spans(batch, "many", settings):
-                known, own, found = set(), {}, []
+                found, own = [], {}
                 for at, _, low, n, words in spans:
                     digest = xxhash.xxh3_128_digest(b" ".join(words[low : low + n + settings.window - 1]))
-                    if (at, digest) in known:
-                        own[at].append({"begin": low, "windows": n})
+                    if firsts.repeated(digest, (order[at], rows[at], low)):
+                        _add_run(own.setdefault(at, []), low, n)
                         continue
                     each = [xxhash.xxh3_128_digest(b" ".join(words[i : i + settings.window])) for i in range(low, low + n)]
-                    found.append((order[at], rows[at], low, n, digest, each, own.setdefault(at, []) if at not in own else None))
-                    known.add((at, digest))
-                columns = zip(*found) if found else [()] * len(HOT_SPANS)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), kind) for c, (_, kind) in zip(columns, HOT_SPANS)], names=[n for n, _ in HOT_SPANS]
-                )
+                    found.append((order[at], rows[at], low, digest, each, n, None))
+                found += [(order[at], rows[at], None, None, None, None, runs) for at, runs in own.items()]
+                yield _record(found, HOT_SPANS)
 
     return run
 
 
 RUNS = pa.list_(pa.struct([("begin", pa.int32()), ("windows", pa.int32())]))
+SPANS = [
+    ("leader", pa.int64()), ("order", pa.int64()), ("row", pa.int64()), ("begin", pa.int32()), ("content", pa.binary()),
+    ("own", RUNS),
+]
 HOT_SPANS = [
-    ("order", pa.int64()), ("row", pa.int64()), ("begin", pa.int32()), ("windows", pa.int32()),
-    ("span", pa.binary()), ("each", pa.list_(pa.binary())), ("own", RUNS),
+    ("order", pa.int64()), ("row", pa.int64()), ("begin", pa.int32()), ("span", pa.binary()),
+    ("each", pa.list_(pa.binary())), ("windows", pa.int32()), ("own", RUNS),
 ]
 
 
@@ -242,9 +282,12 @@ def _match_spans(settings: Settings):
         leader, shard, automaton = None, set(), None
         for batch in batches:
             found = []
-            for key, row, begin, content in zip(
-                *(batch.column(c).to_pylist() for c in ("leader", "row", "begin", "content"))
+            for key, row, begin, content, own in zip(
+                *(batch.column(c).to_pylist() for c in ("leader", "row", "begin", "content", "own"))
             ):
+                if content is None:
+                    found += [(row, r["begin"], r["windows"]) for r in own]
+                    continue
                 if key != leader:
                     leader, shard, automaton = key, {content}, None
                     continue
@@ -322,7 +365,8 @@ def _repeated_runs(touched: DataFrame, settings: Settings) -> DataFrame:
     """(row, runs): runs (begin, windows) of windows whose words begin earlier. A row may
     come several times."""
     spans = touched.where(F.size("few") > 0).mapInArrow(
-        _cut_spans(settings), "leader long, order long, row long, begin int, content binary"
+        _cut_spans(settings),
+        "leader long, order long, row long, begin int, content binary, own array<struct<begin: int, windows: int>>",
     )
     matched = (
         spans.repartition(partitions(touched.sparkSession), "leader")
@@ -332,11 +376,13 @@ def _repeated_runs(touched: DataFrame, settings: Settings) -> DataFrame:
     many = store(
         touched.where(F.size("many") > 0).mapInArrow(
             _digest_spans(settings),
-            "order long, row long, begin int, windows int, span binary, each array<binary>,"
+            "order long, row long, begin int, span binary, each array<binary>, windows int,"
             " own array<struct<begin: int, windows: int>>",
         ),
         "hot_spans",
     )
+    listed = many.where("own IS NOT NULL").select("row", F.col("own").alias("runs"))
+    many = many.where("span IS NOT NULL").drop("own")
     place = F.struct("order", "row", "begin")
     firsts = many.groupBy("span").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     firsts = store(firsts, "first_spans")
@@ -352,7 +398,7 @@ def _repeated_runs(touched: DataFrame, settings: Settings) -> DataFrame:
     grouped = single.join(earliest, "window").where(place > F.col("first")).withColumn("windows", F.lit(1))
     one = F.array(F.struct("begin", "windows")).alias("runs")
     parts = [part.select("row", one) for part in (matched, again, grouped)]
-    return reduce(DataFrame.union, parts, many.where(F.size("own") > 0).select("row", F.col("own").alias("runs")))
+    return reduce(DataFrame.union, parts, listed)
 
 
 def repeated_passages(
