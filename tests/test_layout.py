@@ -11,6 +11,7 @@ from wattlake.operators.latest import for_regions
 from wattlake.plans import queries
 from wattlake.plans.lake import open_lake
 from wattlake.sinks import tables
+from wattlake.sources.files import file_state
 from wattlake.sources.tables import V1_SOURCES, read_footers
 
 
@@ -150,3 +151,41 @@ def test_upsert_keeps_the_buckets(spark, folder, no_broadcast):
             spark.sql(f"DROP TABLE {table.name}")
     assert same(tables.read_bucketed(spark, path, 4).drop(tables.STAMP), tables.read_gold(spark, plain))
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("writing_")]
+
+
+def test_repeated_rows_rewrite_no_day(spark, folder):
+    path, first = folder("gold"), gold(spark, days=3, regions=4)
+    tables.upsert_gold(first, path)
+    written = file_state(spark, path)
+    tables.upsert_gold(first, path)
+    tables.upsert_gold(gold(spark, days=2, regions=4, arrived="2023-01-01T00:00:00"), path)  # overtaken
+    assert file_state(spark, path) == written
+    # One newer row rewrites its own day and no other.
+    late = gold(spark, days=3, regions=4, arrived="2024-03-01T00:00:00").filter(
+        (F.col("region") == "r001") & (F.col("timestamp") == F.lit(at("2024-01-02T05:00:00")))
+    )
+    tables.upsert_gold(first.filter("region <> 'r001'").unionByName(late), path)
+    changed = {name for name, *_ in set(file_state(spark, path)) ^ set(written)}
+    assert changed and all("date=2024-01-02" in name for name in changed)
+    stored = tables.read_gold(spark, path)
+    assert stored.count() == 3 * 24 * 4 and stored.filter("ingestion_timestamp >= '2024-03-01'").count() == 1
+
+
+def test_what_a_reader_sees_during_a_swap(spark, folder, monkeypatch):
+    path, seen = folder("gold"), []
+    tables.upsert_gold(gold(spark, days=3, regions=4), path)
+    move = tables.move
+
+    def watched(session, staged, target):
+        seen.append(tables.read_gold(session, path).groupBy("date").count().collect())
+        move(session, staged, target)
+
+    monkeypatch.setattr(tables, "move", watched)
+    tables.upsert_gold(gold(spark, days=3, regions=4, arrived="2024-03-01T00:00:00"), path)
+    assert len(seen) == 3  # a day at a time, each whole before and after
+    assert all(len(days) == 3 and {r["count"] for r in days} == {24 * 4} for days in seen)
+
+
+def test_a_row_without_region_has_no_code(spark):
+    rows = spark.createDataFrame([("B", 1), (None, 2), ("A", 3)], "region string, n int")
+    assert {(r.n, r.region_encoded) for r in ft.encode_region(rows).collect()} == {(1, 1), (2, None), (3, 0)}

@@ -37,15 +37,15 @@ def encode_region(df: DataFrame) -> DataFrame:
 
     The window runs over one row per region. Up to ``SENT_CODES`` regions the codes
     are sent to the rows, which then stay where they are; beyond that they are
-    joined, with the same result.
+    joined, with the same result. A row without region has no code.
     """
-    codes = df.select("region").distinct().withColumn(
+    codes = df.select("region").filter("region IS NOT NULL").distinct().withColumn(
         "region_encoded", F.dense_rank().over(Window.orderBy("region")) - 1
     )
     few = codes.limit(SENT_CODES + 1).collect()
     if len(few) <= SENT_CODES:
         codes = F.broadcast(df.sparkSession.createDataFrame(few, codes.schema))
-    return df.join(codes, "region")
+    return df.join(codes, "region", "left")
 
 
 def available(df: DataFrame, wanted: list[str]) -> tuple[list[str], list[str]]:

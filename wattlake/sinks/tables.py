@@ -7,7 +7,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession, functions as F
 
 from wattlake import vocabulary as V
-from wattlake.operators.latest import DAY, latest_per_key
+from wattlake.operators.latest import DAY, WRITE_ORDER, latest_per_key
 from wattlake.operators.partials import merge_partials
 from wattlake.sources.files import children, delete, exists, move
 from wattlake.sources.tables import read_footers
@@ -132,17 +132,31 @@ def read_bucketed(spark: SparkSession, path: str, buckets: int) -> DataFrame:
 def upsert_gold(rows: DataFrame, path: str, buckets: int | None = None) -> None:
     """Last write wins on (region, timestamp); repeating a batch changes nothing.
 
-    Only the days that occur in ``rows`` are read and rewritten. One writer per
-    gold table. ``buckets`` is that of a bucketed table, which stays one.
+    Of the days that occur in ``rows`` the keys are read, and only days for which a row
+    is newer than what is stored are rewritten: rows read once more, or late ones that a
+    newer row has overtaken, cost no writing. One writer per gold table. ``buckets`` is
+    that of a bucketed table, which stays one.
     """
     spark = rows.sparkSession
     finish_swap(spark, path)
     incoming = rows.withColumn(DAY, F.to_date("timestamp"))
-    merged = incoming
     touched = _touched(spark, path, incoming)
-    if touched is not None:
-        merged = incoming.unionByName(touched)
-    replace_days(latest_per_key(merged.drop(DAY)), path, buckets)
+    if touched is None:
+        replace_days(latest_per_key(incoming.drop(DAY)), path, buckets)
+        return
+    newer = _newer(incoming, touched)
+    days = [row[DAY] for row in newer.select(DAY).distinct().collect()]  # as many as in the batch at most
+    if days:
+        kept = touched.filter(F.col(DAY).isin(days))
+        replace_days(latest_per_key(newer.unionByName(kept).drop(DAY)), path, buckets)
+
+
+def _newer(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows that are the last write of their key so far."""
+    known = stored.select(*V.KEY, DAY, F.struct(*WRITE_ORDER).alias("_stored"))
+    joined = incoming.join(known, [*V.KEY, DAY], "left")
+    newer = F.col("_stored").isNull() | (F.struct(*WRITE_ORDER) > F.col("_stored"))
+    return joined.filter(newer).select(*incoming.columns)
 
 
 def replace_days(days: DataFrame, path: str, buckets: int | None = None) -> None:
@@ -150,7 +164,9 @@ def replace_days(days: DataFrame, path: str, buckets: int | None = None) -> None
 
     They are written beside the table first, once, and then moved day by day. A
     driver lost in between leaves the days not yet moved complete beside the table;
-    the next writer moves them.
+    the next writer moves them. A reader that lists the table between the two steps of
+    a move does not see that day; one that planned its files before fails on those that
+    have gone and has to read again. It never sees a day half written or twice.
     """
     staged = f"{_stage(path)}/{uuid.uuid4().hex}"
     write_bucketed(days, staged, buckets) if buckets else write_gold(days, staged)
