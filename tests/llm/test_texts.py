@@ -368,3 +368,21 @@ def test_licenses(make_docs, corpus):
     assert [s.label for s in got[6004].spans] == ["mit"]
     assert licenses.scan_licenses(make_docs([])).count() == 0
     assert defaultdict(int, {r.doc_id: r.n_base for r in found})[7] == 0
+
+
+def test_long_notices_merge_their_diagonals(make_docs):
+    """A whole license, with words put in, left out and changed, is one span; two thirds of
+    it are not."""
+    whole = licenses.TEMPLATES[6][1].split()
+    changed = whole[:40] + ["dear", "reader"] + whole[40:90] + whole[91:]
+    changed[20], changed[130] = "copied", "liability"
+    rows = [(1, " ".join(whole)), (2, "before " * 7 + " ".join(changed) + " after"), (3, " ".join(whole[: len(whole) * 2 // 3])),
+            (4, " ".join(whole) + " between " + " ".join(changed))]
+    got = {r.doc_id: [(s.first_word, s.end_word, s.score) for s in r.spans if s.end_word - s.first_word > 100]
+           for r in licenses.scan_licenses(make_docs(rows)).collect()}
+    n = len(re.findall(r"\w+", licenses.TEMPLATES[6][1]))
+    assert got[1] == [(0, n, 1.0)]
+    (first, end, score), = got[2]
+    assert (first, end) == (7, 7 + n + 1) and 0.8 <= score < 1
+    assert got[3] == []
+    assert [(a, b) for a, b, _ in got[4]] == [(0, n), (n + 1, 2 * n + 2)]

@@ -6,6 +6,9 @@ into a document keep their distance from the template, so the joined rows of one
 share a diagonal (place in the document minus place in the template). Rows are counted
 by diagonal; neighbouring diagonals, which words put in or left out make, are merged;
 and a merged span is verified by the share of the template's words that it covers.
+
+The phrases of the contract are templates too, of grams of two words. They count word for
+word only: a place of a phrase is one diagonal that has all of its grams.
 """
 
 from collections.abc import Iterator
@@ -25,6 +28,9 @@ SEPARATORS = np.array([b < 128 and not (48 <= b <= 57 or 97 <= b <= 122) for b i
 # Phrases of the contract with their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
+#: Words of a gram of a phrase.
+PHRASE_GRAM = 2
+
 # Public notices that license texts ask to be put into files, by label.
 TEMPLATES = (
     ("apache-2.0", "Licensed under the Apache License, Version 2.0"),
@@ -36,10 +42,27 @@ TEMPLATES = (
     ("mit", "Licensed under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
      " documentation files (the \"Software\"), to deal in the Software without restriction"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
+     " documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation"
+     " the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and"
+     " to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above"
+     " copyright notice and this permission notice shall be included in all copies or substantial portions of the"
+     " Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT"
+     " LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT"
+     " SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION"
+     " OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER"
+     " DEALINGS IN THE SOFTWARE."),
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is"
      " hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided"
      " that the following conditions are met"),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided"
+     " that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice,"
+     " this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above"
+     " copyright notice, this list of conditions and the following disclaimer in the documentation and/or other"
+     " materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS"
+     " \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF"
+     " MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
     ("gpl-3.0", "licensed under the GNU General Public License, version 3"),
     ("gpl-2.0", "licensed under the GNU General Public License, version 2"),
     ("gpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
@@ -75,71 +98,46 @@ def _words(texts: list[str]) -> Words:
 
 
 def template_grams(spark: SparkSession, settings: Settings) -> DataFrame:
-    """(gram, template, place) of all templates: a few hundred rows, fixed by the list."""
+    """(gram, template, place) of all templates, and of the phrases by numbers from -1
+    down: some thousand rows, fixed by the lists. The size of a gram is part of its hash."""
     rows = []
-    for number, (_, text) in enumerate(settings.templates):
-        hashes = grams(_words([text]).hashes, settings.gram).view(np.int64)
+    listed = [(number, text, settings.gram) for number, (_, text) in enumerate(settings.templates)]
+    listed += [(-1 - number, text, PHRASE_GRAM) for number, (text, _) in enumerate(PHRASES)]
+    for number, text, k in listed:
+        hashes = grams(_words([text]).hashes, k).view(np.int64)
         rows += [(int(h), number, place) for place, h in enumerate(hashes)]
     return spark.createDataFrame(rows, "gram long, template int, place int")
 
 
-SUMMARY = pa.struct([
-    ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()),
-    ("first_word", pa.int64()), ("last_word", pa.int64()), ("base_labels", pa.list_(pa.string())),
-])
-ROLLED = (
-    "row long, at int, gram long, summary struct<doc_id: long, n_words: long, n_base: long, first_word: long,"
-    " last_word: long, base_labels: array<string>>"
-)
+SUMMARY = pa.struct([("doc_id", pa.int64()), ("n_words", pa.int64())])
+ROLLED = "row long, at int, gram long, summary struct<doc_id: long, n_words: long>"
 
 
 def _roll(settings: Settings):
-    """For each text a row with its summary, and a row for each k consecutive words."""
-    phrases = [(_words([phrase]).hashes, label) for phrase, label in PHRASES]
-
-    def base(hashes: np.ndarray) -> tuple:
-        places, labels = [], []
-        for wanted, label in phrases:
-            n = len(hashes) - len(wanted) + 1
-            if n <= 0:
-                continue
-            hit = np.ones(n, dtype=bool)
-            for j, word in enumerate(wanted):
-                hit &= hashes[j : j + n] == word
-            found = np.flatnonzero(hit)
-            if len(found):
-                places += [int(found[0]), int(found[-1])]
-                labels.append((label, len(found)))
-        if not places:
-            return 0, None, None, []
-        return sum(n for _, n in labels), min(places), max(places), sorted({label for label, _ in labels})
+    """For each text a row with its number of words, and a row for each k consecutive words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k = settings.gram
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            rows = batch.column("row").to_numpy()
+            rows, ids = batch.column("row").to_numpy(), batch.column("doc_id")
             for begin, end, words in chunks(batch.column("text"), lower=True, separators=SEPARATORS):
                 lengths = np.diff(words.first)
                 text = np.repeat(np.arange(end - begin), lengths)
-                rolled = grams(words.hashes, k)
-                inside = np.flatnonzero(text[: len(rolled)] == text[len(text) - len(rolled) :])
-                at = inside - words.first[text[inside]]
-                summaries = []
-                for i in range(end - begin):
-                    n, first, last, labels = base(words.hashes[words.first[i] : words.first[i + 1]])
-                    summaries.append((ids[begin + i], int(lengths[i]), n, first, last, labels))
-                columns = [pa.array(c, f.type) for c, f in zip(zip(*summaries), SUMMARY)]
+                for k in sorted({settings.gram, PHRASE_GRAM}):
+                    rolled = grams(words.hashes, k)
+                    inside = np.flatnonzero(text[: len(rolled)] == text[len(text) - len(rolled) :])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(rows[begin + text[inside]]),
+                            pa.array((inside - words.first[text[inside]]).astype(np.int32)),
+                            pa.array(rolled[inside].view(np.int64)), pa.nulls(len(inside), SUMMARY),
+                        ],
+                        names=["row", "at", "gram", "summary"],
+                    )
+                own = pa.StructArray.from_arrays(
+                    [ids.slice(begin, end - begin), pa.array(lengths, pa.int64())], fields=list(SUMMARY)
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([rows[begin + text[inside]], rows[begin:end]])),
-                        pa.array(np.concatenate([at, np.full(end - begin, -1)]).astype(np.int32)),
-                        pa.concat_arrays([pa.array(rolled[inside].view(np.int64)), pa.nulls(end - begin, pa.int64())]),
-                        pa.concat_arrays([
-                            pa.nulls(len(inside), SUMMARY),
-                            pa.StructArray.from_arrays(columns, fields=list(SUMMARY)),
-                        ]),
-                    ],
+                    [pa.array(rows[begin:end]), pa.nulls(end - begin, pa.int32()), pa.nulls(end - begin, pa.int64()), own],
                     names=["row", "at", "gram", "summary"],
                 )
 
@@ -156,10 +154,25 @@ def license_votes(docs: DataFrame, settings: Settings, id_col: str, text_col: st
     return store(joined.where("template IS NOT NULL OR summary IS NOT NULL").drop("gram"), "license_votes")
 
 
+def phrase_places(votes: DataFrame) -> DataFrame:
+    """Per text with a phrase: row, n_base, first_word, last_word, base_labels."""
+    wanted = F.array(*[F.lit(len(grams(_words([text]).hashes, PHRASE_GRAM))) for text, _ in PHRASES])
+    labels = F.array(*[F.lit(label) for _, label in PHRASES])
+    number = -1 - F.col("template")
+    # A gram that stands twice in a phrase would have two places on different diagonals.
+    places = votes.where("template < 0").groupBy("row", "template", (F.col("at") - F.col("place")).alias("diagonal")).agg(
+        F.count("*").alias("grams")
+    ).where(F.col("grams") == F.get(wanted, number))
+    return places.groupBy("row").agg(
+        F.count("*").alias("n_base"), F.min("diagonal").cast("long").alias("first_word"),
+        F.max("diagonal").cast("long").alias("last_word"), F.collect_set(F.get(labels, number)).alias("base_labels"),
+    )
+
+
 def license_spans(votes: DataFrame, settings: Settings) -> DataFrame:
     """Verified spans: row, label, first_word, end_word, score."""
     k = settings.gram
-    diagonals = votes.where("template IS NOT NULL").groupBy(
+    diagonals = votes.where("template >= 0").groupBy(
         "row", "template", (F.col("at") - F.col("place")).alias("diagonal")
     ).agg(F.min("at").alias("low"), F.max("at").alias("high"), F.collect_set("place").alias("places"))
     near = Window.partitionBy("row", "template").orderBy("diagonal")
@@ -190,6 +203,7 @@ def scan_licenses(
     by commas. ``score`` is 1 with a phrase, else the largest share of a template that a
     span covers, else 0. ``spans`` lists the verified spans (label, first word, word
     after the last, score). Repeated rows and rows without an id are reported each.
+    Very long texts are read whole, and every gram of a text is one row of the join.
     Other columns of the input are not looked at. An empty table gives no rows.
     """
     votes = license_votes(docs, settings, id_col, text_col)
@@ -198,10 +212,11 @@ def scan_licenses(
         F.max("score").alias("best"),
         F.array_sort(F.collect_list(F.struct("first_word", "end_word", "label", "score"))).alias("spans"),
     )
-    base = F.col("summary.base_labels")
-    return votes.where("summary IS NOT NULL").join(found, "row", "left").select(
-        "summary.doc_id", "summary.n_words", "summary.n_base", "summary.first_word", "summary.last_word",
-        F.array_join(base, ",").alias("base_labels"),
+    base = F.coalesce("base_labels", F.array())
+    rows = votes.where("summary IS NOT NULL").select("row", "summary.*")
+    return rows.join(phrase_places(votes), "row", "left").join(found, "row", "left").select(
+        "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).alias("n_base"), "first_word", "last_word",
+        F.array_join(F.array_sort(base), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union(base, F.coalesce("more", F.array()))), ",").alias("labels"),
         F.when(F.size(base) > 0, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
         "spans",
