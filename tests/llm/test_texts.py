@@ -5,6 +5,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import vocabulary
 from wattlake.llm import components, decontamination, licenses, neardup, secrets, substrings
+from wattlake.llm import words as word_module
 from wattlake.llm.words import chunks, grams
 
 
@@ -386,3 +388,24 @@ def test_long_notices_merge_their_diagonals(make_docs):
     assert (first, end) == (7, 7 + n + 1) and 0.8 <= score < 1
     assert got[3] == []
     assert [(a, b) for a, b, _ in got[4]] == [(0, n), (n + 1, 2 * n + 2)]
+
+
+def test_words_hash_alike_in_pieces_of_any_size():
+    rng = random.Random(1)
+    text = " ".join("".join(rng.choice("abcé") for _ in range(rng.choice([1, 3, 8, 90]))) for _ in range(500))
+    (_, _, whole), = word_module.chunks(pa.array([text, None, "a " + "b" * 700, ""]))
+    for piece in (1, 7, 64, 1000, 10**6):
+        again = word_module._word_hashes(whole.data, whole.begins, whole.ends, piece)
+        assert (again == whole.hashes).all()
+    alone = {w: int(next(iter(word_module.chunks(pa.array([w]))))[2].hashes[0]) for w in text.split()}
+    assert [alone[w] for w in text.split()] == whole.hashes[: whole.first[1]].tolist()
+
+
+def test_a_long_text_takes_little_memory():
+    text = "some words of a text that is long " * 1_000_000  # 34 MB
+    texts = pa.array([text])
+    tracemalloc.start()
+    (_, _, words), = word_module.chunks(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(words.hashes) == 8_000_000 and peak < 16 * len(text)

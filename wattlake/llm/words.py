@@ -2,7 +2,9 @@
 
 A word is a run of bytes other than white space (or other than what a given table
 marks as separating). Its hash sums a random 64-bit number per byte times a power per
-position; sums over a prefix of the batch give every word with two look-ups.
+position; sums over a prefix of some bytes give every word of them with two look-ups. The
+hash does not depend on where a word stands, so long texts are hashed piece by piece, and
+take less than sixteen bytes of memory for each of their own.
 """
 
 from collections.abc import Iterator
@@ -43,6 +45,34 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
+def _word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, piece: int = CHUNK_BYTES) -> np.ndarray:
+    """Hash of each word; whole words of ``piece`` bytes are summed at a time."""
+    hashes, word = np.empty(len(begins), dtype=np.uint64), 0
+    while word < len(begins):
+        low = begins[word]
+        after = max(int(np.searchsorted(ends, low + piece, side="right")), word + 1)
+        size = int(ends[after - 1] - low)
+        if size > piece:
+            hashes[word] = _long_word(data[low : low + size], piece)
+        else:
+            up, down = _power_tables(size + 1)
+            sums = np.zeros(size + 1, dtype=np.uint64)
+            np.cumsum(_BYTES[data[low : low + size]] * up[:size], out=sums[1:])
+            start = begins[word:after] - low
+            hashes[word:after] = (sums[ends[word:after] - low] - sums[start]) * down[start]
+        word = after
+    return scramble(hashes)
+
+
+def _long_word(data: np.ndarray, piece: int) -> np.uint64:
+    """Sum of a word longer than a piece."""
+    up, total = _power_tables(piece + 1)[0], 0
+    for low in range(0, len(data), piece):
+        part = data[low : low + piece]
+        total += int((_BYTES[part] * up[: len(part)]).sum()) * pow(_MULTIPLIER, low, 1 << 64)
+    return np.uint64(total % (1 << 64))
+
+
 class Words:
     """Words of some texts: hashes, byte positions, and where each text begins."""
 
@@ -58,10 +88,7 @@ class Words:
         begins[edges] = inside[edges]
         ends[edges - 1] = inside[edges - 1]
         self.begins, self.ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-        up, down = _power_tables(len(data) + 1)
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_BYTES[data] * up[: len(data)], out=sums[1:])
-        self.hashes = scramble((sums[self.ends] - sums[self.begins]) * down[self.begins])
+        self.hashes = _word_hashes(data, self.begins, self.ends)
         #: The words of text i are those from first[i] to first[i + 1].
         self.first = np.searchsorted(self.begins, offsets)
 
