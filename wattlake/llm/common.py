@@ -1,5 +1,7 @@
 """What the corpus operators share."""
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,5 +25,21 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, new_path(df.sparkSession, name))
 
 
+def store_dealt(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    """As ``store``, dealt by ``keys`` into as many buckets as a shuffle has partitions: a
+    join on just these keys moves the other side only."""
+    spark, buckets = df.sparkSession, partitions(df.sparkSession)
+    # Files are told their bucket only when written as a table; the entry goes again, the
+    # files and what was read from the entry stay.
+    entry = f"dealt_{uuid.uuid4().hex}"
+    (
+        df.repartition(buckets, *keys).write.bucketBy(buckets, *keys)
+        .option("path", new_path(spark, name)).saveAsTable(entry)
+    )
+    dealt = spark.table(entry)
+    spark.sql(f"DROP TABLE {entry}")
+    return dealt
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import partitions, store
+from wattlake.llm.common import partitions, store, store_dealt
 from wattlake.llm.words import chunks, grams
 
 
@@ -118,18 +118,14 @@ def leaders(gram_hashes: np.ndarray, grams_per_window: int) -> np.ndarray:
     return best
 
 
-OUTLINE = "doc_id long, text_hash long, row long, n_words long, words_digest binary, words_sha256 string, leaders array<struct<leader: long, spans: long>>"
+OUTLINE = "doc_id long, text_hash long, row long, n_words long, windows long, words_digest binary, words_sha256 string"
+LEADERS = "row long, leaders array<struct<leader: long, spans: long>>"
 
 
 def _hashes(words, i: int) -> np.ndarray:
     return words.hashes[words.first[i] : words.first[i + 1]]
 
 
-def _joined(words, i: int) -> bytes:
-    low, high = words.offsets[i], words.offsets[i + 1]
-    return b" ".join(words.data[low:high].tobytes().split())
-
-
 def _spans(hashes: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(leader gram hash, first window, windows) of all spans of a text."""
     gram_hashes = grams(hashes, settings.gram)
@@ -143,25 +139,41 @@ def _spans(hashes: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarr
 def _outlines(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, digests, shas, found, spans = [], [], [], [], []
+            counts, digests, shas = [], [], []
+            for text in batch.column("text"):
+                split = (text.as_py() or "").encode().split()
+                joined = b" ".join(split)
+                counts.append(len(split))
+                digests.append(xxhash.xxh3_128_digest(joined))
+                shas.append(hashlib.sha256(joined).hexdigest())
+            windows = [max(0, n - settings.window + 1) for n in counts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"), batch.column("text_hash"), batch.column("row"),
+                    pa.array(counts, pa.int64()), pa.array(windows, pa.int64()), pa.array(digests, pa.binary()),
+                    pa.array(shas, pa.string()),
+                ],
+                names=["doc_id", "text_hash", "row", "n_words", "windows", "words_digest", "words_sha256"],
+            )
+
+    return run
+
+
+def _leaders(settings: Settings):
+    """The leaders of each text, and how many spans of it each has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, spans = [], []
             for begin, end, words in chunks(batch.column("text")):
                 for i in range(end - begin):
-                    hashes, joined = _hashes(words, i), _joined(words, i)
-                    counts.append(len(hashes))
-                    digests.append(xxhash.xxh3_128_digest(joined))
-                    shas.append(hashlib.sha256(joined).hexdigest())
-                    leader, times = np.unique(_spans(hashes, settings)[0].view(np.int64), return_counts=True)
+                    leader, times = np.unique(_spans(_hashes(words, i), settings)[0].view(np.int64), return_counts=True)
                     found.append(leader), spans.append(times)
             ends = pa.array(np.cumsum([0] + [len(f) for f in found]), pa.int32())
             found, spans = (np.concatenate([np.zeros(0, np.int64), *each]) for each in (found, spans))
             listed = pa.StructArray.from_arrays([pa.array(found), pa.array(spans)], ["leader", "spans"])
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), batch.column("text_hash"), batch.column("row"),
-                    pa.array(counts, pa.int64()), pa.array(digests, pa.binary()),
-                    pa.array(shas, pa.string()), pa.ListArray.from_arrays(ends, listed),
-                ],
-                names=["doc_id", "text_hash", "row", "n_words", "words_digest", "words_sha256", "leaders"],
+                [batch.column("row"), pa.ListArray.from_arrays(ends, listed)], names=["row", "leaders"]
             )
 
     return run
@@ -341,9 +353,20 @@ def kept_mask(n: int, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def _touched_texts(texts: DataFrame, outlines: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
     """First texts of their class with a leader that occurs again, and these leaders:
-    in ``few`` those with few enough spans for one automaton, in ``many`` the others."""
-    firsts = outlines.join(classes.select("row"), "row", "left_semi")
-    listed = firsts.select("row", F.inline("leaders"))
+    in ``few`` those with few enough spans for one automaton, in ``many`` the others.
+
+    The first texts move once, to where ("order", "text_hash") deals them. What is found
+    out about them is dealt alike, so that later joins leave the texts where they are.
+    """
+    place = ["order", "text_hash"]
+    order = F.coalesce(F.col("doc_id"), F.lit(2**63 - 1))
+    firsts = outlines.select("row", order.alias("order"), "text_hash").join(classes.select("row"), "row", "left_semi")
+    dealt = store_dealt(
+        firsts.join(texts.withColumn("order", order).select(*place, "text"), place).dropDuplicates([*place, "row"]),
+        "first_texts", *place,
+    )
+    listed = store(dealt.select("row", "text").mapInArrow(_leaders(settings), LEADERS), "leaders")
+    listed = listed.select("row", F.inline("leaders"))
     # Stored, so that Spark can split the join of a leader that very many texts have.
     frequent = store(listed.groupBy("leader").agg(F.sum("spans").alias("n")).where("n > 1"), "shared_leaders")
     few = F.col("n") <= settings.shard_spans
@@ -352,13 +375,8 @@ def _touched_texts(texts: DataFrame, outlines: DataFrame, classes: DataFrame, se
         F.collect_set(F.when(few, F.col("leader"))).alias("few"),
         F.collect_set(F.when(~few, F.col("leader"))).alias("many"),
     )
-    order = F.coalesce(F.col("doc_id"), F.lit(2**63 - 1))
-    return (
-        wanted.join(firsts.select("row", "doc_id", "text_hash"), "row")
-        .withColumn("order", order).drop("doc_id")
-        .join(texts.withColumn("order", order).select("order", "text_hash", "text"), ["order", "text_hash"])
-        .dropDuplicates(["order", "text_hash", "row"]).drop("text_hash")
-    )
+    wanted = store_dealt(wanted.join(dealt.select(*place, "row"), "row"), "wanted_leaders", *place)
+    return dealt.select(*place, "text").join(wanted, place)
 
 
 def _repeated_runs(touched: DataFrame, settings: Settings) -> DataFrame:
@@ -420,16 +438,18 @@ def repeated_passages(
     # Of equal texts the first is the class; combined before the exchange.
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     classes = store(
-        outlines.where(F.col("n_words") >= settings.window).groupBy("words_digest").agg(F.min(rank).alias("first"))
+        outlines.where("windows > 0").groupBy("words_digest").agg(F.min(rank).alias("first"))
         .select("words_digest", F.col("first.row").alias("row"), F.col("first.doc_id").alias("first_id")),
         "text_classes",
     )
-    touched = store(_touched_texts(texts, outlines, classes, settings), "touched_texts")
+    touched = _touched_texts(texts, outlines, classes, settings)
     # A text has fewer runs than words.
     runs = _repeated_runs(touched, settings).groupBy("row").agg(
         F.flatten(F.collect_list("runs")).alias("runs")
-    )
-    results = touched.select("row", "text").join(runs, "row").mapInArrow(
+    ).join(touched.select("row", "order", "text_hash"), "row")
+    results = touched.select("order", "text_hash", "text").join(runs, ["order", "text_hash"]).select(
+        "row", "text", "runs"
+    ).mapInArrow(
         _kept_words(settings), "row long, n_removed long, kept_sha256 string"
     )
 
@@ -437,8 +457,8 @@ def repeated_passages(
         "words_digest", "first_id", F.col("n_removed").alias("own_removed"), "kept_sha256"
     )
     own = F.col("doc_id").eqNullSafe(F.col("first_id"))
-    whole = F.col("n_words") < settings.window
-    return outlines.drop("leaders").join(first, "words_digest", "left").select(
+    whole = F.col("windows") == 0
+    return outlines.join(first, "words_digest", "left").select(
         "doc_id", "n_words",
         F.when(whole, F.lit(0)).when(own, F.coalesce("own_removed", F.lit(0))).otherwise(F.col("n_words"))
         .cast("long").alias("n_removed"),
