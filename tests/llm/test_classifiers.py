@@ -9,6 +9,7 @@ import pytest
 
 from tests.llm.conftest import vocabulary
 from wattlake.llm import quality, toxicity
+from wattlake.llm.words import chunks
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -117,3 +118,25 @@ def test_one_id_does_not_fill_the_sample(spark, make_docs, labelled):
         assert len(found) == len({r.doc_id for r in found}) <= sum(most.values())
         taken.append(sorted((r.doc_id, r.label, bytes(r.words)) for r in found))
     assert taken[0] == taken[1] and len(taken[0]) == 100
+
+
+def test_grams_are_of_characters_in_any_script():
+    rng = random.Random(3)
+    letters = "abz \t\u00e9\u00df\u0416\u0448\u65e5\u672c\u8a9e\u0939\u093f\U0001f600\U00020000"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(60)] + ["", None, "\u65e5", "a"]
+    settings = quality.Settings(bits=30)
+    (begin, end, words), = chunks(pa.array(texts))
+    assert (begin, end) == (0, len(texts))
+    found = list(quality.features(words, settings))[2:]
+    assert len(found) == len(settings.gram_sizes)
+    of_bucket, seen = {}, 0
+    for n, (owner, buckets) in zip(settings.gram_sizes, found):
+        want = []
+        for i, text in enumerate(texts):
+            text = (text or "").replace("\t", " ")
+            want += [(i, text[j : j + n]) for j in range(len(text) - n + 1) if " " not in text[j + 1 : j + n - 1]]
+        assert owner.tolist() == [i for i, _ in want]
+        for (_, gram), bucket in zip(want, buckets.tolist()):
+            assert of_bucket.setdefault(bucket, gram) == gram
+        seen += len({gram for _, gram in want})
+    assert len(of_bucket) == seen

@@ -1,12 +1,12 @@
 """Quality classifier on learned subword embeddings.
 
-A text is the bag of its words and of the 3 and 4 byte grams inside its words (a space
+A text is the bag of its words and of the 3 and 4 character grams inside its words (a space
 may stand at either end of a gram and marks where a word begins or ends); a word equal
 to the one before it counts as one more word, the same for all words. Each is hashed to
 one of 2^18 vectors. The average of the vectors of a text goes to a softmax over the
 two classes. Vectors and output weights are trained together by stochastic gradient
 descent on a bounded sample of labelled documents. As the output is linear in the
-average, scoring needs one number per vector: a look-up per byte and gram length.
+average, scoring needs one number per vector: a look-up per character and gram length.
 """
 
 from collections.abc import Iterator
@@ -23,6 +23,7 @@ from wattlake.llm.words import WHITE, Words, chunks
 _BYTES32 = np.random.default_rng(77).integers(1, 2**32, 256, dtype=np.uint32)
 _STEP32 = np.uint32(0x01000193)
 _FINAL32 = np.uint32(0x9E3779B1)
+_PLACES = np.multiply.accumulate(np.array([1] + [0x85EBCA6B] * 3, dtype=np.uint32))
 
 
 #: Bucket of "the same word again".
@@ -53,6 +54,20 @@ class Model:
     bias: float
 
 
+def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, code) of each character of UTF-8 texts; any white space has the code of a space."""
+    codes = _BYTES32[np.where(WHITE[data], 32, data)]
+    later = (data & 0xC0) == 0x80
+    first = np.flatnonzero(~later)
+    if len(first) == len(data):
+        return first, codes
+    # The bytes of a character count by their place in it; one of one byte is that byte.
+    place = later.astype(np.uint8)
+    for before in (1, 2):
+        place[1:] += later[1:] & (place[:-1] == before)
+    return first, np.add.reduceat(codes * _PLACES[place], first, dtype=np.uint32)
+
+
 def features(words: Words, settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(text, bucket) of the words and grams of all texts of a chunk, in parts sorted by text."""
     shift = np.uint64(64 - settings.bits)
@@ -61,18 +76,17 @@ def features(words: Words, settings: Settings) -> Iterator[tuple[np.ndarray, np.
     yield owner, (words.hashes >> shift).astype(np.int64)
     same = np.flatnonzero((words.hashes[1:] == words.hashes[:-1]) & (owner[1:] == owner[:-1])) + 1
     yield owner[same], np.full(len(same), REPEATED, dtype=np.int64)
-    data = words.data
-    space = WHITE[data]
-    codes = _BYTES32[np.where(space, 32, data)]
-    text = np.repeat(np.arange(len(lengths)), np.diff(words.offsets))
-    hashed, inner = codes, np.ones(len(data), dtype=bool)
+    first, codes = characters(words.data)
+    space = WHITE[words.data[first]]
+    text = np.searchsorted(words.offsets, first, side="right") - 1
+    hashed, inner = codes, np.ones(len(codes), dtype=bool)
     for n in range(2, max(settings.gram_sizes) + 1):
-        if len(data) < n:
+        if len(codes) < n:
             return
-        # A gram of n bytes has the bytes between its first and last inside a word.
+        # A gram of n characters has those between its first and last inside a word.
         hashed = hashed[:-1] * _STEP32 + codes[n - 1 :]
         if n > 2:
-            inner = inner[:-1] & ~space[n - 2 : len(data) - 1]
+            inner = inner[:-1] & ~space[n - 2 : len(codes) - 1]
         else:
             inner = inner[:-1]
         if n in settings.gram_sizes:
