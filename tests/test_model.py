@@ -115,3 +115,36 @@ def test_any_number_of_regions(spark, regions, folder):
     model, _ = models.load_latest(spark, root)
     rows = forecast.predict_next_hours(model, mix, gas, at("2024-01-02T00:00:00"), 2).collect()
     assert len(rows) == 2 * regions and all(r.predicted_consumption is not None for r in rows)
+
+
+def tasks_of_levels(spark, group):
+    """Tasks of each stage in which a level of a tree is counted."""
+    seen = spark.sparkContext.statusTracker()
+    stages = [seen.getStageInfo(k) for j in seen.getJobIdsForGroup(group) for k in seen.getJobInfo(j).stageIds]
+    return [s.numTasks for s in stages if s is not None and "RandomForest" in s.name]
+
+
+def test_rows_are_dealt_by_their_number(spark, tables):
+    """Not by the shuffle's partitions or files: every one would be a task 1,800 times."""
+    changed = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+    before = {name: spark.conf.get(name) for name in changed}
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        spark.sparkContext.setJobGroup("learning", "trees")
+        found = consumption.train(*tables, trees=2)
+        spark.sparkContext.setJobGroup("learnt", "")
+        assert {r.split: r.n_rows for r in found.metrics.collect()} == {"train": 576, "test": 144}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    tasks = tasks_of_levels(spark, "learning")
+    assert tasks and max(tasks) == 1
+
+
+@pytest.mark.parametrize("rows, cores, tasks", [
+    (0, 12, 1), (1, 12, 1), (8_192, 12, 1), (8_193, 12, 2), (432_000, 12, 12), (2_592_000, 12, 12),
+    (12_000_000, 12, 12), (12_000_001, 12, 13), (10**9, 12, 1000),
+])
+def test_tasks_of_a_level(rows, cores, tasks):
+    assert consumption.learning_tasks(rows, cores) == tasks

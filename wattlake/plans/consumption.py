@@ -1,6 +1,7 @@
 """Train, evaluate, explain, export a gradient-boosted model on gold."""
 
 import datetime as dt
+import math
 import uuid
 from dataclasses import dataclass
 
@@ -28,6 +29,12 @@ ROW_SHARE = 0.8
 COLUMN_SHARE = "0.8"
 SEED = 42
 
+#: Training rows worth a task of their own. A level of a tree is a Spark job over all rows,
+#: 1,800 jobs a model: with fewer rows a task costs more to start than it saves.
+ROWS_A_TASK = 8_192
+#: Training rows that a task may hold in memory, about 200 MB.
+MOST_ROWS_A_TASK = 1_000_000
+
 
 @dataclass
 class TrainedModel:
@@ -78,6 +85,12 @@ def importance_table(spark: SparkSession, model: PipelineModel, columns: list[st
     )
 
 
+def learning_tasks(rows: int, cores: int) -> int:
+    """Into how many tasks the rows are dealt: one wave over the cores, fewer if the rows
+    are few, more only where a task would hold too many."""
+    return max(min(math.ceil(rows / ROWS_A_TASK), cores), math.ceil(rows / MOST_ROWS_A_TASK), 1)
+
+
 def train(
     mix: DataFrame, carbon: DataFrame, label: str = V.CONSUMPTION_LABEL, leaky: bool = False,
     trees: int = TREES, test_fraction: float = 0.2, extra: tuple[str, ...] = (),
@@ -87,8 +100,9 @@ def train(
 
     The cleaned rows are written once: the split, the region index and every
     tree level read them again. They are written in key order, because row
-    sampling goes by position and the seed alone would not repeat a model. ``extra``
-    names further columns of the mix to learn from.
+    sampling goes by position and the seed alone would not repeat a model. They are dealt
+    by their number, not by the size of files: the tasks of a level do not grow with the
+    table beyond the cores. ``extra`` names further columns of the mix to learn from.
     """
     spark = mix.sparkSession
     ensure_checkpoint_dir(spark)
@@ -97,14 +111,18 @@ def train(
                            model_columns(label, leaky))
     cleaned, columns = cleaned.fillna(0, subset=list(extra)), columns + list(extra)
     inputs = [c for c in columns if c != "region_encoded"]
-    ordered = cleaned.select(*V.KEY, *inputs, label).repartition(*V.KEY).sortWithinPartitions(*V.KEY)
-    training = new_path(spark, "training")
-    rows = materialize(ordered, training)
     # the same rows as in the training table, but still stored by day
-    counted = mix.dropna(subset=[label, *V.KEY]) if label in mix.columns else cleaned
-    split = temporal_split(rows, temporal_cut(counted, test_fraction))
+    by_mix = label in mix.columns
+    cut = temporal_cut(mix.dropna(subset=[label, *V.KEY]), test_fraction) if by_mix else None
+    size = cut.train_rows + cut.test_rows if by_mix else mix.count()
+    tasks = learning_tasks(size, spark.sparkContext.defaultParallelism)
+    dealt = cleaned.select(*V.KEY, *inputs, label).repartition(tasks, *V.KEY)
+    training = new_path(spark, "training")
+    rows = materialize(dealt.sortWithinPartitions(*V.KEY), training)
+    split = temporal_split(rows, cut or temporal_cut(rows, test_fraction))
     codes = region_indexer().fit(rows)
-    model = estimator(codes, columns, label, trees).fit(split.filter(F.col("split") == "train"))
+    learned = split.filter(F.col("split") == "train").coalesce(tasks)
+    model = estimator(codes, columns, label, trees).fit(learned)
     scored = materialize(
         model.transform(split).select(*V.KEY, "split", label, "prediction"),
         new_path(spark, "scored"),
