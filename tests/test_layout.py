@@ -189,3 +189,48 @@ def test_what_a_reader_sees_during_a_swap(spark, folder, monkeypatch):
 def test_a_row_without_region_has_no_code(spark):
     rows = spark.createDataFrame([("B", 1), (None, 2), ("A", 3)], "region string, n int")
     assert {(r.n, r.region_encoded) for r in ft.encode_region(rows).collect()} == {(1, 1), (2, None), (3, 0)}
+
+
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def jobs_of(spark, group, work):
+    """What ``work`` returns, and the numbers of tasks of the stages that it ran."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        found = work()
+    finally:
+        spark.sparkContext.setJobGroup("other", "")
+    seen = spark.sparkContext.statusTracker()
+    infos = [seen.getStageInfo(k) for j in seen.getJobIdsForGroup(group) for k in seen.getJobInfo(j).stageIds]
+    return found, [i.numTasks for i in infos if i is not None]
+
+
+def test_folders_of_days_are_listed_by_few_tasks(spark, folder):
+    path = folder("gold")
+    days = spark.range(90).select(
+        F.lit("FR").alias("region"), F.col("id").alias("x"),
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
+    )
+    days.coalesce(1).write.partitionBy("date").parquet(path)
+    limit, before = 4 * spark.sparkContext.defaultParallelism, spark.conf.get(LISTING)
+    gold, tasks = jobs_of(spark, f"listing {path}", lambda: tables.read_gold(spark, path))
+    assert tasks and max(tasks) <= limit < 90
+    assert spark.conf.get(LISTING) == before
+    assert gold.agg(F.sum("x"), F.countDistinct("date")).first()[:] == (90 * 89 // 2, 90)
+
+
+def test_a_stored_table_is_opened_once(spark, folder):
+    source = folder("source")
+    spark.range(200).select(
+        F.col("id").alias("event_id"),
+        (F.lit(dt.datetime(2024, 1, 1)) + F.make_interval(hours=(F.col("id") * 6).cast("int"))).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 7).alias("user_id"), F.lit("view").alias("event_type"),
+        F.col("id").cast("double").alias("value"), F.lit('{"k": 5}').alias("props"),
+    ).coalesce(1).write.parquet(f"{source}/events.parquet")
+    lake = open_lake(spark, source)
+    names = ("mix_topic", "silver_mix", "silver_carbon", "gold_mix", "gold_carbon")
+    rows = [getattr(lake, name)().count() for name in names]
+    again, tasks = jobs_of(spark, "opened again", lambda: [getattr(lake, name)() for name in names])
+    assert tasks == []
+    assert [table.count() for table in again] == rows

@@ -4,7 +4,7 @@ Reports, features and models read stored silver and gold, as they would in a
 running system; only the ingest jobs read JSON.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -20,23 +20,34 @@ from wattlake.sinks.tables import (
 )
 from wattlake.sources.files import exists, file_state
 from wattlake.sources.scratch import new_path
-from wattlake.sources.tables import read_footers
+from wattlake.sources.tables import read_days, read_footers
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Tables of one feed under one folder; arrival is the record's own time."""
+    """Tables of one feed under one folder; arrival is the record's own time.
+
+    A table does not change once it is written, so its folders are listed once.
+    """
 
     spark: SparkSession
     sf_dir: str
     root: str
+    opened: dict[str, DataFrame] = field(default_factory=dict, compare=False, repr=False)
 
     def _once(self, name: str, write) -> str:
         path = f"{self.root}/{name}"
         if not exists(self.spark, f"{path}/_SUCCESS"):
+            self.opened.pop(name, None)
             write(path)
         return path
 
+    def _open(self, name: str, write, read) -> DataFrame:
+        path = self._once(name, write)
+        if name not in self.opened:
+            self.opened[name] = read(self.spark, path)
+        return self.opened[name]
+
     def _stored(self, name: str, make, by: str | None = None) -> DataFrame:
         def write(path):
             if by is None:
@@ -44,10 +55,10 @@ class Lake:
             else:
                 by_day(make(), by).write.mode("overwrite").partitionBy(DAY).parquet(path)
 
-        return self.spark.read.parquet(self._once(name, write))
+        return self._open(name, write, read_days)
 
     def _gold(self, name: str, make) -> DataFrame:
-        return read_gold(self.spark, self._once(name, lambda path: write_gold(make(), path)))
+        return self._open(name, lambda path: write_gold(make(), path), read_gold)
 
     def footers(self, name: str) -> DataFrame:
         """A stored table, opened for what its file footers tell."""
@@ -102,9 +113,10 @@ class Lake:
     def partials(self, name: str, value: str) -> DataFrame:
         """Sums by event day and zone, as the silver stream keeps them."""
         silver = getattr(self, f"silver_{name}")
-        return self.spark.read.parquet(self._once(
-            f"partials_{name}", lambda path: append_partials(day_zone_partials(silver(), value), path, 0)
-        ))
+        return self._open(
+            f"partials_{name}",
+            lambda path: append_partials(day_zone_partials(silver(), value), path, 0), read_days,
+        )
 
     def behind(self, name: str, mark) -> DataFrame:
         """Gold of a feed as it was at a time of arrival."""

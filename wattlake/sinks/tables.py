@@ -10,7 +10,7 @@ from wattlake import vocabulary as V
 from wattlake.operators.latest import DAY, WRITE_ORDER, latest_per_key
 from wattlake.operators.partials import merge_partials
 from wattlake.sources.files import children, delete, exists, move
-from wattlake.sources.tables import read_footers
+from wattlake.sources.tables import read_days, read_footers
 
 BATCH = "batch_id"
 #: Arrival of a gold row in microseconds, as file footers tell the greatest of whole
@@ -93,7 +93,7 @@ def write_gold(rows: DataFrame, path: str) -> None:
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(STAMP)
+    return read_days(spark, path).drop(STAMP)
 
 
 def write_bucketed(rows: DataFrame, path: str, buckets: int) -> None:

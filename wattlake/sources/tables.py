@@ -20,6 +20,20 @@ def read_table(
     return reader.load(path) if path else reader.load()
 
 
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def read_days(spark: SparkSession, path: str) -> DataFrame:
+    """A table with a folder per day. Spark lists the folders when a table is opened, by
+    default with a task for each folder; here by a few tasks a core."""
+    before = int(spark.conf.get(LISTING_TASKS))
+    spark.conf.set(LISTING_TASKS, str(min(before, 4 * spark.sparkContext.defaultParallelism)))
+    try:
+        return spark.read.parquet(path)
+    finally:
+        spark.conf.set(LISTING_TASKS, str(before))
+
+
 V1_SOURCES = "spark.sql.sources.useV1SourceList"
 
 
