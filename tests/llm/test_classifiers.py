@@ -1,6 +1,7 @@
 """Learned scores: accuracy on held-out rows, and what must not enter them."""
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -140,3 +141,51 @@ def test_grams_are_of_characters_in_any_script():
             assert of_bucket.setdefault(bucket, gram) == gram
         seen += len({gram for _, gram in want})
     assert len(of_bucket) == seen
+
+
+def test_grams_of_a_text_in_pieces_are_those_of_the_whole():
+    rng = random.Random(8)
+    letters = "abz \téßЖ日本ह\U0001f600"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 90))) for _ in range(12)] + ["", "a", "日"]
+    (_, _, words), = chunks(pa.array(texts))
+    settings = quality.Settings()
+
+    def found(piece):
+        return sorted((t, b) for text, ids in quality.features(words, settings, piece) for t, b in zip(text.tolist(), ids.tolist()))
+
+    whole = found(1 << 20)
+    assert len(list(quality.features(words, settings, 1 << 20))) == 2 + len(settings.gram_sizes)
+    assert all(found(piece) == whole for piece in (1, 2, 3, 5, 64, 1000))
+
+
+def test_a_long_text_counts_and_scores_as_its_features(monkeypatch):
+    rng, settings = random.Random(9), quality.Settings()
+    text = " ".join(rng.choice(vocabulary(50) + ["日本語", "Жш"]) for _ in range(400))
+    weights = np.random.default_rng(2).normal(size=1 << settings.bits).astype(np.float32)
+    batch = pa.RecordBatch.from_pydict(
+        {"doc_id": pa.array([1, 2, 3]), "label": pa.array([0, 1, 0], pa.int32()), "text": pa.array(["a b b", text, None])}
+    )
+    model, results = quality.Model(weights, 0.1), []
+    for piece in (1 << 20, 100):
+        monkeypatch.setattr(quality, "PIECE_BYTES", piece)
+        monkeypatch.setattr(quality.features, "__defaults__", (piece,))
+        (counted,) = quality.count_features(settings)([batch])
+        results.append((counted.to_pydict(), quality.text_scores(model, settings, batch.column("text"))))
+    assert results[0][0] == results[1][0]
+    assert np.allclose(results[0][1], results[1][1], rtol=0, atol=1e-12)
+
+
+@pytest.mark.parametrize("texts, most_mb", [(4000, 16), (1, 110)])
+def test_memory_of_scoring_does_not_grow_with_the_grams(texts, most_mb):
+    """4 MB as many texts or as one: the grams alone took 60 bytes for each byte handled at once."""
+    text = ("lorem ipsum dolor sit amet " * (4_000_000 // texts // 27 + 1))[: 4_000_000 // texts]
+    column, settings = pa.array([text] * texts), quality.Settings()
+    model = quality.Model(np.ones(1 << settings.bits, dtype=np.float32), 0.0)
+    quality.text_scores(model, settings, pa.array([text[:1000]]))  # tables that are kept
+    tracemalloc.start()
+    try:
+        scores = quality.text_scores(model, settings, column)
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+    assert len(scores) == texts and peak < most_mb

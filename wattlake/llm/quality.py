@@ -28,6 +28,9 @@ _PLACES = np.multiply.accumulate(np.array([1] + [0x85EBCA6B] * 3, dtype=np.uint3
 
 #: Bucket of "the same word again".
 REPEATED = 0
+#: Bytes whose grams are made at a time, of several texts or of a part of a longer one: the
+#: arrays of a step take some 60 times as much.
+PIECE_BYTES = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -68,30 +71,68 @@ def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.add.reduceat(codes * _PLACES[place], first, dtype=np.uint32)
 
 
-def features(words: Words, settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(text, bucket) of the words and grams of all texts of a chunk, in parts sorted by text."""
+def pieces(data: np.ndarray, size: int, after: int) -> Iterator[tuple[int, int, int]]:
+    """(begin, end, end with ``after`` more characters) of parts of about ``size`` bytes, whole characters each."""
+
+    def character(at: int) -> int:
+        while at < len(data) and data[at] & 0xC0 == 0x80:
+            at += 1
+        return min(at, len(data))
+
+    begin = 0
+    while begin < len(data):
+        end = more = character(begin + size)
+        for _ in range(after):
+            more = character(more + 1)
+        yield begin, end, more
+        begin = end
+
+
+def features(words: Words, settings: Settings, piece: int = PIECE_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text, bucket) of the words and grams of all texts of a chunk, in parts sorted by text.
+
+    Grams come for ``piece`` bytes at a time, so a long text has many parts.
+    """
     shift = np.uint64(64 - settings.bits)
     lengths = np.diff(words.first)
     owner = np.repeat(np.arange(len(lengths)), lengths)
     yield owner, (words.hashes >> shift).astype(np.int64)
     same = np.flatnonzero((words.hashes[1:] == words.hashes[:-1]) & (owner[1:] == owner[:-1])) + 1
     yield owner[same], np.full(len(same), REPEATED, dtype=np.int64)
-    first, codes = characters(words.data)
-    space = WHITE[words.data[first]]
-    text = np.searchsorted(words.offsets, first, side="right") - 1
-    hashed, inner = codes, np.ones(len(codes), dtype=bool)
-    for n in range(2, max(settings.gram_sizes) + 1):
-        if len(codes) < n:
-            return
-        # A gram of n characters has those between its first and last inside a word.
-        hashed = hashed[:-1] * _STEP32 + codes[n - 1 :]
-        if n > 2:
-            inner = inner[:-1] & ~space[n - 2 : len(codes) - 1]
-        else:
-            inner = inner[:-1]
-        if n in settings.gram_sizes:
-            good = np.flatnonzero(inner & (text[: len(hashed)] == text[n - 1 :]))
-            yield text[good], ((hashed[good] * _FINAL32) >> np.uint32(32 - settings.bits)).astype(np.int64)
+    for begin, end, more in pieces(words.data, piece, max(settings.gram_sizes) - 1):
+        data = words.data[begin:more]
+        first, codes = characters(data)
+        own = np.searchsorted(first, end - begin)
+        space = WHITE[data[first]]
+        text = np.searchsorted(words.offsets, first + begin, side="right") - 1
+        hashed, inner = codes, np.ones(len(codes), dtype=bool)
+        for n in range(2, max(settings.gram_sizes) + 1):
+            if len(codes) < n:
+                break
+            # A gram of n characters has those between its first and last inside a word.
+            hashed = hashed[:-1] * _STEP32 + codes[n - 1 :]
+            if n > 2:
+                inner = inner[:-1] & ~space[n - 2 : len(codes) - 1]
+            else:
+                inner = inner[:-1]
+            if n in settings.gram_sizes:
+                # Those that begin in this piece; they may end in the next.
+                good = np.flatnonzero((inner & (text[: len(hashed)] == text[n - 1 :]))[:own])
+                yield text[good], ((hashed[good] * _FINAL32) >> np.uint32(32 - settings.bits)).astype(np.int64)
+
+
+def bucket_counts(words: Words, texts: int, settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(buckets, how often) of each text of a chunk."""
+    if texts == 1:
+        # One text may be long and have many parts: they are counted one by one.
+        counts = sum(np.bincount(ids, minlength=1 << settings.bits) for _, ids in features(words, settings))
+        ids = np.flatnonzero(counts)
+        yield ids, counts[ids]
+        return
+    parts = list(features(words, settings))
+    for i in range(texts):
+        own = [ids[np.searchsorted(text, i) : np.searchsorted(text, i + 1)] for text, ids in parts]
+        yield np.unique(np.concatenate(own), return_counts=True)
 
 
 def count_features(settings: Settings):
@@ -100,11 +141,8 @@ def count_features(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buckets, counts = [], []
-            for begin, end, words in chunks(batch.column("text")):
-                parts = list(features(words, settings))
-                for i in range(end - begin):
-                    own = [ids[np.searchsorted(text, i) : np.searchsorted(text, i + 1)] for text, ids in parts]
-                    ids, n = np.unique(np.concatenate(own), return_counts=True)
+            for begin, end, words in chunks(batch.column("text"), most=PIECE_BYTES):
+                for ids, n in bucket_counts(words, end - begin, settings):
                     buckets.append(ids.astype(np.int32).tobytes())
                     counts.append(n.astype(np.int32).tobytes())
             yield pa.RecordBatch.from_arrays(
@@ -166,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, settings: Settings) ->
 
 def text_scores(model: Model, settings: Settings, texts: pa.Array) -> np.ndarray:
     found = []
-    for begin, end, words in chunks(texts):
+    for begin, end, words in chunks(texts, most=PIECE_BYTES):
         total, n = np.zeros(end - begin), np.zeros(end - begin)
         for text, ids in features(words, settings):
             total += np.bincount(text, weights=model.weights[ids], minlength=end - begin)
@@ -184,11 +222,10 @@ def scorer(docs: DataFrame, labels: DataFrame, label: str = "quality", settings:
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(train(docs, labels, label, settings))
 
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
-        return pd.Series(text_scores(sent.value, settings, pa.array(texts, pa.large_string(), from_pandas=True)))
+    # Texts stay in their Arrow buffers: no copy of them as Python strings.
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(text_scores(sent.value, settings, texts))
 
     def column(text: Column) -> Column:
         return score(text)

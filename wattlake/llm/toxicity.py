@@ -23,6 +23,8 @@ from wattlake.llm.words import Words, chunks
 
 #: Bytes that separate words here: all of ASCII but digits and letters.
 SEPARATORS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+#: Bytes of texts handled at a time; one longer text is handled alone.
+PIECE_BYTES = 1 << 17
 
 # Terms for groups, by kind; the first of each kind is the neutral one.
 IDENTITY_TERMS = (
@@ -80,7 +82,7 @@ def distinct_words(words: Words, i: int) -> np.ndarray:
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = []
-        for begin, end, words in chunks(batch.column("text"), lower=True, separators=SEPARATORS):
+        for begin, end, words in chunks(batch.column("text"), lower=True, separators=SEPARATORS, most=PIECE_BYTES):
             found += [distinct_words(words, i).tobytes() for i in range(end - begin)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("label"), pa.array(found, pa.binary())], names=["doc_id", "label", "words"]
@@ -167,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings) -> Model:
 
 def text_scores(model: Model, texts: pa.Array) -> np.ndarray:
     found = []
-    for begin, end, words in chunks(texts, lower=True, separators=SEPARATORS):
+    for begin, end, words in chunks(texts, lower=True, separators=SEPARATORS, most=PIECE_BYTES):
         logits = np.full(end - begin, model.bias)
         if len(model.words):
             place = np.minimum(np.searchsorted(model.words, words.hashes), len(model.words) - 1)
@@ -187,11 +189,10 @@ def scorer(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()):
     """
     sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels, settings))
 
-    @F.pandas_udf("double")
-    def score(texts):
-        import pandas as pd
-
-        return pd.Series(text_scores(sent.value, pa.array(texts, pa.large_string(), from_pandas=True)))
+    # Texts stay in their Arrow buffers: no copy of them as Python strings.
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        return pa.array(text_scores(sent.value, texts))
 
     def column(text: Column) -> Column:
         return score(text)

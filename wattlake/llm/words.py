@@ -96,8 +96,11 @@ class Words:
         return self.data[self.begins[i] : self.ends[i]].tobytes()
 
 
-def chunks(texts: pa.Array, lower: bool = False, separators: np.ndarray = WHITE) -> Iterator[tuple[int, int, Words]]:
-    """(from, to, words) for consecutive texts of a column; a null text has no words."""
+def chunks(
+    texts: pa.Array, lower: bool = False, separators: np.ndarray = WHITE, most: int = CHUNK_BYTES
+) -> Iterator[tuple[int, int, Words]]:
+    """(from, to, words) for consecutive texts of a column, ``most`` bytes or one longer text
+    at a time; a null text has no words."""
     texts = texts.cast(pa.large_string())
     if texts.null_count:
         texts = texts.fill_null("")
@@ -106,7 +109,7 @@ def chunks(texts: pa.Array, lower: bool = False, separators: np.ndarray = WHITE)
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, np.uint8)
     begin = 0
     while begin < len(texts):
-        end = int(np.searchsorted(offsets, offsets[begin] + CHUNK_BYTES, side="right")) - 1
+        end = int(np.searchsorted(offsets, offsets[begin] + most, side="right")) - 1
         end = min(max(end, begin + 1), len(texts))
         low, high = offsets[begin], offsets[end]
         yield begin, end, Words(data[low:high], offsets[begin : end + 1] - low, lower, separators)
